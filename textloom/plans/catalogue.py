@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from textloom.plans import ledgers, search
+
+_PARTS = (search, ledgers)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
