@@ -24,7 +24,7 @@ LEVELS = ["domain", "lang", "source"]
 SEED = 20260101
 SHARE = 0.8  # of all tokens, the production budget
 EPOCHS = 1.0
-RANGE_ROWS = 20_000  # documents a hash range, about
+RANGE_ROWS = 1_000  # documents a hash range, about
 #: Weights of children among their siblings; those not named have 1.
 WEIGHTS = {"lang": {"en": 3.0, "de": 1.5}, "domain": {"d0": 2.0}}
 
