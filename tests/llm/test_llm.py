@@ -154,6 +154,19 @@ def test_token_files(spark, docs):
         assert got[i].n_tokens == len(ids) and got[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_words_encode_as_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(5)
+    tok, signs = Tokenizer.from_file(path), [*"aA'sS Σςσ\u0301\u0308\u00a0\u2003\u3000\x0b\x0c\r\n\t  0９日本<|>éİß", "'ll ", "<|endoftext|>", " <|startoftext|> ", "don't ", "J\u030c", "T\u0308. ", "<|ENDOFTEXT|>", *".,;:!? Zz"]
+    texts = ["", " ", "\n\t", "x" * 5000, *("".join(rng.choice(signs) for _ in range(rng.randint(1, 60))) for _ in range(3000))]
+    for a in range(0, len(texts), 500):
+        some = texts[a : a + 500]
+        assert [x.tolist() for x in token_files.encode(some, path)] == [e.ids for e in tok.encode_batch(some, add_special_tokens=False)]
+    assert token_files.encode([], path) == []
+
+
 def test_media():
     for t in texts(20):
         b = (t or "").encode()

@@ -24,27 +24,35 @@ import numpy as np
 
 BLOCK = 1024  # ids a block
 LANES = 4096  # blocks coded in step
-HASH = 1024  # entries of each context table
+HASH = 512  # entries of each context table
 HIGH = 256  # high parts of ids
 TOTAL_BITS = 18
 TOTAL = 1 << TOTAL_BITS
 LEAST = 1 << 14  # room that order 0 always keeps, so that each of its slots has a size
-U = np.uint64
-EDGE, FULL, WORD = U(1 << 32), U((1 << 48) - 1), U(16)
+MOST, FEWEST = (1 << 14) - (1 << 8), 32  # between them an order's hits stay
+EDGE, FULL, WORD = 1 << 32, (1 << 48) - 1, 16
 HEAD = 12  # bytes: count, size, crc32
+BYTES = np.uint64(0x0101010101010101)
+
+
+def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Floor of a / b for 0 <= a < 2^52 and b > 0, where a double's quotient is never rounded up to the next whole number."""
+    return (a / b).astype(np.int64)
 
 
 class _Models:
     def __init__(self, lanes: int, low_bits: int):
         self.lanes, self.low_bits = lanes, low_bits
-        self.rows = np.arange(lanes)
-        self.base = self.rows * HASH
-        self.two = np.full(lanes * HASH, -1, np.int32)
-        self.one = np.full(lanes * HASH, -1, np.int32)
+        rows = np.arange(lanes)
+        self.base = np.stack([rows, rows + lanes]) * HASH  # order 2's tables, then order 1's
+        self.last = np.full(2 * lanes * HASH, -1, np.int32)
         self.hits = np.full((2, lanes), 1 << 10, np.int64)  # of 2^14, for orders 2 and 1
         self.count = np.ones((lanes, HIGH), np.int32)
-        self.a = np.zeros(lanes, np.int64)
-        self.b = np.zeros(lanes, np.int64)
+        self.counts, self.count_row = self.count.ravel(), rows * HIGH
+        self.cum = np.zeros((lanes, HIGH + 1), np.int32)
+        self.flat, self.row, self.nodes = self.cum.ravel(), rows * (HIGH + 1), rows * 16
+        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.at, self.w = np.zeros((2, lanes), np.int64), np.zeros((2, lanes), np.int64)
         self.refresh()
 
     def refresh(self) -> None:
@@ -52,9 +60,8 @@ class _Models:
         n = self.count.sum(1, keepdims=True, dtype=np.float32)
         share = (self.count * (((1 << 14) - HIGH) / n)).astype(np.int32) + 1
         share[:, 0] += (1 << 14) - share.sum(1)
-        self.cum = np.zeros((self.lanes, HIGH + 1), np.int32)
         np.cumsum(share, 1, out=self.cum[:, 1:])
-        self.flat, self.row = self.cum.ravel(), self.rows * (HIGH + 1)
+        self.fresh = False
 
     def part(self, high: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the slot of a high part begins and ends, scaled to the room left."""
@@ -62,28 +69,36 @@ class _Models:
         return self.flat[at] * room >> 14, self.flat[at + 1] * room >> 14
 
     def find(self, inner: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The high part whose slot holds `inner`, by bisection: the last that begins at or before it."""
-        at, aim = self.row.copy(), (inner + 1 << 14) - 1
-        for step in (128, 64, 32, 16, 8, 4, 2, 1):
-            at += np.where(self.flat[at + step] * room <= aim, step, 0)
-        high = np.minimum(at - self.row, HIGH - 1)
+        """The high part whose slot holds `inner`: the last that begins at or before it, by two steps of sixteen."""
+        if not self.fresh:
+            begins = self.cum[:, :HIGH].astype(np.int16)
+            self.coarse, self.fine, self.fresh = np.ascontiguousarray(begins[:, ::16].T), begins.reshape(-1, 16), True
+        aim = _ratio((np.maximum(inner, 0) + 1 << 14) - 1, room).astype(np.int16)
+        block = (self.coarse <= aim).view(np.int8).sum(0, dtype=np.int8).astype(np.int64) - 1
+        begun = (np.take(self.fine, self.nodes + block, 0) <= aim[:, None]).view(np.uint64) * BYTES >> np.uint64(56)
+        high = block * 16 + (begun[:, 0] + begun[:, 1]).astype(np.int64) - 1
         return high, *self.part(high, room)
 
     def guess(self) -> None:
-        self.at2 = self.base + ((self.a * 40503 + self.b * 2654435761) >> 7) % HASH
-        self.at1 = self.base + (self.b * 2654435761 >> 9) % HASH
-        self.g2, self.g1 = self.two[self.at2], self.one[self.at1]
+        mixed = self.b * 2654435761
+        np.bitwise_and(self.a * 40503 + mixed >> 7, HASH - 1, out=self.at[0])
+        np.bitwise_and(mixed >> 9, HASH - 1, out=self.at[1])
+        self.at += self.base
+        self.named = self.last[self.at]
+        self.live = self.named >= 0
+        self.live[1] &= self.named[0] != self.named[1]
         # Slots of TOTAL: order 2, order 1, the rest. A guess that isn't there gets no room.
-        self.w2 = np.where(self.g2 >= 0, self.hits[0] * 14, 0)
-        self.w1 = np.where((self.g1 >= 0) & (self.g1 != self.g2), self.hits[1] * (TOTAL - LEAST - self.w2) >> 14, 0)
-
-    def learn(self, ids: np.ndarray, high: np.ndarray) -> None:
-        for k, (g, w) in enumerate(((self.g2, self.w2), (self.g1, self.w1))):
-            h = self.hits[k]
-            h += np.where(w > 0, np.where(g == ids, ((1 << 14) - (1 << 8) - h) >> 4, -((h - 32) >> 4)), 0)
-        self.two[self.at2] = ids
-        self.one[self.at1] = ids
-        self.count[self.rows, high] += 24
+        np.multiply(self.hits[0] * 14, self.live[0], out=self.w[0])
+        np.multiply(self.hits[1] * (TOTAL - LEAST - self.w[0]) >> 14, self.live[1], out=self.w[1])
+
+    def right(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the orders names each id; never both."""
+        return (self.named == ids) & self.live
+
+    def learn(self, ids: np.ndarray, high: np.ndarray, right: np.ndarray) -> None:
+        self.hits += (np.where(right, MOST, FEWEST) - self.hits >> 4) * self.live
+        self.last[self.at] = ids
+        self.counts[self.count_row + high] += 24
         self.a, self.b = self.b, ids
 
 
@@ -105,30 +120,28 @@ def _encode_group(parts: list[np.ndarray], bits: int) -> list[bytes]:
         grid[: sizes[j], k] = parts[j]
     alive = np.searchsorted(-sizes[order], -np.arange(longest), side="left")  # lanes with an id at each position
     m = _Models(lanes, low_bits)
-    low, rng = np.zeros(lanes, U), np.full(lanes, FULL)
-    buf, used = np.zeros((lanes, longest * 2 + 16), "<u2"), np.zeros(lanes, np.int64)
+    low, rng = np.zeros(lanes, np.int64), np.full(lanes, FULL)
+    width = longest * 2 + 16
+    buf, used = np.zeros((lanes, width), "<u2"), np.zeros(lanes, np.int64)
+    words, first = buf.ravel(), np.arange(lanes) * width
 
     def out_word(rows, top):
-        buf[rows, used[rows]] = top
+        words[first[rows] + used[rows]] = top
 
     for t in range(longest):
         n, x = int(alive[t]), grid[t]
         m.guess()
-        high = x >> low_bits
-        hit2 = (m.w2 > 0) & (m.g2 == x)
-        hit1 = ~hit2 & (m.w1 > 0) & (m.g1 == x)
-        before = m.w2 + m.w1
+        high, right = x >> low_bits, m.right(x)
+        before = m.w[0] + m.w[1]
         lo, hi = m.part(high, TOTAL - before)
-        low_part = x & ((1 << low_bits) - 1)
-        start = np.where(hit2, 0, np.where(hit1, m.w2 << low_bits, (before + lo << low_bits) + low_part * (hi - lo)))
-        size = np.where(hit2, m.w2 << low_bits, np.where(hit1, m.w1 << low_bits, hi - lo))
-        _narrow(low, rng, start, size, n, TOTAL_BITS + low_bits)
+        start, size = _slot(m, right, before, lo, hi, x & ((1 << low_bits) - 1))
+        _narrow(low, rng, rng >> TOTAL_BITS + low_bits, start, size, n)
         _shift(low, rng, used, n, out_word)
-        m.learn(x, high)
-        if t & 63 == 63 or t in (3, 7, 15, 31):
+        m.learn(x, high, right)
+        if t & 127 == 127 or t in (3, 7, 15, 31, 63):
             m.refresh()
     for _ in range(3):
-        buf[np.arange(lanes), used] = (low >> U(32)).astype(np.uint16)
+        buf[np.arange(lanes), used] = (low >> 32).astype(np.uint16)
         used += 1
         low = (low << WORD) & FULL
     out = [b""] * lanes
@@ -139,24 +152,37 @@ def _encode_group(parts: list[np.ndarray], bits: int) -> list[bytes]:
     return out
 
 
-def _narrow(low, rng, start, size, n, total_bits) -> None:
-    r = rng[:n] >> U(total_bits)
-    low[:n] = (low[:n] + r * start[:n].astype(U)) & FULL
-    rng[:n] = r * size[:n].astype(U)
+def _slot(m: _Models, right, before, lo, hi, low_part) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and size of each id's slot: that of the order that names it, or a place in the slot of its high part."""
+    bits, part = m.low_bits, hi - lo
+    start = np.where(right[0], 0, np.where(right[1], m.w[0] << bits, (before + lo << bits) + low_part * part))
+    return start, np.where(right[0], m.w[0] << bits, np.where(right[1], m.w[1] << bits, part))
+
+
+def _narrow(low, rng, unit, start, size, n) -> None:
+    low[:n] += unit[:n] * start[:n]
+    low[:n] &= FULL
+    np.multiply(unit[:n], size[:n], out=rng[:n])
 
 
 def _shift(low, rng, used, n, moved) -> None:
     """Gives the settled words of the first n lanes to `moved` until each range is wide again."""
     l, r = low[:n], rng[:n]
-    rows = np.flatnonzero(((l ^ (l + r)) < EDGE) | (r < EDGE))
+    settled = (l ^ (l + r)) < EDGE
+    rows = np.flatnonzero(settled | (r < EDGE))
+    if not len(rows):
+        return
+    l, r, settled = l[rows], r[rows], settled[rows]
     while len(rows):
-        l, r = low[rows], rng[rows]
-        r = np.where((l ^ (l + r)) < EDGE, r, (~l + U(1)) & (EDGE - U(1)))  # too narrow over an edge: up to the edge
-        moved(rows, (l >> U(32)).astype(np.uint16))
+        if not settled.all():
+            r = np.where(settled, r, -l & (EDGE - 1))  # too narrow over an edge: up to the edge
+        moved(rows, (l >> 32).astype(np.uint16))
         used[rows] += 1
         l, r = (l << WORD) & FULL, (r << WORD) & FULL
         low[rows], rng[rows] = l, r
-        rows = rows[((l ^ (l + r)) < EDGE) | (r < EDGE)]
+        settled = (l ^ (l + r)) < EDGE
+        more = np.flatnonzero(settled | (r < EDGE))
+        rows, l, r, settled = rows[more], l[more], r[more], settled[more]
 
 
 def decode_blocks(blocks: list[bytes], bits: int = 16) -> list[np.ndarray]:
@@ -178,33 +204,32 @@ def _decode_group(blocks: list[bytes], bits: int) -> list[np.ndarray]:
         body = np.frombuffer(blocks[j], "<u2", offset=HEAD)
         buf[k, : len(body)] = body
     m = _Models(lanes, low_bits)
-    low, rng, used = np.zeros(lanes, U), np.full(lanes, FULL), np.full(lanes, 3, np.int64)
-    code = (buf[:, 0].astype(U) << U(32)) | (buf[:, 1].astype(U) << WORD) | buf[:, 2].astype(U)
+    low, rng, used = np.zeros(lanes, np.int64), np.full(lanes, FULL), np.full(lanes, 3, np.int64)
+    words, first = buf.ravel(), np.arange(lanes) * buf.shape[1]
+    code = (buf[:, 0].astype(np.int64) << 32) | (buf[:, 1].astype(np.int64) << WORD) | buf[:, 2]
     grid = np.zeros((longest, lanes), np.int64)
 
     def in_word(rows, top):
-        code[rows] = ((code[rows] << WORD) | buf[rows, used[rows]].astype(U)) & FULL
+        code[rows] = ((code[rows] << WORD) & FULL) | words[first[rows] + used[rows]]
 
     for t in range(longest):
         n = int(alive[t])
         m.guess()
-        before = m.w2 + m.w1
-        v = (((code - low) & FULL) // np.maximum(rng >> U(TOTAL_BITS + low_bits), U(1))).astype(np.int64)
-        v = np.minimum(v, (TOTAL << low_bits) - 1)
+        before, unit = m.w[0] + m.w[1], rng >> TOTAL_BITS + low_bits
+        v = np.minimum(_ratio((code - low) & FULL, np.maximum(unit, 1)), (TOTAL << low_bits) - 1)
         slot = v >> low_bits
-        hit2 = slot < m.w2
-        hit1 = ~hit2 & (slot < before)
+        right = np.stack([slot < m.w[0], slot < before])
+        right[1] &= ~right[0]
         high, lo, hi = m.find(slot - before, TOTAL - before)
-        low_part = np.clip((v - (before + lo << low_bits)) // np.maximum(hi - lo, 1), 0, (1 << low_bits) - 1)
-        start = np.where(hit2, 0, np.where(hit1, m.w2 << low_bits, (before + lo << low_bits) + low_part * (hi - lo)))
-        size = np.where(hit2, m.w2 << low_bits, np.where(hit1, m.w1 << low_bits, hi - lo))
-        _narrow(low, rng, start, size, n, TOTAL_BITS + low_bits)
+        low_part = np.minimum(_ratio(np.maximum(v - (before + lo << low_bits), 0), np.maximum(hi - lo, 1)), (1 << low_bits) - 1)
+        start, size = _slot(m, right, before, lo, hi, low_part)
+        _narrow(low, rng, unit, start, size, n)
         _shift(low, rng, used, n, in_word)
-        x = np.where(hit2, m.g2, np.where(hit1, m.g1, (high << low_bits) | low_part)).astype(np.int64)
+        x = np.where(right[0], m.named[0], np.where(right[1], m.named[1], (high << low_bits) | low_part))
         x[n:] = 0
         grid[t] = x
-        m.learn(x, x >> low_bits)
-        if t & 63 == 63 or t in (3, 7, 15, 31):
+        m.learn(x, x >> low_bits, m.right(x))
+        if t & 127 == 127 or t in (3, 7, 15, 31, 63):
             m.refresh()
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * lanes
     for k, j in enumerate(order):

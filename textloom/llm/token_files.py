@@ -10,7 +10,9 @@ frames again.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,9 @@ from .shared import Scratch, arrow_schema, documents
 
 END = 2
 FRAME = BLOCK * LANES
+WORDS, WORD_CHARS = 300_000, 48  # pieces in each half of what a Python worker remembers, and their longest
+MARK, SIGN = re.compile("[\u0300-\u036f]"), re.compile(r"[.,;:!?](?<=[a-z0-9].)(?= |\Z)")
+LOWER = bytes(range(256)).lower()
 MAGIC = b"TLI1"
 _held: dict[str, object] = {}
 
@@ -66,6 +71,46 @@ def tokenizer(path: str):
     return _held[path]
 
 
+def _words(text: str) -> list[str]:
+    """Pieces of a text that the vocabulary encodes on their own, in its order; their ids in turn are the text's.
+
+    Its normalizer joins nothing across a space, line feed or tab, its pattern matches none of these, and its special
+    tokens hold none. It lower-cases, so A-Z are lowered here, except beside combining marks (a lower letter may compose
+    with one where the upper one doesn't) and where a special token may stand. A sign after a letter or digit and
+    before a cut begins a match of its own, so it may be cut off.
+    """
+    if "<|" not in text and (text.isascii() or not MARK.search(text)):
+        text = text.encode().translate(LOWER).decode()
+    return SIGN.sub(r" \g<0>", text.replace("\n", " ").replace("\t", " ")).split(" ")
+
+
+class _Known(dict):
+    """Ids of pieces, as bytes; a missing one is encoded by the library. Of two halves, pieces in use stay in the newer."""
+
+    def __init__(self, path: str):
+        self.coder, self.model, self.older = tokenizer(path), tokenizer(path).model, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isascii() and word.isalpha() and word.islower():  # one match of the pattern, which the normalizer leaves as it is
+                ids = array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
+            else:
+                ids = array("I", self.coder.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= WORD_CHARS:
+            if len(self) >= WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+def encode(texts: list[str], path: str) -> list[np.ndarray]:
+    """Token ids of each whole text, from those of its pieces."""
+    known = _held.get(path + "#words") or _held.setdefault(path + "#words", _Known(path))
+    return [np.frombuffer(b"".join(map(known.__getitem__, _words(t))), np.uint32) for t in texts]
+
+
 def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids", end: int = END, parts: int | None = None) -> DataFrame:
     """(part, frame, n_ids, data): the files' frames, in ascending (doc_id, text) order over part and frame.
 
@@ -78,7 +123,7 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids",
     out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("frame", T.IntegerType()), T.StructField("n_ids", T.LongType()), T.StructField("data", T.BinaryType())])
 
     def run(batches):
-        schema, coder, part = arrow_schema(out), tokenizer(vocabulary), TaskContext.get().partitionId()
+        schema, part, tail = arrow_schema(out), TaskContext.get().partitionId(), np.array([end], "<u4")
         held: list[tuple[int | None, np.ndarray]] = []
         count = frame = 0
 
@@ -88,8 +133,8 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids",
         for batch in batches:
             for a in range(0, batch.num_rows, 64):
                 some = batch.slice(a, 64).to_pydict()
-                for key, e in zip(some["doc_id"], coder.encode_batch(some["text"], add_special_tokens=False)):
-                    ids = np.array([*e.ids, end], np.int64)
+                for key, e in zip(some["doc_id"], encode(some["text"], vocabulary)):
+                    ids = np.concatenate([e, tail])
                     held.append((key, ids))
                     count += len(ids)
                     if count >= FRAME:
