@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from textloom.plans import ledgers, prose, search, structure
+from textloom.plans import ledgers, markdown, prose, search, structure
 
-_PARTS = (search, ledgers, prose, structure)
+_PARTS = (search, ledgers, prose, structure, markdown)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
