@@ -1,0 +1,32 @@
+"""TeX, XML and splices on small cases."""
+
+from pyspark.sql import functions as F
+
+from textloom.functions import sources as S
+from textloom.operators.splice import splice
+
+
+def one(spark, value, fn):
+    return spark.createDataFrame([(value,)], "v string").select(fn(F.col("v"))).first()[0]
+
+
+def test_tex(spark):
+    tex = "\\documentclass{a}\n\\begin{document}\n\\section{A}\\label{s} \\textbf{b} \\emph{c} 5\\% % gone\n\\begin{itemize}\\item x\n\\item y\\end{itemize}\n\\begin{equation}z\\end{equation}\\cite{k}\n\\end{document} tail"
+    assert one(spark, tex, S.tex_to_md) == "## A\n\n**b** *c* 5%\n\n- x\n\n- y\n\n$$\nz\n$$\n\n[k]"
+    assert one(spark, None, S.tex_to_md) is None and one(spark, "", S.tex_to_md) == ""
+
+
+def test_xml(spark):
+    xml = "<article><front><article-title>T</article-title></front><body><sec><title>A</title><p>x <bold>y</bold>\n z</p><sec><title>B</title><list><list-item><p>i</p></list-item><list-item>j</list-item></list><disp-formula>$a$</disp-formula><table><tr><th>h</th></tr><tr><td>c|d</td></tr></table></sec></sec></body></article>"
+    want = "# T\n\n## A\n\nx **y** z\n\n### B\n\n- i\n- j\n\n$$\na\n$$\n\n| h |\n| - |\n| c\\|d |"
+    assert S.article_md(xml) == want and one(spark, xml, S.xml_to_md) == want
+    assert one(spark, None, S.xml_to_md) is None and one(spark, "<a>", S.xml_to_md) is None and one(spark, "", S.xml_to_md) is None
+
+
+def test_splice(spark):
+    texts = [(1, "a@@tab01@@b@@tab02@@"), (2, "@@tab5@@x@@tab6@@"), (3, "@@tab5@@x"), (4, "plain"), (5, None), (6, ""), (7, "@@tab1@@@@tab1@@")]
+    groups = [(1, 2, "two"), (1, 9, "nine"), (2, 1, "p"), (2, 2, "q"), (3, 1, "p"), (3, 2, "q"), (4, 1, "p"), (7, 1, "y"), (7, 1, "x"), (None, 1, "z"), (1, None, "z"), (1, 1, None)]
+    a, b = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(groups, "doc_id long, number int, body string")
+    got = {r.doc_id: (r.text, r.spliced) for r in splice(a, b).collect()}
+    assert got == {1: ("a@@tab01@@btwo", 1), 2: ("pxq", 2), 3: ("@@tab5@@x", 0), 4: ("plain", 0), 5: (None, 0), 6: ("", 0), 7: ("xx", 2)}
+    assert splice(a.limit(0), b).count() == 0

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from textloom.plans import ledgers, markdown, prose, search, selection, structure
+from textloom.plans import articles, ledgers, markdown, prose, search, selection, structure
 
-_PARTS = (search, ledgers, prose, structure, markdown, selection)
+_PARTS = (search, ledgers, prose, structure, markdown, selection, articles)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
