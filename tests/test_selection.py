@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from textloom.operators.cooldown import suppressed
+from textloom.plans import prose, selection
 
 
 def test_cooldown(spark):
@@ -21,3 +22,16 @@ def test_cooldown(spark):
     out = suppressed(df, ["k"], "ts", "id", F.when(F.col("k") == "a", 60).otherwise(20))
     assert out.columns == ["id", "k", "ts"] and {r.id for r in out.collect()} == want
     assert suppressed(df.limit(0), ["k"], "ts", "id", F.lit(20)).count() == 0
+
+
+def test_lean_pages(spark, tmp_path):
+    html = '<html><head><title>T</title><meta name="k"></head><body><nav><a href="n">n</a></nav><article class="c" id="i"><p style="s" onclick="f()">a <a class="x" href="u" rel="r">l</a></p> <script>x</script>\n <p>b</p></article></body></html>'
+    spark.createDataFrame([(1, "u", html), (2, "u", ""), (3, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.title, r.body) for r in selection.lean_pages(spark, str(tmp_path)).collect()}
+    assert got == {1: ("T", '<article id="i"><p>a <a href="u">l</a></p><p>b</p></article>'), 2: ("", ""), 3: (None, None)}
+
+
+def test_section_buckets(spark, tmp_path):
+    spark.createDataFrame([(1, "<h1>2. Methods of Study</h1>"), (2, "<h1>Results</h1>"), (3, "")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.section, r.genre) for r in prose.section_buckets(spark, str(tmp_path)).collect()}
+    assert got == {1: ("methods", "application"), 2: ("results", "results"), 3: ("", "other")}
