@@ -104,6 +104,22 @@ def test_similarity_brute_force(spark, docs):
     assert got == {i: (len(s), label[i]) for i, s in enumerate(sets)}
 
 
+def test_components_of_shuffled_chains(spark):
+    rng, links, least = random.Random(1), [], {}
+    for start, n in ((0, 1000), (1000, 300)):
+        ids = list(range(start, start + n))
+        rng.shuffle(ids)
+        links += list(zip(ids, ids[1:]))
+        least |= dict.fromkeys(ids, start)
+    down = [2000, *range(2079, 2000, -1)]  # the least id at one end, then falling ones
+    links += list(zip(down, down[1:])) + [(3000 + i, 3050) for i in range(50)]
+    least |= dict.fromkeys(down, 2000) | dict.fromkeys(range(3000, 3051), 3000)
+    found = similarity.components(spark.createDataFrame([tuple(sorted(p)) for p in links], "x long, y long").coalesce(2), Scratch(spark, "t"), "c")
+    rows = found.collect()
+    assert len(rows) == len(least) and {r.doc_id: r.component for r in rows} == least
+    assert similarity.components(found.select("doc_id", F.col("component").alias("x"), F.col("doc_id").alias("y")).limit(0), Scratch(spark, "t"), "c").count() == 0
+
+
 def test_postings_lose_no_link():
     rng = np.random.default_rng(1)
     for _ in range(300):

@@ -184,21 +184,37 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
 def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """(doc_id, component) of every document with a link: the least id reachable.
 
-    Each round every document takes the least label among its neighbours, then the label of its label; rounds go on until none changes.
+    In each round every class points at the least of its neighbour classes. Pointers can only run in a circle of two, whose lesser
+    class becomes the root; they are doubled until all reach a root, and links are kept between roots only. Each class that has a link left is
+    merged with another one, so their number at least halves, whatever the order of ids; rounds go on until no link is left.
     """
-    edges = links.select("x", "y").union(links.select("y", "x")).distinct()
-    edges = scratch.table(edges, f"{label}-edges")
-    nodes = scratch.table(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("c")), f"{label}-0")
-    for n in range(1, 60):
-        near = edges.join(nodes.select(F.col("x").alias("y"), "c"), "y").groupBy("x").agg(F.min("c").alias("near"))
-        jump = nodes.select(F.col("x").alias("c"), F.col("c").alias("up"))
-        new = nodes.join(near, "x").join(jump, "c", "left").select("x", F.least("c", "near", F.coalesce("up", F.col("c"))).alias("c"), (F.least("c", "near", F.coalesce("up", F.col("c"))) < F.col("c")).alias("moved"))
-        new = scratch.table(new, f"{label}-{n}")
-        scratch.drop(f"{label}-{n - 1}")
-        nodes = new.select("x", "c")
-        if new.where("moved").isEmpty():
-            break
-    return nodes.select(F.col("x").alias("doc_id"), F.col("c").alias("component"))
+    edges = links.select("x", "y").union(links.select("y", "x")).where("x <> y").distinct()
+    edges = scratch.table(edges, f"{label}-edges-0")
+    nodes, n = None, 0
+    while nodes is None or not edges.isEmpty():
+        least = edges.groupBy("x").agg(F.min("y").alias("up"))
+        back = least.select(F.col("x").alias("up"), F.col("up").alias("_back"))
+        tree = least.join(back, "up").select("x", F.when((F.col("_back") == F.col("x")) & (F.col("x") < F.col("up")), F.col("x")).otherwise(F.col("up")).alias("up"))
+        tree, step = scratch.table(tree, f"{label}-tree-{n}-0"), 0
+        while True:
+            far = tree.select(F.col("x").alias("up"), F.col("up").alias("_up"))
+            tree = scratch.table(tree.select("x", "up").join(far, "up").select("x", F.col("_up").alias("up"), (F.col("_up") != F.col("up")).alias("moved")), f"{label}-tree-{n}-{step + 1}")
+            scratch.drop(f"{label}-tree-{n}-{step}")
+            step += 1
+            if tree.where("moved").isEmpty():
+                break
+        tree = tree.select("x", "up")
+        old, n = n, n + 1
+        if nodes is None:
+            nodes = tree.withColumnRenamed("up", "c")
+        else:
+            nodes = scratch.table(nodes.join(tree.withColumnRenamed("x", "c"), "c", "left").select("x", F.coalesce("up", "c").alias("c")), f"{label}-{n}")
+            scratch.drop(f"{label}-{old}")
+        ends = edges.join(tree.select("x", F.col("up").alias("_x")), "x").join(tree.select(F.col("x").alias("y"), F.col("up").alias("_y")), "y")
+        edges = scratch.table(ends.where("_x <> _y").select(F.col("_x").alias("x"), F.col("_y").alias("y")).distinct(), f"{label}-edges-{n}")
+        scratch.drop(f"{label}-edges-{old}")
+    least = nodes.groupBy("c").agg(F.min("x").alias("component"))
+    return nodes.join(least, "c").select(F.col("x").alias("doc_id"), "component")
 
 
 def join_classes(docs: DataFrame, k: int = K) -> DataFrame:
