@@ -92,6 +92,17 @@ def test_mixing_budgets(spark, docs):
     assert max(r.copies for r in twice) == 2 and mixing.mix(rows.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_mixing_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 1)  # as many ranges as a leaf of millions of documents has
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("d0").alias("domain"), F.lit("en").alias("lang"), F.lit("a").alias("source"), (F.col("id") % 7 + 1).alias("tokens"))
+    out = mixing.mix(rows, Scratch(spark, "t"), share=0.5).withColumn("place", F.xxhash64(F.lit(mixing.SEED), F.lit(0).cast("long"), F.col("doc_id"))).orderBy("place").collect()
+    budget, upto = sum(r.tokens for r in out) // 2, 0
+    for r in out:
+        upto += r.tokens
+        assert r.copies == (1 if upto <= budget else 0)
+    assert len(out) == 5000
+
+
 def test_similarity_brute_force(spark, docs):
     sets = [brute_shingles(t) for t in texts()]
     label = list(range(len(sets)))

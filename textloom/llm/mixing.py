@@ -86,7 +86,7 @@ def mix(rows: DataFrame, scratch: Scratch, share: float = SHARE, weights: dict |
     plan = scratch.table(plan.select(*LEVELS, "budget", "_passes", "_left", F.greatest(F.lit(1), F.ceil(F.col("n") / RANGE_ROWS)).alias("_ranges")), "plan")
     placed = join_same(rows, plan, LEVELS)
     place = F.xxhash64(F.lit(seed), F.col("_passes"), F.coalesce("doc_id", F.lit(-1)))
-    placed = placed.withColumn("_place", place).withColumn("_range", F.floor((F.shiftright("_place", 12) + (1 << 51)) * F.col("_ranges") / float(1 << 52)).cast("long"))
+    placed = placed.withColumn("_place", place).withColumn("_range", F.shiftright((F.shiftright("_place", 32) + (1 << 31)) * F.col("_ranges"), 32))  # 32 bits of the place, so that the product fits a long up to 2^31 ranges
     totals = placed.groupBy(*LEVELS, "_range").agg(F.sum("tokens").alias("_t"))
     before = Window.partitionBy(*LEVELS).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = totals.withColumn("_before", F.sum("_t").over(before) - F.col("_t"))
