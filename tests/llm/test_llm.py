@@ -156,6 +156,20 @@ def test_chat(spark):
     assert sorted(x.position for k, x in got.items() if x.conv_id == 1) == [1, 2, 3, 4, 5]
 
 
+def test_chat_every_message(spark):
+    talk = [(1, 0, "system", "be"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"), (1, 4, "assistant", "d"), (1, 5, "user", "e"), (1, 6, "tool", 'q"'), (1, 7, "user", "g")]
+    talk += [(2, 0, "user", "a"), (2, 1, "assistant", "b"), (2, 2, "user", "c"), (3, 0, None, None), (None, None, "system", "s"), (4, 1, "assistant", "lone")]
+    rows = chat.format_messages(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"), Scratch(spark, "t")).collect()
+    got = {(r.conv_id, r.turn): r for r in rows}
+    assert len(rows) == len(talk) and {(r.conv_id, r.turn, r.role) for r in rows} == {r[:3] for r in talk}
+    assert [got[1, t].depth for t in (1, 3, 5, 7)] == [0, 1, 2, 2] and [got[1, t].position for t in (1, 3, 5, 7)] == [1, 2, 3, 4]
+    assert [got[2, t].depth for t in (0, 2)] == [0, 1]
+    assert got[1, 0].json == '{"content":"be","id":null,"role":"system","turn":0}'
+    assert got[1, 2].json == '{"content":"b","id":"1:1","role":"assistant","turn":2}' and got[1, 2].status == "answer"
+    assert got[1, 6].json == '{"content":"q\\"","id":null,"role":"tool","turn":6}'
+    assert got[4, 1].status == "message" and got[3, 0].json == '{"content":"","id":null,"role":null,"turn":0}'
+
+
 def test_range_coder_round_trips():
     rng = np.random.default_rng(0)
     for ids in (np.zeros(0), np.arange(1), np.zeros(5000), rng.integers(0, 49408, 4000), rng.integers(0, 3, 7777), np.tile([5, 9, 400, 65535], 3000)):

@@ -139,6 +139,52 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_calls(calls, results, Scratch(spark, "chat"))
 
 
+def parents_of(calls: DataFrame) -> DataFrame:
+    """calls with the parent_id of the call at half their place in the conversation's own sequence of calls; the first one has none.
+
+    Calls of one turn share a place. Places are counted in blocks of turns and summed, so no conversation has to fit in one task.
+    """
+    block = F.floor(F.col("turn") / 1024).alias("_block")
+    turns = calls.where("call_id is not null").select("conv_id", "turn", "call_id", block).distinct()
+    totals = turns.groupBy("conv_id", "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = totals.select("conv_id", "_block", (F.sum("_n").over(before) - F.col("_n")).alias("_before"))
+    inside = Window.partitionBy("conv_id", "_block").orderBy("turn")
+    placed = turns.withColumn("_row", F.row_number().over(inside)).join(totals, ["conv_id", "_block"]).select("conv_id", "call_id", (F.col("_before") + F.col("_row") - 1).alias("_place"))
+    ups = placed.select("conv_id", F.col("call_id").alias("parent_id"), F.col("_place").alias("_half"))
+    links = placed.where("_place > 0").withColumn("_half", F.floor(F.col("_place") / 2)).join(ups, ["conv_id", "_half"]).select("call_id", "parent_id")
+    return calls.drop("parent_id").join(links, "call_id", "left").select(*calls.columns)
+
+
+def format_messages(turns: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every row of conversations: user turns as format_calls has them, all others as messages, with `role`.
+
+    A message's JSON has its content, role and turn, and as `id` the call it answers: the one before it that took it as
+    its result, else null. `status` of a message is answer or message; it has no tool, problems, depth or position. A null role is kept as null.
+    """
+    calls, results = calls_of(turns)
+    calls = scratch.table(parents_of(calls), "calls")
+    asked = format_calls(calls, results, scratch).withColumn("role", F.lit("user"))
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    t = turns.where("role <> 'user' or role is null").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    t = t.withColumn("_call", F.when(known & (F.col("role") == "assistant"), F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string"))))
+    # link() takes the least of several results of one turn, and none for an id that repeats.
+    firsts = t.where("_call is not null").groupBy("_call").agg(F.min("text").alias("text"), F.lit(True).alias("_taken"))
+    ids = calls.where("call_id is not null").groupBy(F.col("call_id").alias("_call")).agg(F.count("*").alias("_n")).where("_n = 1").select("_call")
+    t = t.join(firsts.join(ids, "_call"), ["_call", "text"], "left").withColumn("_id", F.when(F.col("_taken"), F.col("_call")))
+    body = F.concat(
+        F.lit('{"content":'), json_string(F.col("text")), F.lit(',"id":'), json_string(F.col("_id")), F.lit(',"role":'), json_string(F.col("role")),
+        F.lit(',"turn":'), F.coalesce(F.col("turn").cast("string"), F.lit("null")), F.lit("}"),
+    )
+    said = t.select("conv_id", "turn", "role", F.col("_id").alias("call_id"), F.when(F.col("_id").isNotNull(), "answer").otherwise("message").alias("status"), body.alias("json"))
+    return asked.unionByName(said, allowMissingColumns=True)
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5: every row of conversations, of whatever role, as a call or a message; a call's parent is found by its place among the conversation's calls."""
+    return format_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Scratch(spark, "chat"))
+
+
 ORACLE = """
 with recursive t as (select conv_id, turn, role, coalesce(text, '') as text from conversations),
 c as (select conv_id, turn, concat(conv_id, ':', turn) as call_id,
