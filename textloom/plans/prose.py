@@ -145,6 +145,25 @@ def lint_cross_score(spark, d):
     return x.select("conv_id", "turn", "item_id", F.round(F.size(F.array_intersect("t", "r")) / F.greatest(F.size("r"), F.lit(1)), 6).alias("p")).where("p >= 0.5")
 
 
+def lint_scores(rules, turns):
+    """(conv_id, turn, item_id, p) of all turns and rules (terms r, t) that share half of a rule's terms: joined on the terms, counted by pair.
+
+    Only terms in a rule count; each pair's count is a sum over terms, so turns of a common term are dealt out by turn, not by term.
+    """
+    sizes = rules.select("item_id", F.size("r").alias("n"))
+    terms = rules.select("item_id", F.explode("r").alias("w")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    said = turns.select("conv_id", "turn", F.explode("t").alias("w")).withColumn("_salt", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(16)).cast("int"))
+    pairs = said.join(terms, ["w", "_salt"]).groupBy("conv_id", "turn", "item_id").agg(F.count("*").alias("c"))
+    return pairs.join(sizes, "item_id").select("conv_id", "turn", "item_id", F.round(F.col("c") / F.col("n"), 6).alias("p")).where("p >= 0.5")
+
+
+def lint_cross_score_all(spark, d):
+    """Each turn scored against every passage by shared words; a stand-in for a judge."""
+    rules = t(spark, d, "benchmark").select("item_id", F.array_distinct(T.terms(F.col("text"))).alias("r"))
+    turns = t(spark, d, "conversations").select("conv_id", "turn", F.array_distinct(T.terms(F.col("text"))).alias("t"))
+    return lint_scores(rules, turns)
+
+
 def excerpts(spark, d):
     p = F.length("text") / 1000.0
     return t(spark, d, "conversations").select("conv_id", "turn", T.excerpt(F.col("text")).alias("excerpt"), F.when(p >= 0.45, "supported").when(p < 0.40, "unsupported").otherwise("open").alias("band"))
@@ -184,4 +203,4 @@ ORACLES = {
     "line_span_slice": "select doc_id, array_to_string(string_split(text, chr(10))[1:2], chr(10)) as span from documents",
     "formula_transform": "select doc_id, left(regexp_replace(regexp_replace(text, '@@eq\\d{4}@@', '[formula]', 'g'), '[\\x00-\\x1f]', ' ', 'g'), 16000) as text from documents",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "section_buckets"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "section_buckets", "lint_cross_score_all"]}
