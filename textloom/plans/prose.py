@@ -127,7 +127,7 @@ def pii_strip(spark, d):
 
 
 def page_find(spark, d):
-    """Documents that hold a benchmark passage's opening words, and where: the passages are joined by their first word, rare words do the rest."""
+    """Documents that hold a benchmark passage's five opening words as they stand, and how often; not the whole page search (see the README)."""
     phrase = F.array_join(F.slice(F.split(F.lower("text"), " "), 1, 5), " ")
     q = t(spark, d, "benchmark").select("item_id", phrase.alias("phrase"))
     docs = t(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
