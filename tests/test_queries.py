@@ -84,3 +84,10 @@ def test_lint_scores_of_all_rules(spark, duck):
     from textloom.plans import prose
 
     assert [tuple(r) for r in prose.lint_scores(rows, turns).collect()] == [(1, 0, 12, 0.5)]
+
+
+def test_no_query_hides_another():
+    assert sum(len(p.QUERIES) for p in catalogue._PARTS) == len(catalogue.QUERIES)
+    assert {"seeded_sample", "seeded_sample_sources"} <= catalogue.QUERIES.keys()
+    with pytest.raises(ValueError):
+        catalogue.merged([{"a": 1}, {"a": 2}])

@@ -5,5 +5,17 @@ from __future__ import annotations
 from textloom.plans import articles, ledgers, markdown, prose, search, selection, structure
 
 _PARTS = (search, ledgers, prose, structure, markdown, selection, articles)
-QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
-ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
+
+
+def merged(dicts) -> dict:
+    """All entries of the dicts; a name that two of them have is an error."""
+    out = {}
+    for one in dicts:
+        if twice := out.keys() & one.keys():
+            raise ValueError(f"queries of the same name: {sorted(twice)}")
+        out |= one
+    return out
+
+
+QUERIES = merged(part.QUERIES for part in _PARTS)
+ORACLES = merged(part.ORACLES for part in _PARTS)
