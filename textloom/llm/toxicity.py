@@ -2,9 +2,13 @@
 
 Labels are given for documents, so tokens are labelled from them: a feature (a
 word or an affix of one) that appears in at least MIN_DOCS toxic documents of a bounded
-training sample and in next to no clean one makes a token of a toxic document toxic. The field has the states clean and
+training sample and in next to no clean one makes a token of a toxic document toxic. So the field learns this lexicon's weights anew,
+and from the chain how toxic words follow each other. It has the states clean and
 toxic; its weights (one a feature, a bias, four transitions) are fitted on windows of
-the sample's tokens by gradient ascent on the log-likelihood.
+the sample's tokens by gradient ascent on the log-likelihood: of each sampled document at most DOC_WINDOWS windows
+of LENGTH words around known words and one from its middle, of all these at most WINDOWS, evenly spaced in order of doc_id.
+
+A word is a run of letters (WORD), in training, scoring and the counts of unknown words alike.
 
 Scoring runs forward-backward over the whole text. Words without a known
 feature share one potential, so a run of n of them is the n-th power of one 2x2 matrix;
@@ -32,7 +36,7 @@ PURITY = 20.0  # times as frequent in toxic documents
 FEATURES = 300
 AFFIX = (4, 5, 6, 7)
 STEPS = 120
-WINDOWS = 3000
+WINDOWS, DOC_WINDOWS, LENGTH = 3000, 6, 9
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -42,6 +46,11 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+def letter(c: str) -> bool:
+    """Whether a character may stand in a word: what WORD matches."""
+    return c.isalnum() and not c.isdecimal()
+
+
 def word_features(word: str) -> set[str]:
     """`^word$` and the prefixes, suffixes of some lengths, marked at the word's edge."""
     whole = f"^{word}$"
@@ -49,10 +58,11 @@ def word_features(word: str) -> set[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most `sample` documents a class, outside the held-out fold."""
-    folds = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
+    """(doc_id, text, toxic) of at most `sample` documents a class, outside the held-out fold: one row a document, with the least of its texts;
+    a document with both labels is toxic."""
+    folds = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = [folds.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def held_out(doc_id):
@@ -64,12 +74,17 @@ def lexicon(rows: DataFrame, limit: int = FEATURES) -> list[str]:
 
     def run(batches):
         for batch in batches:
-            got = batch.to_pydict()
+            got, found, labels = batch.to_pydict(), [], []
             for text, toxic in zip(got["text"], got["toxic"]):
                 seen: set[str] = set()
                 for word in set(WORD.findall(lowered(text or ""))):
                     seen |= word_features(word)
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([toxic] * len(seen), pa.int32())], names=["feature", "toxic"])
+                found += seen
+                labels += [toxic] * len(seen)
+                if len(found) > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())], names=["feature", "toxic"])
+                    found, labels = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())], names=["feature", "toxic"])
 
     counts = rows.select("text", "toxic").mapInArrow(run, "feature string, toxic int").groupBy("feature").agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good"))
     top = counts.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= PURITY * F.col("good"))).orderBy(F.desc(F.col("bad") - PURITY * F.col("good")), "feature").limit(limit)
@@ -101,11 +116,11 @@ class Field:
         for end, known in self._auto.iter(text):
             for f, w, n in known:
                 a, b = end - n + 1, end + 1
-                if f[0] == "^" and a and text[a - 1].isalpha() or f[-1] == "$" and b < len(text) and text[b].isalpha():
+                if f[0] == "^" and a and letter(text[a - 1]) or f[-1] == "$" and b < len(text) and letter(text[b]):
                     continue
-                while f[0] != "^" and a and text[a - 1].isalpha():
+                while f[0] != "^" and a and letter(text[a - 1]):
                     a -= 1
-                while f[-1] != "$" and b < len(text) and text[b].isalpha():
+                while f[-1] != "$" and b < len(text) and letter(text[b]):
                     b += 1
                 word = hits.setdefault(a, [b, 0.0, set()])
                 if f not in word[2]:
@@ -125,15 +140,17 @@ class Field:
             m /= m.sum()
         return out
 
-    def spans(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
-        """Known words with their marginal of toxic by forward-backward over all words, and the count of words."""
+    def spans(self, text: str) -> list[tuple[int, int, float]]:
+        """Known words with their marginal of toxic by forward-backward over all words."""
         low = lowered(text)
         known = self.find(low)
+        if not known:
+            return []
         at, gaps = 0, []
         for a, b, _ in known:
-            gaps.append(len(low[at:a].split()))
+            gaps.append(len(WORD.findall(low, at, a)))
             at = b
-        gaps.append(len(low[at:].split()))
+        gaps.append(len(WORD.findall(low, at)))
         steps = [self.power(n) for n in gaps]
         potentials = [np.exp(np.clip([0.0, self.bias + s], -30, 30)) for _, _, s in known]
         move, forward = np.exp(self.move), []
@@ -148,30 +165,38 @@ class Field:
             back /= back.sum()
             both = forward[i] * back
             out[i] = float(both[1] / both.sum())
-        return [(a, b, p) for (a, b, _), p in zip(known, out)], sum(gaps) + len(known)
+        return [(a, b, p) for (a, b, _), p in zip(known, out)]
 
     def evidence(self, text: str) -> tuple[float, float]:
-        p = [p for _, _, p in self.spans(text)[0]]
+        return self.summed(self.spans(text))
+
+    @staticmethod
+    def summed(spans: list[tuple[int, int, float]]) -> tuple[float, float]:
+        p = [p for _, _, p in spans]
         return (max(p), float(np.log1p(sum(p)))) if p else (0.0, 0.0)
 
     def score(self, text: str) -> float:
-        top, total = self.evidence(text)
+        return self.scored(*self.evidence(text))
+
+    def scored(self, top: float, total: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * top + self.curve[2] * total, -30, 30))))
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
-    """Weights, bias and transitions that maximise the log-likelihood of the state paths y.
+def fit_chain(place: np.ndarray, feature: np.ndarray, features: int, y: np.ndarray, steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, bias and transitions that maximise the log-likelihood of the state paths y (windows x length).
 
-    x: windows x length x features (0 or 1) and y: windows x length. Adam steps on the exact gradient:
+    place, feature: the features that hold, each with its word's place in y read row by row. Adam steps on the exact gradient:
     observed less expected counts, the expected ones from forward-backward.
     """
-    n, length, f = x.shape
+    (n, length), f = y.shape, features
     theta = np.zeros(f + 5)
     moment, second = np.zeros_like(theta), np.zeros_like(theta)
+    counts = lambda states: np.bincount(feature, weights=states.ravel()[place], minlength=f)
     pairs = np.stack([((y[:, :-1] == a) & (y[:, 1:] == b)).sum() for a in (0, 1) for b in (0, 1)])
-    seen = np.concatenate([np.einsum("nlf,nl->f", x, y), [y.sum()], pairs])
+    seen = np.concatenate([counts(y), [y.sum()], pairs])
     for step in range(1, steps + 1):
-        emit = np.exp(np.clip(np.stack([np.zeros((n, length)), x @ theta[:f] + theta[f]], -1), -30, 30))
+        score = np.bincount(place, weights=theta[feature], minlength=n * length).reshape(n, length) + theta[f]
+        emit = np.exp(np.clip(np.stack([np.zeros((n, length)), score], -1), -30, 30))
         move = np.exp(theta[f + 1 :].reshape(2, 2))
         ahead, behind = np.empty((n, length, 2)), np.ones((n, length, 2))
         ahead[:, 0] = emit[:, 0] / emit[:, 0].sum(-1, keepdims=True)
@@ -185,7 +210,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, steps: int = STEPS, rate: float = 0.
         single /= single.sum(-1, keepdims=True)
         joint = ahead[:, :-1, :, None] * move * (emit * behind)[:, 1:, None, :]
         joint /= joint.sum((-1, -2), keepdims=True)
-        expected = np.concatenate([np.einsum("nlf,nl->f", x, single[..., 1]), [single[..., 1].sum()], joint.sum((0, 1)).ravel()])
+        expected = np.concatenate([counts(np.ascontiguousarray(single[..., 1])), [single[..., 1].sum()], joint.sum((0, 1)).ravel()])
         slope = (seen - expected) / n - decay * theta
         moment, second = 0.9 * moment + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         theta += rate * (moment / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -213,9 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     features = lexicon(rows)
     rough = Field(features, np.ones(len(features)), 0.0, np.zeros((2, 2)))
     number = {f: i for i, f in enumerate(features)}
-    length, shared = 9, docs.sparkSession.sparkContext.broadcast(rough)
+    length, shared = LENGTH, docs.sparkSession.sparkContext.broadcast(rough)
 
-    def run(batches):  # windows of words around the known ones of a document, at most 6, and one without
+    def run(batches):  # windows of words around the known ones of a document, at most DOC_WINDOWS, and one without
         for batch in batches:
             got = batch.to_pydict()
             for key, text, toxic in zip(got["doc_id"], got["text"], got["toxic"]):
@@ -223,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
                 words = [(m.start(), m.group()) for m in WORD.finditer(low)]
                 known = {a for a, _, _ in shared.value.find(low)}
                 centres = [i for i, (a, _) in enumerate(words) if a in known]
-                picks = centres[:: max(1, len(centres) // 6)][:6] + ([len(words) // 2] if words else [])
+                picks = centres[:: max(1, len(centres) // DOC_WINDOWS)][:DOC_WINDOWS] + ([len(words) // 2] if words else [])
                 out = []
                 for c in picks:
                     lo = max(0, min(c - length // 2, len(words) - length))
@@ -234,18 +259,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
                     [pa.array([key] * len(out), pa.int64()), pa.array([x for x, _ in out], pa.list_(pa.list_(pa.int32()))), pa.array([y for _, y in out], pa.list_(pa.int32()))], names=["doc_id", "x", "y"]
                 )
 
-    got = rows.mapInArrow(run, "doc_id long, x array<array<int>>, y array<int>").toPandas() if features else None
-    if got is None or not len(got):
+    got = rows.mapInArrow(run, "doc_id long, x array<array<int>>, y array<int>").collect() if features else []
+    if not got:
         return Field([], np.zeros(0), 0.0, np.zeros((2, 2)), (-2.0, 0.0, 0.0))
-    keys = got["doc_id"].to_numpy()
-    got = got.iloc[np.lexsort((got["x"].map(str).to_numpy(), keys))]
-    got = got.iloc[:: max(1, len(got) // WINDOWS)].reset_index(drop=True)
-    x, y = np.zeros((len(got), length, len(features)), np.float32), np.zeros((len(got), length))
-    for i, (xs, ys) in enumerate(zip(got["x"], got["y"])):
-        y[i] = ys
-        for j, found in enumerate(xs):
-            x[i, j, list(found)] = 1
-    field = Field(features, *fit_chain(x, y))
+    got.sort(key=lambda r: (r.doc_id, r.x, r.y))
+    got = got[:: max(1, -(-len(got) // WINDOWS))]
+    y = np.array([r.y for r in got], float)
+    held = [(i * length + j, f) for i, r in enumerate(got) for j, known in enumerate(r.x) for f in known]
+    place, feature = np.array(held, np.int64).reshape(-1, 2).T
+    field = Field(features, *fit_chain(place, feature, len(features), y))
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def weigh(batches):
@@ -254,15 +276,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
             seen = [shared.value.evidence(t or "") for t in rows["text"]]
             yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["toxic"], pa.int32()), pa.array([a for a, _ in seen], pa.float64()), pa.array([b for _, b in seen], pa.float64())], names=["doc_id", "toxic", "top", "total"])
 
-    seen = rows.mapInArrow(weigh, "doc_id long, toxic int, top double, total double").toPandas().sort_values("doc_id")
-    field.curve = fit_curve(seen[["top", "total"]].to_numpy(), seen["toxic"].to_numpy())
+    seen = rows.mapInArrow(weigh, "doc_id long, toxic int, top double, total double").collect()
+    seen.sort(key=lambda r: r.doc_id)
+    field.curve = fit_curve(np.array([(r.top, r.total) for r in seen]), np.array([r.toxic for r in seen]))
     return field
 
 
 def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """docs with `score` (0 to 1) and `toxic_spans` (start, end, marginal of each word that is toxic by 0.5 or more).
 
-    A null or empty text has no span and the score of no evidence. Columns with these names are replaced.
+    A null or empty text has no span and the score of no evidence. Repeated rows and rows without a doc_id are scored each. An empty
+    frame gives an empty result. Columns with these names are replaced.
     """
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("p", T.DoubleType())]))
     held = [f for f in docs.schema.fields if f.name not in ("score", "toxic_spans")]
@@ -276,10 +300,8 @@ def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
             texts = [x or "" for x in batch.column(batch.schema.names.index(text)).to_pylist()]
             scores, spans = [], []
             for t in texts:
-                found = model.spans(t)[0]
-                p = [q for _, _, q in found]
-                top, total = (max(p), float(np.log1p(sum(p)))) if p else (0.0, 0.0)
-                scores.append(float(1 / (1 + np.exp(-np.clip(model.curve[0] + model.curve[1] * top + model.curve[2] * total, -30, 30)))))
+                found = model.spans(t)
+                scores.append(model.scored(*model.summed(found)))
                 spans.append([{"start": a, "end": b, "p": q} for a, b, q in found if q >= 0.5])
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, schema.field("toxic_spans").type)]
             yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, schema.types)], schema=schema)
@@ -297,6 +319,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.5, with their own columns."""
+    """Documents that score under 0.5, with their own columns; each of repeated rows is judged by its own text."""
     field = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, field).where("score < 0.5").select(*docs.columns)
