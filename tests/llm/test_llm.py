@@ -74,9 +74,50 @@ def test_license_places(spark, docs):
                 if w[j : j + len(p)] == p:
                     want[i, j, label] += 1
     assert base == want
-    near = spark.createDataFrame([(1, "this work is licenced under the gnu general public license version 3")], "doc_id long, text string")
-    assert "gpl-3" in {r.label for r in licenses.scan(near)[1].collect()}
-    assert licenses.scan(docs.limit(0))[1].count() == 0
+    assert licenses.scan(docs.limit(0))[1].count() == 0 and licenses.report(docs.limit(0)).count() == 0
+
+
+def plain_report(text, base, notices):
+    """Labels and score of one text by the method's definition, over lists."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    starts, base_labels, labels, score = [], set(), set(), 0.0
+    for phrase, label in base:
+        p = phrase.split()
+        found = [j for j in range(len(w)) if w[j : j + len(p)] == p]
+        starts += found
+        if found:
+            base_labels.add(label)
+            score = 1.0
+    for phrase, label in notices:
+        p = phrase.split()
+        n, half = len(p) - 2, max(1, 2 * min(licenses.DRIFT, (len(p) - 1) // 2))
+        hits = [(at, place) for at in range(len(w) - 2) for place in range(n) if w[at : at + 3] == p[place : place + 3]]
+        for window in {d // half - x for d in (at - place for at, place in hits) for x in (0, 1)}:
+            own = [(at, place) for at, place in hits if window * half <= at - place < (window + 2) * half]
+            counts = collections.Counter(at - place for at, place in own)
+            main = min(counts, key=lambda d: (-counts[d], d))
+            last, last_at, got = -1, -1, 0
+            for place, _, at in sorted((place, abs(at - place - main), at) for at, place in own):
+                if place > last and at > last_at:
+                    last, last_at, got = place, at, got + 1
+            if got >= n * licenses.COVER:
+                labels.add(label)
+                score = max(score, got / n)
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base_labels)), ",".join(sorted(base_labels | labels)), score
+
+
+def test_license_report(spark):
+    notice = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License"
+    cases = [*texts(20), notice, notice.replace("redistribute", "pass on"), notice.replace("free software; you", "you"), notice + " " + notice, "all rights reserved", "All rights reserved. " * 4, "general public license " * 3,
+             "of the terms under it modify or and it redistribute can you software free is program this", "this work is licenced under the gnu general public license version 3", "gnu lesser general public license gnu lesser general public"]
+    rows = [(i % 7 if i % 11 else None, t) for i, t in enumerate(cases)] + [(3, "under the mit license")] * 2 + [(None, "cc by nc")] * 3 + [(3, None)] * 2
+    got = licenses.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    want = [(d, *plain_report(t, licenses.BASE, licenses.NOTICES)) for d, t in rows]
+    assert sorted(map(key, (tuple(r) for r in got))) == sorted(map(key, want))
+    labels = {t: plain_report(t, [], licenses.NOTICES)[5] for t in cases}
+    assert labels["All rights reserved. " * 4] == "all-rights-reserved" and labels["general public license " * 3] == ""
+    assert labels[notice.replace("redistribute", "pass on")] == "gpl" and labels[cases[-3]] == "" and labels[cases[-2]] == "gpl-3"
 
 
 def test_mixing_budgets(spark, docs):
