@@ -1,9 +1,10 @@
 """Media columns: stored media, and a sniffer that says what bytes really are.
 
 One Aho-Corasick pass over the bytes locates the magic numbers of the known
-formats. At each, the format's validator walks the structure and yields the
-length, or rejects it (a text may hold magic bytes by chance). The format
-that holds at place 0 corrects the declared type; others that hold inside are embedded media
+formats, and the marks that end some of them. At each magic number the format's validator walks the structure and yields the
+length, or rejects it (a text may hold magic bytes by chance); end marks are looked up by bisection, so they are
+searched for once. The format
+that holds at place 0 corrects the declared type, whatever follows it; others that hold inside are embedded media
 and can be carved out.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 
 import ahocorasick
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import documents, in_batches, keyed_text
+from .shared import arrow_schema, by_bytes, documents, in_batches, keyed_text, slices
 
 ROW = 576
 RATE = 8000
@@ -78,9 +80,9 @@ def samples(blob: bytes, kind: str) -> bytes:
     return b"".join(rows[i + 1 : i + 1 + width] for i in range(0, len(rows), width + 1))
 
 
-# ---- validators: (blob, start) -> length, or 0 ---------------------------
+# ---- validators: (blob, start, places of end marks) -> length, or 0 ---------------------------
 
-def _wav(b: bytes, s: int) -> int:
+def _wav(b: bytes, s: int, marks: dict) -> int:
     if len(b) < s + 44 or b[s + 8 : s + 12] != b"WAVE":
         return 0
     size = struct.unpack_from("<I", b, s + 4)[0] + 8
@@ -92,7 +94,7 @@ def _wav(b: bytes, s: int) -> int:
     return size if at == s + size and {b"fmt ", b"data"} <= seen else 0
 
 
-def _png(b: bytes, s: int) -> int:
+def _png(b: bytes, s: int, marks: dict) -> int:
     at, first = s + 8, True
     while at + 12 <= len(b):
         n, name = struct.unpack_from(">I4s", b, at)
@@ -104,7 +106,7 @@ def _png(b: bytes, s: int) -> int:
     return 0
 
 
-def _gif(b: bytes, s: int) -> int:
+def _gif(b: bytes, s: int, marks: dict) -> int:
     if len(b) < s + 14 or b[s + 3 : s + 6] not in (b"87a", b"89a"):
         return 0
     at = s + 13 + (3 << (b[s + 10] & 7) + 1 if b[s + 10] & 128 else 0)
@@ -124,7 +126,7 @@ def _gif(b: bytes, s: int) -> int:
     return 0
 
 
-def _jpeg(b: bytes, s: int) -> int:
+def _jpeg(b: bytes, s: int, marks: dict) -> int:
     at = s + 2
     while at + 4 <= len(b):
         if b[at] != 0xFF:
@@ -145,7 +147,7 @@ def _jpeg(b: bytes, s: int) -> int:
     return 0
 
 
-def _bmp(b: bytes, s: int) -> int:
+def _bmp(b: bytes, s: int, marks: dict) -> int:
     if len(b) < s + 54:
         return 0
     size, _, data, head, width, height, planes, bits = struct.unpack_from("<IIIIiiHH", b, s + 2)
@@ -153,28 +155,44 @@ def _bmp(b: bytes, s: int) -> int:
     return size if head >= 40 and planes == 1 and bits in (1, 4, 8, 16, 24, 32) and 54 <= data and width > 0 and need <= size <= len(b) - s else 0
 
 
-def _pdf(b: bytes, s: int) -> int:
-    end = b.find(b"%%EOF", s)
-    return end + 5 - s if end >= 0 and b.find(b"startxref", s, end) >= 0 else 0
+def _within(places: list[int], low: int, high: int) -> int:
+    """The last of the sorted places in [low, high), or -1."""
+    i = bisect_left(places, high) - 1
+    return places[i] if i >= 0 and places[i] >= low else -1
 
 
-def _zip(b: bytes, s: int) -> int:
-    end = b.find(b"PK\x05\x06", s)
-    if end < 0 or end + 22 > len(b):
-        return 0
-    size, start, note = struct.unpack_from("<IIH", b, end + 12)
-    return end + 22 + note - s if start + size == end - s and end + 22 + note <= len(b) else 0
+def _pdf(b: bytes, s: int, marks: dict) -> int:
+    """Up to the last end mark before the next file's head: a file that was added to has several."""
+    heads = marks[b"%PDF-"]
+    i = bisect_left(heads, s + 1)
+    end = _within(marks[b"%%EOF"], s, heads[i] if i < len(heads) else len(b))
+    return end + 5 - s if end >= 0 and _within(marks[b"startxref"], s, end) >= 0 else 0
+
+
+def _zip(b: bytes, s: int, marks: dict) -> int:
+    """The end record that says that its file begins here."""
+    if "zip" not in marks:
+        marks["zip"] = {}
+        for end in marks[b"PK\x05\x06"]:
+            if end + 22 <= len(b):
+                size, start, note = struct.unpack_from("<IIH", b, end + 12)
+                if end + 22 + note <= len(b):
+                    marks["zip"][end - size - start] = end + 22 + note
+    return marks["zip"].get(s, s) - s
 
 
-def _gzip(b: bytes, s: int) -> int:
+def _gzip(b: bytes, s: int, marks: dict) -> int:
     if len(b) < s + 18 or b[s + 3] & 0xE0:
         return 0
     try:
-        d = zlib.decompressobj(31)
-        room = d.decompress(b[s:], 1 << 16)
-        while room and not d.eof:
-            room = d.decompress(d.unconsumed_tail, 1 << 16)
-        return len(b) - s - len(d.unused_data) if d.eof else 0
+        d, at, view = zlib.decompressobj(31), s, memoryview(b)
+        while not d.eof and at < len(b):
+            piece = view[at : at + (1 << 14)]
+            at += len(piece)
+            while len(piece) and not d.eof:
+                d.decompress(piece, 1 << 16)
+                piece = d.unconsumed_tail
+        return at - s - len(d.unused_data) if d.eof else 0
     except zlib.error:
         return 0
 
@@ -190,22 +208,36 @@ MAGIC = [
     (b"PK\x03\x04", "application/zip", _zip),
     (b"\x1f\x8b\x08", "application/gzip", _gzip),
 ]
+#: Marks that stand in or at the end of files.
+ENDS = [b"%%EOF", b"startxref", b"PK\x05\x06"]
 _auto = None
 
 
 def sniff(blob: bytes) -> list[tuple[int, int, str]]:
-    """(start, length, type) of the media that hold, outermost only at each place; sorted. An empty blob has none."""
+    """(start, length, type) of the media that hold, sorted: one at place 0, and of those inside it or behind it the outermost. An empty blob has none."""
     global _auto
     if _auto is None:
         _auto = ahocorasick.Automaton()
         for magic, kind, check in MAGIC:
-            _auto.add_word(magic.decode("latin-1"), (len(magic), kind, check))
+            _auto.add_word(magic.decode("latin-1"), (magic, kind, check))
+        for mark in ENDS:
+            _auto.add_word(mark.decode("latin-1"), (mark, None, None))
         _auto.make_automaton()
-    found = []
-    for end, (n, kind, check) in _auto.iter(blob.decode("latin-1")):
-        if size := check(blob, end - n + 1):
-            found.append((end - n + 1, size, kind))
-    return sorted(found)
+    marks: dict = {m: [] for m in (*ENDS, b"%PDF-")}
+    hits = []
+    for end, (magic, kind, check) in _auto.iter(blob.decode("latin-1")):
+        start = end - len(magic) + 1
+        if magic in marks:
+            marks[magic].append(start)
+        if kind:
+            hits.append((start, kind, check))
+    found, upto = [], 0
+    for start, kind, check in sorted(hits, key=lambda h: h[:2]):
+        if start >= upto and (size := check(blob, start, marks)):
+            found.append((start, size, kind))
+            if start:
+                upto = start + size
+    return found
 
 
 def carve(blob: bytes) -> list[tuple[str, bytes]]:
@@ -225,47 +257,53 @@ def media(docs: DataFrame) -> DataFrame:
     return in_batches(keyed_text(docs), out, lambda ids, blobs: [ids, *map(list, zip(*map(store, blobs)))])
 
 
+LOOKED = [("payload_bytes", T.LongType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), *[(n, T.StringType()) for n in ("payload_sha256", "media_sha256", "media_type", "feature")], ("n_embedded", T.LongType()), ("n_trailing", T.LongType())]
+
+
 def inspect(frame: DataFrame) -> DataFrame:
-    """doc_id, n_bytes of the media's payload and what the sniffer found, of (doc_id, media) rows; a blob that is no known media keeps its declared type and has no payload."""
-    out = T.StructType(
-        [T.StructField("doc_id", T.LongType())]
-        + [T.StructField(n, T.LongType()) for n in ("payload_bytes", "tail_crc32", "media_bytes")]
-        + [T.StructField(n, T.StringType()) for n in ("payload_sha256", "media_sha256", "media_type", "feature")]
-        + [T.StructField("n_embedded", T.LongType())]
-    )
+    """(doc_id, declared, media) rows with what the sniffer found.
 
-    def rows(ids, blobs):
-        return [ids, *map(list, zip(*map(look, blobs)))]
+    media_type: the type that holds at the start of the bytes, or else the declared one; payload_*: of the 8-bit samples of a WAV or PNG, none of others; n_trailing: bytes
+    after the file. Null bytes count as none; rows that repeat and rows without a doc_id are looked at each. An empty frame gives an empty result.
+    """
+    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("declared", T.StringType())] + [T.StructField(n, t) for n, t in LOOKED])
 
-    return in_batches(frame.select("doc_id", F.col("media").alias("text")), out, rows)
+    def run(batches):
+        schema = arrow_schema(out)
+        for batch in slices(batches, 64):
+            ids, declared, blobs = (batch.column(c).to_pylist() for c in ("doc_id", "declared", "media"))
+            for a, b in by_bytes([x or b"" for x in blobs]):
+                seen = [look(x or b"", d) for x, d in zip(blobs[a:b], declared[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([ids[a:b], declared[a:b], *map(list, zip(*seen))], schema.types)], schema=schema)
 
+    return frame.select(F.col("doc_id").cast("long").alias("doc_id"), "declared", "media").mapInArrow(run, out)
 
-def look(blob: bytes):
+
+def look(blob: bytes, declared: str | None = None) -> tuple:
+    """The values of LOOKED of one file."""
     found = sniff(blob)
-    kind = next((k for s, n, k in found if s == 0 and n == len(blob)), None)
+    size, kind = next(((n, k) for s, n, k in found if s == 0), (0, None))
     embedded = [k for s, _, k in found if s]
     data = samples(blob, kind) if kind in ("audio/wav", "image/png") else b""
-    total = sum(data) if len(data) < 1 else None
-    if total is None:
-        counts = [data.count(255), data.count(32), data.count(10)]
-        feature = f"{kind};samples={len(data)};high={counts[0]};space={counts[1]};line={counts[2]};embedded={','.join(sorted(embedded))}"
-    else:
-        feature = f"{kind or 'unknown'};samples=0;embedded={','.join(sorted(embedded))}"
-    return len(data), zlib.crc32(data[-32:]), len(blob), hashlib.sha256(data).hexdigest(), hashlib.sha256(blob).hexdigest(), kind, feature, len(embedded)
+    feature = f"{kind or 'unknown'};samples={len(data)};high={data.count(255)};space={data.count(32)};line={data.count(10)};embedded={','.join(sorted(embedded))}"
+    return len(data), zlib.crc32(data[-32:]), len(blob), hashlib.sha256(data).hexdigest(), hashlib.sha256(blob).hexdigest(), kind or declared, feature, len(embedded), len(blob) - size if kind else 0
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op7: every whole text stored as media, read back through the sniffer."""
-    docs = keyed_text(documents(spark, sf_dir))
-    out = T.StructType(
-        [T.StructField(n, T.LongType()) for n in ("doc_id", "n_bytes", "payload_bytes", "tail_crc32", "media_bytes")]
-        + [T.StructField(n, T.StringType()) for n in ("payload_sha256", "media_sha256", "media_type", "feature")]
-        + [T.StructField("n_embedded", T.LongType())]
-    )
+def report(docs: DataFrame) -> DataFrame:
+    """Every whole text of (doc_id, text) stored as media, read back through the sniffer; the stored bytes pass from one to the other and are not kept.
+
+    A null text counts as an empty one. Repeated rows and rows without a doc_id have a row each. An empty frame gives an empty result.
+    """
+    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("declared_type", T.StringType())] + [T.StructField(n, t) for n, t in LOOKED])
 
     def rows(ids, blobs):
-        seen = [look(store(b)[1]) for b in blobs]
-        p, c, m, ps, ms, k, f, e = map(list, zip(*seen))
-        return [ids, [len(b) for b in blobs], p, c, m, ps, ms, k, f, e]
+        stored = [store(b) for b in blobs]
+        seen = [look(m, declared) for declared, m in stored]
+        return [ids, [len(b) for b in blobs], [declared for declared, _ in stored], *map(list, zip(*seen))]
 
-    return in_batches(docs, out, rows)
+    return in_batches(keyed_text(docs), out, rows)
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7: the report of every document."""
+    return report(documents(spark, sf_dir))
