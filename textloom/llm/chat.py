@@ -1,25 +1,37 @@
 """Chat formatting with linked tool calls.
 
-Calls and results are joined by the call's identifier. A call may wait for another one (its parent);
-calls are put in topological order by depth, which is found by doubling: in every round each
-call looks past the ancestor it has seen, so a chain of n calls takes log2(n) joins. Arguments are
-validated against the schemas of their tools, and every message is written as canonical JSON
-(keys sorted, no spaces) on a row of its own, so no conversation has to fit in one task.
+Calls and results are joined by the call's identifier. A call may wait for others (its parents);
+calls are put in topological order by depth, the longest way from a call that waits for none. Calls with one parent look past the
+ancestor they have seen in every round, up to one that has none or several, so a chain of n calls takes log2(n) joins, and only those
+still on the way take part; calls with several parents follow when all of theirs are known. Arguments are JSON:
+they are validated against the schemas of their tools, and every message is written as canonical JSON
+(keys sorted at every level, no spaces) on a row of its own, so no conversation has to fit in one task.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, join_same
+from .shared import Scratch, join_same, near
 
-#: Tools of the production query: name -> arguments (name, kind, least value or length, required).
+#: Tools of the production query: name -> JSON schema of its arguments.
 TOOLS = {
-    "lookup": [("query", "string", 1, True), ("limit", "integer", 1, True)],
-    "note": [("text", "string", 1, True), ("limit", "integer", 1, False)],
+    "lookup": {
+        "type": "object",
+        "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1}},
+        "required": ["query", "limit"],
+        "additionalProperties": False,
+    },
+    "note": {
+        "type": "object",
+        "properties": {"text": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1}},
+        "required": ["text"],
+        "additionalProperties": False,
+    },
 }
-ROUNDS = 40  # doubling rounds at most: chains of 2^40 calls
 
 
 def json_string(text: Column) -> Column:
@@ -47,56 +59,115 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def depths(calls: DataFrame, scratch: Scratch) -> DataFrame:
-    """call_id and depth (0 without a known parent), null for calls on or behind a cycle."""
-    ids = calls.where("call_id is not null").select("call_id", "parent_id").groupBy("call_id").agg(F.min("parent_id").alias("parent_id"))
-    known = ids.select(F.col("call_id").alias("parent_id"), F.lit(True).alias("_known"))
-    step = ids.join(known, "parent_id", "left").select("call_id", F.when(F.col("_known"), F.col("parent_id")).alias("up"), F.when(F.col("_known"), 1).otherwise(0).cast("long").alias("depth"))
-    step = scratch.table(step, "depth0")
-    rows = step.count()
-    for n in range(1, ROUNDS):
-        if 2 ** (n - 1) > max(1, rows) or step.where("up is not null").isEmpty():
-            break
-        far = step.select(F.col("call_id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        step = scratch.table(step.join(far, "up", "left").select("call_id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")), f"depth{n}")
-    return step.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    """call_id and depth (0 without a known parent) of (call_id, parents) rows; null for calls on or behind a cycle.
+
+    Rows that repeat an id wait for the parents of all.
+    """
+    ids = scratch.table(calls.where("call_id is not null").groupBy("call_id").agg(F.flatten(F.collect_set(F.coalesce("parents", F.array().cast("array<string>")))).alias("parents")), "ids")
+    edges = ids.select("call_id", F.explode(F.array_distinct("parents")).alias("up")).join(ids.select(F.col("call_id").alias("up")), "up")
+    known = scratch.table(edges.groupBy("call_id").agg(F.count("*").alias("n"), F.min("up").alias("up")), "known")
+    edges = scratch.table(edges.join(known.where("n > 1").select("call_id"), "call_id", "left_semi"), "edges")
+    single = known.where("n = 1").select("call_id", "up")
+    # One parent: (up, dist, done), done where `up` is no such call itself.
+    step = scratch.table(single.join(single.select(F.col("call_id").alias("up"), F.lit(False).alias("_end")), "up", "left").select("call_id", "up", F.lit(1).cast("long").alias("dist"), F.coalesce("_end", F.lit(True)).alias("done")), "step0")
+    reached, rounds, n = step.where("done"), step.count().bit_length() + 1, 0
+    while n < rounds and not step.where("not done").isEmpty():
+        n += 1
+        far = step.select(F.col("call_id").alias("up"), F.col("up").alias("_up"), F.col("dist").alias("_dist"), F.col("done").alias("_done"))
+        moved = step.where("not done").join(far, "up").select("call_id", F.col("_up").alias("up"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_done").alias("done"))
+        step = scratch.table(moved.unionByName(step.where("done")), f"step{n}")
+        reached = step.where("done")
+        scratch.drop(f"step{n - 1}")
+    # Several parents: each is so far from a call that has none or several.
+    found = scratch.table(ids.select("call_id").join(known.select("call_id"), "call_id", "left_anti").select("call_id", F.lit(0).cast("long").alias("depth")), "found0")
+    ways = edges.join(reached.select(F.col("call_id").alias("up"), F.col("up").alias("_up"), "dist"), "up", "left")
+    ways = scratch.table(ways.select("call_id", F.coalesce("_up", "up").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist")), "ways0")
+    n = 0
+    while not ways.isEmpty():
+        open_ways = ways.join(found.select(F.col("call_id").alias("up"), "depth"), "up", "left")
+        ready = open_ways.groupBy("call_id").agg(F.max(F.col("depth") + F.col("dist")).alias("depth"), F.count_if(F.col("depth").isNull()).alias("_wait")).where("_wait = 0").drop("_wait")
+        ready = scratch.table(ready, f"ready{n}")
+        if ready.isEmpty():
+            break  # what is left waits for itself
+        n += 1
+        found, ways = scratch.table(found.unionByName(ready), f"found{n}"), scratch.table(ways.join(near(ready.select("call_id")), "call_id", "left_anti"), f"ways{n}")
+    ends = reached.join(found.withColumnRenamed("call_id", "up"), "up").select("call_id", (F.col("depth") + F.col("dist")).alias("depth"))
+    return ids.select("call_id").join(found.unionByName(ends), "call_id", "left")
+
+
+def _kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
+
+
+def faults(value: Column, schema: dict, path: str) -> list[Column]:
+    """What is wrong with a variant, as columns of text or null: `missing:path`, `bad:path`, and unknown-argument. `value` is there (it may be JSON's null).
+
+    Of JSON schema: type, enum, minimum, maximum, minLength, maxLength, items, minItems, maxItems, properties, required, additionalProperties.
+    """
+    kind, wrong = schema.get("type"), F.lit(False)
+    own = _kind(value)
+    if kind == "string":
+        text = F.try_variant_get(value, "$", "string")
+        wrong = own != "STRING"
+        wrong = wrong | (F.length(text) < schema["minLength"]) if "minLength" in schema else wrong
+        wrong = wrong | (F.length(text) > schema["maxLength"]) if "maxLength" in schema else wrong
+    elif kind in ("integer", "number"):
+        number = F.try_variant_get(value, "$", "double")
+        wrong = ~own.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        wrong = wrong | (number != F.floor(number)) if kind == "integer" else wrong
+        wrong = wrong | (number < float(schema["minimum"])) if "minimum" in schema else wrong
+        wrong = wrong | (number > float(schema["maximum"])) if "maximum" in schema else wrong
+    elif kind == "boolean":
+        wrong = own != "BOOLEAN"
+    elif kind == "null":
+        wrong = own != "VOID"
+    elif kind == "array":
+        items = F.try_variant_get(value, "$", "array<variant>")
+        wrong = ~own.startswith("ARRAY")
+        wrong = wrong | (F.size(items) < schema["minItems"]) if "minItems" in schema else wrong
+        wrong = wrong | (F.size(items) > schema["maxItems"]) if "maxItems" in schema else wrong
+        if "items" in schema:
+            wrong = wrong | F.exists(items, lambda x: F.concat_ws("", *faults(x, schema["items"], "x")) != "")
+    elif kind == "object":
+        wrong = ~own.startswith("OBJECT")
+    if "enum" in schema:
+        wrong = wrong | ~F.to_json(value).isin([json.dumps(x, sort_keys=True, separators=(",", ":"), ensure_ascii=False) for x in schema["enum"]])
+    out = [F.when(F.coalesce(wrong, F.lit(True)), F.lit(f"bad:{path}" if path else "bad-arguments"))]
+    if kind == "object":
+        for name in sorted(schema.get("properties", {})):
+            inner = F.try_variant_get(value, "$['" + name + "']", "variant")
+            at = f"{path}.{name}" if path else name
+            if name in schema.get("required", []):
+                out.append(F.when(own.startswith("OBJECT") & inner.isNull(), F.lit(f"missing:{at}")))
+            out += [F.when(inner.isNotNull(), x) for x in faults(inner, schema["properties"][name], at)]
+        if schema.get("additionalProperties") is False:
+            keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+            out.append(F.when(F.size(F.array_except(keys, F.array(*[F.lit(x) for x in schema.get("properties", {})]).cast("array<string>"))) > 0, F.lit("unknown-argument")))
+    return out
 
 
 def problems(tool: Column, args: Column, tools: dict | None = None) -> Column:
-    """What is wrong with a map of arguments (name -> text), comma-joined, empty if nothing."""
+    """What is wrong with a call's arguments (a variant, null where the text was no JSON), comma-joined, empty if nothing."""
     tools = TOOLS if tools is None else tools
-    found = F.when(tool.isNull() | ~tool.isin(list(tools)), F.lit("unknown-tool"))
+    found = F.when(tool.isNull() | ~tool.isin(list(tools)), F.lit("unknown-tool")).when(args.isNull(), F.lit("bad-json"))
     for name in sorted(tools):
-        checks = []
-        for arg, kind, least, required in tools[name]:
-            value = args[arg]
-            if required:
-                checks.append(F.when(value.isNull(), F.lit(f"missing:{arg}")))
-            bad = value.try_cast("bigint").isNull() | (value.try_cast("bigint") < least) if kind == "integer" else F.length(value) < least
-            checks.append(F.when(value.isNotNull() & bad, F.lit(f"bad:{arg}")))
-        extra = F.size(F.array_except(F.map_keys(args), F.array(*[F.lit(a[0]) for a in tools[name]]))) > 0
-        checks.append(F.when(extra, F.lit("unknown-argument")))
-        found = found.when(tool == name, F.concat_ws(",", *checks))
+        found = found.when(tool == name, F.concat_ws(",", *faults(args, tools[name], "")))
     return found.otherwise("")
 
 
-def canonical_arguments(args: Column, tools: dict | None = None) -> Column:
-    """JSON of a map of arguments with sorted keys; whole numbers of integer arguments are written as numbers."""
-    tools = TOOLS if tools is None else tools
-    numbers = sorted({a for spec in tools.values() for a, kind, *_ in spec if kind == "integer"})
-    entry = lambda k: F.concat(json_string(k), F.lit(":"), F.when(k.isin(numbers) & args[k].try_cast("bigint").isNotNull(), args[k].try_cast("bigint").cast("string")).otherwise(json_string(args[k])))
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(args)), entry), ","), F.lit("}"))
-
-
 def format_calls(calls: DataFrame, results: DataFrame, scratch: Scratch, tools: dict | None = None) -> DataFrame:
-    """Calls (conv_id, turn, call_id, parent_id, tool, args) linked, ordered, validated and serialised.
+    """Calls (conv_id, turn, call_id, parents, tool, args) linked, ordered, validated and serialised. parents: ids; args: JSON.
+
+    Arguments that are no JSON are written as a JSON string; null ones as {}. An empty frame gives an empty result.
 
     `position` is the place in the conversation's topological order (depth, turn, call_id), from 1;
     calls on a cycle come last. Ranks are counted inside (conversation, depth) with totals of the depths before.
     """
     ready = join_same(link(calls, results), depths(calls, scratch), ["call_id"], "left")
-    ready = ready.withColumn("problems", problems(F.col("tool"), F.col("args"), tools)).withColumn("arguments", canonical_arguments(F.col("args"), tools))
+    ready = ready.withColumn("_args", F.try_parse_json(F.coalesce("args", F.lit("{}"))))  # its keys are sorted
+    ready = ready.withColumn("problems", problems(F.col("tool"), F.col("_args"), tools)).withColumn("arguments", F.coalesce(F.to_json("_args"), json_string(F.col("args"))))
     body = F.concat(
-        F.lit('{"arguments":'), F.coalesce("arguments", F.lit("{}")), F.lit(',"id":'), json_string(F.col("call_id")), F.lit(',"name":'), json_string(F.col("tool")),
+        F.lit('{"arguments":'), F.col("arguments"), F.lit(',"id":'), json_string(F.col("call_id")), F.lit(',"name":'), json_string(F.col("tool")),
         F.lit(',"result":'), json_string(F.col("result")), F.lit(',"turn":'), F.coalesce(F.col("turn").cast("string"), F.lit("null")), F.lit("}"),
     )
     ready = scratch.table(ready.select("conv_id", "turn", "call_id", "tool", "status", "problems", "result_turn", F.coalesce("depth", F.lit(1 << 40)).alias("_d"), "depth", body.alias("json")), "ready")
@@ -122,12 +193,12 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     tool = F.when(F.length("text") >= 80, "lookup").otherwise("note")
     args = F.when(
         F.length("text") >= 80,
-        F.create_map(F.lit("query"), F.col("text"), F.lit("limit"), F.floor(F.length("text") / 80).cast("string")),
-    ).otherwise(F.create_map(F.lit("text"), F.col("text")))
+        F.to_json(F.struct(F.col("text").alias("query"), F.floor(F.length("text") / 80).alias("limit"))),
+    ).otherwise(F.to_json(F.struct("text")))
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     calls = t.where("role = 'user'").select(
         "conv_id", "turn", F.when(known, ident).alias("call_id"),
-        F.when(known & (F.col("turn") >= 2), F.concat_ws(":", F.col("conv_id").cast("string"), half.cast("string"))).alias("parent_id"), tool.alias("tool"), args.alias("args"),
+        F.when(known & (F.col("turn") >= 2), F.array(F.concat_ws(":", F.col("conv_id").cast("string"), half.cast("string")))).alias("parents"), tool.alias("tool"), args.alias("args"),
     )
     results = t.where("role = 'assistant'").select(F.when(known, F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string"))).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
@@ -140,7 +211,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parents_of(calls: DataFrame) -> DataFrame:
-    """calls with the parent_id of the call at half their place in the conversation's own sequence of calls; the first one has none.
+    """calls whose one parent is the call at half their place in the conversation's own sequence of calls; the first one has none.
 
     Calls of one turn share a place. Places are counted in blocks of turns and summed, so no conversation has to fit in one task.
     """
@@ -151,9 +222,9 @@ def parents_of(calls: DataFrame) -> DataFrame:
     totals = totals.select("conv_id", "_block", (F.sum("_n").over(before) - F.col("_n")).alias("_before"))
     inside = Window.partitionBy("conv_id", "_block").orderBy("turn")
     placed = turns.withColumn("_row", F.row_number().over(inside)).join(totals, ["conv_id", "_block"]).select("conv_id", "call_id", (F.col("_before") + F.col("_row") - 1).alias("_place"))
-    ups = placed.select("conv_id", F.col("call_id").alias("parent_id"), F.col("_place").alias("_half"))
-    links = placed.where("_place > 0").withColumn("_half", F.floor(F.col("_place") / 2)).join(ups, ["conv_id", "_half"]).select("call_id", "parent_id")
-    return calls.drop("parent_id").join(links, "call_id", "left").select(*calls.columns)
+    ups = placed.select("conv_id", F.array("call_id").alias("parents"), F.col("_place").alias("_half"))
+    links = placed.where("_place > 0").withColumn("_half", F.floor(F.col("_place") / 2)).join(ups, ["conv_id", "_half"]).select("call_id", "parents")
+    return calls.drop("parents").join(links, "call_id", "left").select(*calls.columns)
 
 
 def format_messages(turns: DataFrame, scratch: Scratch) -> DataFrame:
