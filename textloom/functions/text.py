@@ -21,10 +21,45 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[^A-Za-z']+"), "")
 
 
+#: Abbreviations whose full stops end no sentence.
+ABBREVIATIONS = (
+    "e.g.", "i.e.", "cf.", "et al.", "vs.", "viz.", "fig.", "dr.", "mr.", "mrs.", "prof.", "st.", "approx.", "no.", "inc.", "ltd.", "jr.",
+    "sr.", "resp.", "rev.", "ed.", "eds.", "vol.", "pp.", "p.", "sec.", "eq.", "eqs.", "w.r.t.", "al.", "etc.", "ca.",
+)
+KEPT_STOP = "\u0002"  # stands for a full stop that ends no sentence
+
+
 def sentences(text: Column, least: int = 2) -> Column:
-    """Sentences that end in . ! or ? before white space and an opening character, longer than `least` characters."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?])\s+([A-Z0-9\"'(])", "$1\u0001$2")
-    return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.btrim(s)), lambda s: F.length(s) > least)
+    """Sentences that end in . ! or ? before white space and an opening character, longer than `least` characters; stops of abbreviations end none."""
+    held = F.coalesce(text, F.lit(""))
+    for word in ABBREVIATIONS:
+        held = F.replace(held, F.lit(word), F.lit(word.replace(".", KEPT_STOP)))
+    marked = F.regexp_replace(held, r"([.!?])\s+([A-Z0-9\"'(])", "$1\u0001$2")
+    return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.btrim(F.replace(s, F.lit(KEPT_STOP), F.lit(".")))), lambda s: F.length(s) > least)
+
+
+#: What is taken out of Markdown, in order, before its prose is counted.
+NO_PROSE = ((r"(?ims)^#*[ \t]*references[ \t]*$.*", ""), (r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\*\*|__", ""), (r"\$\$?[^$]*\$\$?", " "), (r"`[^`]*`", " "))
+
+
+def prose(text: Column) -> Column:
+    """Prose without references, images, link targets, marks, formulas, code and lines that are no prose, on one line."""
+    x = F.coalesce(text, F.lit(""))
+    for pattern, put in NO_PROSE:
+        x = F.regexp_replace(x, pattern, put)
+    alnum = lambda s: F.length(F.regexp_replace(s, r"[^\p{L}\p{N}]", ""))
+    skip = lambda s: s.rlike(r"^[#>*\s-]*$") | s.rlike(r"^(\||\$|\\\[)") | s.rlike(r"\|.*\|") | ((F.length(s) >= 20) & (alnum(s) * 100 < F.length(s) * 45))
+    lines = F.filter(F.transform(F.split(x, "\n"), lambda s: F.btrim(s)), lambda s: ~skip(s))
+    return F.regexp_replace(F.array_join(lines, " "), r"[ \t\r\n\f]+", " ")
+
+
+#: Letters, digits and the underscore, as word limits see them.
+INSIDE = r"\p{L}\p{N}_"
+
+
+def count_words(text: Column, pattern: str, open_start: bool = False) -> Column:
+    """How often a pattern stands between word limits, or only before one."""
+    return F.regexp_count(text, F.lit(("" if open_start else f"(?<![{INSIDE}])") + f"(?:{pattern})(?![{INSIDE}])"))
 
 
 def plain_sentences(text: Column, least_words: int = 3) -> Column:
@@ -47,34 +82,35 @@ def valid_doi(doi: Column) -> Column:
     return doi.rlike(r"^10\.\d{4,9}/.")
 
 
-#: Section buckets by heading prefix, in order.
+#: Section buckets by the beginning of a heading, in order.
 SECTIONS = [
     ("abstract", r"^(abstract|summary)"),
-    ("methods", r"^(method|materials|data|design|procedure|participants|measures)"),
-    ("results", r"^(result|finding)"),
-    ("discussion", r"^(discussion|conclusion|concluding|implications)"),
-    ("references", r"^(references|bibliography)"),
-    ("appendix", r"^(appendix|supplement)"),
+    ("methods", r"^(method|material|procedure|measure|instrument|sample|participant|design|estimation|data)"),
+    ("results", r"^(result|finding|simulation|application|empirical|analysis|example|illustration|numerical)"),
+    ("discussion", r"^(discussion|limitation|general|robustness)"),
+    ("conclusion", r"^(conclusion|concluding|future|summary|final)"),
+    ("backmatter", r"^(reference|bibliograph|appendix|acknowledg|supplement)"),
 ]
 
 
 def section_of(heading: Column) -> Column:
-    """The bucket of a heading without marks and numbering; else its first word; empty for an empty one."""
-    bare = F.lower(F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(heading, F.lit("")), r"^#+\s*", ""), r"^\d+(\.\d+)*\.?\s+", "")))
+    """The bucket of a heading without marks and leading numbers; else its first word; empty for an empty one."""
+    bare = F.btrim(F.lower(F.regexp_replace(F.regexp_replace(F.coalesce(heading, F.lit("")), r"^#+\s*", ""), r"^[0-9.\s]+", "")))
     out = None
     for name, pattern in SECTIONS:
         out = F.when(bare.rlike(pattern), name) if out is None else out.when(bare.rlike(pattern), name)
     return out.otherwise(F.element_at(F.split(bare, r"[\s:;,(]"), 1))
 
 
-#: Heading genres by substring, in order.
+#: Heading genres by what a heading holds, in order.
 GENRES = [
-    ("simulation", ["simulation", "monte carlo"]),
-    ("application", ["empirical", "application", "example", "study"]),
+    ("intro", ["introduc"]),
+    ("simulation", ["simulation", "numerical", "monte carlo"]),
+    ("discussion", ["discussion", "conclusion", "concluding"]),
     ("results", ["result"]),
-    ("discussion", ["discussion", "conclusion"]),
-    ("intro", ["introduction", "background"]),
-    ("method", ["method", "model", "estimation"]),
+    ("method", ["method", "design", "procedure", "estimat"]),
+    ("application", ["empirical", "application", "real data", "illustrat", "example", "stud"]),
+    ("method", ["model", "theor", "framework", "approach", "analysis"]),
 ]
 
 
@@ -82,9 +118,7 @@ def genre_of(heading: Column) -> Column:
     low = F.lower(F.coalesce(heading, F.lit("")))
     out = None
     for name, parts in GENRES:
-        hit = low.contains(parts[0])
-        for p in parts[1:]:
-            hit = hit | low.contains(p)
+        hit = low.rlike("|".join(parts))
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out.otherwise("other")
 
@@ -94,28 +128,43 @@ def clean_html(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style|svg|noscript)\b[^>]*>.*?</\1\s*>", ""), r"(?s)<!--.*?-->", "")
 
 
+#: Classes of failures by what the lower-cased message holds, in order; `ocr:` has to begin it.
+FAILURES = [
+    ("docling-pdf-failed", "docling conversion failed"),
+    ("no-route-assigned", "not enqueued"),
+    ("ocr-failed", "ocr:"),
+    ("scan-quality-terminal", "scan-quality"),
+    ("tex-no-main-file", "no main file"),
+    ("tex-ladder-failed", "pandoc ladder exhausted"),
+    ("tex-exhausted-no-raw", "tex conversion exhausted"),
+]
+
+
 def error_category(error: Column) -> Column:
-    """Ordered substring classes of failures; unknown for null, else the first 50 characters."""
+    """Ordered classes of failures; unknown for null or an empty message, else `other:` and its first 50 characters."""
     low = F.lower(error)
-    return (
-        F.when(error.isNull(), "unknown")
-        .when(low.contains("docling"), "docling-pdf-failed")
-        .when(low.contains("ocr"), "ocr-failed")
-        .when(low.contains("no main"), "tex-no-main-file")
-        .when(low.contains("timeout"), "timeout")
-        .otherwise(F.concat(F.lit("other:"), F.left(error, F.lit(50))))
-    )
+    out = F.when(error.isNull() | (error == ""), "unknown")
+    for name, part in FAILURES:
+        out = out.when(low.startswith(part) if part == "ocr:" else low.contains(part), name)
+    return out.otherwise(F.concat(F.lit("other:"), F.left(error, F.lit(50))))
+
+
+#: Tags that a converter left behind.
+RAW_TAGS = r"(?i)<(span|div|figure|embed|img|math|table)\b"
 
 
-def quality_flags(size: Column, headings: Column, formulas: Column, leak: Column) -> Column:
-    return F.array_compact(
-        F.array(F.when(size < 2048, F.lit("tiny")), F.when(headings == 0, F.lit("no-headings")), F.when(formulas > 20, F.lit("formula-heavy")), F.when(leak, F.lit("raw-leak")))
+def md_stats(text: Column) -> Column:
+    """Struct of bytes, headings, math_blocks ($$ marks), formula_tokens and flags of a Markdown text."""
+    size, headings, formulas = F.octet_length(text).cast("long"), F.regexp_count(text, F.lit(r"(?m)^#{1,6} .")).cast("long"), F.regexp_count(text, F.lit(r"\[formula\]")).cast("long")
+    flags = F.array_compact(
+        F.array(F.when(size < 2048, F.lit("tiny")), F.when(headings == 0, F.lit("no-headings")), F.when(formulas > 20, F.lit("formula-heavy")), F.when(text.contains("ltx_"), F.lit("ltx-residual")), F.when(text.rlike(RAW_TAGS), F.lit("raw-leak")))
     )
+    return F.struct(size.alias("bytes"), headings.alias("headings"), F.regexp_count(text, F.lit(r"\$\$")).cast("long").alias("math_blocks"), formulas.alias("formula_tokens"), flags.alias("flags"))
 
 
 def page_text(text: Column) -> Column:
     """Words broken at a line end joined again, white space collapsed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"-\s*\n\s*", ""), r"\s+", " "))
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, r"(\w)-\s*\n\s*", "$1"), r"\s+", " "))
 
 
 def excerpt(text: Column, size: int = 120) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import articles, ledgers, markdown, prose, search, selection, structure
+from textloom.plans import articles, ledgers, markdown, prose, search, selection, structure, style
 
-_PARTS = (search, ledgers, prose, structure, markdown, selection, articles)
+_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style)
 
 
 def merged(dicts) -> dict:

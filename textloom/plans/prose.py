@@ -12,74 +12,10 @@ def t(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Connectives that may open a sentence, and hedges.
-CONNECTIVES = ["however", "therefore", "moreover", "furthermore", "thus", "hence", "consequently", "finally", "first", "second", "then", "in", "for", "of", "and"]
-HEDGES = ["may", "might", "could", "can", "would", "should", "likely", "perhaps", "possibly", "an", "at", "of"]
-
-
-def _sentences(spark, d):
-    return t(spark, d, "documents").select("doc_id", "lang", F.posexplode(T.sentences(F.col("text"))).alias("n", "s"))
-
-
-def sentence_openers(spark, d):
-    """The 25 most frequent first words of sentences, per language and over all, with rates per 10,000 sentences."""
-    s = _sentences(spark, d).select("lang", F.get(T.terms(F.col("s")), 0).alias("w"))
-    g = s.where("w is not null").rollup("lang", "w").agg(F.count("*").alias("n"), F.grouping_id().alias("gid"))
-    per = g.where("gid = 0").select("lang", "w", "n")
-    total = g.where("gid = 1").select("lang", F.col("n").alias("total"))
-    both = per.unionByName(per.groupBy("w").agg(F.sum("n").alias("n")).withColumn("lang", F.lit("all")))
-    total = total.unionByName(total.agg(F.sum("total").alias("total")).withColumn("lang", F.lit("all")))
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = both.withColumn("r", F.row_number().over(w)).where("r <= 25")
-    return top.join(F.broadcast(total), "lang").select("lang", "w", "n", F.round(F.col("n") * 10000.0 / F.col("total"), 4).alias("rate"))  # a row a language
-
-
-def connective_openers(spark, d):
-    s = _sentences(spark, d).select("lang", F.get(T.terms(F.col("s")), 0).alias("w"))
-    return s.groupBy("lang").agg(F.count("*").alias("sentences"), F.count_if(F.col("w").isin(CONNECTIVES)).alias("connective"))
-
-
-def hedge_rates(spark, d):
-    x = t(spark, d, "documents").select("lang", T.terms(F.col("text")).alias("t"))
-    x = x.select("lang", F.size("t").alias("n"), F.size(F.filter("t", lambda w: w.isin(HEDGES))).alias("h"))
-    g = x.groupBy("lang").agg(F.sum("n").alias("tokens"), F.sum("h").alias("hedges"))
-    return g.select("lang", "tokens", "hedges", F.round(F.coalesce(F.col("hedges") * 10000.0 / F.nullif("tokens", F.lit(0)), F.lit(0.0)), 4).alias("rate"))
-
-
-def stock_phrase_rates(spark, d):
-    low = F.lower("text")
-    x = t(spark, d, "documents")
-    parts = [x.select("lang", F.lit(p).alias("phrase"), ((F.length(low) - F.length(F.replace(low, F.lit(p), F.lit("")))) / len(p)).cast("long").alias("n")) for p in ("all rights reserved", "licensed under", "version 2")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def sentence_length_stats(spark, d):
-    """Words a sentence: mean, median of the middle two, and the index-based 90th percentile."""
-    x = _sentences(spark, d).select("lang", F.size(T.words(F.col("s"))).alias("k"))
-    c = x.groupBy("lang", "k").agg(F.count("*").alias("c"))  # lengths are few, so counts of them stand for the rows
-    w = Window.partitionBy("lang").orderBy("k")
-    c = c.withColumn("hi", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy("lang")))
-    at = lambda pos: F.min(F.when(F.col("hi") > pos, F.col("k")))
-    mid = lambda p: F.floor(p / 2)
-    return c.groupBy("lang").agg(
-        F.max("n").alias("n"), F.round(F.sum(F.col("k") * F.col("c")) / F.max("n"), 6).alias("mean"),
-        ((at(mid(F.col("n") - 1)) + at(mid(F.col("n")))) / 2).alias("median"),
-        at(F.least(F.floor(F.col("n") * 9 / 10), F.col("n") - 1)).alias("p90"),
-        F.round(F.sum(F.when(F.col("k") >= 40, F.col("c")).otherwise(0)) * 100.0 / F.max("n"), 6).alias("long_share"),
-    )
-
-
-def adjacent_jaccard(spark, d):
-    """Mean overlap of the longer words of neighbouring sentences of a document."""
-    s = _sentences(spark, d).select("doc_id", "n", F.array_distinct(F.filter(T.terms(F.col("s")), lambda w: F.length(w) > 4)).alias("a"))
-    w = Window.partitionBy("doc_id").orderBy("n")
-    x = s.withColumn("b", F.lag("a").over(w)).where("b is not null").select("doc_id", F.size(F.array_intersect("a", "b")).alias("i"), F.size(F.array_union("a", "b")).alias("u")).where("u > 0")
-    return x.groupBy("doc_id").agg(F.count("*").alias("pairs"), F.round(F.avg(F.col("i") / F.col("u")), 6).alias("jaccard"))
-
-
 def doc_md_stats(spark, d):
-    x = t(spark, d, "documents").select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.regexp_count("text", F.lit(r"(?m)^#{1,6} .")).cast("long").alias("headings"), F.regexp_count("text", F.lit(r"\[formula\]")).cast("long").alias("formulas"), F.col("text").contains("<span").alias("leak"))
-    return x.select("doc_id", "bytes", "headings", "formulas", F.array_join(T.quality_flags(F.col("bytes"), F.col("headings"), F.col("formulas"), F.col("leak")), "|").alias("flags"))
+    """Size, headings, marks and flags of each document as Markdown."""
+    x = t(spark, d, "documents").select("doc_id", T.md_stats(F.col("text")).alias("x")).select("doc_id", "x.*")
+    return x.withColumn("flags", F.array_join("flags", "|"))
 
 
 def lines_to_blocks(spark, d):
@@ -92,8 +28,9 @@ def lines_to_blocks(spark, d):
 
 
 def section_buckets(spark, d):
+    """Buckets and genres of the pages' headings, with a number before them."""
     h = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
-    return t(spark, d, "pages").select("page_id", T.section_of(h).alias("section"), T.genre_of(h).alias("genre"))
+    return t(spark, d, "pages").select("page_id", T.section_of(F.concat(F.lit("## 2.1 "), h)).alias("section"), T.genre_of(h).alias("genre"))
 
 
 def clean_html(spark, d):
@@ -178,19 +115,15 @@ def formula_transform(spark, d):
     return t(spark, d, "documents").select("doc_id", F.left(x, F.lit(16000)).alias("text"))
 
 
-_S = "s as (select doc_id, lang, unnest(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9\"''(])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) > 2)) as s, generate_subscripts(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9\"''(])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) > 2), 1) as n from documents)"
-_FIRST = "regexp_extract_all(lower(s), '[a-z0-9]+')[1]"
-_in = lambda xs: ", ".join(f"'{x}'" for x in xs)
 _CLEAN = "regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<svg\\b[^>]*>.*?</svg\\s*>|<noscript\\b[^>]*>.*?</noscript\\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g')"
+#: Flags of a Markdown text in SQL, in order.
+FLAGS_SQL = "[case when bytes < 2048 then 'tiny' end, case when headings = 0 then 'no-headings' end, case when formula_tokens > 20 then 'formula-heavy' end, case when contains(text, 'ltx_') then 'ltx-residual' end, case when regexp_matches(text, '(?i)<(span|div|figure|embed|img|math|table)\\b') then 'raw-leak' end]"
+STATS_SQL = "select doc_id, source, text, strlen(text) as bytes, len(regexp_extract_all(text, '(?m)^#{1,6} .')) as headings, len(regexp_extract_all(text, '\\$\\$')) as math_blocks, len(regexp_extract_all(text, '\\[formula\\]')) as formula_tokens from documents"
 ORACLES = {
-    "sentence_openers": f"with {_S}, w as (select lang, {_FIRST} as w from s where {_FIRST} is not null), b as (select * from w union all select 'all', w from w), c as (select lang, w, count(*) as n from b group by all), g as (select *, sum(n) over (partition by lang) as total from c) select lang, w, n, round(n * 10000e0 / total, 4) as rate from g qualify row_number() over (partition by lang order by n desc, w) <= 25",
-    "connective_openers": f"with {_S} select lang, count(*) as sentences, count(*) filter ({_FIRST} in ({_in(CONNECTIVES)})) as connective from s group by 1",
-    "hedge_rates": f"with x as (select lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w from documents) select lang, count(*) as tokens, count(*) filter (w in ({_in(HEDGES)})) as hedges, round(count(*) filter (w in ({_in(HEDGES)})) * 10000e0 / count(*), 4) as rate from x group by 1",
-    "stock_phrase_rates": "select lang, phrase, sum((length(lower(text)) - length(replace(lower(text), phrase, ''))) // length(phrase))::bigint as n from documents, (values ('all rights reserved'), ('licensed under'), ('version 2')) p(phrase) group by all",
-    "sentence_length_stats": f"with {_S}, k as (select lang, len(regexp_extract_all(s, '[A-Za-z'']+')) as k from s), a as (select lang, list_sort(list(k)) as l, avg(k) as mean, count(*) filter (k >= 40) * 100e0 / count(*) as ls from k group by 1) select lang, len(l) as n, round(mean, 6) as mean, (l[(len(l) - 1) // 2 + 1] + l[len(l) // 2 + 1]) / 2 as median, l[least(len(l) * 9 // 10, len(l) - 1) + 1] as p90, round(ls, 6) as long_share from a",
-    "adjacent_jaccard": f"with {_S}, a as (select doc_id, n, list_distinct(list_filter(regexp_extract_all(lower(s), '[a-z0-9]+'), lambda x: length(x) > 4)) as a from s), p as (select doc_id, a, lag(a) over (partition by doc_id order by n) as b from a), x as (select doc_id, len(list_intersect(a, b)) as i, len(list_distinct(list_concat(a, b))) as u from p where b is not null) select doc_id, count(*) as pairs, round(avg(i / u), 6) as jaccard from x where u > 0 group by 1",
-    "doc_md_stats": "with x as (select doc_id, strlen(text) as bytes, len(regexp_extract_all(text, '(?m)^#{1,6} .')) as headings, len(regexp_extract_all(text, '\\[formula\\]')) as formulas, contains(text, '<span') as leak from documents) select doc_id, bytes, headings, formulas, concat_ws('|', case when bytes < 2048 then 'tiny' end, case when headings = 0 then 'no-headings' end, case when formulas > 20 then 'formula-heavy' end, case when leak then 'raw-leak' end) as flags from x",
+    "doc_md_stats": f"with x as ({STATS_SQL}) select doc_id, bytes, headings, math_blocks, formula_tokens, array_to_string(list_filter({FLAGS_SQL}, lambda f: f is not null), '|') as flags from x",
     "lines_to_blocks": "with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as p from documents), g as (select *, sum((trim(line) = '')::int) over (partition by doc_id order by p) as g from l), b as (select doc_id, g, min(p) as start, max(p) as \"end\", count(*) as n_lines from g where trim(line) <> '' group by all) select doc_id, row_number() over (partition by doc_id order by start) as block, start, \"end\", n_lines from b",
+    "section_buckets": "with h as (select page_id, '## 2.1 ' || regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) as h from pages), b as (select page_id, lower(h) as low, trim(lower(regexp_replace(regexp_replace(h, '^#+\\s*', ''), '^[0-9.\\s]+', ''))) as b from h) select page_id, case "
+    + " ".join(f"when regexp_matches(b, '{p}') then '{n}'" for n, p in T.SECTIONS) + " else regexp_split_to_array(b, '[\\s:;,(]')[1] end as section, case " + " ".join(f"when regexp_matches(low, '{'|'.join(p)}') then '{n}'" for n, p in T.GENRES) + " else 'other' end as genre from b",
     "clean_html": f"select page_id, {_CLEAN} as html from pages",
     "html_coverage": f"with x as (select page_id, len(regexp_extract_all(html, '<p>')) as paragraphs, len(list_filter(regexp_split_to_array(regexp_replace({_CLEAN}, '(?s)<[^>]*>', ' ', 'g'), '\\s+'), lambda x: x <> '')) as words from pages) select page_id, paragraphs, words, words > 150 and paragraphs >= 2 as fulltext from x",
     "meta_tags": "select page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) as title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) as lang from pages",
@@ -203,4 +136,4 @@ ORACLES = {
     "line_span_slice": "select doc_id, array_to_string(string_split(text, chr(10))[1:2], chr(10)) as span from documents",
     "formula_transform": "select doc_id, left(regexp_replace(regexp_replace(text, '@@eq\\d{4}@@', '[formula]', 'g'), '[\\x00-\\x1f]', ' ', 'g'), 16000) as text from documents",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "section_buckets", "lint_cross_score_all"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "lint_cross_score_all"]}

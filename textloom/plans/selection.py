@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators.cooldown import suppressed
-from textloom.plans.prose import doc_md_stats
+from textloom.plans.prose import FLAGS_SQL, STATS_SQL, doc_md_stats
 
 LONG_PAUSE, PAUSE = 1440, 30
 KEPT_ATTRIBUTES = ("href", "src", "alt", "id", "colspan", "rowspan")
@@ -75,6 +75,6 @@ ORACLES = {
     "title_filter": "select page_id, " + "case " + " ".join(f"when starts_with(url, '{p}') then '{n}'" for p, n in ROUTES) + " else 'none' end as route, least(coalesce(nullif(page_id, 0), 10), 20) as leg_limit from pages where not regexp_matches(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '(?i)^(editorial board|front matter|back matter|table of contents|issue information|erratum|corrigendum)$')",
     "strip_raw_html": "select page_id, array_to_string(list_transform(string_split(html, '```'), lambda p, i: case when i % 2 = 1 then regexp_replace(p, '</?[a-zA-Z][^>]*>', '', 'g') else p end), '```') as text from pages",
     "references_cut": "with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as p from documents), x as (select *, count(*) over (partition by doc_id) as n, max(case when regexp_matches(line, '(?i)^#*[ \\t]*references[ \\t]*$') then p end) over (partition by doc_id) as cut_at from l) select doc_id, count(*) as n_lines from x where cut_at is null or cut_at * 4 < n or p < cut_at group by 1",
-    "flag_tallies": "with x as (select strlen(text) as b, len(regexp_extract_all(text, '(?m)^#{1,6} .')) as h, len(regexp_extract_all(text, '\\[formula\\]')) as f, contains(text, '<span') as k from documents), y as (select unnest([case when b < 2048 then 'tiny' end, case when h = 0 then 'no-headings' end, case when f > 20 then 'formula-heavy' end, case when k then 'raw-leak' end]) as flag from x) select flag, count(*) as n from y where flag is not null group by 1",
+    "flag_tallies": f"with x as ({STATS_SQL}), y as (select unnest({FLAGS_SQL}) as flag from x) select flag, count(*) as n from y where flag is not null group by 1",
 }
 QUERIES = {n: globals()[n] for n in [*ORACLES, "lean_pages"]}

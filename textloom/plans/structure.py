@@ -14,64 +14,12 @@ def t(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Verbs of the tense count with their past forms.
-TENSES = {
-    "propose": "proposed", "present": "presented", "consider": "considered", "use": "used", "assume": "assumed", "show": "showed",
-    "develop": "developed", "examine": "examined", "investigate": "investigated", "evaluate": "evaluated", "compare": "compared",
-    "conduct": "conducted", "perform": "performed", "apply": "applied", "discuss": "discussed", "find": "found", "demonstrate": "demonstrated",
-}
-#: How a paragraph may open.
-OPENERS = ["however", "thus", "therefore", "moreover", "furthermore", "in addition", "additionally", "specifically", "note that", "first", "second", "third", "finally",
-           "for example", "for instance", "in particular", "in contrast", "by contrast", "similarly", "consequently", "as a consequence", "hence", "also", "indeed",
-           "nevertheless", "nonetheless", "overall", "in sum", "in summary", "in other words", "that is", "instead", "next", "again", "alternatively", "as expected", "to summarize"]
-ANAPHORA = ["this", "these", "such"]
-LOCATIVE = ["in this", "in the present", "in the following", "in section"]
-
-
-def text_clean(spark, d):
-    """Prose without references, images, link targets, marks, formulas, code and lines that are no prose."""
-    x = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?ims)^#*[ \t]*references[ \t]*$.*", "")
-    for pattern, put in ((r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\*\*|__", ""), (r"\$\$?[^$]*\$\$?", " "), (r"`[^`]*`", " ")):
-        x = F.regexp_replace(x, pattern, put)
-    alnum = lambda s: F.length(F.regexp_replace(s, r"[^\p{L}\p{N}]", ""))
-    skip = lambda s: s.rlike(r"^[#>*\s-]*$") | s.rlike(r"^(\||\$|\\\[)") | s.rlike(r"\|.*\|") | ((F.length(s) >= 20) & (alnum(s) * 100 < F.length(s) * 45))
-    lines = F.filter(F.transform(F.split(x, "\n"), lambda s: F.btrim(s)), lambda s: ~skip(s))
-    return t(spark, d, "documents").select("doc_id", F.regexp_replace(F.array_join(lines, " "), r"[ \t\r\n\f]+", " ").alias("clean"))
-
-
 def sentences_chunk_rule(spark, d):
     """Sentences by the rule that chunks are packed by."""
     marked = F.regexp_replace("text", r"([.!?])\s+([A-Z0-9$(\\])", "$1\u0001$2")
     return t(spark, d, "documents").select("doc_id", F.size(F.split(marked, "\u0001")).cast("long").alias("sentences"))
 
 
-def tense_ratio(spark, d):
-    """How often `we` stands before a verb and before its past form; each language's ratio, null where neither is found."""
-    w = t(spark, d, "documents").select("lang", "doc_id", F.posexplode(T.terms(F.col("text"))).alias("n", "w"))
-    x = w.withColumn("b", F.lag("w").over(Window.partitionBy("doc_id").orderBy("n")))
-    g = x.groupBy("lang").agg(F.count_if((F.col("b") == "we") & F.col("w").isin(list(TENSES))).alias("present"), F.count_if((F.col("b") == "we") & F.col("w").isin(list(TENSES.values()))).alias("past"))
-    return g.withColumn("ratio", F.when(F.col("past") > 0, F.round(F.col("present") / F.col("past"), 6)))
-
-
-def _paragraphs(spark, d):
-    p = t(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", r"\n[ \t\r\f]*\n")).alias("n", "p"))
-    p = p.withColumn("p", F.btrim("p")).where(~F.col("p").rlike(r"^(#|\||>|- |\* )"))
-    return p.withColumn("w", F.transform(T.words(F.col("p")), lambda w: F.lower(w))).where(F.size("w") >= 8)
-
-
-def paragraph_stats(spark, d):
-    """Paragraphs of eight words and more, their words and the longest."""
-    return _paragraphs(spark, d).groupBy("conv_id").agg(F.count("*").alias("paragraphs"), F.sum(F.size("w")).alias("words"), F.max(F.size("w")).cast("long").alias("longest"))
-
-
-def opening_types(spark, d):
-    """Paragraphs by how they open: the first that holds of connective, anaphora, locative, display, other."""
-    three = F.array_join(F.slice("w", 1, 3), " ")
-    starts = lambda xs: three.rlike("^(" + "|".join(xs) + ")")
-    kind = F.when(starts(OPENERS), "connective").when(F.get("w", 0).isin(ANAPHORA), "anaphora").when(starts(LOCATIVE), "locative").when(F.get("w", 0).isin("table", "figure", "algorithm"), "display").otherwise("other")
-    return _paragraphs(spark, d).select(kind.alias("opening")).groupBy("opening").agg(F.count("*").alias("n"))
-
-
 def hyphen_normalise(spark, d):
     return t(spark, d, "documents").select("doc_id", F.translate("text", "‐‑­", "--").alias("text"))
 
@@ -104,19 +52,9 @@ def byte_shards(spark, d):
     return C.byte_shards(t(spark, d, "documents").select("doc_id", "text"), "doc_id", F.octet_length("text"), 1 << 20).select("doc_id", "shard")
 
 
-_W = "p as (select conv_id, unnest(regexp_split_to_array(text, '\\n[ \\t\\r\\f]*\\n')) as p from conversations), w as (select conv_id, list_transform(regexp_extract_all(trim(p), '[A-Za-z'']+'), lambda x: lower(x)) as w from p where not regexp_matches(trim(p), '^(#|\\||>|- |\\* )')), q as (select * from w where len(w) >= 8)"
-_in = lambda xs: ", ".join(f"'{x}'" for x in xs)
-_starts = lambda xs: "regexp_matches(array_to_string(w[1:3], ' '), '^(" + "|".join(xs) + ")')"
 _SQUEEZED = "trim(regexp_replace(text, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
-_CHAIN = "coalesce(text, '')"
-for _p, _put, _flags in ((r"^#*[ \t]*references[ \t]*$.*", "", "(?ims)"), (r"!\[[^\]]*\]\([^)]*\)", " ", ""), (r"\[([^\]]*)\]\([^)]*\)", r"\1", ""), (r"\*\*|__", "", ""), (r"\$\$?[^$]*\$\$?", " ", ""), (r"`[^`]*`", " ", "")):
-    _CHAIN = f"regexp_replace({_CHAIN}, '{_flags}{_p}', '{_put}', 'g')"
 ORACLES = {
-    "text_clean": f"select doc_id, regexp_replace(array_to_string(list_filter(list_transform(string_split({_CHAIN}, chr(10)), lambda s: trim(s)), lambda s: not (regexp_matches(s, '^[#>*\\s-]*$') or regexp_matches(s, '^(\\||\\$|\\\\\\[)') or regexp_matches(s, '\\|.*\\|') or (length(s) >= 20 and length(regexp_replace(s, '[^\\p{{L}}\\p{{N}}]', '', 'g')) * 100 < length(s) * 45))), ' '), '[ \\t\\r\\n\\f]+', ' ', 'g') as clean from documents",
     "sentences_chunk_rule": "select doc_id, len(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9$(\\\\])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) as sentences from documents",
-    "tense_ratio": f"with w as (select lang, doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w, generate_subscripts(regexp_extract_all(lower(text), '[a-z0-9]+'), 1) as n from documents), x as (select lang, w, lag(w) over (partition by doc_id order by n) as b from w), g as (select lang, count(*) filter (b = 'we' and w in ({_in(TENSES)})) as present, count(*) filter (b = 'we' and w in ({_in(TENSES.values())})) as past from x group by 1) select *, case when past > 0 then round(present / past, 6) end as ratio from g",
-    "paragraph_stats": f"with {_W} select conv_id, count(*) as paragraphs, sum(len(w))::bigint as words, max(len(w)) as longest from q group by 1",
-    "opening_types": f"with {_W} select case when {_starts(OPENERS)} then 'connective' when w[1] in ({_in(ANAPHORA)}) then 'anaphora' when {_starts(LOCATIVE)} then 'locative' when w[1] in ('table', 'figure', 'algorithm') then 'display' else 'other' end as opening, count(*) as n from q group by 1",
     "hyphen_normalise": "select doc_id, translate(text, '‐‑­', '--') as text from documents",
     "gate_classify": f"select doc_id, case when text = {_SQUEEZED} then 'same' when regexp_replace(text, '[ \\t\\r\\n\\f]', '', 'g') = replace({_SQUEEZED}, ' ', '') then 'whitespace' else 'unexpected' end as verdict from documents",
     "byte_shards": "select doc_id, ((sum(strlen(text)) over (order by doc_id) - strlen(text)) // 1048576)::bigint as shard from documents",
