@@ -17,14 +17,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is named (tests)."""
+    """The folder that driver and executors share. Only in local mode, where they are one process, a temporary one is set where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-textloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+BROADCAST_ROWS = 200_000  # rows of a few numbers each that every task may hold
+
+
+def near(few: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A frame of a few numbers a row, marked for broadcast if it has `most` rows or fewer (they are counted); a larger one is joined by a shuffle."""
+    return F.broadcast(few) if few.count() <= most else few
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage. They go when dropped or when the driver ends."""
 
@@ -72,6 +83,20 @@ def by_bytes(blobs: list[bytes], most: int = 1 << 20):
         yield start, len(blobs)
 
 
+def free_prefix(df: DataFrame, prefix: str = "_") -> str:
+    """A prefix that no column of the frame begins with."""
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def slices(batches, rows: int = 512):
+    """Record batches in smaller pieces, so that few texts are held as Python objects at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -85,7 +110,7 @@ def in_batches(df: DataFrame, out: T.StructType, rows_of) -> DataFrame:
 
     def run(batches):
         target = arrow_schema(spark_schema)
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0)
             blobs = batch.column(1).to_pylist()
             for a, b in by_bytes(blobs):
