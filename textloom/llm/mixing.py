@@ -107,6 +107,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents taken, with their own columns; one of no tokens is left out."""
-    taken = mix(leveled(docs), Scratch(spark, "mixing")).where("copies > 0").select("doc_id")
-    return docs.join(taken, "doc_id", "left_semi").select(*docs.columns)
+    """The documents taken, with their own columns; one of no tokens is left out. Rows that share a doc_id, or have none, are taken if one of them is, those with tokens."""
+    taken = mix(leveled(docs), Scratch(spark, "mixing")).where("copies > 0").select(F.col("doc_id").alias("_taken")).distinct()
+    return docs.where(tokens_of(F.col("text")) > 0).join(taken, F.col("doc_id").eqNullSafe(F.col("_taken")), "left_semi").select(*docs.columns)

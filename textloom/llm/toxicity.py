@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_schema, by_bytes, documents
+from .shared import arrow_schema, documents, free_prefix, slices
 
 SAMPLE = 3000  # labelled documents a class
 MIN_DOCS = 8
@@ -282,28 +282,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     return field
 
 
-def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, field: Field, text: str = "text", prefix: str = "") -> DataFrame:
     """docs with `score` (0 to 1) and `toxic_spans` (start, end, marginal of each word that is toxic by 0.5 or more).
 
     A null or empty text has no span and the score of no evidence. Repeated rows and rows without a doc_id are scored each. An empty
-    frame gives an empty result. Columns with these names are replaced.
+    frame gives an empty result. Columns with these names are replaced; `prefix` goes before them.
     """
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("p", T.DoubleType())]))
-    held = [f for f in docs.schema.fields if f.name not in ("score", "toxic_spans")]
-    out = T.StructType([*held, T.StructField("score", T.DoubleType()), T.StructField("toxic_spans", span)])
+    held = [f for f in docs.schema.fields if f.name not in (f"{prefix}score", f"{prefix}toxic_spans")]
+    out = T.StructType([*held, T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}toxic_spans", span)])
     docs = docs.select(*[F.col(f"`{f.name}`") for f in held])
     shared = docs.sparkSession.sparkContext.broadcast(field)  # at most FEATURES weights
 
     def run(batches):
         schema, model = arrow_schema(out), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = [x or "" for x in batch.column(batch.schema.names.index(text)).to_pylist()]
             scores, spans = [], []
             for t in texts:
                 found = model.spans(t)
                 scores.append(model.scored(*model.summed(found)))
                 spans.append([{"start": a, "end": b, "p": q} for a, b, q in found if q >= 0.5])
-            columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, schema.field("toxic_spans").type)]
+            columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, schema.field(f"{prefix}toxic_spans").type)]
             yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, schema.types)], schema=schema)
 
     return docs.mapInArrow(run, out)
@@ -321,4 +321,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, with their own columns; each of repeated rows is judged by its own text."""
     field = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, field).where("score < 0.5").select(*docs.columns)
+    prefix = free_prefix(docs)
+    return score(docs, field, prefix=prefix).where(F.col(f"{prefix}score") < 0.5).select(*docs.columns)
