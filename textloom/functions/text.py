@@ -69,9 +69,9 @@ def plain_sentences(text: Column, least_words: int = 3) -> Column:
 
 
 def normalize_doi(raw: Column) -> Column:
-    """The bare lower-case DOI of a URL, a doi: form or a plain one."""
-    bare = F.regexp_replace(F.trim(raw), r"(?i)^https?://[^/]+/", "")
-    return F.lower(F.url_decode(F.regexp_replace(bare, r"(?i)^doi:\s*", "")))
+    """The bare lower-case DOI of a URL, a doi: form or a plain one, percent signs decoded."""
+    bare = F.regexp_replace(F.btrim(raw), r"(?i)^https?://[^/?#]*/*([^?#]*).*$", "$1")
+    return F.lower(F.url_decode(F.regexp_replace(bare, r"(?i)^doi:", "")))
 
 
 def doi_id(doi: Column) -> Column:
@@ -79,7 +79,24 @@ def doi_id(doi: Column) -> Column:
 
 
 def valid_doi(doi: Column) -> Column:
-    return doi.rlike(r"^10\.\d{4,9}/.")
+    return doi.rlike(r"^10\.[0-9]{4,9}/.")
+
+
+def unversioned(name: Column) -> Column:
+    """An id without the version at its end, _v2 or v2."""
+    return F.regexp_replace(name, r"_?v[0-9]+$", "")
+
+
+def year_of(created: Column) -> Column:
+    """The year that a time written as text begins with, null if there is none."""
+    return F.nullif(F.left(created, F.lit(4)).try_cast("long"), F.lit(0))
+
+
+def sniffed(data: Column, declared: Column) -> Column:
+    """tex of a gzip head, pdf of a PDF head or declared type; small under 500 bytes, else unexpected."""
+    head = F.hex(F.substring(data, 1, 4))
+    kind = F.when(head.startswith("1F8B"), "tex").when(declared.contains("pdf") | (head == "25504446"), "pdf").otherwise("unexpected")
+    return F.when(F.octet_length(data) < 500, "small").otherwise(kind)
 
 
 #: Section buckets by the beginning of a heading, in order.

@@ -19,11 +19,6 @@ def train_filter_earliest(spark, d):
     return o.select("o_orderkey", (F.row_number().over(w) == 1).cast("int").alias("train_include"))
 
 
-def latest_version(spark, d):
-    e = t(spark, d, "events").groupBy("user_id", "event_type")
-    return e.agg(F.max(F.struct("ts", "event_id")).alias("m")).select("user_id", "event_type", F.col("m.event_id").alias("event_id"))
-
-
 def dedup_keep_first(spark, d):
     x = t(spark, d, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("h"))
     return x.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
@@ -108,43 +103,11 @@ def failure_streaks(spark, d):
     return runs.groupBy("user_id").agg(F.max("n").alias("longest"))
 
 
-def ttl_dedup(spark, d):
-    """Events whose user had the same event less than 30 minutes before are answered from the cache."""
-    w = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
-    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag(F.col("ts").cast("timestamp")).over(w))
-    return t(spark, d, "events").select("event_id", F.coalesce(gap < 1800 * 1000000, F.lit(False)).alias("cached"))
-
-
 def latest_state(spark, d):
     x = t(spark, d, "events").groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type")).alias("m"), F.count("*").alias("n"))
     return x.select("user_id", F.col("m.event_type").alias("state"), "n")
 
 
-def heartbeat_window(spark, d):
-    """Events a day, with a stall flag where less than half of the day before came."""
-    day = t(spark, d, "events").groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(F.year("day")).orderBy("day")
-    return day.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", F.coalesce(F.col("n") * 2 < F.lag("n").over(w), F.lit(False)).alias("stall"))
-
-
-def route_queue(spark, d):
-    """Documents and labels by full outer join, routed by priority, with counts and sizes."""
-    x = t(spark, d, "documents").select("doc_id", "lang", "n_chars").join(t(spark, d, "labels").select("doc_id", "quality", "toxic"), "doc_id", "full")
-    route = F.when(F.col("toxic") == 1, "quarantine").when(F.col("quality") == 1, "train").when(F.col("quality") == 0, "repair").when(F.col("lang") == "en", "label").otherwise("none")
-    return x.groupBy(route.alias("route")).agg(F.count("*").alias("papers"), F.round(F.sum("n_chars") / 1e6, 3).alias("mb"))
-
-
-def parse_ledger(spark, d):
-    x = t(spark, d, "documents").select("doc_id", "n_chars", "source").join(t(spark, d, "labels"), "doc_id", "left")
-    state = F.when(F.col("quality").isNull(), "no-md").when(F.col("quality") == 1, "parsed").otherwise("failed")
-    return x.select("doc_id", state.alias("state"), F.when(F.col("quality") == 0, F.concat(F.lit("other:"), F.left("source", F.lit(50)))).alias("failure"))
-
-
-def source_coalesce(spark, d):
-    x = t(spark, d, "documents").select("doc_id", "lang", F.col("n_chars").alias("a")).join(t(spark, d, "labels").select("doc_id", (F.col("quality") * 100).cast("long").alias("b")), "doc_id", "full")
-    return x.select("doc_id", F.coalesce("b", "a", F.lit(0)).alias("value"), F.coalesce("lang", F.lit("en")).alias("lang"))
-
-
 def status_tallies(spark, d):
     return t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("high"), F.count_distinct("user_id").alias("users"))
 
@@ -171,7 +134,6 @@ def seeded_sample_sources(spark, d):
 
 ORACLES = {
     "train_filter_earliest": "select o_orderkey, (row_number() over (partition by o_custkey order by coalesce(o_orderdate, timestamp '9999-01-01'), o_orderkey) = 1)::int as train_include from orders",
-    "latest_version": "select user_id, event_type, event_id from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1",
     "dedup_keep_first": "select sha256(text) as h, min(doc_id) as doc_id, count(*) as copies from documents group by 1",
     "resume_anti": "select doc_id, lang from documents where doc_id not in (select doc_id from labels)",
     "upsert_last_wins": "with n as (select l_orderkey as k, max(l_extendedprice) as v from lineitem where l_linenumber = 1 group by 1) select * from n union all select o_orderkey, o_totalprice from orders where o_orderkey not in (select k from n)",
@@ -187,12 +149,7 @@ ORACLES = {
     "batch_numbering": "select c_custkey, (row_number() over (order by c_custkey) - 1) // 1000 as batch from customer",
     "rolling_fail_rate": "select event_id, round(avg((event_type = 'error')::int) over w, 6) as rate, count(*) over w = 50 and avg((event_type = 'error')::int) over w > 3e-1 as stop from events window w as (partition by user_id order by ts, event_id rows 49 preceding)",
     "failure_streaks": "with x as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_id) - row_number() over (partition by user_id, event_type order by ts, event_id) as g from events), r as (select user_id, g, count(*) as n from x where event_type = 'error' group by all) select user_id, max(n) as longest from r group by 1",
-    "ttl_dedup": "select event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id, event_type order by ts, event_id)) < 1800000000, false) as cached from events",
     "latest_state": "select user_id, arg_max(event_type, (ts, event_id)) as state, count(*) as n from events group by 1",
-    "heartbeat_window": "with x as (select date_trunc('day', ts) as day, count(*) as n from events group by 1) select strftime(day, '%Y-%m-%d') as day, n, coalesce(n * 2 < lag(n) over (partition by year(day) order by day), false) as stall from x",
-    "route_queue": "select case when toxic = 1 then 'quarantine' when quality = 1 then 'train' when quality = 0 then 'repair' when lang = 'en' then 'label' else 'none' end as route, count(*) as papers, round(sum(n_chars) / 1e6, 3) as mb from documents full join labels using (doc_id) group by 1",
-    "parse_ledger": "select doc_id, case when quality is null then 'no-md' when quality = 1 then 'parsed' else 'failed' end as state, case when quality = 0 then concat('other:', left(source, 50)) end as failure from documents left join labels using (doc_id)",
-    "source_coalesce": "select doc_id, coalesce(quality * 100, n_chars, 0)::bigint as value, coalesce(lang, 'en') as lang from documents full join labels using (doc_id)",
     "status_tallies": "select event_type, count(*) as n, count(*) filter (value > 50) as high, count(distinct user_id) as users from events group by 1",
     "union_top_keys": "with w as (select lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w from documents where lang in ('en', 'de')), c as (select lang, w, count(*) as n from w group by all), r as (select w, row_number() over (partition by lang order by n desc, w) + case when lang = 'en' then 0 else 25 end as o, row_number() over (partition by lang order by n desc, w) as k from c) select w, min(o) as o from r where k <= 25 group by 1 order by o limit 25",
     "overfetch_cap": "select vec_id, label, row_number() over (partition by label order by vec_id) as rn from embeddings qualify rn <= 3",

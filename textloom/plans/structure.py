@@ -24,13 +24,6 @@ def hyphen_normalise(spark, d):
     return t(spark, d, "documents").select("doc_id", F.translate("text", "‐‑­", "--").alias("text"))
 
 
-def gate_classify(spark, d):
-    """Each document against its first line's copy with white space collapsed: same, whitespace, or unexpected."""
-    squeezed = F.btrim(F.regexp_replace("text", r"[ \t\r\n\f]+", " "))
-    verdict = F.when(F.col("text") == squeezed, "same").when(F.regexp_replace("text", r"[ \t\r\n\f]", "") == F.replace(squeezed, F.lit(" "), F.lit("")), "whitespace").otherwise("unexpected")
-    return t(spark, d, "documents").select("doc_id", verdict.alias("verdict"))
-
-
 def chunk_ids(spark, d):
     """The signed 63-bit id of each document's first chunk name."""
     return t(spark, d, "documents").select("doc_id", C.fnv_id(F.concat(F.col("doc_id").cast("string"), F.lit("#c000"))).alias("id"))
@@ -52,11 +45,9 @@ def byte_shards(spark, d):
     return C.byte_shards(t(spark, d, "documents").select("doc_id", "text"), "doc_id", F.octet_length("text"), 1 << 20).select("doc_id", "shard")
 
 
-_SQUEEZED = "trim(regexp_replace(text, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
 ORACLES = {
     "sentences_chunk_rule": "select doc_id, len(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9$(\\\\])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) as sentences from documents",
     "hyphen_normalise": "select doc_id, translate(text, '‐‑­', '--') as text from documents",
-    "gate_classify": f"select doc_id, case when text = {_SQUEEZED} then 'same' when regexp_replace(text, '[ \\t\\r\\n\\f]', '', 'g') = replace({_SQUEEZED}, ' ', '') then 'whitespace' else 'unexpected' end as verdict from documents",
     "byte_shards": "select doc_id, ((sum(strlen(text)) over (order by doc_id) - strlen(text)) // 1048576)::bigint as shard from documents",
     "stream_ingest": "select event_id, user_id, event_type from events",
 }
