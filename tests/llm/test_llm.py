@@ -1,17 +1,21 @@
 """The numbered operators on small frames: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns; brute force and round trips."""
 
 import collections
+import gzip
 import hashlib
+import io
 import random
 import re
 import struct
+import time
+import zipfile
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, licenses, media, mixing, pieces, quality, range_coder, sharding, similarity, token_files, toxicity
+from textloom.llm import chat, licenses, media, mixing, pieces, quality, range_coder, sharding, similarity, token_files, toxicity, words
 from textloom.llm.shared import Scratch, keyed_text
 
 SF = "/root/testdata/sf0.001"
@@ -172,29 +176,130 @@ def test_components_of_shuffled_chains(spark):
     assert similarity.components(found.select("doc_id", F.col("component").alias("x"), F.col("doc_id").alias("y")).limit(0), Scratch(spark, "t"), "c").count() == 0
 
 
-def test_postings_lose_no_link():
+def test_words_have_different_hashes():
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a  # one hash as polynomials modulo 2^64
+    rng = random.Random(2)
+    some = {a, b, *("".join(rng.choice("ab") for _ in range(rng.randint(1, 40))) for _ in range(3000)), "abcdefgh", "abcdefgh\0", "x" * (1 << 21)}
+    h, limits = words.word_hashes([w.encode() for w in sorted(some)])
+    assert len(set(h.tolist())) == len(some) and list(np.diff(limits)) == [1] * len(some)
+    same, _ = words.word_hashes([f" {w}\t".encode() for w in sorted(some)] + [b"ABCDEFGH"])
+    assert list(same) == [*h, h[sorted(some).index("abcdefgh")]]
+
+
+def test_similar_sets_meet_in_a_signature():
+    """Any mix of rare and frequent tokens, sizes on both sides of every limit of class numbers; and no pair is lost by sizes and places."""
     rng = np.random.default_rng(1)
-    for _ in range(300):
-        n = int(rng.integers(1, 60))
-        x = rng.choice(10_000, n, replace=False)
-        y = x[rng.random(n) > 0.08]
-        if 100 * len(y) >= 85 * n:
-            assert similarity.needed(n) <= len(y)
+    counters = np.where(np.arange(1 << 10) % 3 > 0, 1000, 0).astype("<u4")
+    met = 0
+    for n in [*range(1, 40), 54, 63, 64, 70, 218, 255, 256, 300, 900, 1024, 1100, 2500] * 3:
+        for share in (0.0, 0.5, 1.0):
+            pool = rng.integers(0, 1 << 62, 4 * n + 60, dtype=np.uint64)
+            often = counters[(pool & np.uint64(1023)).astype(int)] > 0
+            pool = np.unique(np.concatenate([pool[often][: int(share * 2 * n) + 1], pool[~often][: int((1 - share) * 2 * n) + 1]]))
+            s = rng.permutation(pool)[:n]
+            most = n - similarity.needed(n)
+            lost = int(rng.integers(0, most + 1))
+            y = np.unique(np.concatenate([s[lost:], rng.integers(0, 1 << 62, int(rng.integers(0, most + 1)), dtype=np.uint64)]))
+            s, same = np.unique(s), len(np.intersect1d(s, y))
+            if 100 * same < 85 * (len(s) + len(y) - same):
+                continue
+            met += 1
+            one, two = (similarity.signatures(z, counters, 0) for z in (s, y))
+            left = dict(zip(one[0].tolist(), one[1].tolist()))
+            shared = [(left[k], m) for k, m in zip(two[0].tolist(), two[1].tolist()) if k in left]
+            assert any(100 * min(p) >= 85 * (len(s) + len(y) - min(p)) for p in shared), (n, share)
+            if share == 1.0 and len(s) > 40:
+                assert len(one[0]) <= len(s)  # combinations stay in proportion to the set
+    assert met > 200
+
+
+def test_similarity_of_odd_rows(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base.replace("w30", "x"), " ".join(f"v{i}" for i in range(50))
+    rows = [(5, base), (9, near), (5, base), (None, base), (None, None), (7, None), (8, ""), (4, other), (6, other), (6, base + " tail"), (1, "one two"), (2, "ONE two"), (3, "two one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rep", F.lit(1)).withColumn("key", F.lit("k"))
+    got = sorted(((r.doc_id is None, r.doc_id or 0), r.n_shingles, r.component_id) for r in similarity.join_classes(frame).collect())
+    want = [(5, 57, 4), (9, 57, 4), (7, 0, 7), (8, 0, 8), (4, 47, 4), (6, 47, 4), (6, 58, 4), (1, 1, 1), (2, 1, 1), (3, 1, 3)]  # 6 has rows in two groups, which are one by it
+    assert got == sorted([((False, d), n, c) for d, n, c in want] + [((True, 0), 57, None), ((True, 0), 0, None)])
+    kept = similarity.stage(spark, frame.select("doc_id", "text", "key"), "")
+    assert kept.columns == ["doc_id", "text", "key"]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text is None) for r in kept.collect()) == [(False, 1, False), (False, 3, False), (False, 4, False), (False, 7, True), (False, 8, False), (True, 0, False), (True, 0, True)]
+    assert similarity.join_classes(frame.limit(0)).count() == 0 and similarity.stage(spark, frame.limit(0), "").count() == 0
+
+
+def test_similarity_of_long_lists(spark, monkeypatch):
+    """Lists dealt in pieces with hubs of their own, and blocks of two pieces at last, give the same classes."""
+    rng = random.Random(8)
+    texts = []
+    for group in range(6):
+        common = [f"g{group}w{i}" for i in range(40)]
+        for _ in range(40):
+            w = common + [f"u{rng.randrange(10**6)}" for _ in range(rng.choice((0, 1, 2, 12)))]
+            texts.append(" ".join(w))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [brute_shingles(t) for t in texts]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    for name, value in (("FREQUENT", 5), ("PIECE", 7), ("HUBS", 1), ("BLOCK", 3)):
+        monkeypatch.setattr(similarity, name, value)
+    assert {r.doc_id: r.component_id for r in similarity.join_classes(frame).collect()} == dict(enumerate(label))
+
+
+CALLS = "conv_id long, turn long, call_id string, parents array<string>, tool string, args string"
 
 
 def test_chat(spark):
-    c = spark.createDataFrame(
-        [(1, 0, "a", None, "lookup", {"query": "q\"é", "limit": "2"}), (1, 2, "b", "a", "lookup", {"limit": "0"}), (1, 4, "c", "b", "fly", {}), (1, 6, "d", "e", "note", {"text": "t"}), (1, 8, "e", "d", "note", {"text": "", "z": "1"}), (2, 0, "x", None, "note", {"text": "t"}), (2, 1, "x", None, "note", {"text": "t"}), (None, None, None, None, None, None)],
-        "conv_id long, turn long, call_id string, parent_id string, tool string, args map<string,string>",
-    )
+    rows = [(1, 0, "a", None, "lookup", '{"query": "q\\"é", "limit": 2}'), (1, 2, "b", ["a"], "lookup", '{"limit": 0}'), (1, 4, "c", ["b"], "fly", "{}"), (1, 6, "d", ["e"], "note", '{"text": "t"}'), (1, 8, "e", ["d"], "note", '{"z": 1, "text": ""}')]
+    rows += [(2, 0, "x", None, "note", '{"text": "t"}'), (2, 1, "x", None, "note", '{"text": "t"}'), (None, None, None, None, None, None), (3, 0, "n", ["gone"], "note", "no json"), (3, 1, "m", ["n"], "note", "[1]"), (3, 2, "o", [], "lookup", '{"query": 1, "limit": 1.5}')]
+    c = spark.createDataFrame(rows, CALLS).withColumn("depth", F.lit("clash")).withColumn("json", F.lit(1)).select(*[x.split()[0] for x in CALLS.split(", ")])
     r = spark.createDataFrame([("a", 1, "first"), ("a", 3, "late"), ("x", 2, "r")], "call_id string, turn long, content string")
     got = {(x.call_id, x.turn): x for x in chat.format_calls(c, r, Scratch(spark, "t")).collect()}
     assert got["a", 0].json == '{"arguments":{"limit":2,"query":"q\\"é"},"id":"a","name":"lookup","result":"first","turn":0}'
-    assert [got["a", 0].depth, got["b", 2].depth, got["c", 4].depth, got["d", 6].depth] == [0, 1, 2, None]
-    assert got["b", 2].problems == "bad:limit,missing:query" or got["b", 2].problems == "missing:query,bad:limit"
-    assert got["c", 4].problems == "unknown-tool" and "unknown-argument" in got["e", 8].problems
-    assert got["x", 0].status == "repeated-id" and got["d", 6].status == "no-result" and len(got) == 8
+    assert [got["a", 0].depth, got["b", 2].depth, got["c", 4].depth, got["d", 6].depth, got["n", 0].depth, got["m", 1].depth] == [0, 1, 2, None, 0, 1]
+    assert got["b", 2].problems == "bad:limit,missing:query" and got["c", 4].problems == "unknown-tool" and got["e", 8].problems == "bad:text,unknown-argument"
+    assert got["n", 0].problems == "bad-json" and '"arguments":"no json"' in got["n", 0].json and got["m", 1].problems == "bad-arguments" and got["o", 2].problems == "bad:limit,bad:query"
+    assert got["x", 0].status == "repeated-id" and got["d", 6].status == "no-result" and len(got) == len(rows)
     assert sorted(x.position for k, x in got.items() if x.conv_id == 1) == [1, 2, 3, 4, 5]
+    assert chat.format_calls(c.limit(0), r.limit(0), Scratch(spark, "t")).count() == 0
+
+
+def test_chat_schemas(spark):
+    schema = {"type": "object", "required": ["tags"], "properties": {"tags": {"type": "array", "minItems": 1, "items": {"type": "string", "maxLength": 3}}, "mode": {"enum": ["a", 2, None]}, "on": {"type": "boolean"},
+              "at": {"type": "object", "required": ["x"], "additionalProperties": False, "properties": {"x": {"type": "number", "maximum": 1}, "deep": {"type": "array", "items": {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer"}}}}}}}}
+    cases = {'{"tags": ["ab", "c"], "free": {"b": [1, {"z": 1, "a": null}], "a": 0.5}}': "", "{}": "missing:tags", '{"tags": []}': "bad:tags", '{"tags": ["long"]}': "bad:tags", '{"tags": [1]}': "bad:tags", '{"tags": null}': "bad:tags",
+             '{"tags": ["a"], "mode": null, "on": true}': "", '{"tags": ["a"], "mode": "b", "on": "true"}': "bad:mode,bad:on", '{"tags": ["a"], "at": {"x": 1.5, "y": 1}}': "bad:at.x,unknown-argument",
+             '{"tags": ["a"], "at": {"deep": [{"k": 1}, {"k": "1"}]}}': "bad:at.deep,missing:at.x", '{"tags": ["a"], "at": {"x": -2, "deep": [{"k": 1.0}]}}': "", '{"tags": ["a"], "at": []}': "bad:at"}
+    c = spark.createDataFrame([(1, i, str(i), None, "t", args) for i, args in enumerate(cases)], CALLS)
+    got = {r.turn: r for r in chat.format_calls(c, spark.createDataFrame([], "call_id string, turn long, content string"), Scratch(spark, "t"), {"t": schema}).collect()}
+    for i, (args, want) in enumerate(cases.items()):
+        assert got[i].problems == want, args
+    assert '"arguments":{"free":{"a":0.5,"b":[1,{"a":null,"z":1}]},"tags":["ab","c"]}' in got[0].json
+
+
+def test_chat_depths(spark):
+    rng, parents = random.Random(4), {}
+    for i in range(400):  # chains, trees and joins
+        parents[str(i)] = [str(i - 1)] if i and i < 120 else [str(rng.randrange(i)) for _ in range(rng.choice((0, 1, 1, 2, 3)))] if i else []
+    parents |= {"c1": ["c2"], "c2": ["c1"], "c3": ["c1", "5"], "c4": ["c3"], "s": ["s"], "u": ["nowhere", "7"]}
+    depth = {}
+
+    def longest(c, on=()):
+        if c in on:
+            return None
+        if c not in depth:
+            ups = [longest(p, (*on, c)) for p in parents[c] if p in parents]
+            depth[c] = None if None in ups else max(ups, default=-1) + 1
+        return depth[c]
+
+    want = {c: longest(c) for c in parents}
+    frame = spark.createDataFrame([(c, p or None) for c, p in parents.items()] + [(None, ["1"])], "call_id string, parents array<string>")
+    assert {r.call_id: r.depth for r in chat.depths(frame, Scratch(spark, "t")).collect()} == want
 
 
 def test_chat_every_message(spark):
@@ -215,12 +320,25 @@ def test_range_coder_round_trips():
     rng = np.random.default_rng(0)
     for ids in (np.zeros(0), np.arange(1), np.zeros(5000), rng.integers(0, 49408, 4000), rng.integers(0, 3, 7777), np.tile([5, 9, 400, 65535], 3000)):
         ids = ids.astype(np.int64)
-        blocks = range_coder.encode_blocks(ids)
-        assert list(np.concatenate([*range_coder.decode_blocks(blocks), np.zeros(0)])) == list(ids)
-    block = bytearray(range_coder.encode_blocks(rng.integers(0, 49408, 500))[0])
+        for size in (range_coder.BLOCK, 100):
+            head, blocks = range_coder.encode_blocks(ids, size)
+            assert list(np.concatenate([*range_coder.decode_blocks(head, blocks), np.zeros(0)])) == list(ids)
+            if blocks:  # each block by itself
+                assert list(range_coder.decode_blocks(head, blocks[-1:])[0]) == list(ids[(len(blocks) - 1) * size :])
+    head, blocks = range_coder.encode_blocks(rng.integers(0, 49408, 500))
+    block = bytearray(blocks[0])
     block[40] ^= 1
     with pytest.raises(ValueError):
-        range_coder.decode_blocks([bytes(block)])
+        range_coder.decode_blocks(head, [bytes(block)])
+
+
+def test_range_coder_mixes_its_predictions():
+    rng = np.random.default_rng(1)
+    bits = lambda ids: 8 * sum(map(len, range_coder.encode_blocks(np.array(ids, np.int64))[1])) / len(ids)
+    loop = list(rng.permutation(40)) * 100  # each id names the next one: order 1
+    twice = [x for i in range(3000) for x in ((1, 2, 30 + i % 2) if i % 2 else (3, 2, 60))]  # what follows 2 depends on what stood before it: order 2
+    skewed = np.minimum(rng.geometric(0.5, 20000), 200)  # no context helps: order 0, 2 bits an id
+    assert bits(loop) < 2 and bits(twice) < 1 and 1.9 < bits(skewed) < 2.3 and bits(rng.integers(0, 256, 40000)) < 8.6
 
 
 def test_token_files(spark, docs):
@@ -231,9 +349,23 @@ def test_token_files(spark, docs):
     frames = token_files.write(docs, path, Scratch(spark, "t"), parts=3)
     got = {r.doc_id: r for r in token_files.read(frames).collect()}
     tok = Tokenizer.from_file(path)
+    start = 0
     for i, t in enumerate(texts()):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
         assert got[i].n_tokens == len(ids) and got[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    order = [(r.part, r.frame, r["first"]) for r in sorted(got.values(), key=lambda r: r.doc_id)]
+    assert order == sorted(order)  # files hold the documents in ascending order
+    for frames_of in (None, 60):  # one frame a file, and many
+        rows = token_files.placed(token_files.write(docs, path, Scratch(spark, "t"), parts=3, frame_ids=frames_of or token_files.FRAME)).orderBy("doc_id").collect()
+        start = 0
+        for r in rows:
+            assert r.start == start and r.n_tokens == got[r.doc_id].n_tokens and r.ids_crc32 == got[r.doc_id].ids_crc32
+            start += r.n_tokens
+        assert len(rows) == len(texts())
+    assert token_files.placed(token_files.write(docs.limit(0), path, Scratch(spark, "t"))).count() == 0
+    odd = spark.createDataFrame([(None, "b"), (4, None), (4, "a"), (None, "a"), (-3, "x")], "doc_id long, text string").withColumn("part", F.lit(7)).withColumn("frame", F.lit("x"))
+    rows = token_files.placed(token_files.write(odd, path, Scratch(spark, "t"))).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, None, -3, 4, 4] and rows[0].ids_crc32 == zlib.crc32(np.array(tok.encode("a", add_special_tokens=False).ids + [2], "<u4").tobytes())
 
 
 def test_words_encode_as_whole_texts():
@@ -260,7 +392,45 @@ def test_media():
     gif = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0x80, 0, 0) + b"\0" * 6 + b"," + b"\0" * 9 + b"\x02\x02L\x01\0;"
     mixed = b"RIFF GIF89a junk BM" + gif + b" text " + media.to_png(media.payload(b"x")) + b"%PDF-1.4 no end"
     assert [k for k, _ in media.carve(mixed)] == ["image/gif", "image/png"] and media.sniff(b"") == []
-    assert media.look(b"nothing")[5] is None
+    assert media.look(b"nothing")[5] is None and media.look(b"nothing", "text/plain")[5] == "text/plain"
+    wav = media.to_wav(media.payload(b"abc"))
+    assert media.look(wav + b"tail", "image/png")[5] == "audio/wav" and media.look(wav + b"tail")[8] == 4
+
+
+def test_media_end_marks():
+    pdf = b"%PDF-1.4 a startxref 1 %%EOF more startxref 2 %%EOF"
+    assert media.sniff(pdf + b" " + pdf) == [(0, len(pdf), "application/pdf"), (len(pdf) + 1, len(pdf), "application/pdf")]
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("a", "x" * 50)
+    outer = io.BytesIO()
+    with zipfile.ZipFile(outer, "w") as z:  # stored as it is, so it holds the inner file's end record
+        z.writestr("b", inner.getvalue())
+        z.writestr("c", "y")
+    assert [(s, k) for s, _, k in media.sniff(outer.getvalue())][0] == (0, "application/zip") and (2, len(outer.getvalue()), "application/zip") in media.sniff(b"--" + outer.getvalue())
+    packed = gzip.compress(random.Random(1).randbytes(100_000))
+    assert media.sniff(b"z" + packed + b"tail") == [(1, len(packed), "application/gzip")]
+    began = time.process_time()
+    for magic in (b"%PDF-", b"PK\x03\x04", b"\x1f\x8b\x08\x00"):
+        assert media.sniff(magic * 200_000) == []
+    assert time.process_time() - began < 10
+
+
+def test_media_report(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "x"), (5, "twice"), (5, "twice"), (5, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("media", F.lit(1)).withColumn("declared", F.lit("q"))
+    got = sorted((r.doc_id is None, r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.media_type, r.declared_type) for r in media.report(frame).collect())
+    want = []
+    for key, text in rows:
+        body = (text or "").encode()
+        data = body + b"\xff" * (-len(body) % 576 or (0 if body else 576))
+        kind, form = ("image/png", media.to_png) if zlib.crc32(data) % 2 == 0 else ("audio/wav", media.to_wav)
+        want.append((key is None, key, len(body), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), len(form(data)), hashlib.sha256(form(data)).hexdigest(), kind, "application/octet-stream"))
+    assert got == sorted(want) and media.report(frame.limit(0)).count() == 0
+    back = media.inspect(media.media(frame)).collect()
+    assert sorted(r.media_sha256 for r in back) == sorted(w[7] for w in want) and {r.media_type for r in back} == {"image/png", "audio/wav"}
+    odd = spark.createDataFrame([(1, "image/gif", b"text"), (2, None, None), (None, "audio/wav", media.to_png(b"a" * 576))], "doc_id long, declared string, media binary")
+    assert [r.media_type for r in media.inspect(odd.coalesce(1)).collect()] == ["image/gif", None, "image/png"] and media.inspect(odd.limit(0)).count() == 0
 
 
 def test_quality_counts():

@@ -1,15 +1,15 @@
 """Adaptive context-mixing range coder for token ids, many independent blocks in step.
 
-A block of ids is coded on its own: its models start empty and a checksum is
-stored beside it. Three predictions are mixed for every id. Order 2 and order 1
-each name the id that last followed the same two ids, or the same one; order 0
-spreads the rest over all ids by adaptive counts of their high parts, with the
-low part spread evenly over the part's ids. The share of the range that each
-prediction gets follows its hits so far in the block. An id is coded in the slot of the
-highest order that names it, so every id has a code at any state.
+A run of ids has a head: its distinct ids from frequent to rare and how often each bucket of them occurs. A block is coded by itself
+with the head: its models are reset to it, and a checksum is stored beside it. Three predictions are mixed for every id.
+Order 0 gives every id a share by adaptive counts of buckets, whose ids share alike. Order 2 and order 1 each put on the id that
+their context names as much as contexts of that confidence have been right so far in the block, and leave the rest to order 0. The weights
+of the three follow how likely each found the ids so far: after every id a weight moves towards its share
+of the mixture's probability. An id's slot is the sum of what all three give it.
 
 numpy works on one position of all blocks of a group at a time, so a group costs
-the same number of array operations as one block.
+the same number of array operations as one block. Both sides compute the mixture by the same sequence of
+floating-point operations on single elements, which IEEE arithmetic makes the same everywhere.
 
 The coder is a 48-bit range coder without carries: low and range are
 kept in 64-bit arrays, and 16 bits go out while the top bits of both ends
@@ -22,17 +22,16 @@ import zlib
 
 import numpy as np
 
-BLOCK = 1024  # ids a block
+BLOCK = 2048  # ids a block
 LANES = 4096  # blocks coded in step
 HASH = 512  # entries of each context table
-HIGH = 256  # high parts of ids
-TOTAL_BITS = 18
-TOTAL = 1 << TOTAL_BITS
-LEAST = 1 << 14  # room that order 0 always keeps, so that each of its slots has a size
-MOST, FEWEST = (1 << 14) - (1 << 8), 32  # between them an order's hits stay
+SINGLE, STEP = 16, 4  # the first buckets have one id; after them, after each STEP buckets the number of ids doubles
+SHARES = 1 << 19  # what order 0 deals out, about
+PRIOR, SEEN = 320.0, 4  # weight of the head's counts, and of an id of the block
+LEVELS = 8  # confidences of a context's entry
+RATE, PACE = 1 / 16, 1 / 32  # of the confidences and the weights
 EDGE, FULL, WORD = 1 << 32, (1 << 48) - 1, 16
 HEAD = 12  # bytes: count, size, crc32
-BYTES = np.uint64(0x0101010101010101)
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -40,86 +39,150 @@ def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a / b).astype(np.int64)
 
 
+class Alphabet:
+    """The ids of a run by rank, and its buckets."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids = ids
+        width = [1] * SINGLE
+        while sum(width) < len(ids):
+            width += [2 * width[-1]] * STEP
+        self.buckets = len(width)
+        self.depth = max(1, (self.buckets - 1).bit_length())
+        self.width = np.array(width + [0] * ((1 << self.depth) - self.buckets), np.int64)
+        self.base = np.cumsum(self.width) - self.width
+        self.bucket = np.repeat(np.arange(len(self.width)), self.width)
+        self.counts = counts
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Alphabet, np.ndarray]:
+        """The alphabet of a run and the run in ranks."""
+        found, place, times = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(found), np.int64)
+        rank[order] = np.arange(len(found))
+        own = cls(found[order].astype("<u4"), np.zeros(0, "<u4"))
+        own.counts = np.bincount(own.bucket[: len(found)], weights=times[order], minlength=len(own.width)).astype("<u4")
+        return own, rank[place]
+
+    def packed(self) -> bytes:
+        return np.array([len(self.ids), len(self.counts)], "<u4").tobytes() + self.ids.tobytes() + self.counts.tobytes()
+
+    @classmethod
+    def unpacked(cls, data: bytes, at: int = 0) -> tuple[Alphabet, int]:
+        """The alphabet that stands at a place, and where it ends."""
+        n, m = (int(x) for x in np.frombuffer(data, "<u4", 2, at))
+        return cls(np.frombuffer(data, "<u4", n, at + 8), np.frombuffer(data, "<u4", m, at + 8 + 4 * n)), at + 8 + 4 * (n + m)
+
+
 class _Models:
-    def __init__(self, lanes: int, low_bits: int):
-        self.lanes, self.low_bits = lanes, low_bits
-        rows = np.arange(lanes)
-        self.base = np.stack([rows, rows + lanes]) * HASH  # order 2's tables, then order 1's
-        self.last = np.full(2 * lanes * HASH, -1, np.int32)
-        self.hits = np.full((2, lanes), 1 << 10, np.int64)  # of 2^14, for orders 2 and 1
-        self.count = np.ones((lanes, HIGH), np.int32)
-        self.counts, self.count_row = self.count.ravel(), rows * HIGH
-        self.cum = np.zeros((lanes, HIGH + 1), np.int32)
-        self.flat, self.row, self.nodes = self.cum.ravel(), rows * (HIGH + 1), rows * 16
+    def __init__(self, lanes: int, alphabet: Alphabet):
+        self.lanes, self.alphabet, self.lane = lanes, alphabet, np.arange(lanes)
+        self.table = np.zeros(2 * lanes * HASH, np.int32)  # order 2's entries, then order 1's: rank and confidence
+        self.base = np.stack([self.lane, self.lane + lanes]) * HASH
+        start = np.array([0.01, 0.25, 0.45, 0.6, 0.7, 0.78, 0.84, 0.9])
+        self.right = np.repeat(np.tile(start, 2), lanes)  # how often entries of an order and a confidence are right
+        self.level = np.stack([self.lane, self.lane + LEVELS * lanes])
+        self.weight = np.full((2, lanes), 0.4)
+        prior = alphabet.counts * (PRIOR / max(1, int(alphabet.counts.sum()))) + 0.05 * (alphabet.width > 0)
+        self.count = np.repeat(prior.astype(np.float32)[:, None], lanes, 1)
+        self.counts = self.count.ravel()
+        self.share = (np.maximum(alphabet.width, 1) / SHARES)[:, None]
+        self.cum = np.zeros((len(alphabet.width) + 1, lanes), np.int64)
+        self.flat = self.cum.ravel()
         self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.at, self.w = np.zeros((2, lanes), np.int64), np.zeros((2, lanes), np.int64)
         self.refresh()
 
     def refresh(self) -> None:
-        """Cumulated order-0 shares from the counts, of 2^14; every part keeps one or more."""
-        n = self.count.sum(1, keepdims=True, dtype=np.float32)
-        share = (self.count * (((1 << 14) - HIGH) / n)).astype(np.int32) + 1
-        share[:, 0] += (1 << 14) - share.sum(1)
-        np.cumsum(share, 1, out=self.cum[:, 1:])
-        self.fresh = False
-
-    def part(self, high: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the slot of a high part begins and ends, scaled to the room left."""
-        at = self.row + high
-        return self.flat[at] * room >> 14, self.flat[at + 1] * room >> 14
-
-    def find(self, inner: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The high part whose slot holds `inner`: the last that begins at or before it, by two steps of sixteen."""
-        if not self.fresh:
-            begins = self.cum[:, :HIGH].astype(np.int16)
-            self.coarse, self.fine, self.fresh = np.ascontiguousarray(begins[:, ::16].T), begins.reshape(-1, 16), True
-        aim = _ratio((np.maximum(inner, 0) + 1 << 14) - 1, room).astype(np.int16)
-        block = (self.coarse <= aim).view(np.int8).sum(0, dtype=np.int8).astype(np.int64) - 1
-        begun = (np.take(self.fine, self.nodes + block, 0) <= aim[:, None]).view(np.uint64) * BYTES >> np.uint64(56)
-        high = block * 16 + (begun[:, 0] + begun[:, 1]).astype(np.int64) - 1
-        return high, *self.part(high, room)
+        """Order 0's shares from the counts: of each id of a bucket, and where each bucket's begin."""
+        total = self.count.sum(0, dtype=np.float64)
+        self.each = np.maximum((self.count / (self.share * total)).astype(np.int64), 1)
+        self.own = self.each.ravel()
+        np.cumsum(self.each * self.alphabet.width[:, None], 0, out=self.cum[1:])
+        self.all = self.cum[-1]
+        self.room = self.all.astype(np.float64)
 
     def guess(self) -> None:
         mixed = self.b * 2654435761
-        np.bitwise_and(self.a * 40503 + mixed >> 7, HASH - 1, out=self.at[0])
-        np.bitwise_and(mixed >> 9, HASH - 1, out=self.at[1])
+        self.at = np.stack([self.a * 40503 + mixed >> 7, mixed >> 9])
+        self.at &= HASH - 1
         self.at += self.base
-        self.named = self.last[self.at]
-        self.live = self.named >= 0
-        self.live[1] &= self.named[0] != self.named[1]
-        # Slots of TOTAL: order 2, order 1, the rest. A guess that isn't there gets no room.
-        np.multiply(self.hits[0] * 14, self.live[0], out=self.w[0])
-        np.multiply(self.hits[1] * (TOTAL - LEAST - self.w[0]) >> 14, self.live[1], out=self.w[1])
-
-    def right(self, ids: np.ndarray) -> np.ndarray:
-        """Which of the orders names each id; never both."""
-        return (self.named == ids) & self.live
-
-    def learn(self, ids: np.ndarray, high: np.ndarray, right: np.ndarray) -> None:
-        self.hits += (np.where(right, MOST, FEWEST) - self.hits >> 4) * self.live
-        self.last[self.at] = ids
-        self.counts[self.count_row + high] += 24
-        self.a, self.b = self.b, ids
-
-
-def encode_blocks(ids: np.ndarray, block: int = BLOCK, bits: int = 16) -> list[bytes]:
-    """The blocks of one run of ids (each under 2^bits), each with its head."""
-    parts = [ids[i : i + block] for i in range(0, len(ids), block)]
+        self.entry = self.table[self.at]
+        self.sure = self.entry & LEVELS - 1
+        self.named = self.entry >> 3
+        self.cell = self.sure * self.lanes + self.level
+        self.odds = self.right[self.cell]
+        part = self.weight * self.odds
+        self.mass = (part * (self.room / (1.0 - part[0] - part[1]))).astype(np.int64)
+        self.total = self.all + self.mass[0] + self.mass[1]
+
+    def zero(self, rank: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of order 0's share of ids."""
+        at = bucket * self.lanes + self.lane
+        each = self.own[at]
+        return self.flat[at] + (rank - self.alphabet.base[bucket]) * each, each
+
+    def slot(self, rank: np.ndarray, begin: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of an id's slot in the mixture, from those of its order-0 share: ids lie in order of their ranks."""
+        self.each_own, self.hit = each, self.named == rank
+        before = self.mass * (self.named < rank)
+        begin = begin + before[0] + before[1]
+        own = self.mass * self.hit
+        self.size = each + own[0] + own[1]
+        return begin, self.size
+
+    def find(self, v: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rank and bucket of the id whose slot holds v, and begin and size of its order-0 share: the masses before it are taken off, then order 0's shares are searched."""
+        swap = self.named[0] > self.named[1]
+        low, high = np.where(swap, self.named[1], self.named[0]), np.where(swap, self.named[0], self.named[1])
+        mass = np.where(swap, self.mass[1], self.mass[0])
+        for rank, m in ((low, mass), (high, self.mass[0] + self.mass[1] - mass)):
+            begin, each = self.zero(rank, self.alphabet.bucket[rank])
+            v = v - np.minimum(np.maximum(v - (begin + each - 1), 0), m)
+        at, step = self.lane, self.lanes << self.alphabet.depth
+        for _ in range(self.alphabet.depth):
+            step >>= 1
+            at = at + step * (self.flat[at + step] <= v)
+        bucket, begin, each = (at - self.lane) // self.lanes, self.flat[at], self.own[at]
+        place = _ratio(v - begin, each)
+        return self.alphabet.base[bucket] + place, bucket, begin + place * each, each
+
+    def learn(self, rank: np.ndarray, bucket: np.ndarray) -> None:
+        alone = self.each_own / self.room
+        seen = self.odds * self.hit + (1.0 - self.odds) * alone
+        self.weight += PACE * self.weight * (seen * (self.total / self.size) - 1.0)
+        np.minimum(np.maximum(self.weight, 0.02, out=self.weight), 0.48, out=self.weight)
+        self.right[self.cell] = self.odds + RATE * (self.hit - self.odds)
+        lower = np.where(self.sure <= 1, rank << 3 | 1, (self.entry & ~(LEVELS - 1)) | self.sure >> 1)
+        self.table[self.at] = np.where(self.hit, self.entry + (self.sure < LEVELS - 1), lower)
+        self.counts[bucket * self.lanes + self.lane] += SEEN
+        self.a, self.b = self.b, rank
+
+
+def _fresh(t: int) -> bool:
+    """Whether order 0's shares are worked out anew after position t."""
+    return t & 63 == 63 or t in (7, 15, 31)
+
+
+def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[bytes, list[bytes]]:
+    """The head of one run of ids and its blocks, each with its own head."""
+    alphabet, ranks = Alphabet.of(ids)
+    parts = [ranks[i : i + block] for i in range(0, len(ids), block)]
     out: list[bytes] = []
     for i in range(0, len(parts), LANES):
-        out += _encode_group(parts[i : i + LANES], bits)
-    return out
+        out += _encode_group(parts[i : i + LANES], alphabet)
+    return alphabet.packed(), out
 
 
-def _encode_group(parts: list[np.ndarray], bits: int) -> list[bytes]:
+def _encode_group(parts: list[np.ndarray], alphabet: Alphabet) -> list[bytes]:
     sizes = np.array([len(p) for p in parts])
     order = np.argsort(-sizes, kind="stable")
-    lanes, longest, low_bits = len(parts), int(sizes.max()), max(0, bits - 8)
-    grid = np.zeros((longest, lanes), np.int64)
+    lanes, longest = len(parts), int(sizes.max())
+    grid = np.zeros((longest, lanes), np.int32)
     for k, j in enumerate(order):
         grid[: sizes[j], k] = parts[j]
     alive = np.searchsorted(-sizes[order], -np.arange(longest), side="left")  # lanes with an id at each position
-    m = _Models(lanes, low_bits)
+    m = _Models(lanes, alphabet)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, FULL)
     width = longest * 2 + 16
     buf, used = np.zeros((lanes, width), "<u2"), np.zeros(lanes, np.int64)
@@ -129,16 +192,14 @@ def _encode_group(parts: list[np.ndarray], bits: int) -> list[bytes]:
         words[first[rows] + used[rows]] = top
 
     for t in range(longest):
-        n, x = int(alive[t]), grid[t]
+        n, x = int(alive[t]), grid[t].astype(np.int64)
         m.guess()
-        high, right = x >> low_bits, m.right(x)
-        before = m.w[0] + m.w[1]
-        lo, hi = m.part(high, TOTAL - before)
-        start, size = _slot(m, right, before, lo, hi, x & ((1 << low_bits) - 1))
-        _narrow(low, rng, rng >> TOTAL_BITS + low_bits, start, size, n)
+        bucket = alphabet.bucket[x]
+        start, size = m.slot(x, *m.zero(x, bucket))
+        _narrow(low, rng, _ratio(rng, m.total), start, size, n)
         _shift(low, rng, used, n, out_word)
-        m.learn(x, high, right)
-        if t & 127 == 127 or t in (3, 7, 15, 31, 63):
+        m.learn(x, bucket)
+        if _fresh(t):
             m.refresh()
     for _ in range(3):
         buf[np.arange(lanes), used] = (low >> 32).astype(np.uint16)
@@ -147,18 +208,11 @@ def _encode_group(parts: list[np.ndarray], bits: int) -> list[bytes]:
     out = [b""] * lanes
     for k, j in enumerate(order):
         body = buf[k, : used[k]].tobytes()
-        crc = zlib.crc32(np.ascontiguousarray(parts[j], "<u4").tobytes())
+        crc = zlib.crc32(alphabet.ids[parts[j]].tobytes())
         out[j] = np.array([sizes[j], len(body), crc], "<u4").tobytes() + body
     return out
 
 
-def _slot(m: _Models, right, before, lo, hi, low_part) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and size of each id's slot: that of the order that names it, or a place in the slot of its high part."""
-    bits, part = m.low_bits, hi - lo
-    start = np.where(right[0], 0, np.where(right[1], m.w[0] << bits, (before + lo << bits) + low_part * part))
-    return start, np.where(right[0], m.w[0] << bits, np.where(right[1], m.w[1] << bits, part))
-
-
 def _narrow(low, rng, unit, start, size, n) -> None:
     low[:n] += unit[:n] * start[:n]
     low[:n] &= FULL
@@ -185,29 +239,29 @@ def _shift(low, rng, used, n, moved) -> None:
         rows, l, r, settled = rows[more], l[more], r[more], settled[more]
 
 
-def decode_blocks(blocks: list[bytes], bits: int = 16) -> list[np.ndarray]:
+def decode_blocks(head: bytes, blocks: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a block whose checksum differs raises an error."""
-    out: list[np.ndarray] = []
+    alphabet, out = Alphabet.unpacked(head)[0], []
     for i in range(0, len(blocks), LANES):
-        out += _decode_group(blocks[i : i + LANES], bits)
+        out += _decode_group(blocks[i : i + LANES], alphabet)
     return out
 
 
-def _decode_group(blocks: list[bytes], bits: int) -> list[np.ndarray]:
+def _decode_group(blocks: list[bytes], alphabet: Alphabet) -> list[np.ndarray]:
     heads = np.array([np.frombuffer(b, "<u4", 3) for b in blocks], np.int64)
     sizes = heads[:, 0]
     order = np.argsort(-sizes, kind="stable")
-    lanes, longest, low_bits = len(blocks), int(sizes.max()), max(0, bits - 8)
+    lanes, longest = len(blocks), int(sizes.max())
     alive = np.searchsorted(-sizes[order], -np.arange(longest), side="left")
     buf = np.zeros((lanes, int(heads[:, 1].max()) // 2 + 8), "<u2")
     for k, j in enumerate(order):
         body = np.frombuffer(blocks[j], "<u2", offset=HEAD)
         buf[k, : len(body)] = body
-    m = _Models(lanes, low_bits)
+    m = _Models(lanes, alphabet)
     low, rng, used = np.zeros(lanes, np.int64), np.full(lanes, FULL), np.full(lanes, 3, np.int64)
-    words, first = buf.ravel(), np.arange(lanes) * buf.shape[1]
+    words, first, last = buf.ravel(), np.arange(lanes) * buf.shape[1], len(alphabet.ids) - 1
     code = (buf[:, 0].astype(np.int64) << 32) | (buf[:, 1].astype(np.int64) << WORD) | buf[:, 2]
-    grid = np.zeros((longest, lanes), np.int64)
+    grid = np.zeros((longest, lanes), np.int32)
 
     def in_word(rows, top):
         code[rows] = ((code[rows] << WORD) & FULL) | words[first[rows] + used[rows]]
@@ -215,25 +269,21 @@ def _decode_group(blocks: list[bytes], bits: int) -> list[np.ndarray]:
     for t in range(longest):
         n = int(alive[t])
         m.guess()
-        before, unit = m.w[0] + m.w[1], rng >> TOTAL_BITS + low_bits
-        v = np.minimum(_ratio((code - low) & FULL, np.maximum(unit, 1)), (TOTAL << low_bits) - 1)
-        slot = v >> low_bits
-        right = np.stack([slot < m.w[0], slot < before])
-        right[1] &= ~right[0]
-        high, lo, hi = m.find(slot - before, TOTAL - before)
-        low_part = np.minimum(_ratio(np.maximum(v - (before + lo << low_bits), 0), np.maximum(hi - lo, 1)), (1 << low_bits) - 1)
-        start, size = _slot(m, right, before, lo, hi, low_part)
+        unit = _ratio(rng, m.total)
+        v = np.minimum(_ratio((code - low) & FULL, unit), m.total - 1)
+        x, bucket, begin, each = m.find(v)
+        if n < lanes:  # finished blocks
+            x[n:], bucket[n:] = 0, 0
+        start, size = m.slot(x, begin, each)
         _narrow(low, rng, unit, start, size, n)
         _shift(low, rng, used, n, in_word)
-        x = np.where(right[0], m.named[0], np.where(right[1], m.named[1], (high << low_bits) | low_part))
-        x[n:] = 0
         grid[t] = x
-        m.learn(x, x >> low_bits, m.right(x))
-        if t & 127 == 127 or t in (3, 7, 15, 31, 63):
+        m.learn(x, bucket)
+        if _fresh(t):
             m.refresh()
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * lanes
     for k, j in enumerate(order):
-        ids = np.ascontiguousarray(grid[: sizes[j], k], "<u4")
+        ids = alphabet.ids[np.minimum(grid[: sizes[j], k], last)]
         if zlib.crc32(ids.tobytes()) != heads[j, 2]:
             raise ValueError("a block's checksum differs")
         out[j] = ids

@@ -1,7 +1,7 @@
 """Token-ID output: documents in key order as files of range-coded blocks, and reading them back.
 
-A file is a run of frames. A frame holds whole documents: their ids (doc_id and count) and
-the blocks of their token ids, each block reset and checksummed on its own. The
+A file is a run of frames. A frame holds whole documents: their ids (doc_id and count),
+the head of its token ids and their blocks, each block reset and checksummed on its own. The
 frames of a range-partitioned, sorted frame of documents are written as binary rows
 by Spark, so they reach any store that Spark writes, and a lost task writes its
 frames again.
@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +21,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .range_coder import BLOCK, HEAD, LANES, decode_blocks, encode_blocks
-from .shared import Scratch, arrow_schema, documents
+from .range_coder import BLOCK, HEAD, LANES, Alphabet, decode_blocks, encode_blocks
+from .shared import Scratch, arrow_schema, by_bytes, documents
+from .words import piece_hashes
 
 END = 2
 FRAME = BLOCK * LANES
-WORDS, WORD_CHARS = 300_000, 48  # pieces in each half of what a Python worker remembers, and their longest
-MARK, SIGN = re.compile("[\u0300-\u036f]"), re.compile(r"[.,;:!?](?<=[a-z0-9].)(?= |\Z)")
-LOWER = bytes(range(256)).lower()
-MAGIC = b"TLI1"
+SLOTS, KEPT = 1 << 21, 1 << 24  # pieces that a Python worker remembers, and ids of them
+MARK = re.compile("[\u0300-\u036f]")
+CUT, SIGNS, ALNUM = (np.isin(np.arange(256), list(x)).astype(np.uint8) for x in (b" \n\t", b".,;:!?", b"abcdefghijklmnopqrstuvwxyz0123456789"))
+FRONT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+MAGIC = b"TLI2"
 _held: dict[str, object] = {}
 
 
@@ -39,8 +41,8 @@ def pack(docs: list[tuple[int | None, np.ndarray]], block: int = BLOCK) -> bytes
     keys = np.array([0 if k is None else k for k, _ in docs], "<i8")
     null = np.array([k is None for k, _ in docs], np.uint8)
     ids = np.concatenate([x for _, x in docs]) if docs else np.zeros(0, np.int64)
-    blocks = encode_blocks(ids.astype(np.int64), block)
-    return MAGIC + np.array([len(docs), len(blocks)], "<u4").tobytes() + keys.tobytes() + null.tobytes() + sizes.tobytes() + b"".join(blocks)
+    head, blocks = encode_blocks(ids.astype(np.int64), block)
+    return MAGIC + np.array([len(docs), len(blocks)], "<u4").tobytes() + keys.tobytes() + null.tobytes() + sizes.tobytes() + head + b"".join(blocks)
 
 
 def unpack(frame: bytes) -> list[tuple[int | None, np.ndarray]]:
@@ -51,12 +53,13 @@ def unpack(frame: bytes) -> list[tuple[int | None, np.ndarray]]:
     keys, at = np.frombuffer(frame, "<i8", n, at), at + 8 * n
     null, at = np.frombuffer(frame, np.uint8, n, at), at + n
     sizes, at = np.frombuffer(frame, "<u4", n, at), at + 4 * n
-    blocks = []
+    end = Alphabet.unpacked(frame, at)[1]
+    head, at, blocks = frame[at:end], end, []
     for _ in range(m):
         size = HEAD + int(np.frombuffer(frame, "<u4", 1, at + 4)[0])
         blocks.append(frame[at : at + size])
         at += size
-    ids = np.concatenate(decode_blocks(blocks)) if blocks else np.zeros(0, "<u4")
+    ids = np.concatenate(decode_blocks(head, blocks)) if blocks else np.zeros(0, "<u4")
     cuts = np.cumsum(sizes)[:-1]
     return [(None if z else int(k), x) for k, z, x in zip(keys, null, np.split(ids, cuts))] if n else []
 
@@ -71,47 +74,89 @@ def tokenizer(path: str):
     return _held[path]
 
 
-def _words(text: str) -> list[str]:
-    """Pieces of a text that the vocabulary encodes on their own, in its order; their ids in turn are the text's.
+class _Known:
+    """Ids of pieces, remembered by hash; one that isn't known is encoded by the library.
 
-    Its normalizer joins nothing across a space, line feed or tab, its pattern matches none of these, and its special
-    tokens hold none. It lower-cases, so A-Z are lowered here, except beside combining marks (a lower letter may compose
-    with one where the upper one doesn't) and where a special token may stand. A sign after a letter or digit and
-    before a cut begins a match of its own, so it may be cut off.
+    A piece has one place in a table of SLOTS, by its hash, with the hash, its first eight bytes, and where its ids stand in one flat array and how
+    many they are; a newer piece takes the place. When KEPT ids are held, all is forgotten, so a worker's memory has a bound.
     """
-    if "<|" not in text and (text.isascii() or not MARK.search(text)):
-        text = text.encode().translate(LOWER).decode()
-    return SIGN.sub(r" \g<0>", text.replace("\n", " ").replace("\t", " ")).split(" ")
-
-
-class _Known(dict):
-    """Ids of pieces, as bytes; a missing one is encoded by the library. Of two halves, pieces in use stay in the newer."""
 
     def __init__(self, path: str):
-        self.coder, self.model, self.older = tokenizer(path), tokenizer(path).model, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            if word.isascii() and word.isalpha() and word.islower():  # one match of the pattern, which the normalizer leaves as it is
-                ids = array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
-            else:
-                ids = array("I", self.coder.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= WORD_CHARS:
-            if len(self) >= WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
+        self.coder, self.model = tokenizer(path), tokenizer(path).model
+        self.table = np.zeros((SLOTS, 3), np.uint64)
+        self.flat, self.used = np.zeros(KEPT, np.uint32), 0
+
+    def encode(self, blobs: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts whose A-Z may be lowered."""
+        whole = b"\n".join(blobs).lower() + b"\n" * 9
+        buf, eights = np.frombuffer(whole, np.uint8), np.ndarray((len(whole) - 7,), "<u8", whole, strides=(1,))
+        solid = CUT[buf] ^ 1
+        edge = np.flatnonzero(np.diff(np.concatenate(([np.uint8(0)], solid, [np.uint8(0)]))))
+        sign = np.flatnonzero(SIGNS[buf[1:-1]] & ALNUM[buf[:-2]] & CUT[buf[2:]]) + 1
+        starts, ends = edge[::2], edge[1::2]
+        if len(sign):
+            starts, ends = np.sort(np.concatenate([starts, sign])), np.sort(np.concatenate([ends, sign]))
+        if not len(starts):
+            return [np.zeros(0, np.uint32)] * len(blobs)
+        h, size = piece_hashes(eights, starts, ends), ends - starts
+        front = eights[starts] & FRONT[np.minimum(size, 8)]
+        at = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        found = self.table[at]
+        place, new = found[:, 2], np.flatnonzero((found[:, 0] != h) | (found[:, 1] != front))
+        if len(new):
+            if self.used > KEPT // 2:
+                self.table[:], self.used = 0, 0
+                new = np.arange(len(h))
+            _, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+            first = new[first]
+            own = self.learn([whole[a : a + n].decode() for a, n in zip(starts[first].tolist(), size[first].tolist())])
+            place[new] = own[back]
+            self.table[at[first]] = np.stack([h[first], front[first], own], 1)
+        start, count = (place >> np.uint64(32)).astype(np.int64), (place & np.uint64(2**32 - 1)).astype(np.int64)
+        upto = np.cumsum(count)
+        flat = self.flat[np.arange(upto[-1]) + np.repeat(start - upto + count, count)]
+        cuts = np.searchsorted(starts, np.cumsum([len(b) + 1 for b in blobs[:-1]]))
+        return np.split(flat, np.concatenate([[0], upto])[cuts])
+
+    def learn(self, pieces: list[str]) -> np.ndarray:
+        """Where the ids of new pieces now stand, and how many they are, in one number each."""
+        plain = [w.isascii() and w.isalpha() for w in pieces]  # one match of the pattern, which the normalizer leaves as it is
+        other = iter(self.coder.encode_batch([w for w, p in zip(pieces, plain) if not p], add_special_tokens=False))
+        got = [[x.id for x in self.model.tokenize(w)] if p else next(other).ids for w, p in zip(pieces, plain)]
+        count = np.array([len(x) for x in got], np.int64)
+        start, ids = self.used + np.cumsum(count) - count, np.fromiter(chain.from_iterable(got), np.uint32, int(count.sum()))
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(len(ids) + KEPT // 2, np.uint32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return (start << 32 | count).astype(np.uint64)
 
 
 def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """Token ids of each whole text, from those of its pieces."""
-    known = _held.get(path + "#words") or _held.setdefault(path + "#words", _Known(path))
-    return [np.frombuffer(b"".join(map(known.__getitem__, _words(t))), np.uint32) for t in texts]
+    """Token ids of each whole text, from those of its pieces.
 
-
-def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids", end: int = END, parts: int | None = None) -> DataFrame:
+    The vocabulary encodes pieces on their own: its normalizer joins nothing across a space, line feed or tab, its pattern matches none of these, and its special
+    tokens hold none. It lower-cases, so A-Z are lowered here, except beside combining marks (a lower letter may compose
+    with one where the upper one doesn't) and where a special token may stand: such texts go to the library whole. A sign after a letter or digit and
+    before a cut begins a match of its own, so it is a piece.
+    """
+    known = _held.get(path + "#words") or _held.setdefault(path + "#words", _Known(path))
+    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+    plain, blobs = [], []
+    for i, text in enumerate(texts):
+        blob = text.encode()
+        if b"<|" in blob or (b"\xcc" in blob or b"\xcd" in blob) and MARK.search(text):
+            out[i] = np.array(known.coder.encode(text, add_special_tokens=False).ids, np.uint32)
+        else:
+            plain.append(i)
+            blobs.append(blob)
+    for a, b in by_bytes(blobs):
+        for i, ids in zip(plain[a:b], known.encode(blobs[a:b])):
+            out[i] = ids
+    return out
+
+
+def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids", end: int = END, parts: int | None = None, frame_ids: int = FRAME) -> DataFrame:
     """(part, frame, n_ids, data): the files' frames, in ascending (doc_id, text) order over part and frame.
 
     A null or empty text is the end id alone. Rows with the same doc_id are written each, in the order of their texts.
@@ -131,13 +176,13 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, name: str = "ids",
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([frame], pa.int32()), pa.array([count], pa.int64()), pa.array([pack(held)], pa.binary())], schema=schema)
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 64):
-                some = batch.slice(a, 64).to_pydict()
+            for a in range(0, batch.num_rows, 512):
+                some = batch.slice(a, 512).to_pydict()
                 for key, e in zip(some["doc_id"], encode(some["text"], vocabulary)):
                     ids = np.concatenate([e, tail])
                     held.append((key, ids))
                     count += len(ids)
-                    if count >= FRAME:
+                    if count >= frame_ids:
                         yield flush()
                         held, count, frame = [], 0, frame + 1
         if held:
@@ -166,12 +211,15 @@ def read(frames: DataFrame) -> DataFrame:
     return frames.select("part", "frame", "data").mapInArrow(run, out)
 
 
+def placed(frames: DataFrame) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of the stored documents, read from the frames."""
+    order = Window.partitionBy(F.lit(0)).orderBy("part", "frame")  # one row for millions of ids
+    starts = frames.select("part", "frame", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("before"))
+    return read(frames).join(starts, ["part", "frame"]).select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: all documents written as token files and read back, with each one's place in the whole."""
     import public_tokenizers
 
-    scratch = Scratch(spark, "tokens")
-    frames = write(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), scratch)
-    order = Window.partitionBy(F.lit(0)).orderBy("part", "frame")  # one row for millions of ids
-    starts = frames.select("part", "frame", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("before"))
-    return read(frames).join(starts, ["part", "frame"]).select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    return placed(write(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "tokens")))
