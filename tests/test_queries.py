@@ -73,19 +73,6 @@ def test_quantiles(spark):
     assert [row.select(T.quantile(F.col("a"), q)).first()[0] for q in (0.1, 0.25, 0.75, 0.9, 0.99)] == [2, 3, 8, 10, 10]
 
 
-def test_lint_scores_of_all_rules(spark, duck):
-    got = {tuple(r) for r in catalogue.QUERIES["lint_cross_score_all"](spark, SF).collect()}
-    sql = catalogue.ORACLES["lint_cross_score"]
-    assert " where item_id < 10" in sql
-    want = duck.sql(sql.replace(" where item_id < 10", "")).select("conv_id, turn, item_id, p").fetchall()
-    assert got == {tuple(r) for r in want} and len(got) == len(want)
-    rows = spark.createDataFrame([(12, ["a", "b", "c", "d"])], "item_id long, r array<string>")
-    turns = spark.createDataFrame([(1, 0, ["a", "b", "x"]), (1, 1, ["a"])], "conv_id long, turn long, t array<string>")
-    from textloom.plans import prose
-
-    assert [tuple(r) for r in prose.lint_scores(rows, turns).collect()] == [(1, 0, 12, 0.5)]
-
-
 def test_no_query_hides_another():
     assert sum(len(p.QUERIES) for p in catalogue._PARTS) == len(catalogue.QUERIES)
     assert {"seeded_sample", "seeded_sample_sources"} <= catalogue.QUERIES.keys()

@@ -34,4 +34,4 @@ def test_lean_pages(spark, tmp_path):
 def test_section_buckets(spark, tmp_path):
     spark.createDataFrame([(1, "<h1>2. Methods of Study</h1>"), (2, "<h1>Results</h1>"), (3, "")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r.page_id: (r.section, r.genre) for r in prose.section_buckets(spark, str(tmp_path)).collect()}
-    assert got == {1: ("methods", "application"), 2: ("results", "results"), 3: ("", "other")}
+    assert got == {1: ("methods", "method"), 2: ("results", "results"), 3: ("", "other")}

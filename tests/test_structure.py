@@ -1,9 +1,14 @@
 """Chunks, ids, readers and the stream on small cases."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.operators import chunks as C
+from textloom.operators import keyed as K
+from textloom.operators import wrap as W
 from textloom.plans import structure
 from textloom.sources import readers
 from textloom.streaming.ingest import ingest
@@ -12,9 +17,55 @@ from textloom.streaming.ingest import ingest
 def test_chunks():
     assert C.chunks(None) == C.chunks("") == C.chunks("\n \n") == []
     assert C.chunks("aaaa\n\nbbbb\n\ncccc", 8) == [("", 1, 1, "aaaa"), ("", 3, 3, "bbbb"), ("", 5, 5, "cccc")]
-    assert C.chunks("a\n\n## H\nx\n\n| t |\n| u |\n\nb") == [("", 1, 1, "a"), ("H", 3, 4, "## H\nx"), ("H", 6, 7, "| t |\n| u |"), ("H", 9, 9, "b")]
-    assert [c[3] for c in C.chunks("One two. Three four. Five", 12)] == ["One two.", "Three four.", "Five"]
-    assert [c[3] for c in C.chunks("# T\n\naa\n\nbb", 7)] == ["# T\n\naa", "bb"]
+    assert C.chunks("a\n\n## H\nx\n\n| t |\n| u |\n\nb") == [("", 1, 4, "a\n\n## H\nx"), ("", 6, 7, "| t |\n| u |"), ("", 9, 9, "b")]  # a heading is a block of one line
+    assert C.chunks("aaaa\n\nbbbb\n\ncccc", 8, True) == [("", 1, 3, "aaaa"), ("", 1, 5, "bbbb"), ("", 1, 5, "cccc")]
+    assert [c[3] for c in C.chunks("One two. Three four. Five\n\nsix", 12)] == ["One two.", "Three four.", "Five\n\nsix"]
+    assert [c[3] for c in C.chunks("# T\n\naa\n\nbb @@eq0001@@", 7)] == ["# T\n\naa", "bb [formula]"]
+    md = "# T\n\nIntro one.\n\n## 2. Methods\n\nAlpha beta.\n\nGamma delta.\n\n| a | b |\n| - | - |\n\nTail."
+    want = [("", "# T\n\nIntro one."), ("2. Methods", "## 2. Methods\n\nAlpha beta."), ("2. Methods", "Gamma delta."), ("2. Methods", "| a | b |\n| - | - |"), ("2. Methods", "Tail.")]
+    assert [(h, t) for h, _, _, t in C.chunks(md, 30)] == want
+    assert [c[1:3] for c in C.chunks(md, 30)] == [(1, 3), (5, 7), (9, 9), (11, 12), (14, 14)]
+    assert [c[1:3] for c in C.chunks(md, 30, True)] == [(1, 3), (5, 9), (5, 9), (11, 12), (14, 14)]
+    rng = random.Random(1)
+    for _ in range(200):
+        text = "".join(rng.choice(["ab", ". C", "\n", "\n\n", "## H", "| x |", " "]) for _ in range(rng.randint(0, 60)))
+        assert all(len(t) <= 20 or t.startswith("|") or t.startswith("#") or not C._CUT.search(t) for _, _, _, t in C.chunks(text, 20))
+
+
+def test_running_sums(spark):
+    rows = [(None, 5), (7, 1), (10**15, 2), (-3, 4), (8, 0), (None, 1)] + [(i * i * 1009, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    got = sorted(((r.k is not None, r.k or 0, r.v), r.shard) for r in C.byte_shards(df, "k", F.col("v"), 10).collect())
+    ordered, before, want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), 0, []
+    for k, v in ordered:
+        if k is not None:
+            want.append(((True, k, v), before // 10))
+        before += v
+    assert [g for g in got if g[0][0]] == sorted(want) and len(got) == len(rows)
+    batches = K.numbered_batches(df, "k", 7).groupBy("batch").count().collect()
+    assert sorted((r.batch, r["count"]) for r in batches) == [(i, min(7, len(rows) - 7 * i)) for i in range(-(-len(rows) // 7))]
+    assert C.byte_shards(df.limit(0), "k", F.col("v"), 10).count() == 0
+
+
+def test_wrap():
+    page = "## Preprint\n\n12\n\n## On the Depth of Headings\n\nJon Rasbash and Felix Muster\n\nSome University, Town\n\n## psychometrika\n\n© 2019 The Society\n\nReceived May 3, 2001\n\nProse of o\u00ad ne kind.\n\n## 1 Intro\n\nThe e ect.\n\n"
+    page += "## 1.1 A\n\nx ![c](../assets/id-fig03.png)\n\n## 1.1.1 B\n\ny\n\n## Discussion\n\nWork was funded by them.\n\n## 2.1.1 X\n\n## On the depth of headings\n\nRequests for reprints should be sent to A. B. Some town. More prose stays here\n\na.b@c.org\n\n" + "Long prose. " * 90 + "\n\n## References\n\nOld, A. 1990.\n"
+    md, r = W.wrap(page)
+    assert r["title"] == "On the Depth of Headings" and md.startswith("# On the Depth of Headings\n\nProse of one kind.\n\n## 1 Intro\n\nThe effect.") and r["status"] == "ok"
+    assert [x for x in md.split("\n") if x.startswith("##")] == ["## 1 Intro", "### 1.1 A", "#### 1.1.1 B", "## Discussion", "### 2.1.1 X"] and r["hierarchy_repairs"] == 3
+    assert r["rules"] == {"banner": 1, "line_number": 1, "running_head": 1, "journal_banner": 1, "author_block": 2, "email_line": 1, "correspondence": 1, "funding_note": 1, "copyright_line": 1, "manuscript_dates": 1}
+    assert r["repairs"] == {"pua_mapped": 0, "pua_unmapped": 0, "uni_mapped": 0, "joins": 1, "softhyphens": 1} and "(id:fig03.png)" in md and r["asset_keys"] == 1
+    assert r["refs_cut"] and "Old, A." not in md and "More prose stays here" in md and r["residual_refs"] == 0
+    assert W.wrap(None)[1]["status"] == "skip" and W.wrap("## References\n\na\n\nb\n\nc\n\nd\n\ne")[1]["residual_refs"] == 1
+    assert W.wrap("a\n\nb\n\n## Biographies\n\nc")[0] == "a\n\nb\n"
+
+
+@pytest.mark.parametrize("text,author,title", [
+    ("LEONARD S. FELDT", True, False), ("Jon Rasbash Harvey Goldstein", True, False), ("maastricht university, the netherlands", True, True), ("Emma Bridger (University of Leicester)", True, True), ("AND", True, False),
+    ("2 Department of Psychology, MIT", True, True), ("We report a result", False, False), ("A test of the theory", False, True), ("1. A test of the theory", False, False), ("Introduction to the theory", False, False), ("What do items measure?", False, True),
+])
+def test_shapes(text, author, title):
+    assert (W.author_ish(text), W.title_ish(text)) == (author, title)
 
 
 def fnv(s):

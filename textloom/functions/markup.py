@@ -85,11 +85,17 @@ def response_class(kind: Column, status: Column, size: Column, head: Column, fai
 PRIVATE = {"\ue000": "ff", "\ue001": "fi", "\ue002": "fl", "\ue003": "ffi", "\ue004": "ffl"}
 UNICODE = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl"}
 #: Words that a lost `ff` may be put back into, and what they may end with.
-FF_STEMS = frozenset(
-    "effect effective affect effort offer offset differ difference different suffer sufficient coefficient efficient efficiency affinity "
-    "office official staff stuff difficult difficulty afford coffee tariff suffix shuffle scuffle ruffle waffle baffle baffling".split()
+FF_STEMS = frozenset((
+    "effect", "effective", "affect", "effort", "offer", "offset", "differ", "difference", "different", "suffer", "sufficient",
+    "coefficient", "efficient", "efficiency", "confidence", "affinity", "office", "official", "staff", "stuff", "difficult",
+    "difficulty", "afford", "coffee", "tariff", "suffix", "shuffle", "scuffle", "ruffle", "waffle", "baffle", "baffling", "stifle",
+    "little", "bottle", "battle", "settle", "subtle", "cattle", "kettle", "brittle", "middle", "riddle", "puzzle", "huddle", "muddle",
+    "puddle", "tumble", "humble", "juggle", "nibble",
+))
+FF_ENDS = (
+    "", "s", "es", "ed", "d", "ing", "ly", "er", "ers", "ion", "ions", "ent", "ents", "ence", "ences", "ity", "ies", "ive", "ively",
+    "antly", "ently", "age", "ages", "y", "al",
 )
-FF_ENDS = ("", *"s es ed d ing ly er ers ion ions ent ents ence ences ity ies ive ively antly ently age ages y al".split())
 PAIR = re.compile(r"\b([a-z]{1,4}) ([a-z]{1,10})\b")
 
 

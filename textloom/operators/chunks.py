@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.running import running
 
 LIMIT = 1900  # characters a chunk; only a table or a single sentence may be longer
+_HEADING, _TOKEN = re.compile(r"#{2,3}\s+(.*)"), re.compile(r"@@eq\d{4}@@")
 _CUT = re.compile(r"(?<=[.!?])\s+(?=[A-Z0-9$(\\])")
 
 
@@ -27,53 +29,60 @@ def blocks(text: str) -> list[tuple[int, int, str]]:
     return [(n, n + len(lines) - 1, "\n".join(lines)) for n, lines in out]
 
 
-def chunks(text: str | None, limit: int = LIMIT) -> list[tuple[str, int, int, str]]:
-    """(heading, line_start, line_end, text) of a document's chunks, with the lines that each one really covers.
+def chunks(text: str | None, limit: int = LIMIT, compat_spans: bool = False) -> list[tuple[str, int, int, str]]:
+    """(heading, line_start, line_end, text) of a document's chunks.
 
-    A block that begins with ## or ### starts a chunk and names it. A table stands alone. A block beyond the
-    limit is packed by sentences. Others are joined by a blank line while they fit. No text: no chunks.
+    A block that is one line beginning with ## or ### starts a chunk and names it. A table stands alone. Of a block beyond the
+    limit sentences are packed, and the last of them may be joined by what follows. Others are joined by a blank line while they fit. Equation tokens
+    become [formula]. No text: no chunks. Spans are the lines that a chunk covers; with compat_spans they are those of the
+    published index: they end with the block that came when the chunk was full, and begin where the heading, table or long block before them did.
     """
     out: list[tuple[str, int, int, str]] = []
-    heading, held, first, last, size = "", [], 0, 0, 0
+    heading, held, tight, wide = "", "", (0, 0), (0, 0)
 
-    def flush():
-        nonlocal held, size
-        if held:
-            out.append((heading, first, last, "\n\n".join(held)))
-        held, size = [], 0
+    def flush() -> None:
+        nonlocal held
+        if held.strip():
+            out.append((heading, *(wide if compat_spans else tight), _TOKEN.sub("[formula]", held.strip())))
+        held = ""
+
+    def hold(part: str, gap: str, start: int, end: int) -> None:
+        nonlocal held, tight
+        tight = (tight[0] if held else start, end)
+        held = f"{held}{gap}{part}" if held else part
 
     for start, end, body in blocks(text or ""):
-        named = re.match(r"#{2,3}\s", body)
-        if named or body.startswith("|") or len(body) > limit or (held and size + len(body) + 2 > limit):
+        named = _HEADING.fullmatch(body)
+        if named or body.startswith("|"):
             flush()
-        if named:
-            heading = body.split("\n", 1)[0].lstrip("#").strip()
-        if body.startswith("|"):
-            out.append((heading, start, end, body))
-        elif len(body) > limit:
-            packed = ""
-            for s in _CUT.split(body):
-                if packed and len(packed) + 1 + len(s) > limit:
-                    out.append((heading, start, end, packed))
-                    packed = s
-                else:
-                    packed = f"{packed} {s}" if packed else s
-            out.append((heading, start, end, packed))
-        else:
-            first = first if held else start
-            last = end
-            size += len(body) + (2 if held else 0)
-            held.append(body)
+            heading = named[1].strip() if named else heading
+            wide = (start, end)
+            hold(body, "", start, end)
+            if not named:
+                flush()
+            continue
+        wide = (wide[0] if held else start, end)
+        if len(body) <= limit:
+            if len(held) + len(body) + 2 > limit:
+                flush()
+            hold(body, "\n\n", start, end)
+            continue
+        flush()
+        for sentence in _CUT.split(body):
+            if len(held) + len(sentence) + 1 > limit:
+                flush()
+            wide = (wide[0] if held else start, end)
+            hold(sentence, " ", start, end)
     flush()
     return out
 
 
-def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
+def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, compat_spans: bool = False) -> DataFrame:
     """Each document's chunks, numbered from 0; documents stay where they are, nothing is shuffled."""
 
     def run(batches):
         for batch in batches:
-            rows = [(k, n, *c) for k, t in zip(batch[key], batch[text]) for n, c in enumerate(chunks(t, limit))]
+            rows = [(k, n, *c) for k, t in zip(batch[key], batch[text]) for n, c in enumerate(chunks(t, limit, compat_spans))]
             yield pd.DataFrame(rows, columns=[key, "chunk_no", "heading", "line_start", "line_end", "text"])
 
     made = docs.select(F.col(key), F.col(text)).mapInPandas(run, f"{key} long, chunk_no int, heading string, line_start int, line_end int, text string")
@@ -102,9 +111,5 @@ def fnv_id(value: Column) -> Column:
 
 
 def byte_shards(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
-    """shard = bytes before the row, in key order, div limit. Totals of key ranges are summed first, so no task orders all rows."""
-    x = df.withColumn("_s", size.cast("long")).withColumn("_r", F.floor(F.col(key) / 4096))
-    totals = x.groupBy("_r").agg(F.sum("_s").alias("_t"))
-    totals = totals.select("_r", (F.sum("_t").over(Window.partitionBy(F.lit(0)).orderBy("_r")) - F.col("_t")).alias("_b"))  # a row for 4,096 keys
-    inside = F.sum("_s").over(Window.partitionBy("_r").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s")
-    return x.withColumn("_i", inside).join(totals, "_r").withColumn("shard", F.expr(f"(_b + _i) div {limit}")).drop("_r", "_s", "_i", "_b")
+    """shard = bytes before the row, in key order, div limit; rows of a null key come first."""
+    return running(df, [key], F.coalesce(size.cast("long"), F.lit(0)), "_before").withColumn("shard", F.expr(f"_before div {limit}")).drop("_before")

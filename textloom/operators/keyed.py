@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.running import running
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key; never an arbitrary one."""
@@ -32,13 +34,8 @@ def multiset_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def numbered_batches(df: DataFrame, key: str, size: int) -> DataFrame:
-    """batch = place div size in key order; places are counted in key ranges whose totals are summed, so no task orders all rows."""
-    ranged = df.withColumn("_r", F.floor(F.col(key) / 4096))
-    totals = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_r")) - F.col("_n")
-    inside = F.row_number().over(Window.partitionBy("_r").orderBy(key))
-    out = ranged.withColumn("_i", inside).join(totals.withColumn("_b", before).select("_r", "_b"), "_r")
-    return out.withColumn("batch", F.expr(f"(_b + _i - 1) div {size}")).drop("_r", "_i", "_b")
+    """batch = place div size in key order; rows of a null key come first."""
+    return running(df, [key], F.lit(1).cast("long"), "_before").withColumn("batch", F.expr(f"_before div {size}")).drop("_before")
 
 
 def facets(**wanted) -> Column:

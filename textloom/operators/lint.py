@@ -1,0 +1,80 @@
+"""Lint rules: read from YAML, spelled out as instructions, scored against blocks, and rendered."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+FIELDS = ("project", "section", "prefix", "before", "after", "suffix", "judgement", "lesson")
+THRESHOLD = 0.75
+
+
+def read_rules(spark: SparkSession, text: str) -> DataFrame:
+    """(id, the FIELDS, instruction) of a YAML file of rules, keyed by whole numbers, in order. One that has neither lesson nor judgement is an error.
+
+    Rules are few and written by hand, so the driver reads them: top-level `N:` keys and one level of `field: value` below, values plain, quoted, null or folded over indented lines.
+    """
+    rules: dict[int, dict] = {}
+    now = field = None
+    for line in text.split("\n"):
+        bare = line.strip()
+        if not bare or bare.startswith("#"):
+            continue
+        if not line[0].isspace():
+            now, field = rules.setdefault(int(bare.rstrip(":")), {}), None
+        elif ":" in bare and bare.split(":", 1)[0] in FIELDS and len(line) - len(line.lstrip()) <= 2:
+            field, value = bare.split(":", 1)
+            value = value.strip()
+            now[field] = None if value in ("null", "~", "") else "" if value in (">-", ">", "|") else value[1:-1] if value[0] in "\"'" and value[-1] == value[0] else value
+        elif field:
+            now[field] = f"{now[field] or ''} {bare}".strip()
+    rows = [(n, *[r.get(f) for f in FIELDS]) for n, r in sorted(rules.items())]
+    for row in rows:
+        if not (row[7] or "").strip() and not (row[8] or "").strip():
+            raise ValueError(f"rule {row[0]} has neither lesson nor judgement")
+    frame = spark.createDataFrame(rows, "id long, " + ", ".join(f"{f} string" for f in FIELDS))
+    return frame.withColumn("instruction", instruction())
+
+
+def _said(label: str, column: str) -> Column:
+    text = F.btrim(column)
+    return F.when(F.length(text) > 0, F.concat(F.lit(label), text))
+
+
+def instruction() -> Column:
+    """A rule as text, from its FIELDS: the lesson (or else the judgement), its section, the edit it came from, and the comment where it says more."""
+    lesson = F.btrim(F.coalesce("lesson", "judgement", F.lit("")))
+    pair = F.concat_ws("\n", _said("Context before: ", "prefix"), _said("Before: ", "before"), _said("After: ", "after"), _said("Context after: ", "suffix"))
+    judgement = F.btrim("judgement")
+    return F.concat_ws(
+        "\n\n", lesson, F.when(F.length(F.btrim("section")) > 0, F.concat(F.lit("Learned from the "), F.btrim("section"), F.lit(" section."))),
+        F.when(pair != "", F.concat(F.lit("The calibrated edit this rule was distilled from:\n"), pair)),
+        F.when((F.length(judgement) > 0) & (judgement != lesson), F.concat(F.lit("The expert's comment: "), judgement)),
+    )
+
+
+def shared_terms(blocks: DataFrame, rules: DataFrame, key: list[str], least: float = THRESHOLD) -> DataFrame:
+    """(key, rule, p) of blocks (key, t: terms) and rules (rule, r: terms) that share a part p >= least of a rule's terms; a stand-in for a judge.
+
+    p is at least `least` only if a block has one of any floor((1 - least) n) + 1 of a rule's terms, so rules are looked up by that many of their rarest ones;
+    pairs found so are read in full. Frequent terms are never joined on unless a rule has no others.
+    """
+    terms = rules.select("rule", "r", F.explode("r").alias("w"))
+    often = blocks.select(F.explode("t").alias("w")).join(terms.select("w").distinct(), "w").groupBy("w").agg(F.count("*").alias("n"))
+    ranked = terms.join(often, "w", "left").withColumn("_r", F.row_number().over(Window.partitionBy("rule").orderBy(F.coalesce("n", F.lit(0)), "w")))
+    wanted = ranked.where(F.col("_r") <= F.floor(F.size("r") * F.lit(1 - least) + 1e-9) + 1).select("rule", "r", "w")
+    pairs = blocks.select(*key, "t", F.explode("t").alias("w")).join(wanted, "w").groupBy(*key, "rule").agg(F.first("t").alias("t"), F.first("r").alias("r"))
+    p = F.size(F.array_intersect("t", "r")) / F.size("r")
+    return pairs.where(p >= least).select(*key, "rule", F.round(p, 6).alias("p"))
+
+
+def rendered(hits: DataFrame, header: str) -> DataFrame:
+    """(start, lines) of (start, end, text, rule, instruction, p) rows: a flagged block's place, excerpt and hits, the likeliest first."""
+    flat = lambda c: F.btrim(F.regexp_replace(c, r"\s+", " "))
+    row = F.struct((-F.col("p")).alias("o"), F.col("rule").alias("k"), F.concat(F.lit("  R"), F.when(F.col("rule") < 10, "0").otherwise(""), F.col("rule").cast("string"), F.lit("  p="), F.format_string("%.2f", "p"), F.lit("  "), flat(F.col("instruction"))).alias("line"))
+    excerpt = F.left(flat(F.col("text")), F.lit(120))
+    g = hits.groupBy("start", "end", "text").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    span = F.when(F.col("start") == F.col("end"), F.col("start").cast("string")).otherwise(F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string")))
+    head = F.concat(F.lit(f"{header}:"), span, F.lit("  "), F.size("rows").cast("string"), F.lit(" violation(s)"))
+    shown = F.concat(F.lit("  "), excerpt, F.when(F.length(excerpt) >= 120, "...").otherwise(""))
+    return g.select("start", F.concat_ws("\n", head, shown, F.array_join("rows.line", "\n")).alias("lines"))

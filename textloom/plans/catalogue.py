@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import articles, ledgers, markdown, prose, records, search, selection, structure, style
+from textloom.plans import articles, convert, ledgers, markdown, prose, records, search, selection, structure, style
 
-_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records)
+_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records, convert)
 
 
 def merged(dicts) -> dict:

@@ -121,11 +121,6 @@ def union_top_keys(spark, d):
     return first.orderBy("o").limit(25).select("w", F.col("o").cast("long").alias("o"))
 
 
-def overfetch_cap(spark, d):
-    w = Window.partitionBy("label").orderBy("vec_id")
-    return t(spark, d, "embeddings").select("vec_id", "label", F.row_number().over(w).alias("rn")).where("rn <= 3")
-
-
 def seeded_sample_sources(spark, d):
     """Five documents of each source by a seeded hash."""
     w = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(42), "doc_id"), "doc_id")
@@ -152,6 +147,5 @@ ORACLES = {
     "latest_state": "select user_id, arg_max(event_type, (ts, event_id)) as state, count(*) as n from events group by 1",
     "status_tallies": "select event_type, count(*) as n, count(*) filter (value > 50) as high, count(distinct user_id) as users from events group by 1",
     "union_top_keys": "with w as (select lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w from documents where lang in ('en', 'de')), c as (select lang, w, count(*) as n from w group by all), r as (select w, row_number() over (partition by lang order by n desc, w) + case when lang = 'en' then 0 else 25 end as o, row_number() over (partition by lang order by n desc, w) as k from c) select w, min(o) as o from r where k <= 25 group by 1 order by o limit 25",
-    "overfetch_cap": "select vec_id, label, row_number() over (partition by label order by vec_id) as rn from embeddings qualify rn <= 3",
 }
 QUERIES = {n: globals()[n] for n in [*ORACLES, "seeded_sample_sources"]}

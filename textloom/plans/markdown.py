@@ -158,12 +158,6 @@ def seeded_sample(spark, d):
     return t(spark, d, "documents").select("lang", "doc_id", draw.alias("draw")).withColumn("r", F.row_number().over(w)).where(F.col("r") <= SAMPLE).select("lang", "doc_id", F.col("r").cast("long").alias("r"))
 
 
-def rule_instructions(spark, d):
-    """Each passage as a rule: its lesson, and the phrase to look for where there is one."""
-    phrase = F.array_join(F.slice(F.split("text", " "), 1, 3), " ")
-    return t(spark, d, "benchmark").select("item_id", F.concat_ws("\n", F.concat(F.lit("Lesson: "), T.excerpt(F.col("text"), 80)), F.when(F.length(phrase) > 12, F.concat(F.lit("Phrase: "), phrase))).alias("instruction"))
-
-
 def id_parse(spark, d):
     """Names of parts taken apart again: the document's, the number, and a handle."""
     name = F.concat(F.replace("url", F.lit("/"), F.lit(":")), F.lit("#c"), F.repeat(F.lit("0"), F.greatest(3 - F.length(F.col("page_id").cast("string")), F.lit(0))), F.col("page_id").cast("string"))
@@ -208,7 +202,6 @@ ORACLES = {
     "response_class": "select page_id, case when regexp_matches(html, '(?i)just a moment|attention required') then 'blocked' when regexp_matches(html, '(?i)you have been blocked|access denied') then 'blockpage' when strlen(html) > 1500 and contains(html, '<article') then 'ok' else 'absent' end as verdict from pages",
     "name_keys": "with x as (select doc_id, list_filter(regexp_split_to_array(lower(strip_accents(array_to_string(string_split(text, ' ')[1:3], ' '))), '[^a-z]+'), lambda w: w not in ('', 'jr', 'sr', 'ii', 'iii', 'iv')) as w from documents) select doc_id, w[len(w)] as \"last\", case when len(w) > 1 then left(w[1], 1) when len(w) = 1 then '' end as \"first\" from x",
     "seeded_sample": f"select lang, doc_id, row_number() over (partition by lang order by md5('{SEED}:' || doc_id), doc_id) as r from documents qualify r <= {SAMPLE}",
-    "rule_instructions": "with x as (select item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as l, array_to_string(string_split(text, ' ')[1:3], ' ') as p from benchmark) select item_id, concat_ws(chr(10), 'Lesson: ' || case when length(l) > 80 then left(l, 80) || '...' else l end, case when length(p) > 12 then 'Phrase: ' || p end) as instruction from x",
     "id_parse": "select page_id, replace(url, '/', ':') as owner, page_id as number, regexp_replace(replace(url, '/', ':') || '#c' || repeat('0', greatest(3 - length(page_id::varchar), 0)) || page_id, '[^a-zA-Z0-9._-]', '_', 'g') as file from pages",
 }
 QUERIES = {n: globals()[n] for n in [*ORACLES, "ligature_repair"]}
