@@ -137,6 +137,55 @@ def test_mixing_budgets(spark, docs):
     assert max(r.copies for r in twice) == 2 and mixing.mix(rows.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def shares(budget, caps, weights):
+    """Water filling by hand: whoever would get more than they hold is filled, and the rest shares what is left."""
+    got, todo = dict.fromkeys(caps, 0.0), set(caps)
+    while todo:
+        each = (budget - sum(got.values())) / sum(weights[c] for c in todo)
+        full = {c for c in todo if caps[c] <= each * weights[c] + 1e-9}
+        for c in full or todo:
+            got[c] = caps[c] if full else each * weights[c]
+        todo = todo - full if full else set()
+    return got
+
+
+def test_mixing_by_hand(spark, docs):
+    odd = spark.createDataFrame([(None, "a b c", None, None), (None, "d", "en", "s1"), (3, "x y", "en", "s1"), (500, None, "de", "s2"), (501, "", "de", "s2")], "doc_id long, text string, lang string, source string")
+    rows = mixing.leveled(docs.select("doc_id", "text", "lang", "source").unionByName(odd)).withColumn("budget", F.lit("clash"))
+    for share, epochs in ((0.3, 1.0), (0.8, 1.0), (1.7, 2.0), (5.0, 3.0), (0.0, 1.0)):
+        out = mixing.mix(rows, Scratch(spark, "t"), share=share, epochs=epochs).collect()
+        held = collections.defaultdict(int)
+        for r in out:
+            held[r.domain, r.lang, r.source] += r.tokens
+        total = share * sum(held.values())
+
+        def weight(level, name):
+            return mixing.WEIGHTS.get(mixing.LEVELS[level], {}).get(name, 1.0)
+
+        def deal(prefix, budget, level):
+            if level == 3:
+                return {prefix: int(budget + 1e-6)}
+            names = {leaf[level] for leaf in held if leaf[:level] == prefix}
+            caps = {n: epochs * sum(v for leaf, v in held.items() if leaf[: level + 1] == (*prefix, n)) for n in names}
+            out = {}
+            for n, b in shares(min(budget, sum(caps.values())), caps, {n: weight(level, n) for n in names}).items():
+                out |= deal((*prefix, n), b, level + 1)
+            return out
+
+        budgets = deal((), total, 0)
+        places = {}
+        for leaf, budget in budgets.items():
+            passes = budget // max(1, held[leaf])
+            own = sorted(((r.doc_id, r.tokens, r.copies) for r in out if (r.domain, r.lang, r.source) == leaf), key=str)
+            marks = spark.createDataFrame([(o[0],) for o in own], "d long").select(F.xxhash64(F.lit(mixing.SEED), F.lit(passes).cast("long"), F.coalesce("d", F.lit(-1)))).collect()
+            order, upto, left = sorted(zip([m[0] for m in marks], own), key=lambda z: (z[0], z[1][0] is not None, z[1][0] or 0, z[1][1])), 0, budget - passes * held[leaf]
+            for _, (_, tokens, copies) in order:
+                upto += tokens
+                assert copies == (0 if tokens == 0 else passes + (upto <= left)), (leaf, share)
+            places[leaf] = passes
+        assert len(out) == docs.count() + 5
+
+
 def test_mixing_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 1)  # as many ranges as a leaf of millions of documents has
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("d0").alias("domain"), F.lit("en").alias("lang"), F.lit("a").alias("source"), (F.col("id") % 7 + 1).alias("tokens"))
@@ -439,15 +488,55 @@ def test_quality_counts():
     assert counts[0].tolist() == [15, sum(map(len, t.split())), 4, 1, 10] and counts[1].tolist() == [0] * 5 and counts[2].tolist() == [0] * 5
 
 
+def plain_counts(text):
+    """The base counts as the contract words them, over lists."""
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    times, lines = collections.Counter(windows), [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    inside = {i + j for i, x in enumerate(windows) if times[x] > 1 for j in range(5)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(inside)
+
+
+def test_quality_of_documents(spark, docs):
+    """Base counts of all documents by brute force; odd rows have one each."""
+    odd = spark.createDataFrame([(None, None), (1, "a b\r\na b\n\x0b\n a b"), (1, "a b c d e " * 3), (1, "a b c d e " * 3), (2, "é#日 " * 20000)], "doc_id long, text string")
+    frame = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(docs.select("doc_id", "text")).unionByName(odd).withColumn("kept", F.lit("clash")).withColumn("n_words", F.lit("clash"))
+    model = quality.fit(frame, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = quality.judge(frame, model).collect()
+    assert len(rows) == frame.count()
+    for r in rows:
+        n = plain_counts(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == n
+        assert r.base_failed == (n[0] < 10 or 100 * n[4] > 20 * n[0]) and not (r.base_failed and r.kept)
+
+
 def test_quality_verdicts(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    out = quality.judge(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("quality = 1 and not base_failed")
-    assert out.where("kept").count() >= 0.95 * out.count()
-    assert quality.fit(docs, labels.limit(0)) is None
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    forest, at = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    assert forest is not None and 0 < at < 1
+    out = quality.judge(docs, (forest, at)).join(labels, "doc_id").where("not base_failed and doc_id % 2 = 1").select("quality", "kept").collect()  # rows that the forest was not fitted on
+    good, bad = [r.kept for r in out if r.quality == 1], [r.kept for r in out if r.quality == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad) and len(bad) > 3
+    assert quality.fit(docs, labels.limit(0)) is None and quality.fit(docs, labels.where("quality = 1")) is None
     assert quality.judge(docs.limit(0), None).count() == 0
 
 
+def test_isolation_forest():
+    rng = np.random.default_rng(3)
+    usual = rng.normal(size=(400, 3)) * [1, 5, 0.1]
+    odd = np.array([[0, 0, 1.5], [0, 0, 1.4], [9, 0, 0], [0, 60, 0]] * 5, float)
+    rows, good = np.concatenate([usual, odd]), np.arange(420) < 400
+    forest = quality.IsolationForest(rows, good)
+    score = forest.score(rows)
+    assert (score[~good] > np.quantile(score[good], 0.95)).all() and ((0 < score) & (score < 1)).all()
+    assert (forest.score(usual[:50]) == score[:50]).all()  # a row's score is its own
+    middle = forest.score(np.array([[0.0, 0.0, 0.7], [0.0, 0.0, 0.0]]))
+    assert middle[0] > middle[1]  # paths tell rows apart that lie between the usual ones and the odd ones
+    assert quality.IsolationForest.expected(256) == pytest.approx(10.24, abs=0.01)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -474,6 +563,24 @@ def test_chain_by_brute_force():
     assert got["worse"] == pytest.approx(on[4] / total)
 
 
+def test_sharding_by_hand(spark, docs):
+    """Every column of the query: sizes, checksums, shards by the middle of a row's bytes, slots; null and repeated keys, and texts of all sizes."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "x"), (None, None), (7, "seven"), (7, "seven"), (-5, "y" * 5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash")).withColumn("_part", F.lit(1)).repartition(3)
+    got = sharding.assign(frame).collect()
+    key = lambda k: (k is not None, k or 0)
+    made = sorted(((k, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16) for k, t in rows), key=lambda r: (key(r[0]), r[1], r[2]))
+    total, before, slots, want = sum(r[2] for r in made), 0, collections.Counter(), []
+    for k, crc, size in made:
+        shard = min(39, int((before + size / 2) * 40 / total))
+        want.append((k, size, crc, "bytes", shard, slots[shard], None))
+        slots[shard] += 1
+        before += size
+    order = lambda r: (key(r[0]), *r[1:6])
+    assert sorted((tuple(r) for r in got), key=order) == sorted(want, key=order)
+    assert sharding.assign(frame.limit(0)).count() == 0
+
+
 def test_sharding(spark, docs):
     keyed = keyed_text(docs)
     out = sharding.shard_by_bytes(keyed, "doc_id", F.octet_length("text") + 16, 7, parts=3).orderBy("doc_id").collect()

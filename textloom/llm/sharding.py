@@ -51,14 +51,14 @@ def shard_by_bytes(df: DataFrame, key: str, size: Column, shards: int = SHARDS,
     )
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op10: all documents in shards 0 to 39, law `bytes`; a null text has 0 bytes."""
+def assign(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) with their size, checksum, shard and slot, law `bytes`; a null text has 0 bytes, and rows are told apart by their doc_id and checksum."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    docs = documents(spark, sf_dir).select("doc_id", F.octet_length(body).alias("_bytes"), F.crc32(body).alias("text_crc32"))
-    out = shard_by_bytes(docs, "doc_id", F.col("_bytes") + ROW_BYTES, SHARDS, keep=["text_crc32"])
-    return out.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
-    )
+    rows = docs.select("doc_id", F.octet_length(body).alias("_bytes"), F.crc32(body).alias("text_crc32"))
+    out = shard_by_bytes(rows, "doc_id", F.col("_bytes") + ROW_BYTES, SHARDS, keep=["text_crc32"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-# DuckDB has no crc32, so the query goes without an oracle; tests recompute it by brute force.
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10: all documents in shards 0 to 39. DuckDB has no crc32, so there is no SQL; tests compute every column by hand."""
+    return assign(documents(spark, sf_dir).select("doc_id", "text"))
