@@ -1,0 +1,209 @@
+"""Publishers' XML and HTML: Markdown by tag policies, tables, pointers, and XML laid out in lines."""
+
+from __future__ import annotations
+
+import re
+import xml.etree.ElementTree as ET
+from html.parser import HTMLParser
+
+#: Parts that are never shown, and marks of styles.
+HIDDEN = {"bibliography", "copyright", "legalStatement", "publisherInfo", "contentMeta", "creators", "correspondenceTo"}
+MARKS = {"i": "_", "b": "**"}
+PICTURES = {"figure": "fig", "tabular": "tab", "displayedItem": "eq", "inlineGraphic": "eq", "math": "math"}
+
+
+def _tag(node: ET.Element) -> str:
+    return node.tag.rsplit("}", 1)[-1]
+
+
+def _space(text: str) -> str:
+    return re.sub(r"\s+", " ", text)
+
+
+class Article:
+    """One article's walk: Markdown blocks, and the assets that it met, numbered by kind."""
+
+    def __init__(self, name: str, ids: dict[str, str]):
+        self.name, self.ids, self.assets, self.counts = name, ids, [], {}
+
+    def asset(self, kind: str, node: ET.Element) -> str:
+        self.counts[kind] = self.counts.get(kind, 0) + 1
+        handle = f"{self.name}-{kind}-{self.counts[kind]:04d}"
+        caption = next((_space("".join(x.itertext())).strip() for x in node.iter() if _tag(x) in ("caption", "title")), "")
+        self.assets.append((handle, kind, caption))
+        return f"![{caption}]({handle})"
+
+    def inline(self, node: ET.Element, styled: bool = True) -> str:
+        out = node.text or ""
+        for child in node:
+            tag = _tag(child)
+            if tag == "math":
+                tex = next((x.text for x in child.iter() if _tag(x) == "annotation" and x.get("encoding") == "application/x-tex"), None)
+                out += tex or self.asset("math", child)
+            elif tag == "inlineGraphic":
+                out += self.asset("eq", child)
+            elif tag == "link" and not "".join(child.itertext()).strip():
+                out += self.ids.get((child.get("href") or "").lstrip("#"), "")  # a pointer without words shows what it points at
+            elif tag not in HIDDEN:
+                mark = MARKS.get(tag, "") if styled else ""
+                inner = self.inline(child, styled)
+                out += f"{mark}{inner}{mark}" if inner.strip() else inner
+            out += child.tail or ""
+        return _space(out)
+
+    def table(self, node: ET.Element) -> list[str]:
+        """A CALS table as rows of pipes; one with cells that span is an asset."""
+        cells = [x for x in node.iter() if _tag(x) == "entry"]
+        if not cells or any(c.get("namest") or c.get("morerows") for c in cells):
+            return [self.asset("tab", node)]
+        title = next((self.inline(x).strip() for x in node.iter() if _tag(x) == "title"), "")
+        rows = [[self.inline(c).strip().replace("|", "\\|") for c in row if _tag(c) == "entry"] for row in node.iter() if _tag(row) == "row"]
+        lines = ["| " + " | ".join(r) + " |" for r in rows]
+        return ([f"**{title}**"] if title else []) + ["\n".join([lines[0], "|" + " --- |" * len(rows[0]), *lines[1:]])]
+
+    def blocks(self, node: ET.Element, depth: int) -> list[str]:
+        out: list[str] = []
+        for child in node:
+            tag = _tag(child)
+            if tag in HIDDEN:
+                continue
+            if tag == "abstractGroup":
+                out += ["## Abstract", *[b for b in self.blocks(child, depth) if not b.startswith("#")]]
+            elif tag == "section":
+                out += self.blocks(child, depth + 1)
+            elif tag == "title":
+                out.append("#" * min(depth, 6) + " " + re.sub(r"\s+\.\s*", ". ", self.inline(child, False)).strip())
+            elif tag == "p":
+                out.append(self.inline(child).strip())
+            elif tag == "list":
+                out.append("\n".join("- " + self.inline(x).strip() for x in child if _tag(x) == "listItem"))
+            elif tag == "tabular":
+                out += self.table(child)
+            elif tag == "displayedItem" and any(_tag(x) == "annotation" for x in child.iter()):
+                out.append(self.inline(child).strip())
+            elif tag in PICTURES:
+                out.append(self.asset(PICTURES[tag], child))
+            else:
+                out += self.blocks(child, depth)
+        return [b for b in out if b.strip()]
+
+
+def pointers(root: ET.Element) -> dict[str, str]:
+    """What a pointer to an id shows: the label that stands with the id, or else a year in it."""
+    out = {}
+    for x in root.iter():
+        key = x.get("{http://www.w3.org/XML/1998/namespace}id") or x.get("id")
+        if key:
+            label = next((_space("".join(y.itertext())).strip() for y in x if _tag(y) in ("label", "titlePrefix")), None)
+            year = re.search(r"\b(1[89]|20)\d\d\b", "".join(x.itertext()))
+            out[key] = label or (year[0] if year else "")
+    return out
+
+
+def publisher_md(xml: str | None, name: str) -> tuple[str | None, list[tuple[str, str, str]]]:
+    """Markdown and assets (handle, kind, caption) of one article; null for XML that doesn't parse."""
+    try:
+        root = ET.fromstring(xml or "")
+    except ET.ParseError:
+        return None, []
+    walk = Article(name, pointers(root))
+    return "\n\n".join(walk.blocks(root, 1)), walk.assets
+
+
+def laid_out(xml: str, pad: str = "  ") -> str:
+    """XML with an element a line where elements hold only elements; what holds text, a comment or CDATA stays as it is, to the character."""
+    token = re.compile(r"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<![^>]*>|</?[^<>]+>|[^<]+")
+    declared = re.match(r"<\?xml[^>]*\?>", xml)
+    root: list = ["", []]
+    stack = [root]
+    for t in token.findall(xml):
+        if t.startswith("</") and len(stack) > 1:
+            stack.pop()[0] += (t,)
+        elif t.startswith("<") and t[1] not in "!?/":
+            node = [(t,), []]
+            stack[-1][1].append(node)
+            if not t.endswith("/>"):
+                stack.append(node)
+        elif not t.startswith("<?") and not (t.startswith("<!") and len(stack) == 1):
+            stack[-1][1].append(t)
+    top = next((n for n in root[1] if isinstance(n, list)), None)
+    if top is None:
+        return xml
+
+    def plain(n) -> str:
+        return n if isinstance(n, str) else n[0][0] + "".join(map(plain, n[1])) + "".join(n[0][1:])
+
+    def lines(n, depth: int) -> str:
+        inner = [c for c in n[1] if isinstance(c, list)]
+        if not inner or any(isinstance(c, str) and c.strip() for c in n[1]):
+            return plain(n)
+        return "\n".join([n[0][0], *[pad * (depth + 1) + lines(c, depth + 1) for c in inner], pad * depth + "".join(n[0][1:])])
+
+    return f"{declared[0] if declared else '<?xml version=' + chr(34) + '1.0' + chr(34) + ' encoding=' + chr(34) + 'UTF-8' + chr(34) + '?>'}\n{lines(top, 0)}\n"
+
+
+class PageB(HTMLParser):
+    """The second journal's pages: parts on a list are left out, formulas and pictures become tokens, divisions are paragraphs, other tags lose their marks."""
+
+    LEFT_OUT = {"script", "style", "nav", "header", "footer", "aside", "button", "svg", "form", "noscript", "head"}
+    PARAGRAPH = {"p", "div", "section", "article", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "ul", "ol"}
+    VOID = {"br", "img", "hr", "meta", "link", "input"}
+
+    def __init__(self, left_out: set[str] = frozenset()):
+        super().__init__(convert_charrefs=True)
+        self.left_out, self.hidden, self.parts, self.lead, self.tokens, self.open = self.LEFT_OUT | set(left_out), 0, [""], "", {"fig": [], "eq": []}, []
+
+    def flush(self, lead: str = "") -> None:
+        if self.parts[-1].strip():
+            self.parts[-1] = self.lead + " ".join(self.parts[-1].split())
+            self.parts.append("")
+        self.lead = lead
+
+    def handle_starttag(self, tag, attrs):
+        known = dict(attrs)
+        classes = set((known.get("class") or "").split())
+        if tag not in self.VOID:
+            self.open.append((tag, bool(self.hidden) or tag in self.left_out or bool(classes & self.left_out)))
+            self.hidden = self.open[-1][1]
+        if self.hidden:
+            return
+        if tag == "img":
+            kind = "eq" if "math" in classes or "equation" in classes else "fig"
+            self.tokens[kind].append(known.get("src") or "")
+            self.parts[-1] += f" @@{kind}{len(self.tokens[kind]):04d}@@ "
+        elif tag in self.PARAGRAPH:
+            self.flush("#" * int(tag[1]) + " " if re.fullmatch("h[1-6]", tag) else "- " if tag == "li" else "")
+        elif tag == "br":
+            self.parts[-1] += " "
+        elif tag in ("b", "strong", "i", "em"):
+            self.parts[-1] += "**" if tag in ("b", "strong") else "*"
+
+    def handle_endtag(self, tag):
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if at is None:
+            return
+        hidden = self.hidden
+        del self.open[at:]
+        self.hidden = self.open[-1][1] if self.open else False
+        if hidden:
+            return
+        if tag in self.PARAGRAPH:
+            self.flush()
+        elif tag in ("b", "strong", "i", "em"):
+            self.parts[-1] += "**" if tag in ("b", "strong") else "*"
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts[-1] += data
+
+    def markdown(self) -> str:
+        self.flush()
+        return "\n\n".join(p for p in self.parts if p.strip())
+
+
+def page_b(html: str | None, left_out: set[str] = frozenset()) -> tuple[str, int, int]:
+    """Markdown of a page, and how many pictures and formulas became tokens."""
+    parser = PageB(left_out)
+    parser.feed(html or "")
+    parser.close()
+    return parser.markdown(), len(parser.tokens["fig"]), len(parser.tokens["eq"])

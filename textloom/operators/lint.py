@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIELDS = ("project", "section", "prefix", "before", "after", "suffix", "judgement", "lesson")
 THRESHOLD = 0.75
 
 
-def read_rules(spark: SparkSession, text: str) -> DataFrame:
-    """(id, the FIELDS, instruction) of a YAML file of rules, keyed by whole numbers, in order. One that has neither lesson nor judgement is an error.
+RULE = "id long, " + ", ".join(f"{f} string" for f in FIELDS)
 
-    Rules are few and written by hand, so the driver reads them: top-level `N:` keys and one level of `field: value` below, values plain, quoted, null or folded over indented lines.
+
+def parsed_rules(text: str) -> list[tuple]:
+    """(id, the FIELDS) of a YAML text of rules, keyed by whole numbers, in order. One that has neither lesson nor judgement is an error.
+
+    Rule files have one shape: top-level `N:` keys and one level of `field: value` below, values plain, quoted, null or folded over indented lines.
     """
     rules: dict[int, dict] = {}
     now = field = None
@@ -28,12 +32,20 @@ def read_rules(spark: SparkSession, text: str) -> DataFrame:
             now[field] = None if value in ("null", "~", "") else "" if value in (">-", ">", "|") else value[1:-1] if value[0] in "\"'" and value[-1] == value[0] else value
         elif field:
             now[field] = f"{now[field] or ''} {bare}".strip()
-    rows = [(n, *[r.get(f) for f in FIELDS]) for n, r in sorted(rules.items())]
-    for row in rows:
-        if not (row[7] or "").strip() and not (row[8] or "").strip():
-            raise ValueError(f"rule {row[0]} has neither lesson nor judgement")
-    frame = spark.createDataFrame(rows, "id long, " + ", ".join(f"{f} string" for f in FIELDS))
-    return frame.withColumn("instruction", instruction())
+    for n, r in rules.items():
+        if not (r.get("lesson") or "").strip() and not (r.get("judgement") or "").strip():
+            raise ValueError(f"rule {n} has neither lesson nor judgement")
+    return [(n, *[r.get(f) for f in FIELDS]) for n, r in sorted(rules.items())]
+
+
+def read_rules(texts: DataFrame) -> DataFrame:
+    """The rules of YAML texts (column text), each with its instruction."""
+
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame([row for x in b["text"] for row in parsed_rules(x)], columns=["id", *FIELDS])
+
+    return texts.select("text").mapInPandas(run, RULE).withColumn("instruction", instruction())
 
 
 def _said(label: str, column: str) -> Column:

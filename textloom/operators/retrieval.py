@@ -11,18 +11,23 @@ K1, B, RRF = 1.2, 0.75, 60.0
 
 
 def bm25(docs: DataFrame, query_terms: list[str], keep: Column | None = None, k: int = 50) -> DataFrame:
-    """The k best documents for any of the terms. Counts and lengths are of the whole corpus; `keep` restricts the hits only."""
-    split = docs.select("doc_id", T.terms(F.col("text")).alias("t"))
-    sized = split.select("doc_id", F.size("t").cast("double").alias("dl"), F.filter("t", lambda x: x.isin(query_terms)).alias("t"))
-    corpus = sized.agg(F.count("*").cast("double").alias("n"), F.avg("dl").alias("avgdl"))
-    post = sized.where(F.size("t") > 0).select("doc_id", "dl", F.explode("t").alias("term")).groupBy("doc_id", "dl", "term").agg(F.count("*").cast("double").alias("tf"))
-    df = post.groupBy("term").agg(F.count("*").cast("double").alias("df"))  # one row a query term
-    if keep is not None:
-        post = post.join(docs.where(keep).select("doc_id"), "doc_id", "left_semi")
-    scored = post.join(F.broadcast(df), "term").crossJoin(F.broadcast(corpus))  # one row of totals
-    idf = F.log(1.0 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1.0) / (F.col("tf") + K1 * (1.0 - B + B * F.col("dl") / F.col("avgdl")))
-    return scored.groupBy("doc_id").agg(F.round(F.sum(part), 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
+    """The k best documents for any of the terms. Counts and lengths are of the whole corpus; `keep` restricts the hits only.
+
+    Two passes over the texts: one sums the corpus's counts, a row in all; the other scores each document by itself, so nothing of the size of the corpus is shuffled.
+    """
+    words = [str(w) for w in dict.fromkeys(query_terms)]
+    held = T.terms(F.col("text"))
+    tf = lambda w: F.size(F.filter("t", lambda x: x == w)).cast("double")
+    split = docs.select("doc_id", (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("_keep"), held.alias("t"))
+    sized = split.select("doc_id", "_keep", F.size("t").cast("double").alias("dl"), *[tf(w).alias(f"tf{i}") for i, w in enumerate(words)])
+    corpus = sized.agg(F.count("*").cast("double").alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).cast("double").alias(f"df{i}") for i in range(len(words))])
+    hit = F.greatest(*[F.col(f"tf{i}") for i in range(len(words))], F.lit(0.0)) > 0
+    x = sized.where(F.col("_keep") & hit).crossJoin(F.broadcast(corpus))  # one row of totals
+    parts = []
+    for i in range(len(words)):
+        idf = F.log(1.0 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
+        parts.append(idf * F.col(f"tf{i}") * (K1 + 1.0) / (F.col(f"tf{i}") + K1 * (1.0 - B + B * F.col("dl") / F.col("avgdl"))))
+    return x.select("doc_id", F.round(sum(parts, F.lit(0.0)), 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
 
 
 def cosine(vector: Column, query: list[float]) -> Column:

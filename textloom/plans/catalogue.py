@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import articles, convert, ledgers, markdown, prose, records, search, selection, structure, style
+from textloom.plans import articles, convert, ledgers, markdown, prose, publishers, records, search, selection, sinks, structure, style
 
-_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records, convert)
+_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records, convert, publishers, sinks)
 
 
 def merged(dicts) -> dict:

@@ -30,7 +30,7 @@ def resume_anti(spark, d):
 
 def upsert_last_wins(spark, d):
     old = t(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
-    new = t(spark, d, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("v"))
+    new = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("v"))
     return K.upsert(old, new, ["k"])
 
 
@@ -95,12 +95,23 @@ def rolling_fail_rate(spark, d):
     return x.select("event_id", F.round("r", 6).alias("rate"), ((F.col("seen") == 50) & (F.col("r") > 0.3)).alias("stop"))
 
 
+BREAKER = 50  # failures in a row that stop a user's work
+
+
 def failure_streaks(spark, d):
-    """The longest run of failures of each user, by gaps and islands."""
+    """The longest run of failures of each user, and the event at which the run is so long that work stops, if any is."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    x = t(spark, d, "events").select("user_id", "event_type", "ts", "event_id", (F.row_number().over(w) - F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id"))).alias("g"))
-    runs = x.where("event_type = 'error'").groupBy("user_id", "g").agg(F.count("*").alias("n"))
-    return runs.groupBy("user_id").agg(F.max("n").alias("longest"))
+    bad = F.col("event_type") == "error"
+    x = t(spark, d, "events").select("user_id", "event_id", "ts", bad.alias("bad"), F.sum((~bad).cast("long")).over(w).alias("g")).where("bad")
+    x = x.withColumn("streak", F.row_number().over(Window.partitionBy("user_id", "g").orderBy("ts", "event_id")))
+    return x.groupBy("user_id").agg(F.max("streak").cast("long").alias("longest"), F.min_by("event_id", F.when(F.col("streak") == BREAKER, F.struct("ts", "event_id"))).alias("stop_event"))
+
+
+def union_feeds(spark, d):
+    """Two feeds of one journal united: a paper that both list counts once, as the first feed has it."""
+    x = t(spark, d, "documents").select(F.sha2("text", 256).alias("h"), "doc_id", "lang", "source")
+    a, b = x.where("doc_id % 3 < 2").withColumn("feed", F.lit(0)), x.where("doc_id % 3 > 0").withColumn("feed", F.lit(1))
+    return K.first_by(a.unionByName(b), ["h"], [F.col("feed"), F.col("doc_id")])
 
 
 def latest_state(spark, d):
@@ -113,12 +124,11 @@ def status_tallies(spark, d):
 
 
 def union_top_keys(spark, d):
-    """Keys of two top-25 lists in the order first seen, 25 of them."""
-    words = t(spark, d, "documents").where("lang in ('en', 'de')").select("lang", F.explode(F.array_remove(F.split(F.lower("text"), "[^a-z0-9]+"), "")).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
-    top = words.withColumn("r", rank).where("r <= 25")
-    first = top.withColumn("o", F.when(F.col("lang") == "en", F.col("r")).otherwise(F.col("r") + 25)).groupBy("w").agg(F.min("o").alias("o"))
-    return first.orderBy("o").limit(25).select("w", F.col("o").cast("long").alias("o"))
+    """Words of the top 25 of every language in the order first seen, languages by name, 25 of them."""
+    words = t(spark, d, "documents").select("lang", F.explode(F.array_remove(F.split(F.lower("text"), "[^a-z0-9]+"), "")).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
+    top = words.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))).where("r <= 25")
+    first = top.groupBy("w").agg(F.min(F.struct("lang", "r")).alias("o"))
+    return first.orderBy("o").limit(25).select("w", F.col("o.lang").alias("lang"), F.col("o.r").cast("long").alias("o"))
 
 
 def seeded_sample_sources(spark, d):
@@ -131,7 +141,7 @@ ORACLES = {
     "train_filter_earliest": "select o_orderkey, (row_number() over (partition by o_custkey order by coalesce(o_orderdate, timestamp '9999-01-01'), o_orderkey) = 1)::int as train_include from orders",
     "dedup_keep_first": "select sha256(text) as h, min(doc_id) as doc_id, count(*) as copies from documents group by 1",
     "resume_anti": "select doc_id, lang from documents where doc_id not in (select doc_id from labels)",
-    "upsert_last_wins": "with n as (select l_orderkey as k, max(l_extendedprice) as v from lineitem where l_linenumber = 1 group by 1) select * from n union all select o_orderkey, o_totalprice from orders where o_orderkey not in (select k from n)",
+    "upsert_last_wins": "with n as (select l_orderkey as k, max(l_extendedprice) as v from lineitem group by 1) select * from n union all select o_orderkey, o_totalprice from orders where o_orderkey not in (select k from n)",
     "insert_or_ignore": "select c_custkey as k, c_name as name from customer union all select s_suppkey * 3, s_name from supplier where s_suppkey * 3 not in (select c_custkey from customer)",
     "export_join": "select o_orderkey, c_name, n_name, o_totalprice from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where c_mktsegment <> 'MACHINERY'",
     "checkpoint_validate": " union all ".join(f"select '{n}' as name, count(*) as n_rows, count(distinct {k}) as n_keys, case when count(*) = count(distinct {k}) and count(*) = count({k}) then 'PASS' else 'FAIL' end as verdict from {n}" for n, k in (("documents", "doc_id"), ("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey")))
@@ -143,9 +153,10 @@ ORACLES = {
     "top_counter": "select p_brand, count(*) as n from lineitem join part on l_partkey = p_partkey group by 1 order by n desc, p_brand limit 25",
     "batch_numbering": "select c_custkey, (row_number() over (order by c_custkey) - 1) // 1000 as batch from customer",
     "rolling_fail_rate": "select event_id, round(avg((event_type = 'error')::int) over w, 6) as rate, count(*) over w = 50 and avg((event_type = 'error')::int) over w > 3e-1 as stop from events window w as (partition by user_id order by ts, event_id rows 49 preceding)",
-    "failure_streaks": "with x as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_id) - row_number() over (partition by user_id, event_type order by ts, event_id) as g from events), r as (select user_id, g, count(*) as n from x where event_type = 'error' group by all) select user_id, max(n) as longest from r group by 1",
+    "failure_streaks": f"with x as (select user_id, event_id, ts, event_type = 'error' as bad, sum((event_type <> 'error')::int) over (partition by user_id order by ts, event_id) as g from events), s as (select *, row_number() over (partition by user_id, g order by ts, event_id) as streak from x where bad) select user_id, max(streak) as longest, arg_min(event_id, (ts, event_id)) filter (streak = {BREAKER}) as stop_event from s group by 1",
+    "union_feeds": "with u as (select sha256(text) as h, doc_id, lang, source, 0 as feed from documents where doc_id % 3 < 2 union all select sha256(text), doc_id, lang, source, 1 from documents where doc_id % 3 > 0) select * from u qualify row_number() over (partition by h order by feed, doc_id) = 1",
     "latest_state": "select user_id, arg_max(event_type, (ts, event_id)) as state, count(*) as n from events group by 1",
     "status_tallies": "select event_type, count(*) as n, count(*) filter (value > 50) as high, count(distinct user_id) as users from events group by 1",
-    "union_top_keys": "with w as (select lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w from documents where lang in ('en', 'de')), c as (select lang, w, count(*) as n from w group by all), r as (select w, row_number() over (partition by lang order by n desc, w) + case when lang = 'en' then 0 else 25 end as o, row_number() over (partition by lang order by n desc, w) as k from c) select w, min(o) as o from r where k <= 25 group by 1 order by o limit 25",
+    "union_top_keys": "with w as (select lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as w from documents), c as (select lang, w, count(*) as n from w group by all), r as (select w, lang, row_number() over (partition by lang order by n desc, w) as k from c qualify k <= 25), f as (select w, min(struct_pack(lang := lang, r := k)) as o from r group by 1) select w, o.lang as lang, o.r as o from f order by o.lang, o.r limit 25",
 }
 QUERIES = {n: globals()[n] for n in [*ORACLES, "seeded_sample_sources"]}

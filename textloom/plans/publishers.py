@@ -1,0 +1,119 @@
+"""TeX sources of several files, publishers' XML, and pages of the second journal, made of the tables and turned to Markdown."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from textloom.functions import latex as L
+from textloom.functions import publisher as P
+from textloom.functions import sources as S
+
+
+def t(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _mapped(df, schema, rows_of):
+    """Rows of a plain function over each row of a frame; rows stay where they are."""
+    names = [c.strip().split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame([rows_of(*r) for r in b.itertuples(index=False)], columns=names)
+
+    return df.mapInPandas(run, schema)
+
+
+def latex_extract(spark, d):
+    """Each document as a source of several TeX files: the main file found, the others read in, macros written out, the title taken, formulas counted."""
+
+    def files(key, lang, text):
+        lines = (text or "").split("\n")
+        half = len(lines) // 2
+        return {
+            "paper/main.tex": "\\documentclass{article}\n\\newcommand{\\kw}[2]{\\emph{#1} #2}\n\\def\\x{$a$}\n\\title{On " + lang + "\\thanks{t}}\n\\begin{document}\n\\maketitle\n\\input{parts/one}\n\\include{two}\n\\input{gone}\n\\end{document}\n",
+            "paper/parts/one.tex": "\\section{One}\n" + "\n".join(lines[:half]) + " \\kw{b}{c} \\x\n\\input{../two}\n\\endinput\nnever\n", "paper/two.tex": "\\section{Two}\n" + "\n".join(lines[half:]) + "\n\\begin{equation}y\\end{equation}\n",
+            "other.tex": "\\documentclass{slides}\n", "paper/style.sty": "\\def\\z{}" * 200,
+        }
+
+    def row(key, lang, text):
+        own = files(key, lang, text)
+        main, classed = L.main_file(own)
+        whole, n, lost = L.expanded(main, own)
+        body, macros = L.unfolded(whole)
+        title, body = L.title_of(body)
+        displays, inline = L.source_formulas(body)
+        return key, main, classed, n, ",".join(lost), macros, title, displays, inline, len(body), body.count("never")
+
+    return _mapped(t(spark, d, "documents").select("doc_id", "lang", "text"), "doc_id long, main string, classed long, inlined long, lost string, macros long, title string, displays long, inline long, size long, beyond long", row)
+
+
+def inline_formulas(spark, d):
+    """Formulas in single signs and commands a thousand bytes outside of formulas, of each document with some of both after it."""
+
+    def row(key, text):
+        md = f"{text}\n$a$ and \\$5, $$b$$ \\foo $c$"
+        return key, L.inline_formulas(md), round(L.macro_density(md), 6)
+
+    return _mapped(t(spark, d, "documents").select("doc_id", "text"), "doc_id long, inline long, density double", row)
+
+
+def strip_raw_html(spark, d):
+    """Pages without raw HTML outside of code, which each page gets some of."""
+    page = F.concat("html", F.lit("\n```\n<p>kept</p>\n```\n`<b>kept</b>` <span a='>'>bare</span><img src='x'/>"))
+    return _mapped(t(spark, d, "pages").select("page_id", page.alias("html")), "page_id long, text string", lambda k, h: (k, L.without_raw_html(h)))
+
+
+def leak_repair(spark, d):
+    """Islands of HTML in Markdown, outside of code, converted."""
+    md = F.concat(F.lit("text `<span>code</span>` "), F.regexp_extract("html", r"(?s)(<div class=\"ad\">.*?</div>)", 1), F.lit(" <img src='a'/> end\n"))
+    return _mapped(t(spark, d, "pages").select("page_id", md.alias("md")), "page_id long, md string, repaired long", lambda k, m: (k, *L.mended_leaks(m, lambda h: P.page_b(h)[0])))
+
+
+def _articles(spark, d):
+    """Each document as an article of a publisher's XML: namespaces, styles, lists, formulas, tables, pointers and parts that are not shown."""
+    safe = F.col("text")
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        safe = F.replace(safe, F.lit(char), F.lit(name))
+    body = F.array_join(F.transform(F.split(safe, "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "")
+    head = F.concat(F.lit('<component xmlns="http://www.wiley.com/namespaces/wiley"><header><contentMeta><creators>N</creators></contentMeta><abstractGroup><abstract><title>Abstract</title><p>In '), "lang", F.lit("</p></abstract></abstractGroup></header><body><section xml:id=\"s1\"><title><i>2.1</i> . <i>"), "source", F.lit("</i></title><p>see <link href=\"#t1\"/> and <b>x</b></p>"))
+    table = F.concat(F.lit('<tabular xml:id="t1"><label>Table 1</label><title>T</title><tgroup><thead><row><entry>a</entry><entry>b|c</entry></row></thead><tbody><row><entry'), F.when(F.col("doc_id") % 2 == 0, ' namest="c1"').otherwise(""), F.lit(">1</entry><entry>2</entry></row></tbody></tgroup></tabular>"))
+    tail = F.lit('<displayedItem><math><annotation encoding="application/x-tex">$$e$$</annotation></math></displayedItem><list><listItem><p>one</p></listItem></list></section></body><bibliography><p>gone</p></bibliography></component>')
+    return t(spark, d, "documents").select("doc_id", F.concat(head, body, table, tail).alias("xml"))
+
+
+def publisher_xml(spark, d):
+    """Publishers' articles as Markdown, and the assets that stand for what Markdown can't show."""
+
+    def row(key, xml):
+        md, assets = P.publisher_md(xml, str(key))
+        return key, md, len(assets), "|".join(a[0] for a in assets)
+
+    return _mapped(_articles(spark, d), "doc_id long, md string, assets long, handles string", row)
+
+
+def xml_layout(spark, d):
+    """Publishers' articles laid out in lines, and whether a second time changes nothing and no text is lost."""
+
+    def row(key, xml):
+        once = P.laid_out(xml)
+        return key, once.count("\n"), P.laid_out(once) == once, "".join(once.split()) == "".join(('<?xml version="1.0" encoding="UTF-8"?>' + xml).split())
+
+    return _mapped(_articles(spark, d), "doc_id long, lines long, steady boolean, whole boolean", row)
+
+
+def html_to_md_b(spark, d):
+    """Pages by the second journal's rules."""
+    return _mapped(t(spark, d, "pages").select("page_id", "html"), "page_id long, md string, figures long, formulas long", lambda k, h: (k, *P.page_b(h, {"ad"})))
+
+
+def latex_macros_to_md(spark, d):
+    """Each document as a TeX file with macros, and Markdown of it after they are written out."""
+    tex = F.concat(F.lit("\\documentclass{article}\n\\newcommand{\\kw}[1]{\\textbf{#1}}\n\\begin{document}\n\\section{"), "source", F.lit("}\n\\kw{"), "lang", F.lit("}\n"), "text", F.lit("\n\\end{document}\n"))
+    plain = _mapped(t(spark, d, "documents").select("doc_id", tex.alias("tex")), "doc_id long, tex string, macros long", lambda k, x: (k, *L.unfolded(x)))
+    return plain.select("doc_id", "macros", S.tex_to_md(F.col("tex")).alias("md"))
+
+
+ORACLES: dict[str, str] = {}  # tested on small cases: no SQL walks trees or macros
+QUERIES = {n: globals()[n] for n in ("latex_extract", "inline_formulas", "strip_raw_html", "leak_repair", "publisher_xml", "xml_layout", "html_to_md_b", "latex_macros_to_md")}

@@ -64,23 +64,25 @@ def hydrate_hits(spark, sf_dir):
 
 
 def search_merge(spark, sf_dir):
-    """Two result legs merged by key: greatest count, any flag, all finders; filtered after the fusion."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
-    a = docs.where("lang = 'en'").orderBy(F.desc("n_chars"), "doc_id").limit(40).select("doc_id", F.col("n_chars").alias("citations"), F.lit(False).alias("oa"), F.lit("a").alias("by"))
-    b = docs.join(table(spark, sf_dir, "labels").where("quality = 1").select("doc_id"), "doc_id").orderBy(F.desc("n_chars"), "doc_id").limit(40).select("doc_id", (F.col("n_chars") + 1).alias("citations"), F.lit(True).alias("oa"), F.lit("b").alias("by"))
+    """Two result legs merged by key: greatest count, any flag, the first venue and year that a leg has, all finders; filtered after the fusion."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    year = F.lit(1950) + F.col("n_chars") % 75
+    a = docs.where("lang = 'en'").orderBy(F.desc("n_chars"), "doc_id").limit(40).select("doc_id", F.col("n_chars").alias("citations"), F.lit(False).alias("oa"), F.lit("a").alias("by"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("venue"), F.lit(None).cast("long").alias("year"))
+    b = docs.join(table(spark, sf_dir, "labels").where("quality = 1").select("doc_id"), "doc_id").orderBy(F.desc("n_chars"), "doc_id").limit(40).select("doc_id", (F.col("n_chars") + 1).alias("citations"), F.lit(True).alias("oa"), F.lit("b").alias("by"), F.upper("source").alias("venue"), year.alias("year"))
     legs = [x.withColumnRenamed("citations", "score") for x in (a, b)]
     fused = R.rrf(*[R.ranked(x, "doc_id") for x in legs])
-    merged = a.unionByName(b).groupBy("doc_id").agg(F.max("citations").alias("citations"), F.bool_or("oa").alias("oa"), F.array_join(F.array_sort(F.collect_list("by")), ",").alias("found_by"))
-    return fused.join(merged, "doc_id").where("citations >= 5000").select("doc_id", "score", "citations", "oa", "found_by").orderBy(F.desc("score"), "doc_id").limit(20)
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("by"))).alias(c)
+    merged = a.unionByName(b).groupBy("doc_id").agg(F.max("citations").alias("citations"), F.bool_or("oa").alias("oa"), F.array_join(F.array_sort(F.collect_list("by")), ",").alias("found_by"), first("venue"), first("year"))
+    return fused.join(merged, "doc_id").where("citations >= 5000").select("doc_id", "score", "citations", "oa", "found_by", "venue", "year").orderBy(F.desc("score"), "doc_id").limit(20)
 
 
 def rerank_overlap(spark, sf_dir):
-    """A stand-in for a reranker: the share of the query's terms in each of the pool's texts."""
+    """A stand-in for a reranker: for every passage as a question, the share of its terms in each of the pool's texts."""
     pool = R.bm25(table(spark, sf_dir, "documents"), TERMS, k=20)
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(pool), "doc_id")
-    q = table(spark, sf_dir, "benchmark").where("item_id = 0").select(F.array_distinct(T.terms(F.col("text"))).alias("q"))
-    both = rows.crossJoin(F.broadcast(q))  # one query by a pool of 20
-    return both.select("doc_id", F.round(F.size(F.array_intersect(F.col("q"), T.terms(F.col("text")))) / F.size("q").cast("double"), 6).alias("score"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(pool), "doc_id").select("doc_id", T.terms(F.col("text")).alias("t"))
+    q = table(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(T.terms(F.col("text"))).alias("q")).where("size(q) > 0")
+    both = q.crossJoin(F.broadcast(rows))  # a pool of 20 for each question
+    return both.select("item_id", "doc_id", F.round(F.size(F.array_intersect("q", "t")) / F.size("q").cast("double"), 6).alias("score"))
 
 
 _T = ", ".join(f"'{t}'" for t in TERMS)
@@ -112,11 +114,11 @@ ORACLES = {
     "rrf_hybrid": f"{_FUSE} select doc_id, score, legs from fu order by score desc, doc_id limit 20",
     "rrf_cap_per_group": f"{_FUSE} select doc_id, source, score, row_number() over (partition by source order by score desc, doc_id) as rn from fu join documents using (doc_id) qualify rn <= 2",
     "hydrate_hits": f"with {BM}, h as (select * from bm order by score desc, doc_id limit 20) select doc_id, score, lang, source, quality, case when length(text) > 4000 then concat(left(text, 4000), chr(10), '[...truncated]') else text end as passage from h join documents using (doc_id) left join labels using (doc_id)",
-    "search_merge": """with a as (select doc_id, n_chars as c, false as oa, 'a' as k from documents where lang = 'en' order by n_chars desc, doc_id limit 40),
-b as (select doc_id, n_chars + 1 as c, true as oa, 'b' as k from documents join labels using (doc_id) where quality = 1 order by n_chars desc, doc_id limit 40),
+    "search_merge": """with a as (select doc_id, n_chars as c, false as oa, 'a' as k, case when doc_id % 2 = 0 then source end as venue, null::bigint as year from documents where lang = 'en' order by n_chars desc, doc_id limit 40),
+b as (select doc_id, n_chars + 1 as c, true as oa, 'b' as k, upper(source) as venue, 1950 + n_chars % 75 as year from documents join labels using (doc_id) where quality = 1 order by n_chars desc, doc_id limit 40),
 u as (select *, row_number() over (partition by k order by c desc, doc_id) as r from (select * from a union all select * from b)),
-m as (select doc_id, round(sum(1e0 / (6e1 + r)), 6) as score, max(c) as citations, bool_or(oa) as oa, string_agg(k, ',' order by k) as found_by from u group by 1)
-select doc_id, score, citations, oa, found_by from m where citations >= 5000 order by score desc, doc_id limit 20""",
-    "rerank_overlap": f"with {BM}, h as (select * from bm order by score desc, doc_id limit 20), q as (select list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) as q from benchmark where item_id = 0) select doc_id, round(len(list_intersect(q, regexp_extract_all(lower(text), '[a-z0-9]+'))) / len(q)::double, 6) as score from h join documents using (doc_id), q",
+m as (select doc_id, round(sum(1e0 / (6e1 + r)), 6) as score, max(c) as citations, bool_or(oa) as oa, string_agg(k, ',' order by k) as found_by, arg_min(venue, k) filter (venue is not null) as venue, arg_min(year, k) filter (year is not null) as year from u group by 1)
+select doc_id, score, citations, oa, found_by, venue, year from m where citations >= 5000 order by score desc, doc_id limit 20""",
+    "rerank_overlap": f"with {BM}, h as (select * from bm order by score desc, doc_id limit 20), q as (select item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) as q from benchmark) select item_id, doc_id, round(len(list_intersect(q, regexp_extract_all(lower(text), '[a-z0-9]+'))) / len(q)::double, 6) as score from h join documents using (doc_id), q where len(q) > 0",
 }
 QUERIES = {n: globals()[n] for n in ORACLES}

@@ -49,18 +49,12 @@ def lean_pages(spark, d):
     return t(spark, d, "pages").select("page_id", F.regexp_extract(clean, r"(?is)<title>(.*?)</title>", 1).alias("title"), F.regexp_replace(body, r">\s+<", "><").alias("body"))
 
 
-def strip_raw_html(spark, d):
-    """Text without tags outside of fenced code, which stays as it is."""
-    parts = F.transform(F.split("html", "```"), lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, r"</?[a-zA-Z][^>]*>", "")).otherwise(p))
-    return t(spark, d, "pages").select("page_id", F.array_join(parts, "```").alias("text"))
-
-
 def references_cut(spark, d):
-    """Lines before the last heading of references, where that stands beyond the first quarter."""
-    x = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
-    w = Window.partitionBy("doc_id")
-    x = x.withColumn("n", F.count("*").over(w)).withColumn("at", F.max(F.when(F.col("line").rlike("(?i)^#*[ \t]*references[ \t]*$"), F.col("p"))).over(w))
-    return x.where(F.col("at").isNull() | (F.col("at") * 4 < F.col("n")) | (F.col("p") < F.col("at"))).groupBy("doc_id").agg(F.count("*").alias("n_lines"))
+    """Lines before the last heading of references, where that stands beyond the first quarter; documents that are cut to nothing have no row."""
+    lines = F.split("text", "\n")
+    x = t(spark, d, "documents").select("doc_id", F.size(lines).alias("n"), F.array_max(F.transform(lines, lambda x, i: F.when(x.rlike(r"(?i)^#*[ \t]*references[ \t]*$"), i))).alias("at"))
+    kept = F.when(F.col("at").isNull() | (F.col("at") * 4 < F.col("n")), F.col("n")).otherwise(F.col("at"))
+    return x.select("doc_id", kept.cast("long").alias("n_lines")).where("n_lines > 0")
 
 
 def flag_tallies(spark, d):
@@ -73,7 +67,6 @@ ORACLES = {
     "cooldown_suppress": f"with recursive k as (select user_id, event_type, min(ts) as ts from events group by all union all select e.user_id, e.event_type, min(e.ts) from k join events e on e.user_id = k.user_id and e.event_type = k.event_type and e.ts >= k.ts + {_PAUSE.replace('event_type', 'e.event_type')} group by all) select min(event_id) as event_id, user_id, event_type from events join k using (user_id, event_type, ts) group by user_id, event_type, ts",
     "subject_paths": "select p_partkey from part where len(list_filter(string_split(p_type, ' ') || string_split(p_name, ' ') || [p_brand], lambda n: n = 'Brand#12' or contains(lower(n), 'st'))) > 0",
     "title_filter": "select page_id, " + "case " + " ".join(f"when starts_with(url, '{p}') then '{n}'" for p, n in ROUTES) + " else 'none' end as route, least(coalesce(nullif(page_id, 0), 10), 20) as leg_limit from pages where not regexp_matches(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '(?i)^(editorial board|front matter|back matter|table of contents|issue information|erratum|corrigendum)$')",
-    "strip_raw_html": "select page_id, array_to_string(list_transform(string_split(html, '```'), lambda p, i: case when i % 2 = 1 then regexp_replace(p, '</?[a-zA-Z][^>]*>', '', 'g') else p end), '```') as text from pages",
     "references_cut": "with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as p from documents), x as (select *, count(*) over (partition by doc_id) as n, max(case when regexp_matches(line, '(?i)^#*[ \\t]*references[ \\t]*$') then p end) over (partition by doc_id) as cut_at from l) select doc_id, count(*) as n_lines from x where cut_at is null or cut_at * 4 < n or p < cut_at group by 1",
     "flag_tallies": f"with x as ({STATS_SQL}), y as (select unnest({FLAGS_SQL}) as flag from x) select flag, count(*) as n from y where flag is not null group by 1",
 }

@@ -49,6 +49,7 @@ ORACLES = {
     "sentences_chunk_rule": "select doc_id, len(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9$(\\\\])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) as sentences from documents",
     "hyphen_normalise": "select doc_id, translate(text, '‐‑­', '--') as text from documents",
     "byte_shards": "select doc_id, ((sum(strlen(text)) over (order by doc_id) - strlen(text)) // 1048576)::bigint as shard from documents",
+    "chunk_ids": "with b as (select doc_id, list_transform(string_split(doc_id || '#c000', ''), lambda c: ascii(c)) as b from documents), h as (select doc_id, list_reduce(list_prepend(14695981039346656037::uhugeint, list_transform(b, lambda x: x::uhugeint)), lambda h, x: (xor(h, x) * 1099511628211::uhugeint) % 18446744073709551616::uhugeint) % 9223372036854775808::uhugeint as h from b) select doc_id, case when h >= 4611686018427387904::uhugeint then (h::hugeint - 9223372036854775808::hugeint)::bigint else h::bigint end as id from h",
     "stream_ingest": "select event_id, user_id, event_type from events",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "chunk_ids", "chunk_documents", "chunk_size_summary"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "chunk_documents", "chunk_size_summary"]}

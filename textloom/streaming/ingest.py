@@ -1,12 +1,12 @@
-"""Streams: replayable ingest of files, and events dropped while a key cools down."""
+"""Streams: replayable ingest of files."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.sinks import shared_folder
+
 
 def ingest(spark: SparkSession, source: str, key: str, stamp: str, out: str, checkpoint: str, delay: str = "1 hour") -> None:
     """Takes in what is new at `source`, each key once within the delay, and ends. A run after a failure goes on where the last one stopped."""
@@ -18,9 +18,6 @@ def ingest(spark: SparkSession, source: str, key: str, stamp: str, out: str, che
 
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """All events, taken in as a stream into the shared folder and read from there."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-textloom-")
-    base = f"{base}/textloom/ingest-{uuid.uuid4().hex}"
+    base = shared_folder(spark)
     ingest(spark, f"{d}/events.parquet", "event_id", "ts", f"{base}/rows", f"{base}/state")
     return spark.read.parquet(f"{base}/rows").select("event_id", "user_id", "event_type")
