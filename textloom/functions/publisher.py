@@ -207,3 +207,145 @@ def page_b(html: str | None, left_out: set[str] = frozenset()) -> tuple[str, int
     parser.feed(html or "")
     parser.close()
     return parser.markdown(), len(parser.tokens["fig"]), len(parser.tokens["eq"])
+
+
+#: Tags and attributes that lean pages keep, and the classes of their parts, in order.
+KEPT_META = re.compile(r"(citation_|dc\.|description$)")
+KEPT_ATTRIBUTES = ("class", "href", "data-src", "alt", "colspan", "rowspan", "content", "name", "property", "charset")
+PARTS = ("abstract", "body", "back")
+
+
+class Lean(HTMLParser):
+    """Reads a page and keeps its citation tags, and the first division of each content class with what is in it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.metas, self.parts, self.now, self.open, self.in_head = [], {}, None, [], False
+
+    @staticmethod
+    def _written(tag, attrs, part):
+        kept = [(n, v) for n, v in attrs if n in KEPT_ATTRIBUTES or part and n == "src" and not (v or "").startswith("data:")]
+        return f"<{tag}" + "".join(f' {n}="{v}"' if v is not None else f" {n}" for n, v in kept) + ">"
+
+    def handle_starttag(self, tag, attrs):
+        known = dict(attrs)
+        self.in_head = tag == "head" or self.in_head and tag != "body"
+        if tag == "meta" and self.in_head and KEPT_META.match(known.get("name") or known.get("property") or ""):
+            known["content"] = " ".join((known.get("content") or "").split())
+            self.metas.append("<meta" + "".join(f' {n}="{known[n]}"' for n, _ in attrs) + ">")
+        classes = (known.get("class") or "").split()
+        if self.now is None and tag == "div":
+            self.now = next((p for p in PARTS if p in classes and p not in self.parts), None)
+            if self.now:
+                self.parts[self.now], self.open = [], []
+        if self.now is not None:
+            # The part's own attributes stay; of those inside, the ones that carry content.
+            own = not self.open
+            self.parts[self.now].append(self.get_starttag_text() if own else self._written(tag, attrs, True))
+            if tag not in PageB.VOID:
+                self.open.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag == "head":
+            self.in_head = False
+        if self.now is None or tag not in self.open:
+            return
+        while self.open:
+            last = self.open.pop()
+            self.parts[self.now].append(f"</{last}>")
+            if last == tag:
+                break
+        if not self.open:
+            self.now = None
+
+    def _text(self, text):
+        if self.now is not None:
+            self.parts[self.now].append(text)
+
+    def handle_data(self, data):
+        self._text(data)
+
+    def handle_entityref(self, name):
+        self._text(f"&{name};")
+
+    def handle_charref(self, name):
+        self._text(f"&#{name};")
+
+
+def lean(html: str | None) -> tuple[str | None, int]:
+    """A page of its citation tags and content parts, and how many parts there are; null for a page without parts."""
+    reader = Lean()
+    reader.feed(html or "")
+    reader.close()
+    found = [reader.parts[p] for p in PARTS if p in reader.parts]
+    if not found:
+        return None, 0
+    return '<!DOCTYPE html><html><head><meta charset="utf-8">' + "".join(reader.metas) + "</head><body>" + "".join("".join(p) for p in found) + "</body></html>", len(found)
+
+
+class PageA(PageB):
+    """The first journal's pages: the summary comes first under its heading, formulas in TeX stay, pictures and tables are numbered assets or rows of pipes."""
+
+    def __init__(self):
+        super().__init__({"references", "citation"})
+        self.first, self.tex, self.assets, self.rows, self.cell = [], None, [], None, None
+
+    def handle_starttag(self, tag, attrs):
+        known = dict(attrs)
+        classes = (known.get("class") or "").split()
+        if "tex-math" in classes or tag == "script" and (known.get("type") or "").startswith("math/tex"):
+            self.tex = (tag, "$$" if "mode=display" in (known.get("type") or "") or "display" in classes else "$")
+            self.parts[-1] += " " + self.tex[1]
+            self.open.append((tag, bool(self.hidden)))
+            return
+        if tag == "table" and not self.hidden:
+            self.flush()
+            self.rows = []
+        elif self.rows is not None and tag == "tr":
+            self.rows.append([])
+        elif self.rows is not None and tag in ("td", "th"):
+            self.cell = len(self.parts[-1])
+        if tag == "img" and not self.hidden:
+            self.assets.append((f"fig{len(self.assets) + 1:02d}", known.get("src") or "", known.get("alt") or ""))
+            self.parts[-1] += f" ![{self.assets[-1][2]}]({self.assets[-1][0]}) "
+            return
+        super().handle_starttag(tag, attrs)
+        if "abstract" in classes and not self.hidden:
+            self.flush()
+            self.first.append((len(self.parts) - 1, len(self.open)))
+
+    def handle_endtag(self, tag):
+        if self.tex and tag == self.tex[0]:
+            self.parts[-1] += self.tex[1] + " "
+            self.tex = None
+            self.open.pop()
+            return
+        if self.rows is not None and tag in ("td", "th") and self.cell is not None:
+            if self.rows:
+                self.rows[-1].append(" ".join(self.parts[-1][self.cell :].split()).replace("|", "\\|"))
+            self.parts[-1], self.cell = self.parts[-1][: self.cell], None
+        if tag == "table" and self.rows is not None:
+            rows, self.rows = [r for r in self.rows if r], None
+            if rows:
+                self.flush()
+                self.parts[-1:] = ["\n".join("| " + " | ".join(r) + " |" for r in [rows[0], ["-"] * len(rows[0]), *rows[1:]]), ""]
+        if self.first and isinstance(self.first[-1][1], int) and len(self.open) == self.first[-1][1] and tag == (self.open[-1][0] if self.open else None):
+            self.flush()
+            self.first[-1] = (self.first[-1][0], None, len(self.parts) - 1)
+        super().handle_endtag(tag)
+
+    def markdown(self) -> str:
+        self.flush()
+        spans = [(f[0], f[2] if len(f) == 3 else len(self.parts)) for f in self.first]
+        ahead = [p for a, b in spans for p in self.parts[a:b] if p.strip() and not re.match("#+ ", p)]
+        rest = [p for i, p in enumerate(self.parts) if p.strip() and not any(a <= i < b for a, b in spans)]
+        titles = [p for p in rest if p.startswith("# ")][:1]
+        return "\n\n".join([*titles, *(["## Abstract", *ahead] if ahead else []), *[p for p in rest if p not in titles]])
+
+
+def page_a(html: str | None) -> tuple[str, list[tuple[str, str, str]]]:
+    """Markdown of a page, and its pictures: handle, address, caption."""
+    parser = PageA()
+    parser.feed(html or "")
+    parser.close()
+    return parser.markdown(), parser.assets

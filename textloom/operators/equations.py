@@ -20,10 +20,11 @@ def equation_splice(texts: DataFrame, read: DataFrame) -> DataFrame:
     tokens = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     x = texts.join(states, "doc_id", "left").select("doc_id", "text", parts.alias("_p"), F.slice(parts, 2, 1 << 30).alias("_after"), numbers.alias("_n"), tokens.alias("_t"), F.transform(numbers, lambda n: F.try_element_at("_m", n)).alias("_s"))
     ready = F.coalesce((F.size("_n") > 0) & ~F.exists("_s", lambda s: s.isNull()), F.lit(False))
-    before, after = lambda z: z["p"].rlike(r"(^|\n)[ \t]*$"), lambda z: z["a"].rlike(r"^[ \t]*(\n|$)")
     zipped = F.arrays_zip(F.col("_p").alias("p"), F.col("_after").alias("a"), F.col("_t").alias("t"), F.col("_s").alias("s"))
-    mark = lambda z: F.when(before(z) & after(z), "$$").otherwise("$")
-    put = lambda z: F.when(z["t"].isNull(), "").when(z["s"]["failed"], z["t"]).otherwise(F.concat(mark(z), z["s"]["tex"], mark(z)))
-    whole = F.array_join(F.transform(zipped, lambda z: F.concat(F.coalesce(z["p"], F.lit("")), put(z))), "")
+    begins = lambda z, i: z["p"].rlike(r"\n[ \t]*$") | ((i == 0) & z["p"].rlike(r"^[ \t]*$"))
+    ends = lambda z, i: z["a"].rlike(r"^[ \t]*\n") | ((i == F.size("_t") - 1) & z["a"].rlike(r"^[ \t]*$"))
+    mark = lambda z, i: F.when(begins(z, i) & ends(z, i), "$$").otherwise("$")
+    put = lambda z, i: F.when(z["t"].isNull(), "").when(z["s"]["failed"], z["t"]).otherwise(F.concat(mark(z, i), z["s"]["tex"], mark(z, i)))
+    whole = F.array_join(F.transform(zipped, lambda z, i: F.concat(F.coalesce(z["p"], F.lit("")), put(z, i))), "")
     failed = F.size(F.filter("_s", lambda s: s["failed"]))
     return x.select("doc_id", F.when(ready, whole).otherwise(F.col("text")).alias("text"), F.when(ready, F.size("_n") - failed).otherwise(0).cast("long").alias("spliced"), F.when(ready, failed).otherwise(0).cast("long").alias("kept"))

@@ -108,6 +108,12 @@ def html_to_md_b(spark, d):
     return _mapped(t(spark, d, "pages").select("page_id", "html"), "page_id long, md string, figures long, formulas long", lambda k, h: (k, *P.page_b(h, {"ad"})))
 
 
+def html_to_md_a(spark, d):
+    """Pages by the first journal's rules: each gets a summary, a formula, a table and a picture after its article."""
+    more = F.lit('<div class="abstract"><h2>Abstract</h2><p>In short.</p></div><p>of <span class="tex-math">\\alpha</span></p><table><tr><th>a</th><th>b|c</th></tr><tr><td>1</td><td>2</td></tr></table><img src="f.png" alt="F"></article>')
+    return _mapped(t(spark, d, "pages").select("page_id", F.replace("html", F.lit("</article>"), more).alias("html")), "page_id long, md string, assets long", lambda k, h: (k, P.page_a(h)[0], len(P.page_a(h)[1])))
+
+
 def latex_macros_to_md(spark, d):
     """Each document as a TeX file with macros, and Markdown of it after they are written out."""
     tex = F.concat(F.lit("\\documentclass{article}\n\\newcommand{\\kw}[1]{\\textbf{#1}}\n\\begin{document}\n\\section{"), "source", F.lit("}\n\\kw{"), "lang", F.lit("}\n"), "text", F.lit("\n\\end{document}\n"))
@@ -116,4 +122,4 @@ def latex_macros_to_md(spark, d):
 
 
 ORACLES: dict[str, str] = {}  # tested on small cases: no SQL walks trees or macros
-QUERIES = {n: globals()[n] for n in ("latex_extract", "inline_formulas", "strip_raw_html", "leak_repair", "publisher_xml", "xml_layout", "html_to_md_b", "latex_macros_to_md")}
+QUERIES = {n: globals()[n] for n in ("latex_extract", "inline_formulas", "strip_raw_html", "leak_repair", "publisher_xml", "xml_layout", "html_to_md_a", "html_to_md_b", "latex_macros_to_md")}

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import pandas as pd
 from pyspark.sql import functions as F
 
-from textloom.functions import text as T
+from textloom.functions.publisher import lean
 from textloom.operators.cooldown import suppressed
 from textloom.plans.prose import FLAGS_SQL, STATS_SQL, doc_md_stats
 
 LONG_PAUSE, PAUSE = 1440, 30
-KEPT_ATTRIBUTES = ("href", "src", "alt", "id", "colspan", "rowspan")
 #: Routes by host prefix, the first that fits.
 ROUTES = [("https://www.", "www"), ("https://news", "news"), ("https://", "secure")]
 
@@ -43,10 +42,16 @@ def title_filter(spark, d):
 
 
 def lean_pages(spark, d):
-    """A page's title and article without scripts, with no attributes but those that carry content."""
-    clean = T.clean_html(F.col("html"))
-    body = F.regexp_replace(F.regexp_extract(clean, r"(?is)<article\b.*?</article\s*>", 0), r'\s(?!(?:' + "|".join(KEPT_ATTRIBUTES) + r')=)[a-zA-Z-]+="[^"]*"', "")
-    return t(spark, d, "pages").select("page_id", F.regexp_extract(clean, r"(?is)<title>(.*?)</title>", 1).alias("title"), F.regexp_replace(body, r">\s+<", "><").alias("body"))
+    """Pages with their citation tags and content parts only, and of attributes those that carry content. The pages' articles are made bodies of that kind."""
+    meta = F.concat(F.lit('<meta name="citation_title" content="a\n  b" id="x"><meta property="og:x" content="c">'), F.lit('<meta name="description" content="'), F.col("page_id").cast("string"), F.lit('"></head>'))
+    made = F.replace(F.replace(F.replace("html", F.lit("<article"), F.lit('<div class="body main" id="b"')), F.lit("</article>"), F.lit("</div>")), F.lit("</head>"), meta)
+
+    def run(batches):
+        for b in batches:
+            rows = [lean(h) for h in b["html"]]
+            yield pd.DataFrame({"page_id": b["page_id"], "html": [r[0] for r in rows], "parts": [r[1] for r in rows]})
+
+    return t(spark, d, "pages").select("page_id", made.alias("html")).mapInPandas(run, "page_id long, html string, parts long")
 
 
 def references_cut(spark, d):
