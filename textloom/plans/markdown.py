@@ -140,9 +140,12 @@ def tex_metrics(spark, d):
 
 
 def response_class(spark, d):
-    """Pages as answers of a fetch: whether the whole text came."""
-    x = t(spark, d, "pages")
-    return x.select("page_id", M.response_class(F.lit("xml"), F.lit(200), F.octet_length("html"), F.col("html"), F.lit(False), least_xml=1500).alias("verdict"))
+    """Pages as answers of a fetch, of two kinds and several statuses: whether the whole came, is absent, or was blocked."""
+    k = F.col("page_id")
+    status = F.element_at(F.array(*[F.lit(x) for x in (200, 403, 404, 429, 200, 500)]), (k % 6 + 1).cast("int"))
+    kind = F.when(k % 4 < 3, "xml").otherwise("pdf")
+    head = F.concat(F.when(k % 13 == 0, "Just a moment...").when(k % 17 == 0, "%PDF-1.4 ").otherwise(""), F.col("html"))
+    return t(spark, d, "pages").select("page_id", M.response_class(kind, status, F.octet_length("html") * 8, head, k % 11 == 0).alias("verdict"))
 
 
 def name_keys(spark, d):
@@ -199,7 +202,7 @@ ORACLES = {
     "latin_terms": " union all ".join(f"select lang, '{w}' as term, sum((length(lower(text)) - length(replace(lower(text), '{w}', ''))) // {len(w)})::bigint as n from documents group by 1" for w in LATIN),
     "sentence_length_dist": f"with s as (select lang, unnest(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) as s from documents), k as (select lang, {_count('s', _WORD)} as k from s where {_count('s', _WORD)} >= 3), a as (select lang, {_ORDER} as l, avg(k) as mean from k group by 1) select lang, len(l) as n, round(mean, 6) as mean, " + ", ".join(f"l[len(l) * {q} // 100 + 1] as p{q}" for q in (10, 25, 50, 75, 90, 99)) + " from a",
     "tex_metrics": f"with x as (select doc_id, length(text) as size, {_count('text', chr(92) + '$' + chr(92) + '$')} // 2 as displays, len(regexp_extract_all(regexp_replace(text, '\\$\\$[^$]*\\$\\$', '', 'g'), '\\\\[a-zA-Z]+')) as commands from documents) select doc_id, displays, commands, case when size > 0 then round(commands * 1000e0 / size, 6) end as density from x",
-    "response_class": "select page_id, case when regexp_matches(html, '(?i)just a moment|attention required') then 'blocked' when regexp_matches(html, '(?i)you have been blocked|access denied') then 'blockpage' when strlen(html) > 1500 and contains(html, '<article') then 'ok' else 'absent' end as verdict from pages",
+    "response_class": "with x as (select page_id, (['200', '403', '404', '429', '200', '500'])[page_id % 6 + 1]::int as status, case when page_id % 4 < 3 then 'xml' else 'pdf' end as kind, case when page_id % 13 = 0 then 'Just a moment...' when page_id % 17 = 0 then '%PDF-1.4 ' else '' end || html as head, strlen(html) * 8 as n from pages) select page_id, case when page_id % 11 = 0 then 'error' when regexp_matches(head, '(?i)just a moment|attention required') then 'blocked' when regexp_matches(head, '(?i)you have been blocked|access denied') then 'blockpage' when status in (403, 429) then 'blocked' when kind = 'xml' then case when status = 200 and n > 20000 and contains(head, '<article') then 'ok' when status in (200, 404) then 'absent' else 'error' end when status = 200 and starts_with(head, '%PDF') and n > 20000 then 'ok' when status = 404 then 'fail' else 'error' end as verdict from x",
     "name_keys": "with x as (select doc_id, list_filter(regexp_split_to_array(lower(strip_accents(array_to_string(string_split(text, ' ')[1:3], ' '))), '[^a-z]+'), lambda w: w not in ('', 'jr', 'sr', 'ii', 'iii', 'iv')) as w from documents) select doc_id, w[len(w)] as \"last\", case when len(w) > 1 then left(w[1], 1) when len(w) = 1 then '' end as \"first\" from x",
     "seeded_sample": f"select lang, doc_id, row_number() over (partition by lang order by md5('{SEED}:' || doc_id), doc_id) as r from documents qualify r <= {SAMPLE}",
     "id_parse": "select page_id, replace(url, '/', ':') as owner, page_id as number, regexp_replace(replace(url, '/', ':') || '#c' || repeat('0', greatest(3 - length(page_id::varchar), 0)) || page_id, '[^a-zA-Z0-9._-]', '_', 'g') as file from pages",

@@ -24,6 +24,17 @@ def hyphen_normalise(spark, d):
     return t(spark, d, "documents").select("doc_id", F.translate("text", "‐‑­", "--").alias("text"))
 
 
+def soft_hyphens(spark, d):
+    """Texts without soft hyphens and the white space that one took up before a letter; each text gets some."""
+    made = F.regexp_replace("text", "(th|en)(.)", "$1\u00ad $2")
+    return t(spark, d, "documents").select("doc_id", F.regexp_replace(made, "\u00ad\\s*(?=[a-zA-Z])|\u00ad", "").alias("text"))
+
+
+def query_terms(spark, d):
+    """The first 32 terms of each passage as a question."""
+    return t(spark, d, "benchmark").select("item_id", F.array_join(T.terms(F.col("text"), 32), " ").alias("terms"))
+
+
 def chunk_ids(spark, d):
     """The signed 63-bit id of each document's first chunk name."""
     return t(spark, d, "documents").select("doc_id", C.fnv_id(F.concat(F.col("doc_id").cast("string"), F.lit("#c000"))).alias("id"))
@@ -48,6 +59,8 @@ def byte_shards(spark, d):
 ORACLES = {
     "sentences_chunk_rule": "select doc_id, len(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9$(\\\\])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) as sentences from documents",
     "hyphen_normalise": "select doc_id, translate(text, '‐‑­', '--') as text from documents",
+    "soft_hyphens": "select doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(th|en)(.)', '\\1' || chr(173) || ' \\2', 'g'), chr(173) || '\\s*([a-zA-Z])', '\\1', 'g'), chr(173), '', 'g') as text from documents",
+    "query_terms": "select item_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:32], ' ') as terms from benchmark",
     "byte_shards": "select doc_id, ((sum(strlen(text)) over (order by doc_id) - strlen(text)) // 1048576)::bigint as shard from documents",
     "chunk_ids": "with b as (select doc_id, list_transform(string_split(doc_id || '#c000', ''), lambda c: ascii(c)) as b from documents), h as (select doc_id, list_reduce(list_prepend(14695981039346656037::uhugeint, list_transform(b, lambda x: x::uhugeint)), lambda h, x: (xor(h, x) * 1099511628211::uhugeint) % 18446744073709551616::uhugeint) % 9223372036854775808::uhugeint as h from b) select doc_id, case when h >= 4611686018427387904::uhugeint then (h::hugeint - 9223372036854775808::hugeint)::bigint else h::bigint end as id from h",
     "stream_ingest": "select event_id, user_id, event_type from events",
