@@ -94,6 +94,14 @@ def test_gate(spark):
     assert {r.doc_id: r.rest for r in gate_diff(frame(old), frame(new)).collect()}[6] == "unexpected"
 
 
+def test_lint_blocks():
+    long = "words of a paragraph that is long enough"
+    md = f"---\nt: x\n---\n# Abstract {{#a}}\n{long}\nand more\n\n- {long}\n  goes on\n- short\n```\n{long}\n\n{long}\n```\n> {long}\n\n| {long} |\n\n$$\n{long}\n$$\n\n::: div\n{long}\n\n## References\n{long}\n## M ##\n1. {long}\ntail of it\n\n{long}"
+    got = lint.prose_blocks(md)
+    assert [b[:4] for b in got] == [(5, 6, "abstract", "abstract"), (8, 9, "Abstract", "list"), (30, 31, "M", "list"), (33, 33, "M", "body")]
+    assert got[0][4] == f"{long}\nand more" and lint.prose_blocks(None) == lint.prose_blocks("") == []
+
+
 def test_rules():
     text = "# c\n12:\n  section: results\n  before: 'a: b'\n  after: null\n  judgement: >-\n    one\n    two: three\n3:\n  lesson: l\n"
     assert lint.parsed_rules(text) == [(3, *[None] * 7, "l"), (12, None, "results", None, "a: b", None, None, "one two: three", None)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,3 +92,60 @@ def rendered(hits: DataFrame, header: str) -> DataFrame:
     head = F.concat(F.lit(f"{header}:"), span, F.lit("  "), F.size("rows").cast("string"), F.lit(" violation(s)"))
     shown = F.concat(F.lit("  "), excerpt, F.when(F.length(excerpt) >= 120, "...").otherwise(""))
     return g.select("start", F.concat_ws("\n", head, shown, F.array_join("rows.line", "\n")).alias("lines"))
+
+
+LEAST = 30  # characters of a block
+_ITEM = re.compile(r"\s*(?:[-*+]|\d+[.)])\s+")
+
+
+def prose_blocks(md: str | None) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, section, role, text) of the blocks of a Markdown text that are judged: paragraphs, and list items one by one.
+
+    The section is the nearest heading of any level; under one that is called so, paragraphs have the role abstract, others body, items list. Fenced code, quotes,
+    tables, fenced divisions, tables of signs, formulas that stand alone, front matter, reference sections and blocks of fewer than LEAST characters are left out.
+    """
+    lines = (md or "").split("\n")
+    out, section, run, role, fence, at = [], "", [], "", "", 0
+    if lines[0] == "---" and "---" in lines[1:]:
+        at = lines.index("---", 1) + 1
+
+    def close() -> None:
+        nonlocal run
+        text, first = "\n".join(lines[i] for i in run), lines[run[0]].strip() if run else ""
+        alone = re.fullmatch(r"\s*\$\$[\s\S]*\$\$\s*", text) or first.startswith((":::", "|", ">")) or re.fullmatch(r"\+[-=+ ]*-[-=+ ]*\+", first)
+        if run and not alone and len(text.strip()) >= LEAST and section.strip().lower() not in ("references", "bibliography"):
+            own = "abstract" if role == "body" and section.strip().lower() == "abstract" else role
+            out.append((run[0] + 1, run[-1] + 1, "abstract" if own == "abstract" else section, own, text))
+        run = []
+
+    for i in range(at, len(lines)):
+        line = lines[i]
+        mark = re.match(r"\s*(```+|~~~+)", line)
+        if fence:
+            fence = "" if mark and mark[1].startswith(fence) else fence
+        elif mark:
+            close()
+            fence = mark[1]
+        elif heading := re.match(r"#{1,6}\s+(.*?)\s*(?:\{[^{}]*\})?\s*#*\s*$", line):
+            close()
+            section = heading[1]
+        elif not line.strip():
+            close()
+        elif _ITEM.match(line):
+            close()
+            run, role = [i], "list"
+        else:
+            role = role if run else "body"
+            run.append(i)
+    close()
+    return out
+
+
+def block_table(texts: DataFrame, key: str) -> DataFrame:
+    """The blocks of (key, md) rows; texts stay where they are."""
+
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame([(k, *x) for k, m in zip(b[key], b["md"]) for x in prose_blocks(m)], columns=[key, "start", "end", "section", "role", "text"])
+
+    return texts.select(key, "md").mapInPandas(run, f"{key} long, start long, end long, section string, role string, text string")

@@ -10,6 +10,7 @@ from textloom.functions import text as T
 from textloom.operators import find, lint, wrap
 from textloom.operators.equations import equation_splice as spliced
 from textloom.operators.retrieval import dense
+from textloom.plans.markdown import html_to_md
 
 
 def t(spark, sf_dir, name):
@@ -138,6 +139,11 @@ def lint_render(spark, d):
     return g.select(F.floor(F.col("start") / 100000).alias("conv_id"), (F.col("start") % 100000).alias("line"), F.regexp_replace("lines", r"^talk\.md:[0-9-]+", "talk.md").alias("lines"))
 
 
+def lint_paragraphs(spark, d):
+    """Blocks of the pages' Markdown that are judged: paragraphs and list items, with section and role."""
+    return lint.block_table(html_to_md(spark, d), "page_id")
+
+
 def dense_cli_query(spark, d, k: int = 10, per_label: int = 3, prefer: int = 3):
     """A question answered by the vectors alone: embedded, fetched with room to spare, boosted by label, capped by label, and shown with lines of its document."""
     vector = R.embedded("the reliability of the test scores was estimated using coefficient alpha", 64)
@@ -224,4 +230,4 @@ select conv_id, turn * 2 + 1 as line, concat('talk.md  ', count(*), ' violation(
     "page_ranges": "with x as (select doc_id, case when trim(string_split(text, chr(10))[-1]) = '' then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end as p from documents), y as (select *, greatest(1, least(case when doc_id % 7 = 0 then 1 else doc_id % 7 end, len(p))) as f from x where len(p) > 0), z as (select *, greatest(f, least(case when doc_id % 11 = 0 then f else doc_id % 11 end, len(p))) as t from y) select doc_id, len(p) as pages, f as \"from\", t as \"to\", array_to_string(p[f:t], chr(12)) as text from z",
     "sorted_kinds": "select 1950 + n_chars % 75 as year, lang, min(doc_id) as first, count(*) as n from documents group by all order by year, lang desc, first limit 100",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "wrap_documents", "wrap_totals", "shape_heuristics", "abstracts", "live_urls", "dense_cli_query"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "wrap_documents", "wrap_totals", "shape_heuristics", "abstracts", "live_urls", "lint_paragraphs", "dense_cli_query"]}
