@@ -4,7 +4,7 @@ A run of ids has a head: its distinct ids from frequent to rare and how often ea
 with the head: its models are reset to it, and a checksum is stored beside it. Three predictions are mixed for every id.
 Order 0 gives every id a share by adaptive counts of buckets, whose ids share alike. Order 2 and order 1 each put on the id that
 their context names as much as contexts of that confidence have been right so far in the block, and leave the rest to order 0. The weights
-of the three follow how likely each found the ids so far: after every id a weight moves towards its share
+of the three follow how likely each found the ids so far: after every other id a weight moves towards its share
 of the mixture's probability. An id's slot is the sum of what all three give it.
 
 numpy works on one position of all blocks of a group at a time, so a group costs
@@ -29,7 +29,8 @@ SINGLE, STEP = 16, 4  # the first buckets have one id; after them, after each ST
 SHARES = 1 << 19  # what order 0 deals out, about
 PRIOR, SEEN = 320.0, 4  # weight of the head's counts, and of an id of the block
 LEVELS = 8  # confidences of a context's entry
-RATE, PACE = 1 / 16, 1 / 32  # of the confidences and the weights
+RATE, PACE = np.float32(1 / 16), np.float32(1 / 20)  # of the confidences and the weights
+ONE, LEAST, MOST = np.float32(1), np.float32(0.02), np.float32(0.48)  # a weight lies between the last two
 EDGE, FULL, WORD = 1 << 32, (1 << 48) - 1, 16
 HEAD = 12  # bytes: count, size, crc32
 
@@ -57,10 +58,15 @@ class Alphabet:
     @classmethod
     def of(cls, ids: np.ndarray) -> tuple[Alphabet, np.ndarray]:
         """The alphabet of a run and the run in ranks."""
-        found, place, times = np.unique(ids, return_inverse=True, return_counts=True)
+        if len(ids) and int(ids.max()) >= max(1 << 20, 4 * len(ids)):  # too thin for a table of all numbers
+            found, place, times = np.unique(ids, return_inverse=True, return_counts=True)
+        else:
+            every = np.bincount(ids)
+            found = np.flatnonzero(every)
+            place, times = ids, every[found]
         order = np.argsort(-times, kind="stable")
-        rank = np.empty(len(found), np.int64)
-        rank[order] = np.arange(len(found))
+        rank = np.zeros(int(found[-1]) + 1 if len(found) and place is ids else len(found), np.int32)
+        rank[found[order] if place is ids else order] = np.arange(len(found))
         own = cls(found[order].astype("<u4"), np.zeros(0, "<u4"))
         own.counts = np.bincount(own.bucket[: len(found)], weights=times[order], minlength=len(own.width)).astype("<u4")
         return own, rank[place]
@@ -80,10 +86,11 @@ class _Models:
         self.lanes, self.alphabet, self.lane = lanes, alphabet, np.arange(lanes)
         self.table = np.zeros(2 * lanes * HASH, np.int32)  # order 2's entries, then order 1's: rank and confidence
         self.base = np.stack([self.lane, self.lane + lanes]) * HASH
-        start = np.array([0.01, 0.25, 0.45, 0.6, 0.7, 0.78, 0.84, 0.9])
+        self.at, self.turn = np.zeros((2, lanes), np.int64), False
+        start = np.array([0.01, 0.25, 0.45, 0.6, 0.7, 0.78, 0.84, 0.9], np.float32)
         self.right = np.repeat(np.tile(start, 2), lanes)  # how often entries of an order and a confidence are right
         self.level = np.stack([self.lane, self.lane + LEVELS * lanes])
-        self.weight = np.full((2, lanes), 0.4)
+        self.weight = np.full((2, lanes), 0.4, np.float32)
         prior = alphabet.counts * (PRIOR / max(1, int(alphabet.counts.sum()))) + 0.05 * (alphabet.width > 0)
         self.count = np.repeat(prior.astype(np.float32)[:, None], lanes, 1)
         self.counts = self.count.ravel()
@@ -100,11 +107,12 @@ class _Models:
         self.own = self.each.ravel()
         np.cumsum(self.each * self.alphabet.width[:, None], 0, out=self.cum[1:])
         self.all = self.cum[-1]
-        self.room = self.all.astype(np.float64)
+        self.room = self.all.astype(np.float32)
 
     def guess(self) -> None:
         mixed = self.b * 2654435761
-        self.at = np.stack([self.a * 40503 + mixed >> 7, mixed >> 9])
+        self.at[0] = self.a * 40503 + mixed >> 7
+        self.at[1] = mixed >> 9
         self.at &= HASH - 1
         self.at += self.base
         self.entry = self.table[self.at]
@@ -113,7 +121,7 @@ class _Models:
         self.cell = self.sure * self.lanes + self.level
         self.odds = self.right[self.cell]
         part = self.weight * self.odds
-        self.mass = (part * (self.room / (1.0 - part[0] - part[1]))).astype(np.int64)
+        self.mass = (part * (self.room / (ONE - part[0] - part[1]))).astype(np.int64)
         self.total = self.all + self.mass[0] + self.mass[1]
 
     def zero(self, rank: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,12 +141,18 @@ class _Models:
 
     def find(self, v: np.ndarray) -> tuple[np.ndarray, ...]:
         """Rank and bucket of the id whose slot holds v, and begin and size of its order-0 share: the masses before it are taken off, then order 0's shares are searched."""
-        swap = self.named[0] > self.named[1]
-        low, high = np.where(swap, self.named[1], self.named[0]), np.where(swap, self.named[0], self.named[1])
-        mass = np.where(swap, self.mass[1], self.mass[0])
-        for rank, m in ((low, mass), (high, self.mass[0] + self.mass[1] - mass)):
-            begin, each = self.zero(rank, self.alphabet.bucket[rank])
-            v = v - np.minimum(np.maximum(v - (begin + each - 1), 0), m)
+        one, two = self.named
+        ends = np.stack([np.minimum(one, two), np.maximum(one, two)]).astype(np.int64)
+        bucket = self.alphabet.bucket[ends]
+        cell = bucket * self.lanes + self.lane
+        ends -= self.alphabet.base[bucket]
+        ends += 1
+        ends *= self.own[cell]
+        ends += self.flat[cell]
+        ends -= 1  # the last place of each named id's share
+        lower = np.where(one <= two, self.mass[0], self.mass[1])
+        v = v - np.minimum(np.maximum(v - ends[0], 0), lower)
+        v -= np.minimum(np.maximum(v - ends[1], 0), self.mass[0] + self.mass[1] - lower)
         at, step = self.lane, self.lanes << self.alphabet.depth
         for _ in range(self.alphabet.depth):
             step >>= 1
@@ -148,13 +162,18 @@ class _Models:
         return self.alphabet.base[bucket] + place, bucket, begin + place * each, each
 
     def learn(self, rank: np.ndarray, bucket: np.ndarray) -> None:
-        alone = self.each_own / self.room
-        seen = self.odds * self.hit + (1.0 - self.odds) * alone
-        self.weight += PACE * self.weight * (seen * (self.total / self.size) - 1.0)
-        np.minimum(np.maximum(self.weight, 0.02, out=self.weight), 0.48, out=self.weight)
-        self.right[self.cell] = self.odds + RATE * (self.hit - self.odds)
-        lower = np.where(self.sure <= 1, rank << 3 | 1, (self.entry & ~(LEVELS - 1)) | self.sure >> 1)
-        self.table[self.at] = np.where(self.hit, self.entry + (self.sure < LEVELS - 1), lower)
+        hit = self.hit.astype(np.float32)
+        self.turn = not self.turn
+        if self.turn:  # weights move with every other id
+            rest = (ONE - self.odds) * (self.each_own.astype(np.float32) / self.room)
+            gain = (self.odds * hit + rest) * (self.total.astype(np.float32) / self.size.astype(np.float32)) - ONE
+            self.weight += PACE * self.weight * gain
+            np.minimum(np.maximum(self.weight, LEAST, out=self.weight), MOST, out=self.weight)
+        self.right[self.cell] = self.odds + RATE * (hit - self.odds)
+        entry = self.entry
+        fresh = (rank << 3 | 1).astype(np.int32)
+        lower = np.where(self.sure <= 1, fresh, entry - self.sure + (self.sure >> 1))
+        self.table[self.at] = np.where(self.hit, entry + (self.sure < LEVELS - 1), lower)
         self.counts[bucket * self.lanes + self.lane] += SEEN
         self.a, self.b = self.b, rank
 

@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,9 @@ FRAME = BLOCK * LANES
 SLOTS, KEPT = 1 << 21, 1 << 24  # pieces that a Python worker remembers, and ids of them
 MARK = re.compile("[\u0300-\u036f]")
 CUT, SIGNS, ALNUM = (np.isin(np.arange(256), list(x)).astype(np.uint8) for x in (b" \n\t", b".,;:!?", b"abcdefghijklmnopqrstuvwxyz0123456789"))
+LATIN = "\u0250"
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that vocabularies of bytes write as the character of that number; the others follow from 256 on
+BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 FRONT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 MAGIC = b"TLI2"
 _held: dict[str, object] = {}
@@ -120,9 +124,10 @@ class _Known:
 
     def learn(self, pieces: list[str]) -> np.ndarray:
         """Where the ids of new pieces now stand, and how many they are, in one number each."""
-        plain = [w.isascii() and w.isalpha() for w in pieces]  # one match of the pattern, which the normalizer leaves as it is
+        # Lower letters of ASCII and Latin, composed, are one match of the pattern, and the normalizer leaves them as they are.
+        plain = [w.isalpha() and (w.isascii() or max(w) < LATIN and w == w.lower() and is_normalized("NFC", w)) for w in pieces]
         other = iter(self.coder.encode_batch([w for w, p in zip(pieces, plain) if not p], add_special_tokens=False))
-        got = [[x.id for x in self.model.tokenize(w)] if p else next(other).ids for w, p in zip(pieces, plain)]
+        got = [[x.id for x in self.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTES))] if p else next(other).ids for w, p in zip(pieces, plain)]
         count = np.array([len(x) for x in got], np.int64)
         start, ids = self.used + np.cumsum(count) - count, np.fromiter(chain.from_iterable(got), np.uint32, int(count.sum()))
         if self.used + len(ids) > len(self.flat):
