@@ -295,7 +295,7 @@ def test_similarity_of_long_lists(spark, monkeypatch):
             if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and label[i] != label[j]:
                 a, b = label[i], label[j]
                 label = [min(a, b) if x in (a, b) else x for x in label]
-    for name, value in (("FREQUENT", 5), ("PIECE", 7), ("HUBS", 1), ("BLOCK", 3)):
+    for name, value in (("FREQUENT", 5), ("PIECE", 7), ("HUBS", 1), ("BLOCK", 3), ("SHORT", 4)):
         monkeypatch.setattr(similarity, name, value)
     assert {r.doc_id: r.component_id for r in similarity.join_classes(frame).collect()} == dict(enumerate(label))
 

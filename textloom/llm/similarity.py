@@ -12,7 +12,7 @@ Documents with one and the same set are joined first and stand as one. In an
 index list all members are compared with one hub, the document whose tokens
 are the most frequent ones (of copies, mostly the original); so a list of n
 gives n pairs. Lists that may be long are dealt in pieces with a hub each, and the hubs of the pieces are compared with the best of
-them. Lists whose members are not yet in one class go on: to some more hubs, then, in blocks of
+them. Lists whose members are not yet in one class go on: short ones to every pair, longer ones to some more hubs and then, in blocks of
 two pieces of a list, to every pair across classes that sizes, places and bitmaps of the sets allow. No pair that could join two
 classes is left unverified.
 """
@@ -34,7 +34,8 @@ SKETCH_BITS = 20
 FREQUENT = 32  # documents over the sketch's noise that make a token frequent
 TINY = 10  # sets of so many tokens are indexed by single tokens
 PIECE = 4096  # members of a list that are dealt as one piece, about
-HUBS = 6  # more hubs of a list that has not come together
+SHORT = 8  # members of a list whose pairs are all tried next
+HUBS = 6  # more hubs of a longer list that has not come together
 BLOCK = 256  # members of a list that are compared as one piece at last, about
 SALT_ROWS = 400  # pairs of one hub that go to one task
 _ONE, _TWO, _ALONE, _PAIR = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
@@ -300,21 +301,22 @@ def join_classes(docs: DataFrame, k: int = K) -> DataFrame:
     pairs = scratch.table(pairs.unionByName(heads.select(F.col("hub.doc_id").alias("hub"), "doc_id")).distinct(), "pairs-1")
     links = verified(pairs, reps, k).unionByName(bridges).select(F.col("hub").alias("x"), F.col("doc_id").alias("y"))
     known = components(links, scratch, "known-1")
-    bitmaps = sets.select("doc_id", "p", "q")
+    bitmaps, lists = sets.select("doc_id", "p", "q"), live.drop("hub")
     for step in (2, 3):
-        marked = live.drop("hub").join(near(known), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
+        marked = lists.join(near(known), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
         split = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("_members")).where("lo < hi").select("key", "_members")
         open_lists = scratch.table(marked.join(near(scratch.table(split, f"split-{step}")), "key"), f"open-{step}")
-        if step == 2:
-            more = _hub_pairs(open_lists, scratch)
+        if step == 2:  # all pairs of short lists, more hubs for the others
+            lists = open_lists.where(F.col("_members") > SHORT).drop("c", "_members")
+            more = _block_pairs(open_lists.where(F.col("_members") <= SHORT), bitmaps).unionByName(_hub_pairs(open_lists.where(F.col("_members") > SHORT), scratch))
         else:
             more = _block_pairs(open_lists, bitmaps)
         tried = pairs.unionByName(pairs.select(F.col("doc_id").alias("hub"), F.col("hub").alias("doc_id")))
         more = scratch.table(more.distinct().join(tried, ["hub", "doc_id"], "left_anti"), f"pairs-{step}")
-        scratch.drop(f"split-{step}", f"open-{step}")
+        scratch.drop(f"split-{step}", *(["live"] if step == 2 else []))
         if not more.isEmpty():
             known, pairs = _joined(known, verified(more, reps, k), scratch, f"known-{step}"), pairs.unionByName(more)
-    scratch.drop("live", "pairs-1", "pairs-2", "pairs-3")
+    scratch.drop("open-2", "open-3", "pairs-1", "pairs-2", "pairs-3")
     found = near(known.withColumnRenamed("doc_id", "rep"))
     every = sets.select("doc_id", "n_shingles").distinct()
     moved = near(twins.groupBy("doc_id").agg(F.min("rep").alias("rep")))
