@@ -189,10 +189,10 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     SALT_ROWS pairs, so that no task gets all of them. A task reads its rows in order and holds one hub's set at a time.
     """
     uses = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("_salts"))
-    members = pairs.join(uses, "hub").select("hub", F.pmod(F.xxhash64("doc_id"), F.col("_salts")).cast("int").alias("salt"), "doc_id")
-    members = docs.join(near(members), "doc_id").select("hub", "salt", F.lit(True).alias("member"), "doc_id", "text")
-    hubs = docs.join(near(uses.withColumnRenamed("hub", "doc_id")), "doc_id").select(F.col("doc_id").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"), F.lit(False).alias("member"), "doc_id", "text")
-    rows = hubs.unionByName(members).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member", "doc_id")
+    members = pairs.join(uses, "hub").select("hub", F.pmod(F.xxhash64("doc_id"), F.col("_salts")).cast("int").alias("salt"), F.lit(True).alias("member"), "doc_id")
+    hubs = uses.select("hub", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"), F.lit(False).alias("member"), F.col("hub").alias("doc_id"))
+    rows = docs.join(near(hubs.unionByName(members)), "doc_id").select("hub", "salt", "member", "doc_id", "text")  # one pass over the texts for both sides
+    rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member", "doc_id")
 
     def run(batches):
         now, own = None, []
