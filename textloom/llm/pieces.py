@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .shared import arrow_schema, documents
 
 MARK = "▁"
-MEMO = 300_000
+MEMO = 200_000  # stretches in each of two generations
 
 
 class PieceCoder:
