@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, media, mixing, pieces, quality, sharding, similarity, token_files, toxicity
+from . import chat, divergence, infill, licenses, line_dedup, media, mixing, pieces, quality, sharding, similarity, token_files, toxicity
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_quality_rules": quality.query,
     "op9_toxicity": toxicity.query,
     "op10_sharding": sharding.query,
+    "op11_line_dedup": line_dedup.query,
+    "op12_fill_in_middle": infill.query,
+    "op13_source_divergence": divergence.query,
 }
 
-ORACLES = {"op5_chat_format": chat.ORACLE}
+ORACLES = {"op5_chat_format": chat.ORACLE, "op11_line_dedup": line_dedup.ORACLE, "op12_fill_in_middle": infill.ORACLE, "op13_source_divergence": divergence.ORACLE}
