@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators import keyed as K
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one that driver and executors share; a temporary one in local mode only, where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-textloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/textloom/{uuid.uuid4().hex}"
+from textloom.sources.folders import shared_folder  # noqa: F401
 
 
 def append_json(df: DataFrame, path: str) -> None:
