@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import retrieval as R
+from textloom.operators.index import SearchIndex, index_of
 
 TERMS = ["license", "under", "version", "thing", "ation"]
 
@@ -20,12 +21,17 @@ def probe(spark, sf_dir) -> list[float]:
     return [float(x) for x in row.embedding] if row else []
 
 
+def stored(spark, sf_dir) -> SearchIndex:
+    """The stored index of the documents; the first question of a session builds it."""
+    return index_of(spark, f"{sf_dir}/documents.parquet", ["lang", "source"])
+
+
 def bm25_topk(spark, sf_dir):
-    return R.bm25(table(spark, sf_dir, "documents"), TERMS, k=10)
+    return stored(spark, sf_dir).bm25(TERMS, k=10)
 
 
 def bm25_topk_faceted(spark, sf_dir):
-    return R.bm25(table(spark, sf_dir, "documents"), TERMS, F.col("lang") == "en", 10)
+    return stored(spark, sf_dir).bm25(TERMS, F.col("lang") == "en", 10)
 
 
 def dense_topk_cosine(spark, sf_dir):
@@ -41,7 +47,7 @@ def soft_boost_topk(spark, sf_dir):
 
 
 def _fused(spark, sf_dir):
-    sparse = R.ranked(R.bm25(table(spark, sf_dir, "documents"), TERMS, k=50), "doc_id")
+    sparse = R.ranked(stored(spark, sf_dir).bm25(TERMS, k=50), "doc_id")
     near = R.ranked(R.dense(table(spark, sf_dir, "embeddings"), probe(spark, sf_dir), k=50), "vec_id")
     return R.rrf(sparse, near)
 
@@ -57,8 +63,8 @@ def rrf_cap_per_group(spark, sf_dir):
 
 
 def hydrate_hits(spark, sf_dir):
-    hits = R.bm25(table(spark, sf_dir, "documents"), TERMS, k=20)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(F.broadcast(hits), "doc_id")
+    index = stored(spark, sf_dir)
+    docs = index.hydrated(index.bm25(TERMS, k=20), ["lang", "source", "text"])
     passage = F.when(F.length("text") > 4000, F.concat(F.left("text", F.lit(4000)), F.lit("\n[...truncated]"))).otherwise(F.col("text"))
     return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", "score", "lang", "source", "quality", passage.alias("passage"))
 
@@ -78,8 +84,8 @@ def search_merge(spark, sf_dir):
 
 def rerank_overlap(spark, sf_dir):
     """A stand-in for a reranker: for every passage as a question, the share of its terms in each of the pool's texts."""
-    pool = R.bm25(table(spark, sf_dir, "documents"), TERMS, k=20)
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(pool), "doc_id").select("doc_id", T.terms(F.col("text")).alias("t"))
+    index = stored(spark, sf_dir)
+    rows = index.hydrated(index.bm25(TERMS, k=20), ["text"]).select("doc_id", T.terms(F.col("text")).alias("t"))
     q = table(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(T.terms(F.col("text"))).alias("q")).where("size(q) > 0")
     both = q.crossJoin(F.broadcast(rows))  # a pool of 20 for each question
     return both.select("item_id", "doc_id", F.round(F.size(F.array_intersect("q", "t")) / F.size("q").cast("double"), 6).alias("score"))
