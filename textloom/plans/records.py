@@ -150,6 +150,11 @@ def heartbeat_window(spark, d):
     """
     e = t(spark, d, "events").select(F.window("ts", f"{BEAT} hours")["start"].alias("beat"), F.col("event_type").isin("signup", "purchase").alias("done"), (F.col("event_type") == "error").alias("bad"))
     seen = e.groupBy("beat").agg(F.count_if("done").alias("done"), F.count_if("bad").alias("bad"), F.count("*").alias("moved"))
+    return beats(seen)
+
+
+def beats(seen):
+    """Rates and flags of (beat, done, bad, moved) rows, one a beat that had any; beats between them count as empty."""
     ends = seen.agg(F.min("beat").alias("lo"), F.max("beat").alias("hi"), F.sum("done").alias("expected"))
     x = ends.select("expected", F.explode(F.sequence("lo", "hi", F.expr(f"interval {BEAT} hours"))).alias("beat")).join(seen, "beat", "left").fillna(0)
     w = Window.partitionBy(F.lit(0)).orderBy("beat")  # a row a beat
