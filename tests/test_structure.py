@@ -11,7 +11,6 @@ from textloom.operators import keyed as K
 from textloom.operators import wrap as W
 from textloom.plans import structure
 from textloom.sources import readers
-from textloom.streaming.ingest import ingest
 
 
 def test_chunks():
@@ -98,15 +97,6 @@ def test_readers(spark, tmp_path):
     assert len(list((tmp_path / "w").glob("*.parquet"))) == 3
 
 
-def test_ingest_resumes(spark, tmp_path):
-    src, out, at = (str(tmp_path / x) for x in ("in", "out", "at"))
-    rows = spark.sql("select id as k, timestamp'2024-01-01 00:00:00' as ts from range(5)")
-    for _ in range(2):
-        rows.write.mode("append").parquet(src)
-        ingest(spark, src, "k", "ts", out, at)
-    assert sorted(r.k for r in spark.read.parquet(out).collect()) == list(range(5))
-
-
 def test_chunk_sizes(spark):
     sf = "/root/testdata/sf0.001"
     texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.plans import ledgers, records, selection
 from textloom.sources.folders import shared_folder
 from textloom.streaming import stateful as S
+from textloom.streaming.ingest import Manifest
 
 MINUTE = 60_000_000
 
@@ -66,7 +67,24 @@ def stream_heartbeat(spark, d):
     return records.beats(_through(spark, _events(spark, d).withColumn("ts", F.col("ts").cast("timestamp")), make).where("moved > 0"))
 
 
+def manifest_ingest(spark, d):
+    """Events as a manifest of fetched files: a user is a paper, an event's type the format, an error a failure. Suppliers are the papers that a list has named."""
+    base = shared_folder(spark)
+    rows = _events(spark, d).select(F.concat(F.lit("p"), F.col("user_id")).alias("paper"), F.col("event_type").alias("format"), F.col("ts").cast("timestamp").alias("stamp"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("digest"), F.when(F.col("bad"), F.concat(F.lit("error "), F.col("event_id"))).alias("failure"))
+    S.fed(rows, "stamp", f"{base}/feed", closed=False)
+    manifest = Manifest(spark, f"{base}/tables")
+    manifest.listed(spark.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("p"), F.col("s_suppkey")).alias("paper")))
+    manifest.run(S.feed(spark, f"{base}/feed", rows.schema), f"{base}/state")
+    failed = manifest.failures.read().groupBy("paper").agg(F.count("*").alias("failures"))
+    got = manifest.sources.read().groupBy("paper").agg(F.count("*").alias("formats"), F.max("digest").alias("newest"))
+    return manifest.papers.read().join(got, "paper", "left").join(failed, "paper", "left").select("paper", "state", "newest", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("formats", "failures")])
+
+
 ORACLES = {
+    "manifest_ingest": """with e as (select concat('p', user_id) as paper, event_type, event_type = 'error' as bad, ts, lpad(event_id::varchar, 12, '0') as digest from events),
+s as (select paper, event_type, max(digest) as digest from e where not bad group by all),
+p as (select concat('p', s_suppkey) as paper, 'listed' as state from supplier union all select distinct paper, 'adopted' from e where paper not in (select concat('p', s_suppkey) from supplier))
+select paper, state, newest, coalesce(formats, 0) as formats, coalesce(failures, 0) as failures from p left join (select paper, count(*) as formats, max(digest) as newest from s group by 1) using (paper) left join (select paper, count(*) as failures from e where bad group by 1) using (paper)""",
     "stream_fail_rate": ledgers.ORACLES["rolling_fail_rate"],
     "stream_streaks": ledgers.ORACLES["failure_streaks"],
     "stream_latest_state": ledgers.ORACLES["latest_state"],

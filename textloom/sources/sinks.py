@@ -1,9 +1,7 @@
-"""Sinks that are read back: appended JSON lines, slices, keyed merges, reloads of single papers, tables of pipes."""
+"""Sinks that are read back: appended JSON lines, slices, keyed merges, tables of pipes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,27 +25,6 @@ def merged(old: DataFrame, new: DataFrame, key: str, last_wins: bool) -> DataFra
     return K.upsert(old, once, [key]) if last_wins else K.insert_or_ignore(old, once, key)
 
 
-def reload(rows: DataFrame, key: str, path: str, buckets: int = 16) -> None:
-    """Writes the rows of some papers anew: all earlier rows of these papers go, others stay. Doing it twice changes nothing.
-
-    Papers are dealt over buckets, and only the buckets of the papers at hand are written, in one commit.
-    """
-    spark = rows.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    batch = rows.withColumn("bucket", bucket)
-    try:
-        old = spark.read.schema(batch.schema).parquet(path)
-        touched = batch.select("bucket").distinct()
-        kept = old.join(F.broadcast(touched), "bucket", "left_semi").join(batch.select(key).distinct(), key, "left_anti")  # at most `buckets` rows
-        stage = f"{path}-{uuid.uuid4().hex}"
-        kept.select(batch.columns).unionByName(batch).write.partitionBy("bucket").parquet(stage)
-        batch = spark.read.schema(batch.schema).parquet(stage)
-    except Exception as e:  # the first load: nothing is there yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    batch.repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
-
-
 def pipe_table(df: DataFrame, order: list[str]) -> DataFrame:
     """A small frame as one Markdown table, in the given order; for reports, whose rows are few."""
     line = lambda cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
