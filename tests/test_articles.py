@@ -7,7 +7,6 @@ from textloom.functions import publisher as P
 from textloom.functions import sources as S
 from textloom.operators import lint
 from textloom.operators.equations import equation_splice
-from textloom.operators.find import find
 from textloom.operators.gates import gate_diff
 from textloom.operators.splice import splice
 
@@ -77,14 +76,6 @@ def test_publishers():
     assert P.lean("<p>x</p>") == (None, 0)
 
 
-def test_find(spark):
-    pages = spark.createDataFrame([(1, "The reli-\nability of the  test scores. The reliability of the test scores."), (2, "test of scores and the long, long reliability"), (3, "scores test reliability the of"), (4, None)], "doc_id long, text string")
-    queries = spark.createDataFrame([(1, "Reliability of the test"), (2, "scores reliability test"), (3, "absent words"), (4, ""), (5, None)], "item_id long, text string")
-    got = [(r.item_id, r.mode, r["rank"], r.doc_id, r.place) for r in find(pages, queries).orderBy("item_id", "rank").collect()]
-    assert got == [(1, "phrase", 1, 1, 4), (1, "phrase", 2, 1, 40), (2, "words", 1, 3, 0), (2, "words", 2, 2, 0), (2, "words", 3, 1, 4)]
-    assert find(pages.limit(0), queries).count() == 0 and find(pages, queries.limit(0)).count() == 0
-
-
 def test_gate(spark):
     old = {1: "a\nb", 2: "x \ny", 3: "![C](10.1111:j-fig01)", 4: "old prose", 5: "![A](10.1:x-fig1)\n![B](10.1:x-tab1)", 6: "| a |\n**Table 1.** t", 7: "![A](10.1:x-fig1)"}
     new = {1: "a\nb", 2: "x\ny", 3: "![C](fig01)", 4: "new prose", 5: "![B](tab9)\n\n![A](fig9)", 6: "![T](tab1)", 7: "![Z](fig9)"}

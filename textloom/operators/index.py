@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators.retrieval import B, K1
-from textloom.sources.folders import shared_folder
+from textloom.sources.folders import shared_folder, source_state
 
 SLACK = 1e-6  # scores are rounded to six places
 MOST_TERMS = 32
@@ -40,26 +40,26 @@ def build(docs: DataFrame, path: str, facets: list[str], buckets: int = 32, span
     spark = docs.sparkSession
     kept = docs.select(F.col(key).alias("doc_id"), F.size(T.terms(F.col(text))).alias("dl"), *facets, F.col(text).alias("text")).withColumn("bucket", _bucket(F.col("doc_id"), buckets))
     kept.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/docs")
-    spark.read.parquet(f"{path}/docs").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).coalesce(1).write.parquet(f"{path}/corpus")
-    avgdl = spark.read.parquet(f"{path}/corpus").first().avgdl or 1.0
-    stored = spark.read.parquet(f"{path}/docs").where("doc_id is not null")
-    tf = stored.select("doc_id", "dl", F.explode(T.terms(F.col("text"))).alias("term")).groupBy("term", "doc_id", "dl").agg(F.count("*").cast("int").alias("tf"))
+    stored = spark.read.schema(kept.schema).parquet(f"{path}/docs")
+    stored.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).coalesce(1).write.parquet(f"{path}/corpus")
+    avgdl = spark.read.parquet(f"{path}/corpus").first()["avgdl"] or 1.0
+    tf = stored.where("doc_id is not null").select("doc_id", "dl", F.explode(T.terms(F.col("text"))).alias("term")).groupBy("term", "doc_id", "dl").agg(F.count("*").cast("int").alias("tf"))
     part = F.col("tf") * (K1 + 1.0) / (F.col("tf") + K1 * (1.0 - B + B * F.col("dl") / F.lit(float(avgdl))))
     posting = F.struct("doc_id", "tf", "dl")
     blocks = tf.groupBy("term", F.floor(F.col("doc_id") / span).alias("block")).agg(F.sort_array(F.collect_list(posting)).alias("p"), F.count("*").alias("n"), F.max(part).alias("top"))
     blocks = blocks.select(_bucket(F.col("term"), buckets).alias("bucket"), "term", "block", "n", "top", *[F.col(f"p.{c}").alias(f"{c}s") for c in ("doc_id", "tf", "dl")])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks.repartitionByRange(parts, "bucket", "block").sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{path}/blocks")
-    return SearchIndex(spark, path, buckets)
+    return SearchIndex(spark, path, buckets, stored, spark.read.schema(blocks.schema).parquet(f"{path}/blocks"))
 
 
 class SearchIndex:
     """Questions to an index that build() wrote."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int):
+    def __init__(self, spark: SparkSession, path: str, buckets: int, docs: DataFrame | None = None, blocks: DataFrame | None = None):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.n, self.avgdl = spark.read.parquet(f"{path}/corpus").first()
-        self._blocks, self._docs = spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/docs")
+        self._docs, self._blocks = docs or spark.read.parquet(f"{path}/docs"), blocks or spark.read.parquet(f"{path}/blocks")
 
     def blocks_of(self, terms: list[str]) -> DataFrame:
         """The blocks of some terms; only the folders of their buckets are read."""
@@ -114,10 +114,7 @@ _BUILT: dict[tuple, SearchIndex] = {}
 
 def index_of(spark: SparkSession, source: str, facets: list[str]) -> SearchIndex:
     """The index of a Parquet table, built once in a session for each state of its files."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    state = fs.getContentSummary(where)
-    known = (spark.sparkContext.applicationId, source, state.getLength(), state.getFileCount(), fs.getFileStatus(where).getModificationTime(), *facets)
+    known = (*source_state(spark, source), *facets)
     if known not in _BUILT:
         _BUILT[known] = build(spark.read.parquet(source), shared_folder(spark), facets)
     return _BUILT[known]

@@ -105,7 +105,7 @@ def oai_records(spark, d):
 
 def page_find(spark, d):
     """Documents that hold a benchmark passage, or all of its words, with snippets."""
-    return find.find(t(spark, d, "documents").select("doc_id", "text"), t(spark, d, "benchmark"))
+    return find.index_of(spark, f"{d}/documents.parquet").find(t(spark, d, "benchmark"))
 
 
 def _rules(spark, d):
@@ -216,7 +216,7 @@ ORACLES = {
 h as (select item_id, doc_id, page, length(q) as n, string_split(low, q) as s from q join dl on contains(low, q)), p as (select item_id, doc_id, page, n, unnest(range(1, len(s))) as i, s from h), a as (select item_id, doc_id, page, n, (i - 1) * n + list_sum(list_transform(s[1:i], lambda x: length(x)))::bigint as place from p),
 b as (select *, row_number() over (partition by item_id order by doc_id, place) as rank from a qualify rank <= 8),
 w as (select item_id, q, list_distinct(list_filter(regexp_split_to_array(q, '[^a-z0-9]+'), lambda w: length(w) > 1)) as w from q where item_id not in (select item_id from b)),
-c as (select item_id, doc_id, page, list_min(list_transform(w, lambda t: strpos(low, t) - 1)) as place, list_max(list_transform(w, lambda t: length(low) - strpos(reverse(low), reverse(t)) + 1)) as e from w join dl on len(w) > 0 and list_has_all(dw, w)),
+c as (select item_id, doc_id, page, list_min(list_transform(w, lambda t: strpos(low, t) - 1)) as place, list_max(list_transform(w, lambda t: length(low) - strpos(reverse(low), reverse(t)) + 1)) as e from w join dl on len(w) > 0 and len(list_filter(w, lambda t: not contains(low, t))) = 0),
 e as (select *, row_number() over (partition by item_id order by e - place, doc_id) as rank from c qualify rank <= 8)
 select item_id, 'phrase' as mode, rank, doc_id, place, trim(substring(page, greatest(place - 160, 0) + 1, place + n + 160 - greatest(place - 160, 0))) as snippet from b
 union all select item_id, 'words', rank, doc_id, place, trim(substring(page, greatest(place - 80, 0) + 1, e + 80 - greatest(place - 80, 0))) from e""",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sqlite3
+
 from pyspark.sql import functions as F
 
 from textloom.operators import lint
-from textloom.sources import readers, sinks
+from textloom.sources import database, folders, readers, sinks
 from textloom.sources.keyed_table import RELOAD, KeyedTable
 
 
@@ -20,7 +22,7 @@ def _sum(df, name):
 
 def sink_roundtrip(spark, d):
     """Each sink with its rows, and whether reading it back gave what was written."""
-    base = sinks.shared_folder(spark)
+    base = folders.shared_folder(spark)
     docs = t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     texts = t(spark, d, "documents").select("doc_id", "text")
     pairs = []
@@ -55,6 +57,18 @@ def sink_roundtrip(spark, d):
     return out
 
 
+def database_scan(spark, d):
+    """Customers as statements of fifty rows, brought into a database file and scanned by partitions with filters on its columns."""
+    base = folders.shared_folder(spark)
+    rows = t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    database.write_statements(rows, f"{base}/sql", "customer")
+    path = f"{base}/customer.db"
+    with sqlite3.connect(database.local(path)) as db:
+        db.execute("create table customer (c_custkey integer primary key, c_name text, c_nationkey int, c_mktsegment text, c_acctbal double)")
+    database.applied(f"{base}/sql", path)
+    return database.scan(spark, path, "customer").where("c_acctbal > 0 and c_mktsegment in ('BUILDING', 'MACHINERY') and c_nationkey is not null").select("c_custkey", "c_name", "c_acctbal")
+
+
 def report_table(spark, d):
     """Documents by language and source kind as a Markdown table."""
     g = t(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
@@ -71,6 +85,7 @@ def yaml_rules(spark, d):
 
 _WORD = lambda i, n: f"array_to_string(string_split(regexp_replace(text, '[:\\s]+', ' ', 'g'), ' ')[{i}:{i + n - 1}], ' ')"
 ORACLES = {
+    "database_scan": "select c_custkey, c_name, c_acctbal::double as c_acctbal from customer where c_acctbal > 0 and c_mktsegment in ('BUILDING', 'MACHINERY')",
     "yaml_rules": f"with x as (select item_id as id, 'results' as section, trim('p ' || {_WORD(1, 3)}) as before, null::varchar as after, trim('j ' || {_WORD(4, 4)}) || ' ' || {_WORD(8, 3)} as judgement, 'l ' || {_WORD(11, 5)} as lesson from benchmark) select *, concat_ws(chr(10) || chr(10), trim(lesson), 'Learned from the results section.', 'The calibrated edit this rule was distilled from:' || chr(10) || 'Before: ' || before, 'The expert''s comment: ' || trim(judgement)) as instruction from x",
     "report_table": "select concat('| lang | n | chars |', chr(10), '| --- | --- | --- |', chr(10), string_agg(concat('| ', lang, ' | ', n, ' | ', chars, ' |'), chr(10) order by lang)) as \"table\" from (select lang, count(*) as n, sum(n_chars)::bigint as chars from documents group by 1)",
 }

@@ -40,6 +40,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def source_state(spark: SparkSession, source: str) -> tuple:
+    """What tells one state of a table's files from another in a session: their number, size and time."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(where)
+    return spark.sparkContext.applicationId, source, held.getLength(), held.getFileCount(), fs.getFileStatus(where).getModificationTime()
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The frame as a table that is read again, so that all that is built on it sees the same rows in the same parts."""
     path = path or shared_folder(df.sparkSession)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators import keyed as K
-from textloom.sources.folders import shared_folder  # noqa: F401
 
 
 def append_json(df: DataFrame, path: str) -> None:
