@@ -184,6 +184,25 @@ def page_text(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.regexp_replace(text, r"(\w)-\s*\n\s*", "$1"), r"\s+", " "))
 
 
+#: Headings behind which an article has only references, or biographies of its authors.
+REFERENCES = r"(?i)^#{1,6} +(references?|bibliography|literature cited|citations|sources)[ \t]*[0-9]*$"
+BIOGRAPHIES = r"(?i)^#{1,6} +(authors?|author biograph(y|ies)|biograph(y|ies)|about the authors?)\b"
+
+
+def back_matter(md: Column) -> Column:
+    """A struct (blocks, kept, cut): how many blocks an article has and how many stand before its back matter.
+
+    A heading is a block of its own, and others are parted by empty lines. The last heading of references cuts, if it stands at a quarter of the blocks or later; where none does, the last
+    one of biographies at half of them or later. cut says which: references, biographies or nothing.
+    """
+    parts = F.split(F.regexp_replace(F.coalesce(md, F.lit("")), r"(?m)^(#{1,6} .*)$", "\n$1\n"), r"\n[ \t]*\n")
+    blocks = F.filter(F.transform(parts, lambda b: F.btrim(b, F.lit(" \t\n"))), lambda b: b != "")
+    last = lambda pattern: F.array_max(F.transform(blocks, lambda b, i: F.when(b.rlike(pattern), i)))
+    n, refs, bios = F.size(blocks), last(REFERENCES), last(BIOGRAPHIES)
+    by = F.when(refs * 4 >= n, F.struct(refs.alias("kept"), F.lit("references").alias("cut"))).when(bios * 2 >= n, F.struct(bios.alias("kept"), F.lit("biographies").alias("cut"))).otherwise(F.struct(n.alias("kept"), F.lit("").alias("cut")))
+    return F.struct(n.alias("blocks"), by["kept"].alias("kept"), by["cut"].alias("cut"))
+
+
 def excerpt(text: Column, size: int = 120) -> Column:
     line = F.trim(F.regexp_replace(text, r"\s+", " "))
     return F.when(F.length(line) > size, F.concat(F.left(line, F.lit(size)), F.lit("..."))).otherwise(line)

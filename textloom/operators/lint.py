@@ -70,28 +70,31 @@ def instruction() -> Column:
 def shared_terms(blocks: DataFrame, rules: DataFrame, key: list[str], least: float = THRESHOLD) -> DataFrame:
     """(key, rule, p) of blocks (key, t: terms) and rules (rule, r: terms) that share a part p >= least of a rule's terms; a stand-in for a judge.
 
-    p is at least `least` only if a block has one of any floor((1 - least) n) + 1 of a rule's terms, so rules are looked up by that many of their rarest ones;
-    pairs found so are read in full. Frequent terms are never joined on unless a rule has no others.
+    p is at least `least` only if a block lacks at most floor((1 - least) n) of a rule's n terms. So of the rarest half of them it has all but that many, and
+    rules are looked up by that half: pairs of keys are counted there, and the terms of the few that are left are compared in full. A null key or list is none.
     """
-    terms = rules.select("rule", "r", F.explode("r").alias("w"))
-    often = blocks.select(F.explode("t").alias("w")).join(terms.select("w").distinct(), "w").groupBy("w").agg(F.count("*").alias("n"))
-    ranked = terms.join(often, "w", "left").withColumn("_r", F.row_number().over(Window.partitionBy("rule").orderBy(F.coalesce("n", F.lit(0)), "w")))
-    wanted = ranked.where(F.col("_r") <= F.floor(F.size("r") * F.lit(1 - least) + 1e-9) + 1).select("rule", "r", "w")
-    pairs = blocks.select(*key, "t", F.explode("t").alias("w")).join(wanted, "w").groupBy(*key, "rule").agg(F.first("t").alias("t"), F.first("r").alias("r"))
+    terms = rules.select("rule", F.size("r").alias("n"), F.explode("r").alias("w"))
+    often = blocks.select(F.explode("t").alias("w")).join(terms.select("w").distinct(), "w").groupBy("w").agg(F.count("*").alias("df"))
+    ranked = terms.join(often, "w", "left").withColumn("_r", F.row_number().over(Window.partitionBy("rule").orderBy(F.coalesce("df", F.lit(0)), "w")))
+    spare = F.floor(F.col("n") * F.lit(1 - least) + 1e-9)
+    half = F.greatest(spare + 1, F.ceil(F.col("n") / 2))
+    wanted = ranked.where(F.col("_r") <= half).select("rule", "w", (half - spare).alias("need"))
+    found = blocks.select(*key, F.explode("t").alias("w")).join(wanted, "w").groupBy(*key, "rule", "need").agg(F.count("*").alias("_c")).where("_c >= need").select(*key, "rule")
     p = F.size(F.array_intersect("t", "r")) / F.size("r")
-    return pairs.where(p >= least).select(*key, "rule", F.round(p, 6).alias("p"))
+    return found.join(rules.select("rule", "r"), "rule").join(blocks.select(*key, "t"), key).where(p >= least).select(*key, "rule", F.round(p, 6).alias("p"))
 
 
-def rendered(hits: DataFrame, header: str) -> DataFrame:
-    """(start, lines) of (start, end, text, rule, instruction, p) rows: a flagged block's place, excerpt and hits, the likeliest first."""
+def rendered(hits: DataFrame, header: str, key: list[str] | None = None) -> DataFrame:
+    """(key, start, lines) of (key, start, end, text, rule, instruction, p) rows: a flagged block's place, excerpt and hits, the likeliest first. key: the text that a block belongs to, where there are several."""
+    key = key or []
     flat = lambda c: F.btrim(F.regexp_replace(c, r"\s+", " "))
     row = F.struct((-F.col("p")).alias("o"), F.col("rule").alias("k"), F.concat(F.lit("  R"), F.when(F.col("rule") < 10, "0").otherwise(""), F.col("rule").cast("string"), F.lit("  p="), F.format_string("%.2f", "p"), F.lit("  "), flat(F.col("instruction"))).alias("line"))
     excerpt = F.left(flat(F.col("text")), F.lit(120))
-    g = hits.groupBy("start", "end", "text").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    g = hits.groupBy(*key, "start", "end", "text").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     span = F.when(F.col("start") == F.col("end"), F.col("start").cast("string")).otherwise(F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string")))
     head = F.concat(F.lit(f"{header}:"), span, F.lit("  "), F.size("rows").cast("string"), F.lit(" violation(s)"))
     shown = F.concat(F.lit("  "), excerpt, F.when(F.length(excerpt) >= 120, "...").otherwise(""))
-    return g.select("start", F.concat_ws("\n", head, shown, F.array_join("rows.line", "\n")).alias("lines"))
+    return g.select(*key, "start", F.concat_ws("\n", head, shown, F.array_join("rows.line", "\n")).alias("lines"))
 
 
 LEAST = 30  # characters of a block

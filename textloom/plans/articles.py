@@ -38,8 +38,8 @@ def table_splice(spark, d):
 
 
 def formula_cleanup(spark, d):
-    """Formulas made of the documents' first lines, without what their pages left in them."""
-    tex = F.concat(F.lit("\\documentclass[12pt]{minimal} \\usepackage{amsmath} \\begin{document}$$ x\\,=\\quad "), F.left("text", F.lit(30)), F.lit(" \\;y $$\\end{document}"))
+    """Formulas made of the documents' texts, without what their pages left in them."""
+    tex = F.concat(F.lit("\\documentclass[12pt]{minimal} \\usepackage{amsmath} \\begin{document}$$ x\\,=\\quad "), F.col("text"), F.lit(" \\;y $$\\end{document}"))
     return t(spark, d, "documents").select("doc_id", S.clean_formula(tex).alias("tex"))
 
 
@@ -47,7 +47,7 @@ _TEX = "'\\documentclass{article}' || chr(10) || '\\begin{document}' || chr(10)
 ORACLES = {
     "latex_to_md": f"select doc_id, {_chain(_TEX, [(p, q.replace('$$$$', '$$')) for p, q in S.FROM_TEX])} as md from documents",
     "xml_to_md": "with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') as l, source, lang from documents where text is not null) select doc_id, array_to_string(['# ' || source, '## ' || lang] || l, chr(10) || chr(10)) as md from l",
-    "formula_cleanup": "select doc_id, trim(regexp_replace('x = ' || left(text, 30) || ' y', '\\s+', ' ', 'g')) as tex from documents",
+    "formula_cleanup": "select doc_id, trim(regexp_replace('x = ' || text || ' y', '\\s+', ' ', 'g')) as tex from documents",
     "table_splice": "with g as (select conv_id as doc_id, turn, min(text) as body from conversations where text is not null group by all), n as (select doc_id, count(*) as groups, min(turn) as low from g group by 1), l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as p from documents), r as (select l.*, body from l left join g on g.doc_id = l.doc_id and turn = p) select doc_id, string_agg(line || coalesce(body, '@@tab' || p || '@@'), chr(10) order by p) as text, count(body) as spliced from r group by 1",
 }
 QUERIES = {n: globals()[n] for n in ORACLES}

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from textloom.functions.publisher import lean
+from textloom.functions import text as T
 from textloom.operators.cooldown import suppressed
 from textloom.plans.prose import FLAGS_SQL, STATS_SQL, doc_md_stats
 
@@ -55,11 +56,11 @@ def lean_pages(spark, d):
 
 
 def references_cut(spark, d):
-    """Lines before the last heading of references, where that stands beyond the first quarter; documents that are cut to nothing have no row."""
-    lines = F.split("text", "\n")
-    x = t(spark, d, "documents").select("doc_id", F.size(lines).alias("n"), F.array_max(F.transform(lines, lambda x, i: F.when(x.rlike(r"(?i)^#*[ \t]*references[ \t]*$"), i))).alias("at"))
-    kept = F.when(F.col("at").isNull() | (F.col("at") * 4 < F.col("n")), F.col("n")).otherwise(F.col("at"))
-    return x.select("doc_id", kept.cast("long").alias("n_lines")).where("n_lines > 0")
+    """Blocks of each document as an article that stay before its references, and what the rest was cut by. Every third has more sections behind them."""
+    more = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\n\n## Author Biographies\n\n"), "source", F.lit(" writes.\n\n## Notes\n\nend"))).otherwise("")
+    listed = F.when(F.col("doc_id") % 4 == 0, "\n\n## References 12\n\nOld, A. 1990.\n\nNew, B. 1991.").otherwise("")
+    x = t(spark, d, "documents").select("doc_id", T.back_matter(F.concat(F.lit("# "), "source", F.lit("\n\n"), F.replace("text", F.lit("\n"), F.lit("\n\n")), listed, more)).alias("x"))
+    return x.select("doc_id", F.col("x.blocks").cast("long").alias("blocks"), F.col("x.kept").cast("long").alias("kept"), "x.cut")
 
 
 def flag_tallies(spark, d):
@@ -72,7 +73,10 @@ ORACLES = {
     "cooldown_suppress": f"with recursive k as (select user_id, event_type, min(ts) as ts from events group by all union all select e.user_id, e.event_type, min(e.ts) from k join events e on e.user_id = k.user_id and e.event_type = k.event_type and e.ts >= k.ts + {_PAUSE.replace('event_type', 'e.event_type')} group by all) select min(event_id) as event_id, user_id, event_type from events join k using (user_id, event_type, ts) group by user_id, event_type, ts",
     "subject_paths": "select p_partkey from part where len(list_filter(string_split(p_type, ' ') || string_split(p_name, ' ') || [p_brand], lambda n: n = 'Brand#12' or contains(lower(n), 'st'))) > 0",
     "title_filter": "select page_id, " + "case " + " ".join(f"when starts_with(url, '{p}') then '{n}'" for p, n in ROUTES) + " else 'none' end as route, least(coalesce(nullif(page_id, 0), 10), 20) as leg_limit from pages where not regexp_matches(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '(?i)^(editorial board|front matter|back matter|table of contents|issue information|erratum|corrigendum)$')",
-    "references_cut": "with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as p from documents), x as (select *, count(*) over (partition by doc_id) as n, max(case when regexp_matches(line, '(?i)^#*[ \\t]*references[ \\t]*$') then p end) over (partition by doc_id) as cut_at from l) select doc_id, count(*) as n_lines from x where cut_at is null or cut_at * 4 < n or p < cut_at group by 1",
+    "references_cut": """with x as (select doc_id, concat('# ', source, chr(10), chr(10), replace(text, chr(10), chr(10) || chr(10)), case when doc_id % 4 = 0 then concat(chr(10), chr(10), '## References 12', chr(10), chr(10), 'Old, A. 1990.', chr(10), chr(10), 'New, B. 1991.') else '' end, case when doc_id % 3 = 0 then concat(chr(10), chr(10), '## Author Biographies', chr(10), chr(10), source, ' writes.', chr(10), chr(10), '## Notes', chr(10), chr(10), 'end') else '' end) as md from documents),
+y as (select doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(md, '(?m)^(#{1,6} .*)$', chr(10) || '\\1' || chr(10), 'g'), '\\n[ \\t]*\\n'), lambda b: trim(b, ' ' || chr(9) || chr(10))), lambda b: b <> '') as l from x),
+z as (select doc_id, len(l) as blocks, list_max(list_transform(l, lambda b, i: case when regexp_matches(b, '(?i)^#{1,6} +(references?|bibliography|literature cited|citations|sources)[ \\t]*[0-9]*$') then i - 1 end)) as r, list_max(list_transform(l, lambda b, i: case when regexp_matches(b, '(?i)^#{1,6} +(authors?|author biograph(y|ies)|biograph(y|ies)|about the authors?)\\b') then i - 1 end)) as a from y)
+select doc_id, blocks, case when r * 4 >= blocks then r when a * 2 >= blocks then a else blocks end as kept, case when r * 4 >= blocks then 'references' when a * 2 >= blocks then 'biographies' else '' end as cut from z""",
     "flag_tallies": f"with x as ({STATS_SQL}), y as (select unnest({FLAGS_SQL}) as flag from x) select flag, count(*) as n from y where flag is not null group by 1",
 }
 QUERIES = {n: globals()[n] for n in [*ORACLES, "lean_pages"]}
