@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from textloom.functions import latex as L
-from textloom.functions import publisher as P
 from textloom.functions import sources as S
 from textloom.operators import lint
 from textloom.operators.equations import equation_splice
@@ -50,32 +48,6 @@ def test_equations(spark):
     assert got == {1: ("a $p$ b\n$$q$$\nc", 2, 0), 2: ("$p$ @@eq2@@", 1, 1), 3: ("@@eq1@@", 0, 0), 4: ("none", 0, 0), 5: (None, 0, 0), 6: ("x $a$", 1, 0)}
 
 
-def test_tex_sources():
-    files = {"a/m.tex": "\\documentclass{x}\n\\begin{document}\\input{b/one}\\include two \\input{nowhere}\\end{document}", "a/b/one.tex": "1 \\input{../two}\\input{one}", "a/two.tex": "2\\endinput never", "z.tex": "\\documentclass{x}"}
-    assert L.main_file(files) == ("a/m.tex", 2) and L.main_file({"q.sty": ""}) == (None, 0) and L.main_file({"b.tex": "1", "a.tex": "1"}) == ("a.tex", 0)
-    text, n, lost = L.expanded("a/m.tex", files)
-    assert " ".join(text.split()) == "1 2wo" and n == 2 and lost == ["t", "nowhere"]  # a bare name is one character
-    assert L.unfolded("\\newcommand{\\k}[2]{<#2|#1>}\\def\\z{\\k{a}{b}}x \\z \\k{c} {d} \\kk \\k{e}") == ("x <b|a> <d|c> \\kk \\k{e}", 2)
-    assert L.title_of("p \\title{On {\\bf X} \\thanks{n {m}}\\\\ Y} q") == ("On X Y", "p  q")
-    assert L.inline_formulas("$a$ \\$5 $$b$$ $c") == 2 and L.source_formulas("\\[x\\] \\begin{align*}y$a$ \\(b\\) $$") == (2, 2)
-    assert L.without_raw_html("a <b>c</b> <div x='>'>d</div>`<p>`<svg>gone</svg>\n```\n<p>\n```") == "a <b>c</b> d`<p>`\n```\n<p>\n```"
-    assert L.mended_leaks("x <span>y</span> `<span>z</span>`", lambda h: "Y" if "y" in h else "") == ("x \nY\n `<span>z</span>`", 1)
-
-
-def test_publishers():
-    xml = '<c xmlns="u"><contentMeta>n</contentMeta><section xml:id="s"><titlePrefix>2</titlePrefix><title><i>2.1</i> . <i>D</i></title><p>a <i>b</i> <link href="#t"/></p><figure xml:id="f"><caption>C</caption></figure><tabular xml:id="t"><label>Table 3</label><tgroup><row><entry>x</entry></row><row><entry>1|2</entry></row></tgroup></tabular></section><bibliography><p>z</p></bibliography></c>'
-    md, assets = P.publisher_md(xml, "p")
-    assert md == "## 2.1. D\n\na _b_ Table 3\n\n![C](p-fig-0001)\n\n| x |\n| --- |\n| 1\\|2 |" and assets == [("p-fig-0001", "fig", "C")] and P.publisher_md("<a", "p") == (None, [])
-    once = P.laid_out('<?xml version="1.1"?><a>\n<b x="1"><c/> <d>t <e>u</e> v</d><!-- k --></b><f><g/></f></a>')
-    assert once == '<?xml version="1.1"?>\n<a>\n  <b x="1"><c/> <d>t <e>u</e> v</d><!-- k --></b>\n  <f>\n    <g/>\n  </f>\n</a>\n' or "<d>t <e>u</e> v</d>" in once
-    assert P.laid_out(once) == once and P.laid_out("no xml") == "no xml"
-    assert P.page_b('<nav>n</nav><div>a<p>b <b>c</b></p><img class="math" src="m"><h2>H</h2><ul><li>i</li></ul><div class="ad">x</div></div>', {"ad"}) == ("a\n\nb **c**\n\n@@eq0001@@\n\n## H\n\n- i", 0, 1)
-    assert P.page_a('<h1>T</h1><p>body <span class="tex-math">x</span></p><div class="abstract"><h2>Abstract</h2><p>short</p></div><table><tr><th>a</th></tr><tr><td>1</td></tr></table><img src="f" alt="F">') == ("# T\n\n## Abstract\n\nshort\n\nbody $x$\n\n| a |\n| - |\n| 1 |\n\n![F](fig01)", [("fig01", "f", "F")])
-    page = '<html><head><meta name="citation_title" content="a\n b"><meta name="k" content="c"></head><body><div class="body x" id="i"><p style="s" class="p">t &amp; <img src="u" data-src="v"></p></div><div class="back">z</div></body></html>'
-    assert P.lean(page) == ('<!DOCTYPE html><html><head><meta charset="utf-8"><meta name="citation_title" content="a b"></head><body><div class="body x" id="i"><p class="p">t &amp; <img src="u" data-src="v"></p></div><div class="back">z</div></body></html>', 2)
-    assert P.lean("<p>x</p>") == (None, 0)
-
-
 def test_gate(spark):
     old = {1: "a\nb", 2: "x \ny", 3: "![C](10.1111:j-fig01)", 4: "old prose", 5: "![A](10.1:x-fig1)\n![B](10.1:x-tab1)", 6: "| a |\n**Table 1.** t", 7: "![A](10.1:x-fig1)"}
     new = {1: "a\nb", 2: "x\ny", 3: "![C](fig01)", 4: "new prose", 5: "![B](tab9)\n\n![A](fig9)", 6: "![T](tab1)", 7: "![Z](fig9)"}

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from textloom.operators import chunks as C
 from textloom.operators import keyed as K
-from textloom.operators import wrap as W
 from textloom.plans import structure
 from textloom.sources import readers
 
@@ -46,35 +45,6 @@ def test_running_sums(spark):
     assert C.byte_shards(df.limit(0), "k", F.col("v"), 10).count() == 0
 
 
-def test_wrap():
-    page = "## Preprint\n\n12\n\n## On the Depth of Headings\n\nJon Rasbash and Felix Muster\n\nSome University, Town\n\n## psychometrika\n\n© 2019 The Society\n\nReceived May 3, 2001\n\nProse of o\u00ad ne kind.\n\n## 1 Intro\n\nThe e ect.\n\n"
-    page += "## 1.1 A\n\nx ![c](../assets/id-fig03.png)\n\n## 1.1.1 B\n\ny\n\n## Discussion\n\nWork was funded by them.\n\n## 2.1.1 X\n\n## On the depth of headings\n\nRequests for reprints should be sent to A. B. Some town. More prose stays here\n\na.b@c.org\n\n" + "Long prose. " * 90 + "\n\n## References\n\nOld, A. 1990.\n"
-    md, r = W.wrap(page)
-    assert r["title"] == "On the Depth of Headings" and md.startswith("# On the Depth of Headings\n\nProse of one kind.\n\n## 1 Intro\n\nThe effect.") and r["status"] == "ok"
-    assert [x for x in md.split("\n") if x.startswith("##")] == ["## 1 Intro", "### 1.1 A", "#### 1.1.1 B", "## Discussion", "### 2.1.1 X"] and r["hierarchy_repairs"] == 3
-    assert r["rules"] == {"banner": 1, "line_number": 1, "running_head": 1, "journal_banner": 1, "author_block": 2, "email_line": 1, "correspondence": 1, "funding_note": 1, "copyright_line": 1, "manuscript_dates": 1}
-    assert r["repairs"] == {"pua_mapped": 0, "pua_unmapped": 0, "uni_mapped": 0, "joins": 1, "softhyphens": 1} and "(id:fig03.png)" in md and r["asset_keys"] == 1
-    assert r["refs_cut"] and "Old, A." not in md and "More prose stays here" in md and r["residual_refs"] == 0
-    assert W.wrap(None)[1]["status"] == "skip" and W.wrap("## References\n\na\n\nb\n\nc\n\nd\n\ne")[1]["residual_refs"] == 1
-    assert W.wrap("a\n\nb\n\n## Biographies\n\nc")[0] == "a\n\nb\n"
-
-
-@pytest.mark.parametrize("text,author,title", [
-    ("LEONARD S. FELDT", True, False), ("Jon Rasbash Harvey Goldstein", True, False), ("maastricht university, the netherlands", True, True), ("Emma Bridger (University of Leicester)", True, True), ("AND", True, False),
-    ("2 Department of Psychology, MIT", True, True), ("We report a result", False, True), ("A test of the theory", False, True), ("1. A test of the theory", False, False), ("Introduction to the theory", False, False), ("What do items measure?", False, True),
-])
-def test_shapes(text, author, title):
-    assert (W.author_ish(text), W.title_ish(text)) == (author, title)
-
-
-def fnv(s):
-    h = 0xCBF29CE484222325
-    for b in s.encode():
-        h = (h ^ b) * 0x100000001B3 % (1 << 64)
-    h %= 1 << 63
-    return h - (1 << 63) if h >> 62 else h
-
-
 def test_ids(spark):
     names = ["", "a", "é#c001", *map(str, range(40))]
     rows = spark.createDataFrame([(n,) for n in names], "v string").select("v", C.fnv_id(F.col("v")).alias("h")).collect()

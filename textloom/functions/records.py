@@ -62,7 +62,7 @@ def heading_name(heading: Column) -> Column:
     return F.btrim(F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9 &/-]", ""), "[0-9]+", ""))
 
 
-def abstract_of(md: Column) -> Column:
+def summary_of(md: Column) -> Column:
     """What follows the word abstract up to the next heading, or else what stands before the first heading; null if there is no heading."""
     named = F.regexp_extract_all(md, F.lit(r"(?is)abstract[:\s]*\n*(.*?)(?=\n\s*#{1,6}\s)"), F.lit(1))
     before = F.regexp_extract_all(md, F.lit(r"(?s)\A(.*?)(?=\n\s*#{1,6}\s)"), F.lit(1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,11 +31,13 @@ ABBREVIATIONS = (
 KEPT_STOP = "\u0002"  # stands for a full stop that ends no sentence
 
 
+#: A full stop of an abbreviation: the last one, or one inside of those that have several.
+_STOP = r"\.(?:(?<=" + "|".join(re.escape(a) for a in ABBREVIATIONS) + r")|(?<=e\.)(?=g\.)|(?<=i\.)(?=e\.)|(?<=w\.)(?=r\.t\.)|(?<=w\.r\.)(?=t\.))"
+
+
 def sentences(text: Column, least: int = 2) -> Column:
     """Sentences that end in . ! or ? before white space and an opening character, longer than `least` characters; stops of abbreviations end none."""
-    held = F.coalesce(text, F.lit(""))
-    for word in ABBREVIATIONS:
-        held = F.replace(held, F.lit(word), F.lit(word.replace(".", KEPT_STOP)))
+    held = F.regexp_replace(F.coalesce(text, F.lit("")), _STOP, KEPT_STOP)
     marked = F.regexp_replace(held, r"([.!?])\s+([A-Z0-9\"'(])", "$1\u0001$2")
     return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.btrim(F.replace(s, F.lit(KEPT_STOP), F.lit(".")))), lambda s: F.length(s) > least)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.sources.folders import shared_folder, source_state, written
+from textloom.sources.folders import dealt, shared_folder, source_state, written
 
 MOST, AROUND, AROUND_WORDS = 8, 160, 80
 PROBES = 3  # of a question's rarest parts, which a page must hold before it is read
@@ -119,5 +119,5 @@ def index_of(spark: SparkSession, source: str) -> PageIndex:
     """The index of a Parquet table's texts, built once in a session for each state of its files."""
     known = source_state(spark, source)
     if known not in _BUILT:
-        _BUILT[known] = PageIndex.build(spark.read.parquet(source).select("doc_id", "text"), shared_folder(spark))
+        _BUILT[known] = PageIndex.build(dealt(spark, source).select("doc_id", "text"), shared_folder(spark))
     return _BUILT[known]

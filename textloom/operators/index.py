@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators.retrieval import B, K1
-from textloom.sources.folders import shared_folder, source_state
+from textloom.sources.folders import dealt, shared_folder, source_state
 
 SLACK = 1e-6  # scores are rounded to six places
 MOST_TERMS = 32
@@ -116,5 +116,5 @@ def index_of(spark: SparkSession, source: str, facets: list[str]) -> SearchIndex
     """The index of a Parquet table, built once in a session for each state of its files."""
     known = (*source_state(spark, source), *facets)
     if known not in _BUILT:
-        _BUILT[known] = build(spark.read.parquet(source), shared_folder(spark), facets)
+        _BUILT[known] = build(dealt(spark, source), shared_folder(spark), facets)
     return _BUILT[known]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import articles, convert, ledgers, markdown, prose, publishers, records, search, selection, sinks, streams, structure, style
+from textloom.plans import articles, convert, ledgers, markdown, prose, records, search, selection, sinks, streams, structure, style
 
-_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records, convert, publishers, sinks, streams)
+_PARTS = (search, ledgers, prose, structure, markdown, selection, articles, style, records, convert, sinks, streams)
 
 
 def merged(dicts) -> dict:

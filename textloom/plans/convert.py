@@ -1,4 +1,4 @@
-"""Scanned papers wrapped, shapes, gates of converters, spliced equations, harvested records, found pages, lint runs."""
+"""Gates of converters, spliced equations, harvested records, found pages, lint runs."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import records as R
 from textloom.functions import text as T
-from textloom.operators import find, lint, wrap
+from textloom.operators import find, lint
 from textloom.operators.equations import equation_splice as spliced
 from textloom.operators.retrieval import dense
 from textloom.plans.markdown import html_to_md
@@ -17,35 +17,6 @@ def t(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _scanned(spark, d):
-    """Each document as a converter leaves a scanned paper: furniture, a title, authors, numbered headings, references."""
-    head = F.concat(F.lit("## Preprint\n\n12\n\n## A Study of "), "source", F.lit(" and "), "lang", F.lit("\n\nANNA B. MUSTER\n\nSome University, Town\n\n## psychometrics\n\nReceived May 3, 2001\n\nProse of o­ ne kind.\n\n## 1 Intro\n\n"))
-    tail = F.concat(F.lit("\n\n## 1.1 Detail\n\n![x](../assets/a-fig01.png)\n\n## 1.1.1 More\n\nThe e ect.\n\n"), F.when(F.col("doc_id") % 3 == 0, "a.b@example.org\n\n").otherwise(""), F.when(F.col("doc_id") % 4 > 0, "## References\n\nOld, A. 1990.\n").otherwise(""))
-    return t(spark, d, "documents").select("doc_id", F.concat(head, F.replace("text", F.lit("\n"), F.lit("\n\n")), tail).alias("text"))
-
-
-def wrap_documents(spark, d):
-    """Scanned papers as Markdown of the corpus, with the report of each."""
-    x = wrap.wrapped(_scanned(spark, d))
-    return x.select(*[c for c in x.columns if c not in ("rules", "repairs")], F.array_join(F.array_sort(F.transform(F.map_entries("rules"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), "|").alias("rules"))
-
-
-def wrap_totals(spark, d):
-    """How often each rule and repair hit, over all documents."""
-    return wrap.rule_totals(wrap.wrapped(_scanned(spark, d)))
-
-
-def shape_heuristics(spark, d):
-    """Lines of documents that look like authors, and those that may be titles, by language."""
-    lines = t(spark, d, "documents").select("lang", F.explode(F.split("text", "\n")).alias("line"))
-
-    def run(batches):
-        for b in batches:
-            yield b.assign(author=[wrap.author_ish(x) for x in b["line"]], title=[wrap.title_ish(x) for x in b["line"]])[["lang", "author", "title"]]
-
-    return lines.mapInPandas(run, "lang string, author boolean, title boolean").groupBy("lang").agg(F.count("*").alias("lines"), F.count_if("author").alias("authors"), F.count_if("title").alias("titles"))
-
-
 def _article(spark, d):
     """Each document as a short article in Markdown, with what its gates look for."""
     head = F.concat(F.lit("# "), "source", F.lit("\n\n"), F.when(F.col("doc_id") % 2 == 0, "## Abstract\n\n").otherwise(""))
@@ -66,9 +37,9 @@ def heading_names(spark, d):
     return lines.select("doc_id", R.heading_name(F.col("h")).alias("heading")).where("heading <> ''").groupBy("heading").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("articles"))
 
 
-def abstracts(spark, d):
-    """The abstract of each article that has one of thirty words and more: its first three words, and whether it says we or our."""
-    x = _article(spark, d).select("doc_id", T.prose(R.abstract_of(F.col("md"))).alias("a")).withColumn("w", T.tokens(F.col("a"))).where(F.size("w") >= 30)
+def article_summaries(spark, d):
+    """The summary of each article that has one of thirty words and more: its first three words, and whether it says we or our."""
+    x = _article(spark, d).select("doc_id", T.prose(R.summary_of(F.col("md"))).alias("a")).withColumn("w", T.tokens(F.col("a"))).where(F.size("w") >= 30)
     return x.select("doc_id", F.size("w").cast("long").alias("words"), F.array_join(F.slice("w", 1, 3), " ").alias("opens"), (T.count_words(F.lower("a"), "we|our") > 0).alias("we"))
 
 
@@ -235,4 +206,4 @@ select doc_id, source, concat('doc.md:1', case when n > 1 then concat('-', n) el
     "page_ranges": "with x as (select doc_id, case when trim(string_split(text, chr(10))[-1]) = '' then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end as p from documents), y as (select *, greatest(1, least(case when doc_id % 7 = 0 then 1 else doc_id % 7 end, len(p))) as f from x where len(p) > 0), z as (select *, greatest(f, least(case when doc_id % 11 = 0 then f else doc_id % 11 end, len(p))) as t from y) select doc_id, len(p) as pages, f as \"from\", t as \"to\", array_to_string(p[f:t], chr(12)) as text from z",
     "sorted_kinds": "select 1950 + n_chars % 75 as year, lang, min(doc_id) as first, count(*) as n from documents group by all order by year, lang desc, first",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "wrap_documents", "wrap_totals", "shape_heuristics", "abstracts", "lint_paragraphs", "dense_cli_query"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "article_summaries", "lint_paragraphs", "dense_cli_query"]}

@@ -5,9 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from textloom.functions.publisher import lean
+from textloom.functions import registered
 from textloom.functions import text as T
 from textloom.operators.cooldown import suppressed
+from textloom.operators.draws import drawn
 from textloom.plans.prose import FLAGS_SQL, STATS_SQL, doc_md_stats
 
 LONG_PAUSE, PAUSE = 1440, 30
@@ -42,19 +43,6 @@ def title_filter(spark, d):
     return x.select("page_id", route.otherwise("none").alias("route"), F.least(F.coalesce(F.nullif("page_id", F.lit(0)), F.lit(10)), F.lit(20)).alias("leg_limit"))
 
 
-def lean_pages(spark, d):
-    """Pages with their citation tags and content parts only, and of attributes those that carry content. The pages' articles are made bodies of that kind."""
-    meta = F.concat(F.lit('<meta name="citation_title" content="a\n  b" id="x"><meta property="og:x" content="c">'), F.lit('<meta name="description" content="'), F.col("page_id").cast("string"), F.lit('"></head>'))
-    made = F.replace(F.replace(F.replace("html", F.lit("<article"), F.lit('<div class="body main" id="b"')), F.lit("</article>"), F.lit("</div>")), F.lit("</head>"), meta)
-
-    def run(batches):
-        for b in batches:
-            rows = [lean(h) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "html": [r[0] for r in rows], "parts": [r[1] for r in rows]})
-
-    return t(spark, d, "pages").select("page_id", made.alias("html")).mapInPandas(run, "page_id long, html string, parts long")
-
-
 def references_cut(spark, d):
     """Blocks of each document as an article that stay before its references, and what the rest was cut by. Every third has more sections behind them."""
     more = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\n\n## Author Biographies\n\n"), "source", F.lit(" writes.\n\n## Notes\n\nend"))).otherwise("")
@@ -63,6 +51,18 @@ def references_cut(spark, d):
     return x.select("doc_id", F.col("x.blocks").cast("long").alias("blocks"), F.col("x.kept").cast("long").alias("kept"), "x.cut")
 
 
+def seeded_draw(spark, d):
+    """Twelve documents of each source and then six, drawn by one named generator."""
+    return drawn(t(spark, d, "documents"), "source", "doc_id", [12, 6])
+
+
+def sql_functions(spark, d):
+    """Excerpts, terms and lines of documents by functions that SQL text calls."""
+    registered.register(spark)
+    t(spark, d, "documents").createOrReplaceTempView("textloom_documents")
+    return spark.sql("select doc_id, tl_excerpt(text, 60) as excerpt, array_join(tl_query_terms(text), ' ') as terms, tl_lines(text, 2, 3) as lines, tl_doi_id(concat('10.1/', source, '/', doc_id)) as id from textloom_documents")
+
+
 def flag_tallies(spark, d):
     flags = doc_md_stats(spark, d).select(F.explode(F.split("flags", r"\|")).alias("flag")).where("flag <> ''")
     return flags.groupBy("flag").agg(F.count("*").alias("n"))
@@ -70,6 +70,7 @@ def flag_tallies(spark, d):
 
 _PAUSE = f"(case when event_type like 'p%' then {LONG_PAUSE} else {PAUSE} end * interval 1 minute)"
 ORACLES = {
+    "sql_functions": "select doc_id, case when length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 60 then left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 60) || '...' else trim(regexp_replace(text, '\\s+', ' ', 'g')) end as excerpt, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:32], ' ') as terms, array_to_string(string_split(text, chr(10))[2:3], chr(10)) as lines, concat('10.1:', source, ':', doc_id) as id from documents",
     "cooldown_suppress": f"with recursive k as (select user_id, event_type, min(ts) as ts from events group by all union all select e.user_id, e.event_type, min(e.ts) from k join events e on e.user_id = k.user_id and e.event_type = k.event_type and e.ts >= k.ts + {_PAUSE.replace('event_type', 'e.event_type')} group by all) select min(event_id) as event_id, user_id, event_type from events join k using (user_id, event_type, ts) group by user_id, event_type, ts",
     "subject_paths": "select p_partkey from part where len(list_filter(string_split(p_type, ' ') || string_split(p_name, ' ') || [p_brand], lambda n: n = 'Brand#12' or contains(lower(n), 'st'))) > 0",
     "title_filter": "select page_id, " + "case " + " ".join(f"when starts_with(url, '{p}') then '{n}'" for p, n in ROUTES) + " else 'none' end as route, least(coalesce(nullif(page_id, 0), 10), 20) as leg_limit from pages where not regexp_matches(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '(?i)^(editorial board|front matter|back matter|table of contents|issue information|erratum|corrigendum)$')",
@@ -79,4 +80,4 @@ z as (select doc_id, len(l) as blocks, list_max(list_transform(l, lambda b, i: c
 select doc_id, blocks, case when r * 4 >= blocks then r when a * 2 >= blocks then a else blocks end as kept, case when r * 4 >= blocks then 'references' when a * 2 >= blocks then 'biographies' else '' end as cut from z""",
     "flag_tallies": f"with x as ({STATS_SQL}), y as (select unnest({FLAGS_SQL}) as flag from x) select flag, count(*) as n from y where flag is not null group by 1",
 }
-QUERIES = {n: globals()[n] for n in [*ORACLES, "lean_pages"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "seeded_draw"]}

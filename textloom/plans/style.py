@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.sources.folders import dealt
 
 
 def t(spark, sf_dir, name):
@@ -53,7 +54,7 @@ NO_PARAGRAPH = r"^(#|\||>|- |\* )"
 
 
 def _prose(spark, d):
-    return t(spark, d, "documents").select("doc_id", "lang", T.prose(F.col("text")).alias("text"))
+    return dealt(spark, f"{d}/documents.parquet").select("doc_id", "lang", T.prose(F.col("text")).alias("text"))
 
 
 def _sentences(spark, d):
@@ -157,18 +158,14 @@ def _words(text):
 
 def adjacent_jaccard(spark, d):
     """Mean overlap of the longer words of neighbouring sentences of a document's paragraphs; a paragraph's first sentence has no neighbour before it."""
-    start = lambda s: F.struct(F.lit(None).cast("array<string>").alias("last"), s["pairs"].alias("pairs"), s["sum"].alias("sum"))
-    zero = F.struct(F.lit(None).cast("array<string>").alias("last"), F.lit(0).alias("pairs"), F.lit(0.0).alias("sum"))
-
-    def step(s, x):
-        union = F.size(F.array_union(s["last"], x))
-        counts = s["last"].isNotNull() & (union > 0)
-        return F.struct(x.alias("last"), (s["pairs"] + counts.cast("int")).alias("pairs"), (s["sum"] + F.when(counts, F.size(F.array_intersect(s["last"], x)) / union).otherwise(0.0)).alias("sum"))
-
     long_words = lambda s: F.array_distinct(F.filter(_words(s), lambda w: F.length(w) > 4))
-    whole = F.aggregate(paragraphs(F.col("text")), zero, lambda s, p: F.aggregate(F.transform(T.plain_sentences(p), long_words), start(s), step))
-    x = t(spark, d, "documents").select("doc_id", whole.alias("x")).where("x.pairs > 0")
-    return x.select("doc_id", F.col("x.pairs").cast("long").alias("pairs"), F.round(F.col("x.sum") / F.col("x.pairs"), 6).alias("jaccard"))
+    sets = F.transform(paragraphs(F.col("text")), lambda p: F.transform(T.plain_sentences(p), long_words))
+    both = lambda a, b: F.struct(F.size(F.array_intersect(a, b)).alias("same"), (F.size(a) + F.size(b)).alias("all"))
+    pairs = lambda q: F.flatten(F.transform(F.filter(q, lambda x: F.size(x) > 1), lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), both)))
+    mean = lambda p: F.aggregate(p, F.lit(0.0), lambda s, x: s + x["same"] / (x["all"] - x["same"])) / F.size(p)
+    # A generator of one row a document: what stands before it is worked out once, though its result is both tested and returned.
+    counted = F.transform(F.array(F.filter(pairs(sets), lambda x: x["all"] > 0)), lambda p: F.struct(F.size(p).cast("long").alias("pairs"), F.when(F.size(p) > 0, F.round(mean(p), 6)).alias("jaccard")))
+    return dealt(spark, f"{d}/documents.parquet").select("doc_id", F.inline(counted)).where("pairs > 0")
 
 
 def _opening(three, first):

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROW_GROUP = 128 << 20  # bytes of one, as writers make them
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the one that driver and executors share; a temporary one in local mode only, where none is named. It goes when the driver ends."""
@@ -40,6 +42,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def dealt(spark: SparkSession, source: str) -> DataFrame:
+    """A Parquet table for costly functions of its rows. A file of one row group is one task however many cores there are; so a table of less than a row group for each core is dealt over
+    them first. A larger one has row groups enough and is read as it lies."""
+    cores, rows = spark.sparkContext.defaultParallelism, spark.read.parquet(source)
+    return rows.repartition(cores) if source_state(spark, source)[2] < cores * ROW_GROUP else rows
+
+
 def source_state(spark: SparkSession, source: str) -> tuple:
     """What tells one state of a table's files from another in a session: their number, size and time."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
