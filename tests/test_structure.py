@@ -45,6 +45,14 @@ def test_running_sums(spark):
     assert C.byte_shards(df.limit(0), "k", F.col("v"), 10).count() == 0
 
 
+def fnv(s):
+    h = 0xCBF29CE484222325
+    for b in s.encode():
+        h = (h ^ b) * 0x100000001B3 % (1 << 64)
+    h %= 1 << 63
+    return h - (1 << 63) if h >> 62 else h
+
+
 def test_ids(spark):
     names = ["", "a", "é#c001", *map(str, range(40))]
     rows = spark.createDataFrame([(n,) for n in names], "v string").select("v", C.fnv_id(F.col("v")).alias("h")).collect()
