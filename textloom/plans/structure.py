@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import chunks as C
+from textloom.operators import embedding
 from textloom.streaming.ingest import stream_ingest
 
 
@@ -56,7 +57,17 @@ def byte_shards(spark, d):
     return C.byte_shards(t(spark, d, "documents").select("doc_id", "text"), "doc_id", F.octet_length("text"), 1 << 20).select("doc_id", "shard")
 
 
+def embed_groups(spark, d):
+    """Lines of documents as chunks for an embedder, in groups of two thousand characters, and the length of each one's vector."""
+    lines = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("chunk_no", "line"))
+    x = embedding.grouped(lines, "doc_id", "chunk_no", "line", 2000).withColumn("v", embedding.vectors(F.col("line"), 16))
+    return x.select("doc_id", "chunk_no", "group", F.size("v").cast("long").alias("dims"))
+
+
 ORACLES = {
+    "embed_groups": """with recursive l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as n from documents),
+g as (select doc_id, n, length(line) as fill, 0 as grp from l where n = 0 union all select l.doc_id, l.n, case when fill + length(line) > 2000 then length(line) else fill + length(line) end, grp + (fill + length(line) > 2000)::int from g join l on l.doc_id = g.doc_id and l.n = g.n + 1)
+select doc_id, n::int as chunk_no, grp as "group", 16::bigint as dims from g""",
     "sentences_chunk_rule": "select doc_id, len(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9$(\\\\])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) as sentences from documents",
     "hyphen_normalise": "select doc_id, translate(text, '‐‑­', '--') as text from documents",
     "soft_hyphens": "select doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(th|en)(.)', '\\1' || chr(173) || ' \\2', 'g'), chr(173) || '\\s*([a-zA-Z])', '\\1', 'g'), chr(173), '', 'g') as text from documents",
