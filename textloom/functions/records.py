@@ -46,7 +46,7 @@ def docx_stats(md: Column) -> Column:
     """Struct of headings, title, kinds of formulas, and whether the references are gone, of an article in Markdown."""
     n = lambda p: F.regexp_count(md, F.lit(p)).cast("long")
     return F.struct(
-        n(r"(?m)^## ").alias("h2"), n(r"(?m)^### ").alias("h3"), md.rlike(r"(?m)^## Abstract\b").alias("abstract_heading"), F.floor(n(r"\$\$") / 2).alias("math_display"), n("(?m)^```math").alias("math_fences"), n(r"\$`").alias("backtick_math"),
+        n(r"(?m)^## ").alias("h2"), n(r"(?m)^### ").alias("h3"), md.rlike(r"(?m)^## Abstract\b").alias("summary_heading"), F.floor(n(r"\$\$") / 2).alias("math_display"), n("(?m)^```math").alias("math_fences"), n(r"\$`").alias("backtick_math"),
         (~md.rlike(r"(?im)^#{2,3} .*references?[ ]*$")).alias("refs_stripped"), F.btrim(F.regexp_extract(md, r"(?m)^# ([^\n]+)$", 1)).alias("title"),
     )
 

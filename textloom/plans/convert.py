@@ -178,7 +178,7 @@ _R = f"r as (select item_id as rule, text, case when item_id % 2 = 0 then 'resul
 _I = "i as (select rule, trim(coalesce(lesson, judgement)) as l, nullif(trim(section), '') as section, concat_ws(chr(10), case when trim(prefix) <> '' then 'Context before: ' || trim(prefix) end, case when trim(before) <> '' then 'Before: ' || trim(before) end, case when trim(after) <> '' then 'After: ' || trim(after) end) as pair, nullif(trim(judgement), '') as j from r where lesson is not null or judgement is not null), n as (select rule, concat_ws(chr(10) || chr(10), l, 'Learned from the ' || section || ' section.', case when pair <> '' then 'The calibrated edit this rule was distilled from:' || chr(10) || pair end, case when j <> l then 'The expert''s comment: ' || j end) as instruction from i)"
 _LINT = "s as (select doc_id, item_id, len(list_intersect(r, t)) / len(r) as p from (select item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) as r from benchmark) b, (select doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) as t from documents) c where len(r) > 0)"
 ORACLES = {
-    "docx_gates": f"with x as (select doc_id, {_ART} as md from documents), y as (select doc_id, strlen(md) as bytes, {_n('(?m)^## ')} as h2, {_n('(?m)^### ')} as h3, regexp_matches(md, '(?m)^## Abstract') as abstract_heading, {_n('[$][$]')} // 2 as math_display, {_n('(?m)^```math')} as math_fences, {_n('[$]`')} as backtick_math, not regexp_matches(md, '(?im)^#{{2,3}} .*references?[ ]*$') as refs_stripped, trim(regexp_extract(md, '(?m)^# ([^\\n]+)$', 1)) as title from x) select *, case when bytes < 1500 then 'fragment' when h2 = 0 then 'no-sections' else 'ok' end as category from y",
+    "docx_gates": f"with x as (select doc_id, {_ART} as md from documents), y as (select doc_id, strlen(md) as bytes, {_n('(?m)^## ')} as h2, {_n('(?m)^### ')} as h3, regexp_matches(md, '(?m)^## Abstract') as summary_heading, {_n('[$][$]')} // 2 as math_display, {_n('(?m)^```math')} as math_fences, {_n('[$]`')} as backtick_math, not regexp_matches(md, '(?im)^#{{2,3}} .*references?[ ]*$') as refs_stripped, trim(regexp_extract(md, '(?m)^# ([^\\n]+)$', 1)) as title from x) select *, case when bytes < 1500 then 'fragment' when h2 = 0 then 'no-sections' else 'ok' end as category from y",
     "heading_names": f"with x as (select doc_id, {_ART} as md from documents), h as (select doc_id, unnest(regexp_extract_all(md, '(?m)^#{{1,6}}[ \\t]+([^\\n]+)$', 1)) as h from x), n as (select doc_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(lower(trim(h)), '^[0-9]+(\\.[0-9]+)*[.\\s]*', '')), '[^a-z0-9 &/-]', '', 'g'), '[0-9]+', '', 'g')) as heading from h) select heading, count(*) as n, count(distinct doc_id) as articles from n where heading <> '' group by 1",
     "equation_splice": "with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as p from documents), g as (select conv_id as doc_id, turn, turn = 1 as failed, min(text) as tex from conversations group by all), j as (select l.*, g.doc_id is not null as known, failed, tex from l left join g on g.doc_id = l.doc_id and turn = p), k as (select *, bool_and(known) over (partition by doc_id) as ready from j) select doc_id, string_agg(line || case when p % 2 = 0 then chr(10) else ' ' end || case when ready and not failed then case when p % 2 = 0 then '$$' || tex || '$$' else '$' || tex || '$' end else '@@eq' || printf('%04d', p) || '@@' end, chr(10) order by p) as text, count(*) filter (ready and not failed) as spliced, count(*) filter (ready and failed) as kept from k group by 1",
     "oai_records": "select doc_id::varchar as arxiv_id, '10.48550/arXiv.' || doc_id as doi, trim(regexp_replace(text, '\\s+', ' ', 'g')) as title, source || ' A. Muster' as authors, 1990 + n_chars % 35 as year, 'stat.' || upper(lang) as \"primary\", case when doc_id % 3 = 0 then 1 else 2 end::bigint as n_cats from documents",
