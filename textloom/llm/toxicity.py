@@ -4,9 +4,9 @@ Labels are given for documents, so tokens are labelled from them: a feature (a
 word or an affix of one) that appears in at least MIN_DOCS toxic documents of a bounded
 training sample and in next to no clean one makes a token of a toxic document toxic. So the field learns this lexicon's weights anew,
 and from the chain how toxic words follow each other. It has the states clean and
-toxic; its weights (one a feature, a bias, four transitions) are fitted on windows of
-the sample's tokens by gradient ascent on the log-likelihood: of each sampled document at most DOC_WINDOWS windows
-of LENGTH words around known words and one from its middle, of all these at most WINDOWS, evenly spaced in order of doc_id.
+toxic; its weights (one a feature, a bias, four transitions) are fitted by gradient ascent on the log-likelihood of
+all words of the sampled documents, cut into runs of LENGTH words (the last one of a document may be shorter). Runs that agree in their known
+features and labels are one row with a count, so the many runs without a known word cost next to nothing.
 
 A word is a run of letters (WORD), in training, scoring and the counts of unknown words alike.
 
@@ -24,6 +24,7 @@ import re
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,9 @@ from .shared import arrow_schema, documents, free_prefix, slices
 SAMPLE = 3000  # labelled documents a class
 MIN_DOCS = 8
 PURITY = 20.0  # times as frequent in toxic documents
-FEATURES = 300
 AFFIX = (4, 5, 6, 7)
 STEPS = 120
-WINDOWS, DOC_WINDOWS, LENGTH = 3000, 6, 9
+LENGTH = 9
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,8 +69,8 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def lexicon(rows: DataFrame, limit: int = FEATURES) -> list[str]:
-    """Features that mark toxic documents: the purest `limit`, by counts over the training documents."""
+def lexicon(rows: DataFrame) -> list[str]:
+    """All features that mark toxic documents, by counts over the training documents: a toxic document of the sample adds its words, and at least MIN_DOCS must hold a feature."""
 
     def run(batches):
         for batch in batches:
@@ -87,8 +87,8 @@ def lexicon(rows: DataFrame, limit: int = FEATURES) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())], names=["feature", "toxic"])
 
     counts = rows.select("text", "toxic").mapInArrow(run, "feature string, toxic int").groupBy("feature").agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good"))
-    top = counts.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= PURITY * F.col("good"))).orderBy(F.desc(F.col("bad") - PURITY * F.col("good")), "feature").limit(limit)
-    return [r.feature for r in top.select("feature").collect()]
+    top = counts.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= PURITY * F.col("good")))
+    return sorted(r.feature for r in top.select("feature").collect())
 
 
 class Field:
@@ -182,18 +182,21 @@ class Field:
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * top + self.curve[2] * total, -30, 30))))
 
 
-def fit_chain(place: np.ndarray, feature: np.ndarray, features: int, y: np.ndarray, steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
-    """Weights, bias and transitions that maximise the log-likelihood of the state paths y (windows x length).
+def fit_chain(place: np.ndarray, feature: np.ndarray, features: int, y: np.ndarray, sizes: np.ndarray, times: np.ndarray, steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, bias and transitions that maximise the log-likelihood of the state paths y (runs x length).
 
-    place, feature: the features that hold, each with its word's place in y read row by row. Adam steps on the exact gradient:
-    observed less expected counts, the expected ones from forward-backward.
+    place, feature: the features that hold, each with its word's place in y read row by row; a run has its first `sizes` words and
+    counts `times`. Adam steps on the exact gradient: observed less expected counts, the expected ones from forward-backward.
     """
     (n, length), f = y.shape, features
+    there = np.arange(length)[None, :] < sizes[:, None]
+    one, two = there * times[:, None].astype(float), there[:, 1:] * times[:, None].astype(float)
+    scale = max(1.0, float(times[np.unique(place // length)].sum()))  # runs with a known word
     theta = np.zeros(f + 5)
     moment, second = np.zeros_like(theta), np.zeros_like(theta)
     counts = lambda states: np.bincount(feature, weights=states.ravel()[place], minlength=f)
-    pairs = np.stack([((y[:, :-1] == a) & (y[:, 1:] == b)).sum() for a in (0, 1) for b in (0, 1)])
-    seen = np.concatenate([counts(y), [y.sum()], pairs])
+    pairs = np.stack([((y[:, :-1] == a) & (y[:, 1:] == b)).astype(float).ravel() @ two.ravel() for a in (0, 1) for b in (0, 1)])
+    seen = np.concatenate([counts(y * one), [(y * one).sum()], pairs])
     for step in range(1, steps + 1):
         score = np.bincount(place, weights=theta[feature], minlength=n * length).reshape(n, length) + theta[f]
         emit = np.exp(np.clip(np.stack([np.zeros((n, length)), score], -1), -30, 30))
@@ -204,14 +207,15 @@ def fit_chain(place: np.ndarray, feature: np.ndarray, features: int, y: np.ndarr
             ahead[:, i] = ahead[:, i - 1] @ move * emit[:, i]
             ahead[:, i] /= ahead[:, i].sum(-1, keepdims=True)
         for i in range(length - 2, -1, -1):
-            behind[:, i] = (behind[:, i + 1] * emit[:, i + 1]) @ move.T
+            behind[:, i] = np.where(there[:, i + 1, None], (behind[:, i + 1] * emit[:, i + 1]) @ move.T, 1.0)
             behind[:, i] /= behind[:, i].sum(-1, keepdims=True)
         single = ahead * behind
         single /= single.sum(-1, keepdims=True)
         joint = ahead[:, :-1, :, None] * move * (emit * behind)[:, 1:, None, :]
         joint /= joint.sum((-1, -2), keepdims=True)
-        expected = np.concatenate([counts(np.ascontiguousarray(single[..., 1])), [single[..., 1].sum()], joint.sum((0, 1)).ravel()])
-        slope = (seen - expected) / n - decay * theta
+        toxic = single[..., 1] * one
+        expected = np.concatenate([counts(toxic), [toxic.sum()], np.einsum("nl,nlab->ab", two, joint).ravel()])
+        slope = (seen - expected) / scale - decay * theta
         moment, second = 0.9 * moment + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         theta += rate * (moment / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return theta[:f], float(theta[f]), theta[f + 1 :].reshape(2, 2)
@@ -232,42 +236,49 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 500) -> tuple[float, fl
     return tuple(map(float, beta))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """The field of a bounded labelled sample. With labels of one class or none, no feature is known and every score is the base's."""
-    rows = training_rows(docs, labels, sample)
-    features = lexicon(rows)
-    rough = Field(features, np.ones(len(features)), 0.0, np.zeros((2, 2)))
+def runs(rows: DataFrame, features: list[str], length: int = LENGTH) -> DataFrame:
+    """All words of (text, toxic) rows in runs of `length`: size, the places and numbers of known features, the places of toxic words, and how many runs are alike."""
     number = {f: i for i, f in enumerate(features)}
-    length, shared = LENGTH, docs.sparkSession.sparkContext.broadcast(rough)
+    shared = rows.sparkSession.sparkContext.broadcast((Field(features, np.ones(len(features)), 0.0, np.zeros((2, 2))), number))
+    names = ["size", "place", "feature", "toxic_at"]
+    ints = pa.list_(pa.int32())
 
-    def run(batches):  # windows of words around the known ones of a document, at most DOC_WINDOWS, and one without
-        for batch in batches:
-            got = batch.to_pydict()
-            for key, text, toxic in zip(got["doc_id"], got["text"], got["toxic"]):
+    def run(batches):
+        rough, number = shared.value
+        for batch in slices(batches, 64):
+            got, out = batch.to_pydict(), []
+            for text, toxic in zip(got["text"], got["toxic"]):
                 low = lowered(text or "")
-                words = [(m.start(), m.group()) for m in WORD.finditer(low)]
-                known = {a for a, _, _ in shared.value.find(low)}
-                centres = [i for i, (a, _) in enumerate(words) if a in known]
-                picks = centres[:: max(1, len(centres) // DOC_WINDOWS)][:DOC_WINDOWS] + ([len(words) // 2] if words else [])
-                out = []
-                for c in picks:
-                    lo = max(0, min(c - length // 2, len(words) - length))
+                known = {a: b for a, b, _ in rough.find(low)}
+                words = [m.start() for m in WORD.finditer(low)]
+                for lo in range(0, len(words), length):
                     part = words[lo : lo + length]
-                    if len(part) == length:
-                        out.append(([[number[f] for f in sorted(word_features(w)) if f in number] for _, w in part], [int(toxic == 1 and a in known) for a, _ in part]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(out), pa.int64()), pa.array([x for x, _ in out], pa.list_(pa.list_(pa.int32()))), pa.array([y for _, y in out], pa.list_(pa.int32()))], names=["doc_id", "x", "y"]
-                )
-
-    got = rows.mapInArrow(run, "doc_id long, x array<array<int>>, y array<int>").collect() if features else []
-    if not got:
+                    held = [(i, sorted(number[f] for f in word_features(low[a : known[a]]) if f in number)) for i, a in enumerate(part) if a in known]
+                    out.append((len(part), [i for i, fs in held for _ in fs], [f for _, fs in held for f in fs], [i for i, fs in held if fs and toxic == 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, [pa.int32(), ints, ints, ints])], names=names)
+
+    cut = rows.select("text", "toxic").mapInArrow(run, "size int, place array<int>, feature array<int>, toxic_at array<int>")
+    return cut.groupBy(*names).agg(F.count("*").alias("times"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+    """The field of a bounded labelled sample. With labels of one class or none, no feature is known and every score is the base's."""
+    rows = training_rows(docs, labels, sample)
+    features = lexicon(rows)
+    got = runs(rows, features).orderBy("size", "place", "feature", "toxic_at").toArrow().combine_chunks() if features else None
+    if got is None or not got.num_rows:
         return Field([], np.zeros(0), 0.0, np.zeros((2, 2)), (-2.0, 0.0, 0.0))
-    got.sort(key=lambda r: (r.doc_id, r.x, r.y))
-    got = got[:: max(1, -(-len(got) // WINDOWS))]
-    y = np.array([r.y for r in got], float)
-    held = [(i * length + j, f) for i, r in enumerate(got) for j, known in enumerate(r.x) for f in known]
-    place, feature = np.array(held, np.int64).reshape(-1, 2).T
-    field = Field(features, *fit_chain(place, feature, len(features), y))
+
+    def flat(column: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = got.column(column)
+        return np.repeat(np.arange(got.num_rows), pc.list_value_length(lists).to_numpy()), pc.list_flatten(lists).to_numpy()
+
+    owner, place = flat("place")
+    feature = flat("feature")[1]
+    y = np.zeros((got.num_rows, LENGTH))
+    y[flat("toxic_at")] = 1
+    chain = fit_chain(owner * LENGTH + place, feature, len(features), y, got.column("size").to_numpy(), got.column("times").to_numpy())
+    field = Field(features, *chain)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def weigh(batches):
@@ -292,7 +303,7 @@ def score(docs: DataFrame, field: Field, text: str = "text", prefix: str = "") -
     held = [f for f in docs.schema.fields if f.name not in (f"{prefix}score", f"{prefix}toxic_spans")]
     out = T.StructType([*held, T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}toxic_spans", span)])
     docs = docs.select(*[F.col(f"`{f.name}`") for f in held])
-    shared = docs.sparkSession.sparkContext.broadcast(field)  # at most FEATURES weights
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # weights of the sample's features
 
     def run(batches):
         schema, model = arrow_schema(out), shared.value
