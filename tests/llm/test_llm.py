@@ -443,7 +443,17 @@ def test_media():
     assert [k for k, _ in media.carve(mixed)] == ["image/gif", "image/png"] and media.sniff(b"") == []
     assert media.look(b"nothing")[5] is None and media.look(b"nothing", "text/plain")[5] == "text/plain"
     wav = media.to_wav(media.payload(b"abc"))
-    assert media.look(wav + b"tail", "image/png")[5] == "audio/wav" and media.look(wav + b"tail")[8] == 4
+    assert media.look(wav + b"tail", "image/png")[5] == "audio/wav" and media.look(wav + b"tail")[9] == 4
+    cover = media.to_png(media.payload(b"cover"))
+    for size in (576, 1152):  # an odd cover is padded
+        blob = media.to_wav(b"a" * size, cover)
+        assert media.sniff(blob)[0] == (0, len(blob), "audio/wav") and media.carve(blob) == [("image/png", cover)] and media.samples(blob, "audio/wav") == b"a" * size
+    short = struct.pack("<I", len(blob) - 10) + blob[8:]
+    assert media.sniff(b"RIFF" + short) == [(blob.index(cover), len(cover), "image/png")]  # a length that no chunk ends at
+    assert media.sniff(gif * 2 + gif[:-1]) == [(0, len(gif), "image/gif"), (len(gif), len(gif), "image/gif")]
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x03cxx\xff\x00\xff\xd1y\xff\xd9"
+    assert media.sniff(jpeg + b"z") == [(0, len(jpeg), "image/jpeg")] and media.sniff(jpeg[:-1]) == []
+    assert media.sniff(cover + cover[:-1]) == [(0, len(cover), "image/png")]
 
 
 def test_media_end_marks():
@@ -460,24 +470,33 @@ def test_media_end_marks():
     packed = gzip.compress(random.Random(1).randbytes(100_000))
     assert media.sniff(b"z" + packed + b"tail") == [(1, len(packed), "application/gzip")]
     began = time.process_time()
-    for magic in (b"%PDF-", b"PK\x03\x04", b"\x1f\x8b\x08\x00"):
-        assert media.sniff(magic * 200_000) == []
+    zeros = b"".join(b"RIFF" + struct.pack("<I", 1_000_000) + b"WAVE" for _ in range(20_000)) + bytes(1_000_000)
+    for full in (b"%PDF-" * 200_000, b"PK\x03\x04" * 200_000, b"\x1f\x8b\x08\x00" * 200_000, b"GIF89a!" * 200_000, b"GIF89a" * 20_000 + b"!\x01" * 400_000, zeros, b"\xff\xd8\xff\xda\x00\x02" * 100_000):
+        assert media.sniff(full) == []
     assert time.process_time() - began < 10
 
 
 def test_media_report(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "x"), (5, "twice"), (5, "twice"), (5, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("media", F.lit(1)).withColumn("declared", F.lit("q"))
-    got = sorted((r.doc_id is None, r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.media_type, r.declared_type) for r in media.report(frame).collect())
+    got = sorted(
+        (r.doc_id is None, r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.media_type, r.declared_type, r.corrected, r.feature, r.n_embedded, r.carved_sha256 or "")
+        for r in media.report(frame, Scratch(spark, "t")).collect()
+    )
     want = []
     for key, text in rows:
         body = (text or "").encode()
         data = body + b"\xff" * (-len(body) % 576 or (0 if body else 576))
-        kind, form = ("image/png", media.to_png) if zlib.crc32(data) % 2 == 0 else ("audio/wav", media.to_wav)
-        want.append((key is None, key, len(body), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), len(form(data)), hashlib.sha256(form(data)).hexdigest(), kind, "application/octet-stream"))
-    assert got == sorted(want) and media.report(frame.limit(0)).count() == 0
-    back = media.inspect(media.media(frame)).collect()
-    assert sorted(r.media_sha256 for r in back) == sorted(w[7] for w in want) and {r.media_type for r in back} == {"image/png", "audio/wav"}
+        check, cover = zlib.crc32(data), media.to_png(data[:576])
+        kind, blob = ("audio/wav", media.to_wav(data, cover)) if check % 2 else ("image/png", media.to_png(data))
+        declared = media.DECLARED[check // 2 % 4]
+        feature = f"{kind};samples={len(data)};high={sum(x == 255 for x in data)};space={sum(x == 32 for x in data)};line={sum(x == 10 for x in data)};embedded={'image/png' if check % 2 else ''}"
+        carved = hashlib.sha256(cover).hexdigest() if check % 2 else ""
+        want.append((key is None, key, len(body), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), len(blob), hashlib.sha256(blob).hexdigest(), kind, declared, declared != kind, feature, check % 2, carved))
+    assert got == sorted(want) and media.report(frame.limit(0), Scratch(spark, "t")).count() == 0
+    assert {w[10] for w in want} == {True, False}
+    clash = media.inspect(media.media(frame).withColumn("feature", F.lit(1)).withColumn("source", F.lit("kept")))
+    assert {r.source for r in clash.collect()} == {"kept"} and dict(clash.dtypes)["feature"] == "string"
     odd = spark.createDataFrame([(1, "image/gif", b"text"), (2, None, None), (None, "audio/wav", media.to_png(b"a" * 576))], "doc_id long, declared string, media binary")
     assert [r.media_type for r in media.inspect(odd.coalesce(1)).collect()] == ["image/gif", None, "image/png"] and media.inspect(odd.limit(0)).count() == 0
 
@@ -547,6 +566,45 @@ def test_toxicity_held_out(spark):
     assert none.score("") < 0.5 and toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_chain_fit_by_brute_force():
+    """Runs with counts, some shorter: the slope is nil at the weights found (as there is next to no decay), by all paths of every run."""
+    rng = np.random.default_rng(5)
+    n, length, f = 30, 4, 2
+    sizes, times = rng.integers(1, length + 1, n), rng.integers(1, 4, n)
+    x = rng.random((n, length, f)) < 0.4
+    x[np.arange(length)[None, :] >= sizes[:, None]] = False
+    y = ((x[..., 0] & (rng.random((n, length)) < 0.8)) | (rng.random((n, length)) < 0.2)).astype(float)
+    y[np.arange(length)[None, :] >= sizes[:, None]] = 0
+    at, feature = np.nonzero(x.reshape(-1, f))
+    weight, bias, move = toxicity.fit_chain(at, feature, f, y, sizes, times, steps=3000, rate=0.02, decay=1e-9)
+    off = np.zeros(f + 5)
+    for i in range(n):
+        k, paths = sizes[i], []
+        for path in range(2 ** sizes[i]):
+            s = np.array([path >> j & 1 for j in range(k)])
+            parts = np.concatenate([(x[i, :k] * s[:, None]).sum(0), [s.sum()], [((s[:-1] == a) & (s[1:] == b)).sum() for a in (0, 1) for b in (0, 1)]])
+            paths.append((parts, np.exp(parts @ np.concatenate([weight, [bias], move.ravel()])), (s == y[i, :k]).all()))
+        whole = sum(p for _, p, _ in paths)
+        off += times[i] * (next(v for v, _, own in paths if own) - sum(v * p for v, p, _ in paths) / whole)
+    assert abs(off).max() < 0.05
+
+
+def test_runs_hold_every_word(spark):
+    rows = spark.createDataFrame([("bad one", 1), ("bad one", 1), ("fine " * 20, 0), ("fine " * 9 + "bad", 1), ("", 1), (None, 0)], "text string, toxic int")
+    got = sorted((r.size, r.place, r.feature, r.toxic_at, r.times) for r in toxicity.runs(rows, ["^bad$"]).collect())
+    assert got == [(1, [0], [0], [0], 1), (2, [], [], [], 1), (2, [0], [0], [0], 2), (9, [], [], [], 3)]
+
+
+def test_quality_threshold_of_unseen_rows():
+    rng = np.random.default_rng(1)
+    rows = np.concatenate([rng.normal(size=(600, 9)), rng.normal(8, 1, (60, 9))])
+    label, half = (np.arange(660) < 600).astype(int), np.arange(660) % 2
+    forest, at = quality.train(rows, label, half)
+    other = quality.IsolationForest(rows[half == 0], label[half == 0] == 1)
+    assert (forest.cut == other.cut).all() and at in forest.score(rows[half == 1])
+    assert quality.train(rows, label, half * 0) is None and quality.train(rows[:600], label[:600], half[:600]) is None
+
+
 def test_chain_by_brute_force():
     """Marginals by runs of unknown words equal those over all paths."""
     field = toxicity.Field(["^bad$", "^wors"], np.array([2.0, 1.5]), -1.0, np.array([[0.5, -0.5], [-0.2, 0.4]]))

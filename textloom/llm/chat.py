@@ -15,7 +15,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, join_same, near
+from .shared import Scratch, join_same
 
 #: Tools of the production query: name -> JSON schema of its arguments.
 TOOLS = {
@@ -79,18 +79,20 @@ def depths(calls: DataFrame, scratch: Scratch) -> DataFrame:
         reached = step.where("done")
         scratch.drop(f"step{n - 1}")
     # Several parents: each is so far from a call that has none or several.
-    found = scratch.table(ids.select("call_id").join(known.select("call_id"), "call_id", "left_anti").select("call_id", F.lit(0).cast("long").alias("depth")), "found0")
+    # A round meets only what the one before has settled; what is settled is written once, as a part of `found`.
+    ready = scratch.table(ids.select("call_id").join(known.select("call_id"), "call_id", "left_anti").select("call_id", F.lit(0).cast("long").alias("depth")), "found/n=0")
     ways = edges.join(reached.select(F.col("call_id").alias("up"), F.col("up").alias("_up"), "dist"), "up", "left")
-    ways = scratch.table(ways.select("call_id", F.coalesce("_up", "up").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist")), "ways0")
-    n = 0
-    while not ways.isEmpty():
-        open_ways = ways.join(found.select(F.col("call_id").alias("up"), "depth"), "up", "left")
-        ready = open_ways.groupBy("call_id").agg(F.max(F.col("depth") + F.col("dist")).alias("depth"), F.count_if(F.col("depth").isNull()).alias("_wait")).where("_wait = 0").drop("_wait")
-        ready = scratch.table(ready, f"ready{n}")
-        if ready.isEmpty():
-            break  # what is left waits for itself
+    ways = ways.select("call_id", F.coalesce("_up", "up").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("long").alias("depth"))
+    ways, n = scratch.table(ways, "ways0"), 0
+    while not ways.isEmpty() and not ready.isEmpty():  # what is left at the end waits for itself
         n += 1
-        found, ways = scratch.table(found.unionByName(ready), f"found{n}"), scratch.table(ways.join(near(ready.select("call_id")), "call_id", "left_anti"), f"ways{n}")
+        new = ways.join(ready.select(F.col("call_id").alias("up"), F.col("depth").alias("_depth")), "up", "left")
+        new = scratch.table(new.select("call_id", "up", "dist", F.coalesce("depth", F.col("_depth") + F.col("dist")).alias("depth")), f"met{n}")
+        ready = new.groupBy("call_id").agg(F.max("depth").alias("depth"), F.count_if(F.col("depth").isNull()).alias("_wait")).where("_wait = 0").drop("_wait")
+        ready = scratch.table(ready, f"found/n={n}")
+        ways = scratch.table(new.join(ready.select("call_id"), "call_id", "left_anti"), f"ways{n}")
+        scratch.drop(f"ways{n - 1}", f"met{n}")
+    found = scratch.read("found", "call_id string, depth long")
     ends = reached.join(found.withColumnRenamed("call_id", "up"), "up").select("call_id", (F.col("depth") + F.col("dist")).alias("depth"))
     return ids.select("call_id").join(found.unionByName(ends), "call_id", "left")
 
@@ -204,12 +206,6 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op5: every user turn of conversations as a linked, ordered, validated and serialised call."""
-    calls, results = calls_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return format_calls(calls, results, Scratch(spark, "chat"))
-
-
 def parents_of(calls: DataFrame) -> DataFrame:
     """calls whose one parent is the call at half their place in the conversation's own sequence of calls; the first one has none.
 
@@ -251,28 +247,33 @@ def format_messages(turns: DataFrame, scratch: Scratch) -> DataFrame:
     return asked.unionByName(said, allowMissingColumns=True)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: every row of conversations, of whatever role, as a call or a message; a call's parent is found by its place among the conversation's calls."""
     return format_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Scratch(spark, "chat"))
 
 
 ORACLE = """
-with recursive t as (select conv_id, turn, role, coalesce(text, '') as text from conversations),
-c as (select conv_id, turn, concat(conv_id, ':', turn) as call_id,
-  case when turn >= 2 then concat(conv_id, ':', (turn // 4) * 2) end as parent_id, text,
-  case when length(text) >= 80 then 'lookup' else 'note' end as tool from t where role = 'user'),
+with t as (select conv_id, turn, role, coalesce(text, '') as text from conversations),
+c as (select conv_id, turn, concat(conv_id, ':', turn) as call_id, text, case when length(text) >= 80 then 'lookup' else 'note' end as tool from t where role = 'user'),
 ids as (select call_id, count(*) as n from c group by 1),
-r as (select concat(conv_id, ':', turn - 1) as call_id, turn, text from t where role = 'assistant'),
-r1 as (select call_id, turn, text from r qualify row_number() over (partition by call_id order by turn, text) = 1),
-p as (select c.call_id, min(case when k.call_id is not null then c.parent_id end) as up from c left join ids k on k.call_id = c.parent_id group by 1),
-d as (select call_id, 0::bigint as depth from p where up is null union all select p.call_id, d.depth + 1 from p join d on p.up = d.call_id),
-j as (select c.*, i.n, r1.turn as rt, r1.text as result, d.depth from c join ids i using (call_id) left join r1 using (call_id) left join d using (call_id))
-select conv_id, turn, call_id, tool,
+place as (select call_id, row_number() over (partition by conv_id order by turn) - 1 as spot from (select distinct conv_id, turn, call_id from c)),
+depth as (select call_id, case when spot = 0 then 0 else length(bin(spot)) end::bigint as depth from place),
+a as (select *, case when role = 'assistant' then concat(conv_id, ':', turn - 1) end as call_id from t where role <> 'user' or role is null),
+first as (select call_id, min(text) as result, min(turn) as rt from a where call_id is not null group by 1),
+j as (select c.*, i.n, f.rt, f.result, d.depth from c join ids i using (call_id) join depth d using (call_id) left join first f using (call_id)),
+asked as (select conv_id, turn, call_id, tool,
   case when n > 1 then 'repeated-id' when rt is null then 'no-result' else 'linked' end as status,
   case when tool = 'note' and length(text) < 1 then 'bad:text' else '' end as problems,
   case when n = 1 then rt end as result_turn, depth,
-  row_number() over (partition by conv_id order by depth, turn, call_id) as position,
   concat('{"arguments":', case when tool = 'lookup' then concat('{"limit":', length(text) // 80, ',"query":', to_json(text), '}') else concat('{"text":', to_json(text), '}') end,
-   ',"id":', to_json(call_id), ',"name":', to_json(tool), ',"result":', coalesce(to_json(case when n = 1 then result end)::varchar, 'null'), ',"turn":', turn, '}') as json
-from j
+   ',"id":', to_json(call_id), ',"name":', to_json(tool), ',"result":', coalesce(to_json(case when n = 1 then result end)::varchar, 'null'), ',"turn":', turn, '}') as json,
+  'user' as role from j),
+said as (select a.conv_id, a.turn, a.role, a.text, case when i.n = 1 and f.result = a.text then a.call_id end as id
+  from a left join first f using (call_id) left join ids i on i.call_id = a.call_id)
+select conv_id, turn, call_id, tool, status, problems, result_turn, depth,
+  row_number() over (partition by conv_id order by depth, turn, call_id, json) as position, json, role from asked
+union all
+select conv_id, turn, id, null, case when id is not null then 'answer' else 'message' end, null, null, null, null,
+  concat('{"content":', to_json(text), ',"id":', coalesce(to_json(id)::varchar, 'null'), ',"role":', coalesce(to_json(role)::varchar, 'null'), ',"turn":', turn, '}'), role
+from said
 """

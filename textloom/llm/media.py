@@ -2,8 +2,8 @@
 
 One Aho-Corasick pass over the bytes locates the magic numbers of the known
 formats, and the marks that end some of them. At each magic number the format's validator walks the structure and yields the
-length, or rejects it (a text may hold magic bytes by chance); end marks are looked up by bisection, so they are
-searched for once. The format
+length, or rejects it (a text may hold magic bytes by chance). End marks are looked up by bisection, and ways through
+blocks that several magic numbers lead to are walked once, so a text full of magic numbers takes linear time. The format
 that holds at place 0 corrects the declared type, whatever follows it; others that hold inside are embedded media
 and can be carved out.
 """
@@ -11,6 +11,7 @@ and can be carved out.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from bisect import bisect_left
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_schema, by_bytes, documents, in_batches, keyed_text, slices
+from .shared import Scratch, arrow_schema, by_bytes, documents, in_batches, keyed_text, slices
 
 ROW = 576
 RATE = 8000
@@ -34,11 +35,12 @@ def payload(text: bytes) -> bytes:
     return text + b"\xff" * (ROW - len(text) % ROW if len(text) % ROW or not text else 0)
 
 
-def to_wav(data: bytes) -> bytes:
-    """One channel of unsigned 8-bit samples; an odd count gets the pad byte that chunks need."""
+def to_wav(data: bytes, cover: bytes = b"") -> bytes:
+    """One channel of unsigned 8-bit samples; a cover image has a chunk of its own after them. A chunk of odd size gets the pad byte that chunks need."""
+    tail = struct.pack("<4sI", b"covr", len(cover)) + cover + b"\0" * (len(cover) & 1) if cover else b""
     pad = len(data) & 1
-    head = struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(data) + pad, b"WAVE", b"fmt ", 16, 1, 1, RATE, RATE, 1, 8, b"data", len(data))
-    return head + data + b"\0" * pad
+    head = struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(data) + pad + len(tail), b"WAVE", b"fmt ", 16, 1, 1, RATE, RATE, 1, 8, b"data", len(data))
+    return head + data + b"\0" * pad + tail
 
 
 def to_png(data: bytes, width: int = ROW) -> bytes:
@@ -82,69 +84,128 @@ def samples(blob: bytes, kind: str) -> bytes:
 
 # ---- validators: (blob, start, places of end marks) -> length, or 0 ---------------------------
 
+def _chunk_tree(b: bytes) -> tuple[dict, dict, dict]:
+    """(number, size, counts) of the chunk places that RIFF heads lead to; a chunk's parent is the one after it.
+
+    Heads lead to common places, so each is read once. `number` is in preorder: place t follows place p if number[t] <= number[p] < number[t] + size[t];
+    counts: `fmt ` and `data` chunks from a place to the end of its way.
+    """
+    after: dict[int, int] = {}
+    for m in re.finditer(rb"(?s)RIFF(?=.{4}WAVE)", b):
+        at = m.start() + 12
+        while at not in after and at + 8 <= len(b):
+            n = struct.unpack_from("<I", b, at + 4)[0]
+            after[at] = at + 8 + n + (n & 1)
+            at = after[at]
+        after.setdefault(at, -1)
+    places = sorted(after)
+    size = dict.fromkeys(places, 1)
+    for at in places:
+        if after[at] >= 0:
+            size[after[at]] += size[at]
+    number, free, counts, roots = {}, {}, {}, 0
+    for at in reversed(places):
+        up = after[at]
+        if up < 0:
+            number[at], roots = roots, roots + size[at]
+            counts[at] = (0, 0)
+        else:
+            number[at] = free[up]
+            free[up] += size[at]
+            f, d = counts[up]
+            counts[at] = (f + (b[at : at + 4] == b"fmt "), d + (b[at : at + 4] == b"data"))
+        free[at] = number[at] + 1
+    return number, size, counts
+
+
 def _wav(b: bytes, s: int, marks: dict) -> int:
+    """Chunks from the head must end where its length says, and hold a format and data."""
     if len(b) < s + 44 or b[s + 8 : s + 12] != b"WAVE":
         return 0
     size = struct.unpack_from("<I", b, s + 4)[0] + 8
-    at, seen = s + 12, set()
-    while at + 8 <= s + size <= len(b):
-        n = struct.unpack_from("<I", b, at + 4)[0]
-        seen.add(b[at : at + 4])
-        at += 8 + n + (n & 1)
-    return size if at == s + size and {b"fmt ", b"data"} <= seen else 0
+    if "riff" not in marks:
+        marks["riff"] = _chunk_tree(b)
+    number, under, counts = marks["riff"]
+    at, end = s + 12, s + size
+    if end > len(b) or end not in number or not number[end] <= number[at] < number[end] + under[end]:
+        return 0
+    return size if all(x > y for x, y in zip(counts[at], counts[end])) else 0
+
+
+def _walked(marks: dict, kind: str, state: int, step) -> int:
+    """The end of the way that step(state) -> next state or ~end or None leads along, 0 if it leads nowhere. Heads lead to common states: each is stepped once."""
+    known, way = marks.setdefault(kind, {}), []
+    while state not in known:
+        way.append(state)
+        new = step(state)
+        if new is None or new < 0:
+            known[state] = 0 if new is None else ~new
+            break
+        state = new
+    end = known[state]
+    known.update(dict.fromkeys(way, end))
+    return end
 
 
 def _png(b: bytes, s: int, marks: dict) -> int:
-    at, first = s + 8, True
-    while at + 12 <= len(b):
+    """Chunks with right checksums, the head's first, up to the end's. A state is the place of a chunk."""
+
+    def step(at: int) -> int | None:
+        if at + 12 > len(b):
+            return None
         n, name = struct.unpack_from(">I4s", b, at)
-        if at + 12 + n > len(b) or first and (name != b"IHDR" or n != 13) or struct.unpack_from(">I", b, at + 8 + n)[0] != zlib.crc32(b[at + 4 : at + 8 + n]):
-            return 0
-        at, first = at + 12 + n, False
-        if name == b"IEND":
-            return at - s
-    return 0
+        if at + 12 + n > len(b) or struct.unpack_from(">I", b, at + 8 + n)[0] != zlib.crc32(view[at + 4 : at + 8 + n]):
+            return None
+        return ~(at + 12 + n) if name == b"IEND" else at + 12 + n
+
+    view = memoryview(b)
+    return max(0, _walked(marks, "png", s + 8, step) - s) if b[s + 8 : s + 16] == b"\0\0\0\rIHDR" else 0
 
 
 def _gif(b: bytes, s: int, marks: dict) -> int:
+    """Blocks up to the trailer. A state is twice the place of a block, and one more inside its pieces."""
     if len(b) < s + 14 or b[s + 3 : s + 6] not in (b"87a", b"89a"):
         return 0
-    at = s + 13 + (3 << (b[s + 10] & 7) + 1 if b[s + 10] & 128 else 0)
-    while at < len(b):
-        kind, at = b[at], at + 1
-        if kind == 0x3B:
-            return at - s
-        if kind == 0x21:
-            at += 1
-        elif kind == 0x2C and at + 9 < len(b):
-            at += 10 + (3 << (b[at + 8] & 7) + 1 if b[at + 8] & 128 else 0)
-        else:
-            return 0
-        while at < len(b) and b[at]:
-            at += b[at] + 1
-        at += 1
-    return 0
+
+    def step(state: int) -> int | None:
+        at, inside = state >> 1, state & 1
+        if at >= len(b):
+            return None
+        if inside:
+            return at + 1 + b[at] << 1 | 1 if b[at] else at + 1 << 1
+        if b[at] == 0x3B:
+            return ~(at + 1)
+        if b[at] == 0x21:
+            return at + 2 << 1 | 1
+        if b[at] == 0x2C and at + 10 < len(b):
+            return at + 11 + (3 << (b[at + 9] & 7) + 1 if b[at + 9] & 128 else 0) << 1 | 1
+        return None
+
+    first = s + 13 + (3 << (b[s + 10] & 7) + 1 if b[s + 10] & 128 else 0)
+    return max(0, _walked(marks, "gif", first << 1, step) - s)
 
 
 def _jpeg(b: bytes, s: int, marks: dict) -> int:
-    at = s + 2
-    while at + 4 <= len(b):
-        if b[at] != 0xFF:
-            return 0
-        kind, n = b[at + 1], struct.unpack_from(">H", b, at + 2)[0]
-        if n < 2:
-            return 0
-        at += 2 + n
-        if kind == 0xDA:
-            while (at := b.find(b"\xff", at)) >= 0 and at + 1 < len(b):
-                if b[at + 1] == 0xD9:
-                    return at + 2 - s
-                if b[at + 1] and not 0xD0 <= b[at + 1] <= 0xD7:
-                    break
-                at += 2
-            if at < 0:
-                return 0
-    return 0
+    """Segments up to the end mark. A state is twice the place of a segment, and one more in the scan that follows one."""
+    if "ff" not in marks:
+        marks["ff"] = [m.start() for m in re.finditer(b"\xff", b)]
+    escapes = marks["ff"]
+
+    def step(state: int) -> int | None:
+        at, scan = state >> 1, state & 1
+        if scan:
+            i = bisect_left(escapes, at)
+            if i == len(escapes) or escapes[i] + 1 >= len(b):
+                return None
+            at = escapes[i]
+            kind = b[at + 1]
+            return ~(at + 2) if kind == 0xD9 else at + 2 << 1 | 1 if not kind or 0xD0 <= kind <= 0xD7 else at << 1
+        if at + 4 > len(b) or b[at] != 0xFF:
+            return None
+        n = struct.unpack_from(">H", b, at + 2)[0]
+        return None if n < 2 else at + 2 + n << 1 | (b[at + 1] == 0xDA)
+
+    return max(0, _walked(marks, "jpeg", s + 2 << 1, step) - s)
 
 
 def _bmp(b: bytes, s: int, marks: dict) -> int:
@@ -240,70 +301,84 @@ def sniff(blob: bytes) -> list[tuple[int, int, str]]:
     return found
 
 
-def carve(blob: bytes) -> list[tuple[str, bytes]]:
-    """Embedded media: those that hold at another place than 0."""
-    return [(kind, blob[s : s + n]) for s, n, kind in sniff(blob) if s]
+#: What stored files are declared as, by two bits of their checksum.
+DECLARED = ["image/png", "audio/wav", "text/plain", "application/octet-stream"]
+
+
+def carve(blob: bytes, found: list | None = None) -> list[tuple[str, bytes]]:
+    """Embedded media: those that hold at another place than 0. found: what sniff() said, where it is known."""
+    return [(kind, blob[s : s + n]) for s, n, kind in (sniff(blob) if found is None else found) if s]
 
 
 def store(text: bytes) -> tuple[str, bytes]:
-    """(declared type, file). The form follows from the bytes: WAV, or PNG for texts whose checksum is even; all are declared octet-stream."""
+    """(declared type, file). The form follows from the payload's checksum: PNG where it is even, else WAV with its first row as a PNG cover. What is
+    declared follows from it too, as types in the wild do: one row in four is right, others name the other form, text or nothing.
+    """
     data = payload(text)
-    return "application/octet-stream", to_png(data) if zlib.crc32(data) % 2 == 0 else to_wav(data)
+    check = zlib.crc32(data)
+    blob = to_wav(data, to_png(data[:ROW])) if check & 1 else to_png(data)
+    return DECLARED[check >> 1 & 3], blob
 
 
 def media(docs: DataFrame) -> DataFrame:
-    """(doc_id, declared, media) of a (doc_id, text) frame."""
-    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("declared", T.StringType()), T.StructField("media", T.BinaryType())])
-    return in_batches(keyed_text(docs), out, lambda ids, blobs: [ids, *map(list, zip(*map(store, blobs)))])
+    """(doc_id, n_bytes, declared, media) of a (doc_id, text) frame; n_bytes: of the text."""
+    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("declared", T.StringType()), T.StructField("media", T.BinaryType())])
+    return in_batches(keyed_text(docs), out, lambda ids, blobs: [ids, list(map(len, blobs)), *map(list, zip(*map(store, blobs)))])
 
 
-LOOKED = [("payload_bytes", T.LongType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), *[(n, T.StringType()) for n in ("payload_sha256", "media_sha256", "media_type", "feature")], ("n_embedded", T.LongType()), ("n_trailing", T.LongType())]
+_TEXTS = ("payload_sha256", "media_sha256", "media_type", "feature", "carved_sha256")
+LOOKED = [("payload_bytes", T.LongType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), *[(n, T.StringType()) for n in _TEXTS], ("n_embedded", T.LongType()), ("n_trailing", T.LongType())]
 
 
 def inspect(frame: DataFrame) -> DataFrame:
-    """(doc_id, declared, media) rows with what the sniffer found.
+    """A frame with `declared` and `media` columns, without the bytes and with what the sniffer found in them.
 
     media_type: the type that holds at the start of the bytes, or else the declared one; payload_*: of the 8-bit samples of a WAV or PNG, none of others; n_trailing: bytes
-    after the file. Null bytes count as none; rows that repeat and rows without a doc_id are looked at each. An empty frame gives an empty result.
+    after the file; carved_sha256: of all embedded media in a row, null without any. Null bytes count as none; rows that repeat and rows without a doc_id are looked at each.
+    Other columns stay, those with the names of results are replaced. An empty frame gives an empty result.
     """
-    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("declared", T.StringType())] + [T.StructField(n, t) for n, t in LOOKED])
+    added = [n for n, _ in LOOKED]
+    held = [f for f in frame.schema.fields if f.name not in ("media", *added)]
+    out = T.StructType(held + [T.StructField(n, t) for n, t in LOOKED])
+    at = next(i for i, f in enumerate(held) if f.name == "declared")
 
     def run(batches):
         schema = arrow_schema(out)
         for batch in slices(batches, 64):
-            ids, declared, blobs = (batch.column(c).to_pylist() for c in ("doc_id", "declared", "media"))
+            declared, blobs = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             for a, b in by_bytes([x or b"" for x in blobs]):
                 seen = [look(x or b"", d) for x, d in zip(blobs[a:b], declared[a:b])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([ids[a:b], declared[a:b], *map(list, zip(*seen))], schema.types)], schema=schema)
+                own = batch.slice(a, b - a).columns[:-1]
+                found = [pa.array(c, t) for c, t in zip(zip(*seen), schema.types[len(own) :])]
+                yield pa.RecordBatch.from_arrays([*(c.cast(t) for c, t in zip(own, schema.types)), *found], schema=schema)
 
-    return frame.select(F.col("doc_id").cast("long").alias("doc_id"), "declared", "media").mapInArrow(run, out)
+    return frame.select(*[F.col(f"`{f.name}`") for f in held], "media").mapInArrow(run, out)
 
 
 def look(blob: bytes, declared: str | None = None) -> tuple:
     """The values of LOOKED of one file."""
     found = sniff(blob)
     size, kind = next(((n, k) for s, n, k in found if s == 0), (0, None))
-    embedded = [k for s, _, k in found if s]
+    inside = carve(blob, found)
     data = samples(blob, kind) if kind in ("audio/wav", "image/png") else b""
-    feature = f"{kind or 'unknown'};samples={len(data)};high={data.count(255)};space={data.count(32)};line={data.count(10)};embedded={','.join(sorted(embedded))}"
-    return len(data), zlib.crc32(data[-32:]), len(blob), hashlib.sha256(data).hexdigest(), hashlib.sha256(blob).hexdigest(), kind or declared, feature, len(embedded), len(blob) - size if kind else 0
+    feature = f"{kind or 'unknown'};samples={len(data)};high={data.count(255)};space={data.count(32)};line={data.count(10)};embedded={','.join(sorted(k for k, _ in inside))}"
+    carved = hashlib.sha256()
+    for _, b in inside:
+        carved.update(b)
+    digests = hashlib.sha256(data).hexdigest(), hashlib.sha256(blob).hexdigest(), kind or declared, feature, carved.hexdigest() if inside else None
+    return len(data), zlib.crc32(data[-32:]), len(blob), *digests, len(inside), len(blob) - size if kind else 0
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """Every whole text of (doc_id, text) stored as media, read back through the sniffer; the stored bytes pass from one to the other and are not kept.
+def report(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every whole text of (doc_id, text) stored as media in a table of the shared folder, read back through the sniffer.
 
+    `declared_type` is what was stored with the bytes, `media_type` what they are, `corrected` where the two differ.
     A null text counts as an empty one. Repeated rows and rows without a doc_id have a row each. An empty frame gives an empty result.
     """
-    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("declared_type", T.StringType())] + [T.StructField(n, t) for n, t in LOOKED])
-
-    def rows(ids, blobs):
-        stored = [store(b) for b in blobs]
-        seen = [look(m, declared) for declared, m in stored]
-        return [ids, [len(b) for b in blobs], [declared for declared, _ in stored], *map(list, zip(*seen))]
-
-    return in_batches(keyed_text(docs), out, rows)
+    seen = inspect(scratch.table(media(docs), "media"))
+    return seen.withColumn("corrected", F.col("declared") != F.col("media_type")).withColumnRenamed("declared", "declared_type")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: the report of every document."""
-    return report(documents(spark, sf_dir))
+    return report(documents(spark, sf_dir), Scratch(spark, "media"))

@@ -10,7 +10,6 @@ QUERIES = {
     "op3_source_mixing": mixing.query,
     "op4_ngram_jaccard": similarity.query,
     "op5_chat_format": chat.query,
-    "op5_chat_messages": chat.messages,
     "op6_token_files": token_files.query,
     "op7_media": media.query,
     "op8_quality_rules": quality.query,

@@ -48,6 +48,10 @@ class Scratch:
         df.write.parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
+    def read(self, name: str, schema: str) -> DataFrame:
+        """What was written under a name, its parts (name/n=...) together."""
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}").drop("n")
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._remove(f"{self.base}/{name}")
