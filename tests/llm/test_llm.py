@@ -605,6 +605,24 @@ def test_quality_threshold_of_unseen_rows():
     assert quality.train(rows, label, half * 0) is None and quality.train(rows[:600], label[:600], half[:600]) is None
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """More than 4,000 labelled documents of one class: Spark's forest and threshold are those of all rows in memory, whatever the partitions."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(WORDS) + str(rng.randint(0, 99) if i % 12 else "#" * rng.randint(1, 40)) for _ in range(rng.randint(8, 25)))) for i in range(10_000)]
+    labels = [(i, int(i % 12 > 0)) for i, _ in rows if i % 50] + [(13, 0), (None, 1)]
+    docs = spark.createDataFrame(rows + [(None, "a " * 20)], "doc_id long, text string").repartition(3)
+    forest, at = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    label = dict(labels) | {13: 0}
+    some = [(i, t) for i, t in rows if i in label]
+    counts, features = quality.text_counts([t for _, t in some], [t.encode() for _, t in some])
+    passed = ~quality.base_failed(counts)
+    own, half = (np.array(x)[passed] for x in ([label[i] for i, _ in some], [zlib.crc32(str(i).encode()) % 2 for i, _ in some]))
+    assert (own == 1).sum() > 7000
+    other, limit = quality.train(features[passed], own, half)
+    assert (forest.feature == other.feature).all() and (forest.cut == other.cut).all() and (forest.path == other.path).all() and at == limit
+    assert forest.norm == pytest.approx(float(forest.expected((half == 0).sum())))
+
+
 def test_chain_by_brute_force():
     """Marginals by runs of unknown words equal those over all paths."""
     field = toxicity.Field(["^bad$", "^wors"], np.array([2.0, 1.5]), -1.0, np.array([[0.5, -0.5], [-0.2, 0.4]]))
