@@ -417,6 +417,25 @@ def test_token_files(spark, docs):
     assert [r.doc_id for r in rows] == [None, None, -3, 4, 4] and rows[0].ids_crc32 == zlib.crc32(np.array(tok.encode("a", add_special_tokens=False).ids + [2], "<u4").tobytes())
 
 
+def test_frames_hold_frequent_words_as_one_symbol():
+    rng = np.random.default_rng(6)
+    flat = rng.integers(0, 49408, 4000).astype(np.uint32)
+    flat[7] = 3_000_000_000
+    known = [(0, 3), (3, 1), (7, 1), (10, 300), (400, 2), (402, 6), (500, 1), (600, 4)]
+    word = lambda a, n: np.uint64(a << 32 | n)
+    docs = [[known[i] for i in rng.integers(0, len(known), n)] + [(3999, 1)] for n in (0, 1, 30, 0, 200)] + [[(700 + 5 * i, 5) for i in range(60)]]  # the last one's words are there once
+    words = np.array([word(*w) for d in docs for w in d], np.uint64)
+    ids = [np.concatenate([flat[a : a + n] for a, n in d]) for d in docs]
+    keys = [None, -3, 0, 4, 4, 2**40]
+    symbols, length, parts, base = token_files.united(words, flat)
+    assert len(symbols) == sum(map(len, docs)) + 4 * 60 and sorted(length) == [2, 3, 4, 6, 300] and len(parts) == 315 and base == 3_000_000_001
+    got = token_files.unpack(token_files.pack(keys, [len(x) for x in ids], words, flat))
+    assert [k for k, _ in got] == keys and all(x.tolist() == y.tolist() for (_, x), y in zip(got, ids))
+    assert token_files.unpack(token_files.pack([], [], words[:0], flat)) == []
+    none = token_files.unpack(token_files.pack([5], [1], words[:1] >> np.uint64(32) << np.uint64(32) | np.uint64(1), flat))
+    assert none[0][0] == 5 and len(none[0][1]) == 1
+
+
 def test_words_encode_as_whole_texts():
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -28,9 +28,11 @@ HASH = 512  # entries of each context table
 SINGLE, STEP = 16, 4  # the first buckets have one id; after them, after each STEP buckets the number of ids doubles
 SHARES = 1 << 19  # what order 0 deals out, about
 PRIOR, SEEN = 320.0, 4  # weight of the head's counts, and of an id of the block
+COARSE = 8  # buckets that a search takes together at first
 LEVELS = 8  # confidences of a context's entry
 RATE, PACE = np.float32(1 / 16), np.float32(1 / 20)  # of the confidences and the weights
 ONE, LEAST, MOST = np.float32(1), np.float32(0.02), np.float32(0.48)  # a weight lies between the last two
+SPREAD, SHIFT = (np.uint32(2654435761), np.uint32(2246822519)), np.uint32(32 - 9)  # HASH has nine binary digits
 EDGE, FULL, WORD = 1 << 32, (1 << 48) - 1, 16
 HEAD = 12  # bytes: count, size, crc32
 
@@ -84,68 +86,77 @@ class Alphabet:
 class _Models:
     def __init__(self, lanes: int, alphabet: Alphabet):
         self.lanes, self.alphabet, self.lane = lanes, alphabet, np.arange(lanes)
+        self.inside, self.bucket = alphabet.base.astype(np.int32), alphabet.bucket.astype(np.int32)
         self.table = np.zeros(2 * lanes * HASH, np.int32)  # order 2's entries, then order 1's: rank and confidence
         self.base = np.stack([self.lane, self.lane + lanes]) * HASH
-        self.at, self.turn = np.zeros((2, lanes), np.int64), False
+        self.hash = np.zeros((2, lanes), np.uint32)
         start = np.array([0.01, 0.25, 0.45, 0.6, 0.7, 0.78, 0.84, 0.9], np.float32)
-        self.right = np.repeat(np.tile(start, 2), lanes)  # how often entries of an order and a confidence are right
-        self.level = np.stack([self.lane, self.lane + LEVELS * lanes])
-        self.weight = np.full((2, lanes), 0.4, np.float32)
+        self.right = np.tile(start, 2 * lanes)  # how often entries of an order and a confidence are right
+        self.level = np.stack([self.lane, self.lane + lanes]) * LEVELS
         prior = alphabet.counts * (PRIOR / max(1, int(alphabet.counts.sum()))) + 0.05 * (alphabet.width > 0)
         self.count = np.repeat(prior.astype(np.float32)[:, None], lanes, 1)
         self.counts = self.count.ravel()
         self.share = (np.maximum(alphabet.width, 1) / SHARES)[:, None]
-        self.cum = np.zeros((len(alphabet.width) + 1, lanes), np.int64)
+        self.width = alphabet.width.astype(np.int32)[:, None]
+        self.cum = np.zeros((len(alphabet.width) + 1, lanes), np.int32)
         self.flat = self.cum.ravel()
-        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.b, self.turn = np.zeros(lanes, np.uint32), False
+        self.weight = np.full((2, lanes), 0.4, np.float32)
         self.refresh()
 
     def refresh(self) -> None:
         """Order 0's shares from the counts: of each id of a bucket, and where each bucket's begin."""
         total = self.count.sum(0, dtype=np.float64)
-        self.each = np.maximum((self.count / (self.share * total)).astype(np.int64), 1)
+        self.each = np.maximum((self.count / (self.share * total)).astype(np.int32), 1)
         self.own = self.each.ravel()
-        np.cumsum(self.each * self.alphabet.width[:, None], 0, out=self.cum[1:])
-        self.all = self.cum[-1]
+        np.cumsum(self.each * self.width, 0, out=self.cum[1:])
+        self.all, self.coarse = self.cum[-1], self.cum[COARSE : self.alphabet.buckets : COARSE].copy()
         self.room = self.all.astype(np.float32)
 
     def guess(self) -> None:
-        mixed = self.b * 2654435761
-        self.at[0] = self.a * 40503 + mixed >> 7
-        self.at[1] = mixed >> 9
-        self.at &= HASH - 1
+        self.at = (self.hash >> SHIFT).astype(np.int64)
         self.at += self.base
         self.entry = self.table[self.at]
         self.sure = self.entry & LEVELS - 1
         self.named = self.entry >> 3
-        self.cell = self.sure * self.lanes + self.level
+        self.cell = self.sure + self.level
         self.odds = self.right[self.cell]
         part = self.weight * self.odds
-        self.mass = (part * (self.room / (ONE - part[0] - part[1]))).astype(np.int64)
-        self.total = self.all + self.mass[0] + self.mass[1]
+        self.mass = (part * (self.room / (ONE - part[0] - part[1]))).astype(np.int32)
+        self.total = self.all + self.mass[0]
+        self.total += self.mass[1]
 
     def zero(self, rank: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and size of order 0's share of ids."""
-        at = bucket * self.lanes + self.lane
-        each = self.own[at]
-        return self.flat[at] + (rank - self.alphabet.base[bucket]) * each, each
+        self.place = bucket.astype(np.int64)
+        self.place *= self.lanes
+        self.place += self.lane
+        each = self.own[self.place]
+        return self.flat[self.place] + (rank - self.inside.take(bucket)) * each, each
 
     def slot(self, rank: np.ndarray, begin: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and size of an id's slot in the mixture, from those of its order-0 share: ids lie in order of their ranks."""
-        self.each_own, self.hit = each, self.named == rank
-        before = self.mass * (self.named < rank)
-        begin = begin + before[0] + before[1]
-        own = self.mass * self.hit
-        self.size = each + own[0] + own[1]
+        self.hit = self.named == rank
+        before = self.mass * (self.named < rank).astype(np.int32)
+        own = self.mass * self.hit.astype(np.int32)
+        begin = begin + before[0]
+        begin += before[1]
+        self.each_own = each
+        self.size = each + own[0]
+        self.size += own[1]
         return begin, self.size
 
     def find(self, v: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Rank and bucket of the id whose slot holds v, and begin and size of its order-0 share: the masses before it are taken off, then order 0's shares are searched."""
+        """Rank of the id whose slot holds v, and begin and size of its order-0 share: the masses before it are taken off, then order 0's shares are searched."""
         one, two = self.named
-        ends = np.stack([np.minimum(one, two), np.maximum(one, two)]).astype(np.int64)
-        bucket = self.alphabet.bucket[ends]
-        cell = bucket * self.lanes + self.lane
-        ends -= self.alphabet.base[bucket]
+        ends = np.empty_like(self.named)
+        np.minimum(one, two, out=ends[0])
+        np.maximum(one, two, out=ends[1])
+        bucket = self.bucket.take(ends)
+        cell = bucket.astype(np.int64)
+        cell *= self.lanes
+        cell += self.lane
+        ends -= self.inside.take(bucket)
         ends += 1
         ends *= self.own[cell]
         ends += self.flat[cell]
@@ -153,15 +164,19 @@ class _Models:
         lower = np.where(one <= two, self.mass[0], self.mass[1])
         v = v - np.minimum(np.maximum(v - ends[0], 0), lower)
         v -= np.minimum(np.maximum(v - ends[1], 0), self.mass[0] + self.mass[1] - lower)
-        at, step = self.lane, self.lanes << self.alphabet.depth
-        for _ in range(self.alphabet.depth):
-            step >>= 1
-            at = at + step * (self.flat[at + step] <= v)
-        bucket, begin, each = (at - self.lane) // self.lanes, self.flat[at], self.own[at]
-        place = _ratio(v - begin, each)
-        return self.alphabet.base[bucket] + place, bucket, begin + place * each, each
-
-    def learn(self, rank: np.ndarray, bucket: np.ndarray) -> None:
+        bucket = np.add.reduce((self.coarse <= v).view(np.int8), 0, dtype=np.int64)
+        bucket *= COARSE
+        at = bucket * self.lanes
+        at += self.lane
+        for step in (4, 2, 1):
+            at += (self.flat[at + step * self.lanes] <= v) * (step * self.lanes)
+        bucket = at // self.lanes
+        self.place = at
+        begin, each = self.flat[self.place], self.own[self.place]
+        place = ((v - begin) / each).astype(np.int32)
+        return self.inside.take(bucket) + place, begin + place * each, each
+
+    def learn(self, rank: np.ndarray) -> None:
         hit = self.hit.astype(np.float32)
         self.turn = not self.turn
         if self.turn:  # weights move with every other id
@@ -170,12 +185,13 @@ class _Models:
             self.weight += PACE * self.weight * gain
             np.minimum(np.maximum(self.weight, LEAST, out=self.weight), MOST, out=self.weight)
         self.right[self.cell] = self.odds + RATE * (hit - self.odds)
-        entry = self.entry
-        fresh = (rank << 3 | 1).astype(np.int32)
-        lower = np.where(self.sure <= 1, fresh, entry - self.sure + (self.sure >> 1))
-        self.table[self.at] = np.where(self.hit, entry + (self.sure < LEVELS - 1), lower)
-        self.counts[bucket * self.lanes + self.lane] += SEEN
-        self.a, self.b = self.b, rank
+        entry, sure = self.entry, self.sure
+        lower = np.where(sure <= 1, rank << 3 | 1, entry - (sure + 1 >> 1))
+        self.table[self.at] = np.where(self.hit, entry + (sure < LEVELS - 1).astype(np.int32), lower)
+        self.counts[self.place] += SEEN
+        mixed = rank.astype(np.uint32) * SPREAD[0]
+        np.add(self.b, mixed, out=self.hash[0])
+        self.hash[1], self.b = mixed, mixed * SPREAD[1]
 
 
 def _fresh(t: int) -> bool:
@@ -204,27 +220,26 @@ def _encode_group(parts: list[np.ndarray], alphabet: Alphabet) -> list[bytes]:
     m = _Models(lanes, alphabet)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, FULL)
     width = longest * 2 + 16
-    buf, used = np.zeros((lanes, width), "<u2"), np.zeros(lanes, np.int64)
-    words, first = buf.ravel(), np.arange(lanes) * width
+    buf, used = np.zeros((width, lanes), "<u2"), np.zeros(lanes, np.int64)
+    words = buf.ravel()
 
     def out_word(rows, top):
-        words[first[rows] + used[rows]] = top
+        words[used[rows] * lanes + rows] = top
 
     for t in range(longest):
-        n, x = int(alive[t]), grid[t].astype(np.int64)
+        n, x = int(alive[t]), grid[t]
         m.guess()
-        bucket = alphabet.bucket[x]
-        start, size = m.slot(x, *m.zero(x, bucket))
+        start, size = m.slot(x, *m.zero(x, m.bucket.take(x)))
         _narrow(low, rng, _ratio(rng, m.total), start, size, n)
         _shift(low, rng, used, n, out_word)
-        m.learn(x, bucket)
+        m.learn(x)
         if _fresh(t):
             m.refresh()
     for _ in range(3):
-        buf[np.arange(lanes), used] = (low >> 32).astype(np.uint16)
+        buf[used, np.arange(lanes)] = (low >> 32).astype(np.uint16)
         used += 1
         low = (low << WORD) & FULL
-    out = [b""] * lanes
+    out, buf = [b""] * lanes, np.ascontiguousarray(buf[: int(used.max())].T)
     for k, j in enumerate(order):
         body = buf[k, : used[k]].tobytes()
         crc = zlib.crc32(alphabet.ids[parts[j]].tobytes())
@@ -240,22 +255,17 @@ def _narrow(low, rng, unit, start, size, n) -> None:
 
 def _shift(low, rng, used, n, moved) -> None:
     """Gives the settled words of the first n lanes to `moved` until each range is wide again."""
-    l, r = low[:n], rng[:n]
-    settled = (l ^ (l + r)) < EDGE
-    rows = np.flatnonzero(settled | (r < EDGE))
-    if not len(rows):
-        return
-    l, r, settled = l[rows], r[rows], settled[rows]
+    rows = np.flatnonzero(rng[:n] < EDGE)  # a narrower range is within one word's edges, or goes over one
     while len(rows):
+        l, r = low[rows], rng[rows]
+        settled = (l ^ (l + r)) < EDGE
         if not settled.all():
             r = np.where(settled, r, -l & (EDGE - 1))  # too narrow over an edge: up to the edge
         moved(rows, (l >> 32).astype(np.uint16))
         used[rows] += 1
-        l, r = (l << WORD) & FULL, (r << WORD) & FULL
-        low[rows], rng[rows] = l, r
-        settled = (l ^ (l + r)) < EDGE
-        more = np.flatnonzero(settled | (r < EDGE))
-        rows, l, r, settled = rows[more], l[more], r[more], settled[more]
+        r <<= WORD
+        low[rows], rng[rows] = (l << WORD) & FULL, r & FULL
+        rows = rows[r < EDGE]
 
 
 def decode_blocks(head: bytes, blocks: list[bytes]) -> list[np.ndarray]:
@@ -278,26 +288,26 @@ def _decode_group(blocks: list[bytes], alphabet: Alphabet) -> list[np.ndarray]:
         buf[k, : len(body)] = body
     m = _Models(lanes, alphabet)
     low, rng, used = np.zeros(lanes, np.int64), np.full(lanes, FULL), np.full(lanes, 3, np.int64)
-    words, first, last = buf.ravel(), np.arange(lanes) * buf.shape[1], len(alphabet.ids) - 1
+    words, last = np.ascontiguousarray(buf.T).ravel(), len(alphabet.ids) - 1
     code = (buf[:, 0].astype(np.int64) << 32) | (buf[:, 1].astype(np.int64) << WORD) | buf[:, 2]
     grid = np.zeros((longest, lanes), np.int32)
 
     def in_word(rows, top):
-        code[rows] = ((code[rows] << WORD) & FULL) | words[first[rows] + used[rows]]
+        code[rows] = ((code[rows] << WORD) & FULL) | words[used[rows] * lanes + rows]
 
     for t in range(longest):
         n = int(alive[t])
         m.guess()
         unit = _ratio(rng, m.total)
-        v = np.minimum(_ratio((code - low) & FULL, unit), m.total - 1)
-        x, bucket, begin, each = m.find(v)
+        v = np.minimum(_ratio((code - low) & FULL, unit), m.total - 1).astype(np.int32)
+        x, begin, each = m.find(v)
         if n < lanes:  # finished blocks
-            x[n:], bucket[n:] = 0, 0
+            x[n:] = 0
         start, size = m.slot(x, begin, each)
         _narrow(low, rng, unit, start, size, n)
         _shift(low, rng, used, n, in_word)
         grid[t] = x
-        m.learn(x, bucket)
+        m.learn(x)
         if _fresh(t):
             m.refresh()
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * lanes
