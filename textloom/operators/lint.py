@@ -85,10 +85,13 @@ def shared_terms(blocks: DataFrame, rules: DataFrame, key: list[str], least: flo
 
 
 def rendered(hits: DataFrame, header: str, key: list[str] | None = None) -> DataFrame:
-    """(key, start, lines) of (key, start, end, text, rule, instruction, p) rows: a flagged block's place, excerpt and hits, the likeliest first. key: the text that a block belongs to, where there are several."""
+    """(key, start, lines) of (key, start, end, text, rule, instruction, p) rows: a flagged block's place, excerpt and hits, the likeliest first. key: the text that a block belongs to, where there are several.
+
+    p is rounded from its binary value, as C's printf does (0.825 gives 0.82): `format_number` does so, `format_string` would round the decimal form up.
+    """
     key = key or []
     flat = lambda c: F.btrim(F.regexp_replace(c, r"\s+", " "))
-    row = F.struct((-F.col("p")).alias("o"), F.col("rule").alias("k"), F.concat(F.lit("  R"), F.when(F.col("rule") < 10, "0").otherwise(""), F.col("rule").cast("string"), F.lit("  p="), F.format_string("%.2f", "p"), F.lit("  "), flat(F.col("instruction"))).alias("line"))
+    row = F.struct((-F.col("p")).alias("o"), F.col("rule").alias("k"), F.concat(F.lit("  R"), F.when(F.col("rule") < 10, "0").otherwise(""), F.col("rule").cast("string"), F.lit("  p="), F.format_number("p", 2), F.lit("  "), flat(F.col("instruction"))).alias("line"))
     excerpt = F.left(flat(F.col("text")), F.lit(120))
     g = hits.groupBy(*key, "start", "end", "text").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     span = F.when(F.col("start") == F.col("end"), F.col("start").cast("string")).otherwise(F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string")))
