@@ -191,7 +191,7 @@ def opening_types(spark, d):
 def closing_sentences(spark, d):
     """Paragraphs and those whose last sentence opens with a connective, by role."""
     x = t(spark, d, "conversations").select("role", F.explode(paragraphs(F.col("text"))).alias("p"))
-    last = _words(F.coalesce(F.element_at(T.plain_sentences(F.col("p")), -1), F.lit("")))
+    last = _words(F.coalesce(F.try_element_at(T.plain_sentences(F.col("p")), F.lit(-1)), F.lit("")))
     x = x.select("role", F.array_join(F.slice(last, 1, 3), " ").alias("three"))
     return x.groupBy("role").agg(F.count("*").alias("paragraphs"), F.count_if(F.col("three").rlike("^(" + "|".join(OPENERS) + ")")).alias("closed"))
 
