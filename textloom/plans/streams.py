@@ -20,8 +20,8 @@ def _events(spark, d) -> DataFrame:
 def _through(spark: SparkSession, table: DataFrame, make) -> DataFrame:
     """What a stream makes of a table that is fed to it."""
     base = shared_folder(spark)
-    S.fed(table, "ts", f"{base}/feed")
-    S.run(make(S.feed(spark, f"{base}/feed", table.schema)), f"{base}/out", f"{base}/state")
+    files = S.fed(table, "ts", f"{base}/feed")
+    S.run(make(S.feed(spark, f"{base}/feed", table.schema, files)), f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out")
 
 
@@ -71,10 +71,10 @@ def manifest_ingest(spark, d):
     """Events as a manifest of fetched files: a user is a paper, an event's type the format, an error a failure. Suppliers are the papers that a list has named."""
     base = shared_folder(spark)
     rows = _events(spark, d).select(F.concat(F.lit("p"), F.col("user_id")).alias("paper"), F.col("event_type").alias("format"), F.col("ts").cast("timestamp").alias("stamp"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("digest"), F.when(F.col("bad"), F.concat(F.lit("error "), F.col("event_id"))).alias("failure"))
-    S.fed(rows, "stamp", f"{base}/feed", closed=False)
+    files = S.fed(rows, "stamp", f"{base}/feed", closed=False)
     manifest = Manifest(spark, f"{base}/tables")
     manifest.listed(spark.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("p"), F.col("s_suppkey")).alias("paper")))
-    manifest.run(S.feed(spark, f"{base}/feed", rows.schema), f"{base}/state")
+    manifest.run(S.feed(spark, f"{base}/feed", rows.schema, files), f"{base}/state")
     failed = manifest.failures.read().groupBy("paper").agg(F.count("*").alias("failures"))
     got = manifest.sources.read().groupBy("paper").agg(F.count("*").alias("formats"), F.max("digest").alias("newest"))
     return manifest.papers.read().join(got, "paper", "left").join(failed, "paper", "left").select("paper", "state", "newest", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("formats", "failures")])
