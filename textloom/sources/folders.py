@@ -42,11 +42,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def dealt(spark: SparkSession, source: str) -> DataFrame:
+def dealt(spark: SparkSession, source: str, by: str | None = None) -> DataFrame:
     """A Parquet table for costly functions of its rows. A file of one row group is one task however many cores there are; so a table of less than a row group for each core is dealt over
-    them first. A larger one has row groups enough and is read as it lies."""
+    them first, by ranges of `by` if it is given. A larger one has row groups enough and is read as it lies."""
     cores, rows = spark.sparkContext.defaultParallelism, spark.read.parquet(source)
-    return rows.repartition(cores) if source_state(spark, source)[2] < cores * ROW_GROUP else rows
+    if source_state(spark, source)[2] >= cores * ROW_GROUP:
+        return rows
+    return rows.repartitionByRange(cores, by) if by else rows.repartition(cores)
 
 
 def source_state(spark: SparkSession, source: str) -> tuple:
